@@ -15,18 +15,26 @@ task. The functions here give the same numbers with the work spread over
    window over that tiny frame; it is broadcast (size = ``n`` rows) and added
    to the local position.
 
-Both branches read one range shuffle (``ReusedExchange``); with a unique
-tie-break the order inside each partition is deterministic, so recomputing
-a lost partition gives the same numbers.
+The numbered, range-partitioned rows are materialized once before they are
+counted and joined (``stable="checkpoint"``: a reliable checkpoint into the
+shared ``spark.checkpoint.dir``; ``"persist"``: MEMORY_AND_DISK cache). Both
+consumers then read the same partitions. Without this, column pruning gives
+the two consumers different range shuffles, each sampling its own bounds,
+and nothing guarantees the samples (which depend on shuffle fetch order)
+agree. The checkpoint also cuts lineage, so a lost executor costs a re-read,
+not a recomputation of the inputs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acctlens.session import ensure_checkpoint_dir
+
 _PID_SHIFT = 33
 
 
@@ -38,7 +46,21 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _numbered(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
+def _stabilize(df: DataFrame, stable: str) -> DataFrame:
+    if stable == "checkpoint":
+        # Lazy reliable checkpoint: the returned frame scans one fixed RDD (one
+        # range partitioner, one shuffle dependency), so every consumer sees
+        # identical partitions; the files are written after the first action.
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=False)
+    if stable == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    raise ValueError(f"unknown stable mode {stable!r}")
+
+
+def _numbered(
+    df: DataFrame, order: Sequence[Column | str], num_partitions: int | None, stable: str = "checkpoint"
+) -> tuple[DataFrame, DataFrame]:
     n = num_partitions or _default_partitions(df)
     keys = _sort_cols(order)
     ranged = (
@@ -48,6 +70,7 @@ def _numbered(df: DataFrame, order: Sequence[Column | str], num_partitions: int
         .withColumn("_pid", F.shiftright(F.col("_mid"), _PID_SHIFT))
         .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), _PID_SHIFT) + F.lit(1))
     )
+    ranged = _stabilize(ranged, stable)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.partitionBy(F.lit(1))
@@ -62,13 +85,17 @@ def _numbered(df: DataFrame, order: Sequence[Column | str], num_partitions: int
 
 
 def global_row_number(
-    df: DataFrame, order: Sequence[Column | str], output: str = "row_number", num_partitions: int | None = None
+    df: DataFrame,
+    order: Sequence[Column | str],
+    output: str = "row_number",
+    num_partitions: int | None = None,
+    stable: str = "checkpoint",
 ) -> DataFrame:
     """``row_number() over (order by <order>)`` without a single-task window.
 
     ``order`` must end in a unique key (the tie-break) for a deterministic result.
     """
-    joined, _ = _numbered(df, order, num_partitions)
+    joined, _ = _numbered(df, order, num_partitions, stable)
     return joined.withColumn(output, (F.col("_local") + F.col("_offset")).cast("bigint")).drop(
         "_mid", "_pid", "_local", "_offset", "_total"
     )
@@ -91,10 +118,15 @@ def ntile_of(row_number: Column, total: Column, buckets: int) -> Column:
 
 
 def global_ntile(
-    df: DataFrame, order: Sequence[Column | str], buckets: int, output: str = "ntile", num_partitions: int | None = None
+    df: DataFrame,
+    order: Sequence[Column | str],
+    buckets: int,
+    output: str = "ntile",
+    num_partitions: int | None = None,
+    stable: str = "checkpoint",
 ) -> DataFrame:
     """``ntile(buckets) over (order by <order>)`` without a single-task window."""
-    joined, _ = _numbered(df, order, num_partitions)
+    joined, _ = _numbered(df, order, num_partitions, stable)
     rn = F.col("_local") + F.col("_offset")
     return joined.withColumn(output, ntile_of(rn, F.col("_total"), buckets)).drop(
         "_mid", "_pid", "_local", "_offset", "_total"

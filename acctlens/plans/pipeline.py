@@ -25,7 +25,9 @@ from acctlens.session import ensure_checkpoint_dir
 from acctlens.sources.raw import RawInputs
 from acctlens.sources.sinks import write_table
 
-SHARED = ("dim_account", "fct_revenue_with_next", "fct_usage", "fct_tickets", "stg_usage_events")
+SHARED = (
+    "dim_account", "fct_revenue_with_next", "fct_usage", "fct_tickets", "stg_usage_events", "customer_health_scores",
+)
 
 MART_PARTITIONING = {
     "fct_revenue": ("revenue_month",),
@@ -126,9 +128,12 @@ class Pipeline:
     # --- marts
     @cached_property
     def customer_health_scores(self) -> DataFrame:
-        return marts.customer_health_scores(
-            self.dim_account, self.fct_usage, self.fct_tickets, self.fct_revenue, self.stg_usage_events,
-            self.settings, self.num_partitions,
+        return self._share(
+            "customer_health_scores",
+            marts.customer_health_scores(
+                self.dim_account, self.fct_usage, self.fct_tickets, self.fct_revenue, self.stg_usage_events,
+                self.settings, self.num_partitions,
+            ),
         )
 
     @cached_property
