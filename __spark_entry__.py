@@ -109,7 +109,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cohort_metrics": _with(lambda p: marts.cohort_metrics(marts.revenue_with_cohort(p.dim_account, p.fct_revenue))),
     "sla_by_priority": _with(lambda p: marts.sla_by_priority(_te(p))),
     "sla_by_segment": _with(lambda p: marts.sla_by_segment(_te(p))),
-    "sla_adherence_grouping_sets": _with(lambda p: marts.sla_adherence_grouping_sets(p.fct_tickets, p.dim_account)),
+    "sla_adherence_union": _with(lambda p: marts.sla_adherence_union(p.fct_tickets, p.dim_account)),
+    "waterfall_movements": _with(
+        lambda p: marts.waterfall_movements(p.fct_revenue_with_next).select(
+            "revenue_month", "total_mrr", "new_mrr", "expansion_mrr", "contraction_mrr", "paying_accounts",
+            F.coalesce(F.col("_churned_mrr"), F.lit(0)).cast("decimal(18,2)").alias("churned_mrr"),
+            F.col("_churned_accounts").alias("churned_accounts"),
+        )
+    ),
 }
 
 _ORACLE: dict[str, str] = {
@@ -148,7 +155,8 @@ _ORACLE: dict[str, str] = {
     "cohort_metrics": O.relation("cohort_metrics"),
     "sla_by_priority": O.relation("sla_by_priority"),
     "sla_by_segment": O.relation("sla_by_segment"),
-    "sla_adherence_grouping_sets": O.relation("sla_adherence"),
+    "sla_adherence_union": O.relation("sla_adherence"),
+    "waterfall_movements": O.relation("waterfall_movements"),
 }
 
 

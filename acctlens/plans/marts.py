@@ -270,24 +270,52 @@ def churn_detection_anti_join(fct_revenue: DataFrame) -> DataFrame:
     )
 
 
+def waterfall_movements(fct_revenue_with_next: DataFrame) -> DataFrame:
+    """Monthly movements and churn in one aggregation pass.
+
+    Each revenue row contributes twice: to its own month (MRR and movements)
+    and, when the account has no paid revenue in the following month, to that
+    following month as churn. One ``groupBy(month)`` then yields both sides of
+    the waterfall, with no self-join and no second scan of the fact.
+    """
+    nxt = F.add_months(F.col("revenue_month"), 1)
+    churned = F.col("next_revenue_month").isNull() | (F.col("next_revenue_month") != nxt)
+    role = F.col("_role")
+    current = role == 0
+    rows = fct_revenue_with_next.select(
+        "revenue_month", "mrr", "revenue_movement", "expansion_mrr", "contraction_mrr", "next_revenue_month",
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("_role"),
+    ).filter(current | churned)
+    month = F.when(current, F.col("revenue_month")).otherwise(nxt)
+    money = lambda c: F.sum(c).cast(MONEY)
+    return rows.groupBy(month.alias("revenue_month")).agg(
+        money(F.when(current, F.col("mrr"))).alias("total_mrr"),
+        money(F.when(current & (F.col("revenue_movement") == "new"), F.col("mrr")).otherwise(F.lit(0))).alias("new_mrr"),
+        money(F.when(current, F.col("expansion_mrr"))).alias("expansion_mrr"),
+        money(F.when(current, F.col("contraction_mrr"))).alias("contraction_mrr"),
+        F.count_if(current).alias("paying_accounts"),
+        money(F.when(~current, F.col("mrr"))).alias("_churned_mrr"),
+        F.count_if(~current).alias("_churned_accounts"),
+    )
+
+
 def nrr_summary(fct_revenue_with_next: DataFrame, sort: bool = True) -> DataFrame:
     """Monthly MRR waterfall with NRR, GRR and growth.
 
-    Both inputs of the final join are one row per month (a calendar-bounded
-    size), and the global ``lag`` runs over those month rows only.
+    Churn into a month with no paying account (after the last month of data)
+    is dropped, as the reproduced left join from the monthly movements does.
+    The global ``lag`` runs over one row per month: a calendar-bounded size.
     """
     from pyspark.sql import Window
 
-    m = monthly_movements(fct_revenue_with_next)
-    c = churn_detection(fct_revenue_with_next).select("churn_month", "churned_mrr", "churned_accounts")
     w = Window.orderBy("revenue_month")
-    wf = m.join(c, m.revenue_month == c.churn_month, "left").select(
+    wf = waterfall_movements(fct_revenue_with_next).filter(F.col("paying_accounts") > 0).select(
         "revenue_month",
         F.col("total_mrr").alias("ending_mrr"),
         "new_mrr", "expansion_mrr", "contraction_mrr",
-        F.coalesce(F.col("churned_mrr"), F.lit(0)).cast(MONEY).alias("churned_mrr"),
+        F.coalesce(F.col("_churned_mrr"), F.lit(0)).cast(MONEY).alias("churned_mrr"),
         "paying_accounts",
-        F.coalesce(F.col("churned_accounts"), F.lit(0)).cast("bigint").alias("churned_accounts"),
+        F.col("_churned_accounts").cast("bigint").alias("churned_accounts"),
         F.lag("total_mrr").over(w).alias("_start"),
     )
     start = F.coalesce(F.col("_start"), F.lit(0)).cast(MONEY)
@@ -336,15 +364,22 @@ def cohort_metrics(revenue_with_cohort: DataFrame) -> DataFrame:
 
 
 def revenue_cohort_analysis(dim_account: DataFrame, fct_revenue: DataFrame, settings: Settings | None = None, sort: bool = True) -> DataFrame:
-    """Cohort retention curves (cohorts without an offset-0 row drop out)."""
+    """Cohort retention curves (cohorts without an offset-0 row drop out).
+
+    The offset-0 base is read with a window over the aggregated
+    (cohort, offset) rows, so the metrics are computed once instead of being
+    re-derived for a self-join.
+    """
+    from pyspark.sql import Window
+
     cm = cohort_metrics(revenue_with_cohort(dim_account, fct_revenue, settings))
-    # One row per cohort month: bounded by the calendar, not by the data volume.
-    base = cm.filter(F.col("months_since_signup") == 0).select(
-        F.col("cohort_month").alias("_cohort"),
-        F.col("active_accounts").alias("initial_accounts"),
-        F.col("cohort_mrr").alias("initial_mrr"),
-    )
-    j = cm.join(F.broadcast(base), cm.cohort_month == base._cohort, "inner")
+    cohort = Window.partitionBy("cohort_month")
+    at_zero = F.col("months_since_signup") == 0
+    j = cm.select(
+        "*",
+        F.max(F.when(at_zero, F.col("active_accounts"))).over(cohort).alias("initial_accounts"),
+        F.max(F.when(at_zero, F.col("cohort_mrr"))).over(cohort).alias("initial_mrr"),
+    ).filter(F.col("initial_accounts").isNotNull())
     n, mrr = F.col("active_accounts"), F.col("cohort_mrr")
     n0, mrr0 = F.col("initial_accounts"), F.col("initial_mrr")
     # avg - initial_mrr / initial_accounts == (mrr*n0 - mrr0*n) / (n*n0), in cents.
@@ -444,18 +479,23 @@ def sla_by_segment(tickets_enriched: DataFrame) -> DataFrame:
     return out
 
 
-def sla_adherence(fct_tickets: DataFrame, dim_account: DataFrame, sort: bool = True) -> DataFrame:
-    """The priority and segment reports stacked with a dimension label."""
+def sla_adherence_union(fct_tickets: DataFrame, dim_account: DataFrame, sort: bool = True) -> DataFrame:
+    """M15 as two aggregations stacked with a dimension label.
+
+    Each branch scans and joins the tickets on its own; ``sla_adherence``
+    computes the same rows in one pass.
+    """
     te = tickets_enriched(fct_tickets, dim_account)
     out = sla_by_priority(te).unionByName(sla_by_segment(te))
     return out.orderBy("ticket_year_month", "dimension_type", "dimension_value") if sort else out
 
 
-def sla_adherence_grouping_sets(fct_tickets: DataFrame, dim_account: DataFrame, sort: bool = True) -> DataFrame:
-    """M15 in a single aggregation pass: GROUPING SETS over (month, priority) and (month, segment).
+def sla_adherence(fct_tickets: DataFrame, dim_account: DataFrame, sort: bool = True) -> DataFrame:
+    """M15 in one aggregation pass: GROUPING SETS over (month, priority) and (month, segment).
 
-    The quantiles are computed for both sets and blanked for segment rows,
-    where the report does not show them.
+    One scan and one join of the tickets feed both report halves. The
+    quantiles are computed for both sets and blanked for segment rows, where
+    the report does not show them.
     """
     te = tickets_enriched(fct_tickets, dim_account)
     g = te.groupingSets(

@@ -676,3 +676,15 @@ def quality_report_sql(checks) -> str:
                 rels.append(r)
     union = "\nUNION ALL\n".join(check_sql(c) for c in checks)
     return sql_for(f"SELECT *, violations = 0 AS passed FROM (\n{union}\n)", *rels)
+
+
+# Monthly movements with churn attributed to the following month; months that
+# only receive churn (no paying account) appear with zero paying accounts.
+_cte("waterfall_movements", ("monthly_movements", "churn_detection"), """
+SELECT coalesce(m.revenue_month, c.churn_month) AS revenue_month,
+       m.total_mrr, coalesce(m.new_mrr, CAST(0 AS DECIMAL(18,2))) AS new_mrr, m.expansion_mrr, m.contraction_mrr,
+       coalesce(m.paying_accounts, 0) AS paying_accounts,
+       CAST(coalesce(c.churned_mrr, 0) AS DECIMAL(18,2)) AS churned_mrr,
+       coalesce(c.churned_accounts, 0) AS churned_accounts
+FROM monthly_movements m
+FULL OUTER JOIN churn_detection c ON m.revenue_month = c.churn_month""")
