@@ -6,9 +6,8 @@ evaluates a whole list and returns one report row per check:
 
 Cost model of ``run_checks``, per relation:
 
-* all ``not_null`` / ``accepted_values`` / expression checks fold into one
-  aggregation pass (one scan, partial aggregation, no wide shuffle);
-* each ``unique`` check is one hash aggregation on the column, partial
+* all ``unique`` / ``not_null`` / ``accepted_values`` / expression checks
+  share one scan and one hash aggregation on (check, value), partial
   aggregation first, so a repeated value is collapsed map-side;
 * each ``relationships`` check first reduces the child to distinct keys,
   then anti-joins them with the parent's distinct keys: a key holding a third
@@ -111,30 +110,62 @@ def _report_row(c: Check, violations: Column) -> Column:
     )
 
 
+def _single_pass_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Unique, not-null, accepted-values and expression checks of one relation in one pass.
+
+    Every row emits ``(check, value)`` entries: its value for each unique
+    check, and a marker (NULL value) for each other check it violates. One
+    ``groupBy(check, value)`` (partial aggregation first) then counts both:
+    for a unique check the number of values seen more than once, for the
+    others the number of violating rows.
+    """
+    entries = []
+    for i, c in enumerate(checks):
+        if c.kind == "unique":
+            v = F.col(c.column)
+            entries.append(F.when(v.isNotNull(), F.struct(F.lit(i).alias("i"), v.cast("string").alias("v"))))
+        else:
+            entries.append(
+                F.when(_folded_predicate(c), F.struct(F.lit(i).alias("i"), F.lit(None).cast("string").alias("v")))
+            )
+    exploded = df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull()).select("e.i", "e.v")
+    per_value = exploded.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    counted = per_value.groupBy("i").agg(
+        F.sum(F.when(F.col("v").isNull(), F.col("n")).when(F.col("n") > 1, F.lit(1)).otherwise(F.lit(0))).alias("_n")
+    )
+    # One row per declared check (a fixed, small list), so checks without a
+    # violation still report 0.
+    declared = df.sparkSession.createDataFrame(
+        [(i, c.relation, c.column, c.check_name) for i, c in enumerate(checks)],
+        "i int, relation string, column_name string, check_name string",
+    )
+    return declared.join(F.broadcast(counted), "i", "left").select(
+        "relation", "column_name", "check_name", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("violations")
+    )
+
+
 def run_checks(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Q7: evaluate ``checks`` over ``relations``; one report row per check."""
+    """Q7: evaluate ``checks`` over ``relations``; one report row per check.
+
+    Per relation: one pass for all unique / not-null / accepted-values /
+    expression checks, plus one pre-aggregated anti-join per relationships
+    check.
+    """
     pieces: list[DataFrame] = []
     by_relation: dict[str, list[Check]] = {}
     for c in checks:
         by_relation.setdefault(c.relation, []).append(c)
     for rel, cs in by_relation.items():
         df = relations[rel]
-        folded = [c for c in cs if c.kind in ("not_null", "accepted_values", "expression")]
-        if folded:
-            counts = df.agg(*[F.count_if(_folded_predicate(c)).alias(f"_v{i}") for i, c in enumerate(folded)])
-            rows = F.explode(F.array(*[_report_row(c, F.col(f"_v{i}")) for i, c in enumerate(folded)]))
-            pieces.append(counts.select(rows.alias("r")).select("r.*"))
+        local = [c for c in cs if c.kind != "relationships"]
+        if local:
+            pieces.append(_single_pass_report(df, local))
         for c in cs:
-            if c.kind == "unique":
-                # one failure per duplicated value
-                n = unique_violations(df, c.column).agg(F.count(F.lit(1)).alias("_n"))
-            elif c.kind == "relationships":
+            if c.kind == "relationships":
                 # one failure per orphan child row
                 bad = relationships_violations(df, c.column, relations[c.to], c.field)
                 n = bad.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
-            else:
-                continue
-            pieces.append(n.select(_report_row(c, F.col("_n")).alias("r")).select("r.*"))
+                pieces.append(n.select(_report_row(c, F.col("_n")).alias("r")).select("r.*"))
     report = reduce(DataFrame.unionByName, pieces)
     return report.withColumn("passed", F.col("violations") == 0)
 
