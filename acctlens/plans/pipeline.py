@@ -167,6 +167,11 @@ class Pipeline:
         written = {}
         for name in names or (self.CORE + self.MARTS):
             path = os.path.join(out_dir, name)
-            write_table(getattr(self, name), path=path, partition_by=MART_PARTITIONING.get(name, ()))
+            write_table(
+                getattr(self, name),
+                path=path,
+                partition_by=MART_PARTITIONING.get(name, ()),
+                cluster_by=("account_id",) if name in MART_PARTITIONING else (),
+            )
             written[name] = path
         return written

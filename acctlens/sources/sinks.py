@@ -18,15 +18,25 @@ def write_table(
     path: str | None = None,
     table: str | None = None,
     partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
     mode: str = "overwrite",
     fmt: str = "parquet",
+    dynamic_overwrite: bool = False,
 ) -> None:
     """Full-rebuild table sink (the mart materialization).
 
     Facts that are filtered by date downstream should be partitioned by their
-    month/date column so trailing-window filters prune files.
+    month/date column so trailing-window filters prune files. With
+    ``cluster_by`` the rows are range-partitioned on the partition columns
+    plus the clustering key first: each task writes a contiguous slice, so a
+    date gets a few files instead of one per task, and a hot date is still
+    split over several tasks by the clustering key.
     """
+    if partition_by and cluster_by:
+        df = df.repartitionByRange(*partition_by, *cluster_by)
     w = df.write.mode(mode).format(fmt)
+    if dynamic_overwrite:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if table is not None:
