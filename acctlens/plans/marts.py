@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from acctlens.config import Settings
 from acctlens.functions import columns as X
-from acctlens.functions.dates import as_date_lit, month_boundaries_between, trailing_days_start, trailing_months_start
+from acctlens.functions.dates import month_boundaries_between, trailing_days_start, trailing_months_start
 from acctlens.functions.numeric import round_div, to_tenths
 from acctlens.operators.ranking import global_ntile, global_row_number, latest_per_key, ordered_top_values
 

@@ -31,11 +31,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local runs, tests) do we pick a scratch
-    folder of our own; a cluster's setting is never overridden.
+    Only when the setting is absent in local mode (local runs, tests) do we
+    pick a scratch folder of our own; a cluster's setting is never
+    overridden, and a cluster without one is an error rather than a silent
+    fall-back to a machine-local folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (reliable checkpoints live there)")
         path = tempfile.mkdtemp(prefix="acctlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
