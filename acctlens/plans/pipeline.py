@@ -53,7 +53,7 @@ class Pipeline:
 
     @property
     def spark(self) -> SparkSession:
-        return self.raw.accounts.sparkSession
+        return self.raw.spark
 
     def _share(self, name: str, df: DataFrame) -> DataFrame:
         if self.materialize is None or name not in SHARED:

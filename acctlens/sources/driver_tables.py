@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctlens import config as C
@@ -52,166 +52,150 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def _case(key: Column, mapping: dict, default=None) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(key == F.lit(k), F.lit(v)) if expr is None else expr.when(key == F.lit(k), F.lit(v))
-    return expr if default is None else expr.otherwise(F.lit(default))
+# Derived columns are written as SQL expression text: one JVM call per
+# column instead of one per Column operation when the plan is built.
 
 
-def _pick(index: Column, values: tuple) -> Column:
-    """values[index] for a small fixed tuple."""
-    return _case(index, dict(enumerate(values)))
+def _q(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v)
 
 
-def account_no(custkey: Column) -> Column:
-    return F.floor(custkey / F.lit(CUSTOMERS_PER_ACCOUNT)).cast("bigint")
+def _case(key: str, mapping: dict, default=None) -> str:
+    whens = " ".join(f"WHEN {key} = {_q(k)} THEN {_q(v)}" for k, v in mapping.items())
+    tail = f" ELSE {_q(default)}" if default is not None else ""
+    return f"(CASE {whens}{tail} END)"
 
 
-def account_tier(a: Column) -> Column:
-    r = (a * 7) % 20
-    return F.when(r < 9, "starter").when(r < 16, "growth").otherwise("enterprise")
+def _pick(index: str, values: tuple) -> str:
+    """values[index] for a small fixed tuple."""
+    return _case(index, dict(enumerate(values)))
 
 
-def shifted_order_date(o_orderdate: Column) -> Column:
-    return F.date_add(F.to_date(o_orderdate), ORDER_DATE_SHIFT_DAYS)
+ACCOUNT_NO = f"(o_custkey div {CUSTOMERS_PER_ACCOUNT})"
+TIER = "(CASE WHEN (a * 7) % 20 < 9 THEN 'starter' WHEN (a * 7) % 20 < 16 THEN 'growth' ELSE 'enterprise' END)"
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    return o.withColumns(
-        {"k": F.col("o_orderkey"), "a": account_no(F.col("o_custkey")), "order_date": shifted_order_date(F.col("o_orderdate"))}
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k",
+        f"{ACCOUNT_NO} AS a",
+        "o_orderstatus",
+        "o_orderpriority",
+        f"date_add(to_date(o_orderdate), {ORDER_DATE_SHIFT_DAYS}) AS order_date",
     )
 
 
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = (
         _read(spark, sf_dir, "customer")
-        .select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-        .filter(F.col("c_custkey") % CUSTOMERS_PER_ACCOUNT == 0)
+        .filter(F.expr(f"c_custkey % {CUSTOMERS_PER_ACCOUNT} = 0"))
+        .selectExpr("c_custkey div 10 AS a", "c_name", "c_nationkey", "c_mktsegment")
     )
     # nation (25 rows) and region (5 rows) are fixed-size dimensions.
     nation = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
     region = F.broadcast(_read(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    first_order = (
-        _orders(spark, sf_dir).groupBy("a").agg(F.min("order_date").alias("first_order_date"))
-    )
-    a = F.col("a")
-    employee_span = F.when(a % 3 == 0, 60).when(a % 3 == 1, 500).otherwise(2000)
-    signup = F.when(a % 3 == 0, F.date_sub(F.lit(AS_OF), ((a * 53) % 400).cast("int"))).otherwise(
-        F.coalesce(F.col("first_order_date"), F.lit(DEFAULT_SIGNUP))
-    )
-    status = F.when((a % 15 == 3) | (a % 15 == 7), "churned").when(a % 15 == 11, "trial").when(a % 15 == 13, "suspended").otherwise("active")
+    first_order = _orders(spark, sf_dir).groupBy("a").agg(F.min("order_date").alias("first_order_date"))
     return (
-        cust.withColumn("a", account_no(F.col("c_custkey")))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .join(first_order, "a", "left")
-        .select(
-            a.cast("string").alias("account_id"),
-            F.col("c_name").alias("company_name"),
-            F.col("c_mktsegment").alias("industry"),
-            (F.lit(1) + (a * 37) % employee_span).cast("bigint").alias("employee_count"),
-            account_tier(a).alias("plan_tier"),
-            F.col("n_name").alias("account_owner"),
-            F.col("r_name").alias("region"),
-            signup.alias("signup_date"),
-            status.alias("status"),
+        .selectExpr(
+            "CAST(a AS STRING) AS account_id",
+            "c_name AS company_name",
+            "c_mktsegment AS industry",
+            "CAST(1 + (a * 37) % (CASE a % 3 WHEN 0 THEN 60 WHEN 1 THEN 500 ELSE 2000 END) AS BIGINT) AS employee_count",
+            f"{TIER} AS plan_tier",
+            "n_name AS account_owner",
+            "r_name AS region",
+            f"CASE WHEN a % 3 = 0 THEN date_sub(DATE'{AS_OF}', CAST((a * 53) % 400 AS INT))"
+            f" ELSE coalesce(first_order_date, DATE'{DEFAULT_SIGNUP}') END AS signup_date",
+            "CASE WHEN a % 15 IN (3, 7) THEN 'churned' WHEN a % 15 = 11 THEN 'trial'"
+            " WHEN a % 15 = 13 THEN 'suspended' ELSE 'active' END AS status",
         )
     )
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _orders(spark, sf_dir)
-    k, a = F.col("k"), F.col("a")
-    product = _pick(k % 4, C.PRODUCTS)
-    tier = account_tier(a)
-    platform_price = _case(tier, C.PLATFORM_TIER_PRICES)
-    mrr = F.when(product == C.PLATFORM_PRODUCT, platform_price).otherwise(_case(product, C.ADDON_LIST_PRICES))
-    status = _case(F.col("o_orderstatus"), SUBSCRIPTION_STATUS_BY_ORDER)
-    start_text = F.when(k % 5 == 0, F.date_format("order_date", "yyyy-MM-dd'T'00:00:00")).otherwise(
-        F.date_format("order_date", "yyyy-MM-dd")
+    product = _pick("k % 4", C.PRODUCTS)
+    mrr = (
+        f"CASE WHEN {product} = '{C.PLATFORM_PRODUCT}' THEN {_case(TIER, C.PLATFORM_TIER_PRICES)}"
+        f" ELSE {_case(product, C.ADDON_LIST_PRICES)} END"
     )
-    end_text = F.when(
-        F.col("o_orderstatus") != "O",
-        F.date_format(F.date_add("order_date", ((k % 400) + 30).cast("int")), "yyyy-MM-dd"),
-    )
-    return o.select(
-        k.cast("string").alias("subscription_id"),
-        a.cast("string").alias("account_id"),
-        product.alias("product_name"),
-        tier.alias("plan_tier"),
-        mrr.cast("decimal(18,2)").alias("mrr_amount"),
-        start_text.alias("start_date"),
-        end_text.alias("end_date"),
-        status.alias("status"),
+    return _orders(spark, sf_dir).selectExpr(
+        "CAST(k AS STRING) AS subscription_id",
+        "CAST(a AS STRING) AS account_id",
+        f"{product} AS product_name",
+        f"{TIER} AS plan_tier",
+        f"CAST({mrr} AS DECIMAL(18,2)) AS mrr_amount",
+        "CASE WHEN k % 5 = 0 THEN date_format(order_date, \"yyyy-MM-dd'T'00:00:00\")"
+        " ELSE date_format(order_date, 'yyyy-MM-dd') END AS start_date",
+        "CASE WHEN o_orderstatus != 'O'"
+        " THEN date_format(date_add(order_date, CAST(k % 400 + 30 AS INT)), 'yyyy-MM-dd') END AS end_date",
+        f"{_case('o_orderstatus', SUBSCRIPTION_STATUS_BY_ORDER)} AS status",
     )
 
 
 def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _orders(spark, sf_dir)
-    k, a = F.col("k"), F.col("a")
-    amount = (((k % 3) + 1).cast("decimal(18,2)") * F.lit(INVOICE_UNIT_AMOUNT).cast("decimal(18,2)")).cast("decimal(18,2)")
-    return o.select(
-        k.cast("string").alias("invoice_id"),
-        a.cast("string").alias("account_id"),
-        F.col("order_date").alias("invoice_date"),
-        amount.alias("amount"),
-        F.lit("usd ").alias("currency"),
-        _case(F.col("o_orderstatus"), INVOICE_STATUS_BY_ORDER).alias("status"),
-        F.concat(F.lit(" "), _pick(k % 4, C.PRODUCTS), F.lit(" ")).alias("line_items"),
+    return _orders(spark, sf_dir).selectExpr(
+        "CAST(k AS STRING) AS invoice_id",
+        "CAST(a AS STRING) AS account_id",
+        "order_date AS invoice_date",
+        f"CAST(CAST(k % 3 + 1 AS DECIMAL(18,2)) * CAST('{INVOICE_UNIT_AMOUNT}' AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS amount",
+        "'usd ' AS currency",
+        f"{_case('o_orderstatus', INVOICE_STATUS_BY_ORDER)} AS status",
+        f"concat(' ', {_pick('k % 4', C.PRODUCTS)}, ' ') AS line_items",
     )
 
 
 def raw_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    name = None
-    for etype, category in EVENT_TYPE_CATEGORY.items():
-        names = C.EVENT_CATEGORIES[category]
-        pick = _pick(eid % 3, names)
-        name = F.when(F.col("event_type") == etype, pick) if name is None else name.when(F.col("event_type") == etype, pick)
-    back_days = F.when(eid % 4 < uid % 5, 31).otherwise(0) + F.dayofmonth("ts") % 3
-    ts = F.timestamp_add("DAY", -back_days, F.col("ts"))
-    return e.select(
-        eid.cast("string").alias("event_id"),
-        uid.cast("string").alias("account_id"),
-        (uid * 10 + eid % 4).cast("string").alias("user_id"),
-        name.alias("event_name"),
-        ts.alias("event_timestamp"),
-        F.lit(None).cast("string").alias("properties"),
+    names = " ".join(
+        f"WHEN event_type = '{etype}' THEN {_pick('event_id % 3', C.EVENT_CATEGORIES[category])}"
+        for etype, category in EVENT_TYPE_CATEGORY.items()
+    )
+    back_days = "(CASE WHEN event_id % 4 < user_id % 5 THEN 31 ELSE 0 END + dayofmonth(ts) % 3)"
+    return _read(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CAST(user_id AS STRING) AS account_id",
+        "CAST(user_id * 10 + event_id % 4 AS STRING) AS user_id",
+        f"CASE {names} END AS event_name",
+        f"timestampadd(DAY, -{back_days}, ts) AS event_timestamp",
+        "CAST(NULL AS STRING) AS properties",
     )
 
 
 def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _orders(spark, sf_dir)
-    k, a = F.col("k"), F.col("a")
-    as_of_ts = F.lit(dt.datetime.combine(AS_OF, dt.time())).cast("timestamp_ntz")
-    created = F.timestamp_add("MINUTE", (k * 13) % 1440, F.timestamp_add("DAY", -(k % 200), as_of_ts))
-    status = F.when((k % 12 == 0) & (a % 2 == 0), "open").when((k % 12 == 6) & (a % 4 == 0), "escalated").otherwise("resolved")
-    priority = _case(F.substring("o_orderpriority", 1, 1), TICKET_PRIORITY_BY_DIGIT)
-    target = _case(priority, {k_.upper(): v for k_, v in C.SLA_TARGET_HOURS.items()})
-    resolved = F.when(status == "resolved", F.timestamp_add("MINUTE", target * 3 * ((k * 7919) % 40), created))
-    score = F.when(
-        (status == "resolved") & (k % 5 != 0), (F.lit(20) + (a % 3) * 10 + k % 11).cast("double") / F.lit(10.0)
+    priority = _case("substring(o_orderpriority, 1, 1)", TICKET_PRIORITY_BY_DIGIT)
+    target = _case("priority", {k.upper(): v for k, v in C.SLA_TARGET_HOURS.items()})
+    base = _orders(spark, sf_dir).selectExpr(
+        "k",
+        "a",
+        f"timestampadd(MINUTE, (k * 13) % 1440, timestampadd(DAY, -(k % 200), TIMESTAMP_NTZ'{AS_OF} 00:00:00'))"
+        " AS created_at",
+        "CASE WHEN k % 12 = 0 AND a % 2 = 0 THEN 'open' WHEN k % 12 = 6 AND a % 4 = 0 THEN 'escalated'"
+        " ELSE 'resolved' END AS status",
+        f"{priority} AS priority",
     )
-    return o.select(
-        k.cast("string").alias("ticket_id"),
-        a.cast("string").alias("account_id"),
-        created.alias("created_at"),
-        resolved.alias("resolved_at"),
-        priority.alias("priority"),
-        _pick(k % 6, C.TICKET_CATEGORIES).alias("category"),
-        status.alias("status"),
-        score.alias("satisfaction_score"),
+    return base.selectExpr(
+        "CAST(k AS STRING) AS ticket_id",
+        "CAST(a AS STRING) AS account_id",
+        "created_at",
+        f"CASE WHEN status = 'resolved' THEN timestampadd(MINUTE, {target} * 3 * ((k * 7919) % 40), created_at) END"
+        " AS resolved_at",
+        "priority",
+        f"{_pick('k % 6', C.TICKET_CATEGORIES)} AS category",
+        "status",
+        "CASE WHEN status = 'resolved' AND k % 5 != 0 THEN CAST(20 + (a % 3) * 10 + k % 11 AS DOUBLE) / 10.0D END"
+        " AS satisfaction_score",
     )
 
 
 def load_raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
+    """The five raw relations, each built on first use."""
     return RawInputs(
-        accounts=raw_accounts(spark, sf_dir),
-        subscriptions=raw_subscriptions(spark, sf_dir),
-        invoices=raw_invoices(spark, sf_dir),
-        usage_events=raw_usage_events(spark, sf_dir),
-        support_tickets=raw_support_tickets(spark, sf_dir),
+        accounts=lambda: raw_accounts(spark, sf_dir),
+        subscriptions=lambda: raw_subscriptions(spark, sf_dir),
+        invoices=lambda: raw_invoices(spark, sf_dir),
+        usage_events=lambda: raw_usage_events(spark, sf_dir),
+        support_tickets=lambda: raw_support_tickets(spark, sf_dir),
+        spark=spark,
     )

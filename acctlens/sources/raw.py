@@ -7,8 +7,6 @@ fails the ANSI cast loudly instead of silently changing a column's type.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -45,18 +43,39 @@ RAW_SCHEMAS = {
 }
 
 
-@dataclass(frozen=True)
 class RawInputs:
-    """The five raw relations every model is built from."""
+    """The five raw relations every model is built from.
+
+    Each relation is a DataFrame or a zero-argument function returning one;
+    functions are called on first access, so a query that needs only the
+    invoices never builds the plans of the other four inputs.
+    """
+
+    NAMES = ("accounts", "subscriptions", "invoices", "usage_events", "support_tickets")
+
+    def __init__(self, accounts, subscriptions, invoices, usage_events, support_tickets, spark: SparkSession | None = None):
+        self._sources = dict(zip(self.NAMES, (accounts, subscriptions, invoices, usage_events, support_tickets)))
+        self._built: dict[str, DataFrame] = {}
+        self._spark = spark
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._built:
+            src = self._sources[name]
+            self._built[name] = src() if callable(src) else src
+        return self._built[name]
+
+    accounts = property(lambda self: self._get("accounts"))
+    subscriptions = property(lambda self: self._get("subscriptions"))
+    invoices = property(lambda self: self._get("invoices"))
+    usage_events = property(lambda self: self._get("usage_events"))
+    support_tickets = property(lambda self: self._get("support_tickets"))
 
-    accounts: DataFrame
-    subscriptions: DataFrame
-    invoices: DataFrame
-    usage_events: DataFrame
-    support_tickets: DataFrame
+    @property
+    def spark(self) -> SparkSession:
+        return self._spark if self._spark is not None else self.accounts.sparkSession
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f"raw_{f.name}": getattr(self, f.name) for f in fields(self)}
+        return {f"raw_{n}": self._get(n) for n in self.NAMES}
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -75,11 +94,12 @@ def read_raw_csv_dir(spark: SparkSession, directory: str) -> RawInputs:
     """``raw_accounts.csv`` … ``raw_support_tickets.csv`` from one folder."""
     get = lambda name: read_raw_csv(spark, f"{directory.rstrip('/')}/{name}.csv", name)
     return RawInputs(
-        accounts=get("raw_accounts"),
-        subscriptions=get("raw_subscriptions"),
-        invoices=get("raw_invoices"),
-        usage_events=get("raw_usage_events"),
-        support_tickets=get("raw_support_tickets"),
+        accounts=lambda: get("raw_accounts"),
+        subscriptions=lambda: get("raw_subscriptions"),
+        invoices=lambda: get("raw_invoices"),
+        usage_events=lambda: get("raw_usage_events"),
+        support_tickets=lambda: get("raw_support_tickets"),
+        spark=spark,
     )
 
 
@@ -87,9 +107,10 @@ def read_raw_tables(spark: SparkSession, names: dict[str, str] | None = None) ->
     """Named-relation scan (S6): raw inputs registered as tables or views."""
     names = names or {k: k for k in RAW_SCHEMAS}
     return RawInputs(
-        accounts=spark.table(names["raw_accounts"]),
-        subscriptions=spark.table(names["raw_subscriptions"]),
-        invoices=spark.table(names["raw_invoices"]),
-        usage_events=spark.table(names["raw_usage_events"]),
-        support_tickets=spark.table(names["raw_support_tickets"]),
+        accounts=lambda: spark.table(names["raw_accounts"]),
+        subscriptions=lambda: spark.table(names["raw_subscriptions"]),
+        invoices=lambda: spark.table(names["raw_invoices"]),
+        usage_events=lambda: spark.table(names["raw_usage_events"]),
+        support_tickets=lambda: spark.table(names["raw_support_tickets"]),
+        spark=spark,
     )
