@@ -8,8 +8,34 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings for large inputs (hundreds of TB on ~1000 executors). AQE sizes
+# the shuffle partitions at run time from the advisory size, splits skewed
+# join partitions, and switches small sides to broadcast joins after
+# measuring them. Values are starting points, not limits.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def configure_for_scale(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply ``CLUSTER_CONF`` (plus ``overrides``) to a running cluster session."""
+    for key, value in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(key, value)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "acctlens") -> SparkSession:
-    """Session for local runs and tests. On a cluster, use the cluster's session."""
+    """Session for local runs and tests. On a cluster, use the cluster's session
+    and ``configure_for_scale``."""
     spark = (
         SparkSession.builder.master(master)
         .appName(app)
