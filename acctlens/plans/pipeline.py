@@ -42,13 +42,18 @@ class Pipeline:
         settings: Settings,
         materialize: str | None = None,
         num_partitions: int | None = None,
+        shared: tuple[str, ...] | str = SHARED,
     ) -> None:
+        """``shared`` names the relations to materialize (default: the
+        multi-consumer facts), or ``"all"`` for every relation, e.g. before
+        running the quality suite, where each relation feeds several checks."""
         if materialize not in (None, "persist", "checkpoint"):
             raise ValueError(f"unknown materialize mode {materialize!r}")
         self.raw = raw
         self.settings = settings
         self.materialize = materialize
         self.num_partitions = num_partitions
+        self.shared = shared
         self._held: list[DataFrame] = []
 
     @property
@@ -56,7 +61,7 @@ class Pipeline:
         return self.raw.spark
 
     def _share(self, name: str, df: DataFrame) -> DataFrame:
-        if self.materialize is None or name not in SHARED:
+        if self.materialize is None or (self.shared != "all" and name not in self.shared):
             return df
         if self.materialize == "persist":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -75,15 +80,15 @@ class Pipeline:
     # --- staging
     @cached_property
     def stg_accounts(self) -> DataFrame:
-        return staging.stg_accounts(self.raw.accounts)
+        return self._share("stg_accounts", staging.stg_accounts(self.raw.accounts))
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
-        return staging.stg_subscriptions(self.raw.subscriptions)
+        return self._share("stg_subscriptions", staging.stg_subscriptions(self.raw.subscriptions))
 
     @cached_property
     def stg_invoices(self) -> DataFrame:
-        return staging.stg_invoices(self.raw.invoices)
+        return self._share("stg_invoices", staging.stg_invoices(self.raw.invoices))
 
     @cached_property
     def stg_usage_events(self) -> DataFrame:
@@ -91,7 +96,7 @@ class Pipeline:
 
     @cached_property
     def stg_support_tickets(self) -> DataFrame:
-        return staging.stg_support_tickets(self.raw.support_tickets)
+        return self._share("stg_support_tickets", staging.stg_support_tickets(self.raw.support_tickets))
 
     # --- core
     @cached_property
@@ -103,11 +108,11 @@ class Pipeline:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return core.dim_product(self.stg_subscriptions)
+        return self._share("dim_product", core.dim_product(self.stg_subscriptions))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return core.dim_date(self.spark)
+        return self._share("dim_date", core.dim_date(self.spark))
 
     @cached_property
     def fct_revenue_with_next(self) -> DataFrame:
@@ -138,21 +143,21 @@ class Pipeline:
 
     @cached_property
     def churn_risk_view(self) -> DataFrame:
-        return marts.churn_risk_view(
+        return self._share("churn_risk_view", marts.churn_risk_view(
             self.customer_health_scores, self.fct_usage, self.fct_tickets, self.fct_revenue, self.settings
-        )
+        ))
 
     @cached_property
     def nrr_summary(self) -> DataFrame:
-        return marts.nrr_summary(self.fct_revenue_with_next)
+        return self._share("nrr_summary", marts.nrr_summary(self.fct_revenue_with_next))
 
     @cached_property
     def revenue_cohort_analysis(self) -> DataFrame:
-        return marts.revenue_cohort_analysis(self.dim_account, self.fct_revenue, self.settings)
+        return self._share("revenue_cohort_analysis", marts.revenue_cohort_analysis(self.dim_account, self.fct_revenue, self.settings))
 
     @cached_property
     def sla_adherence(self) -> DataFrame:
-        return marts.sla_adherence(self.fct_tickets, self.dim_account)
+        return self._share("sla_adherence", marts.sla_adherence(self.fct_tickets, self.dim_account))
 
     # --- groups
     STAGING = ("stg_accounts", "stg_subscriptions", "stg_invoices", "stg_usage_events", "stg_support_tickets")
