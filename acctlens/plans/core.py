@@ -14,7 +14,7 @@ from acctlens.config import Settings, Thresholds
 from acctlens.functions import columns as X
 from acctlens.functions.dates import as_date_lit, days_between, month_boundaries_between, whole_minutes_between
 from acctlens.functions.numeric import round_div, to_tenths
-from acctlens.sources.generated import literal_values
+from acctlens.sources.generated import date_series_between, literal_values
 
 MONEY = "decimal(18,2)"
 
@@ -179,8 +179,7 @@ def dim_date_for_activity(*dated: tuple[DataFrame, str]) -> DataFrame:
         b = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
         bounds = b if bounds is None else bounds.unionByName(b)
     bounds = bounds.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    spine = bounds.select(F.explode(F.sequence(F.col("lo"), F.col("hi"), F.expr("INTERVAL 1 DAY"))).alias("date_day"))
-    return calendar_attributes(spine)
+    return calendar_attributes(date_series_between(bounds, "lo", "hi"))
 
 
 # --- revenue fact --------------------------------------------------------------

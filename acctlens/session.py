@@ -62,14 +62,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     overridden, and a cluster without one is an error rather than a silent
     fall-back to a machine-local folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no JVM context (e.g. a remote session)
+        sc = None
+    path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.conf.get("spark.master", None) or (sc.master if sc is not None else "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (reliable checkpoints live there)")
         path = tempfile.mkdtemp(prefix="acctlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -30,6 +30,6 @@ def date_series_between(bounds: DataFrame, start: Column | str, end: Column | st
     The span is a calendar range (days, not data rows), so exploding it from
     the single bounds row is bounded by the calendar, not by the data volume.
     """
-    return bounds.select(F.explode(F.sequence(F.col(start) if isinstance(start, str) else start,
-                                             F.col(end) if isinstance(end, str) else end,
-                                             F.expr("INTERVAL 1 DAY"))).alias(column))
+    lo = F.col(start) if isinstance(start, str) else start
+    hi = F.col(end) if isinstance(end, str) else end
+    return bounds.select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias(column))
