@@ -14,7 +14,7 @@ from acctlens.config import Settings
 from acctlens.functions import columns as X
 from acctlens.functions.dates import month_boundaries_between, trailing_days_start, trailing_months_start
 from acctlens.functions.numeric import round_div, to_tenths
-from acctlens.operators.ranking import global_ntile, global_row_number, latest_per_key, ordered_top_values
+from acctlens.operators.ranking import global_ntile, global_row_number, latest_per_key
 
 MONEY = "decimal(18,2)"
 
@@ -160,16 +160,20 @@ def escalation_signal(fct_tickets: DataFrame, settings: Settings) -> DataFrame:
 
 
 def revenue_trend(fct_revenue: DataFrame, settings: Settings, with_recent_values: bool = False) -> DataFrame:
-    """Contraction months in the trailing months (and the last MRR values)."""
+    """Contraction months in the trailing months (and the last MRR values).
+
+    One aggregation per account. The revenue fact has one row per (account,
+    month), so an account's group in the trailing window holds at most one
+    row per calendar month: collecting it to pick the latest values is bounded
+    by the calendar, not by the data volume.
+    """
     t = settings.thresholds
     recent = fct_revenue.filter(F.col("revenue_month") >= trailing_months_start(settings.as_of, t.revenue_trend_months))
-    counts = recent.groupBy("account_id").agg(
-        F.count_if(F.col("revenue_movement") == "contraction").alias("contraction_months_6m")
-    )
-    if not with_recent_values:
-        return counts
-    values = ordered_top_values(recent, ["account_id"], "revenue_month", "mrr", t.recent_mrr_values, "recent_mrr_values")
-    return counts.join(values, "account_id", "left")
+    aggs = [F.count_if(F.col("revenue_movement") == "contraction").alias("contraction_months_6m")]
+    if with_recent_values:
+        by_month = F.sort_array(F.collect_list(F.struct(F.col("revenue_month"), F.col("mrr"))), asc=False)
+        aggs.append(F.slice(F.transform(by_month, lambda s: s["mrr"]), 1, t.recent_mrr_values).alias("recent_mrr_values"))
+    return recent.groupBy("account_id").agg(*aggs)
 
 
 def churn_risk_view(
