@@ -66,7 +66,7 @@ def _ticket_summary(p: Pipeline) -> DataFrame:
 
 
 def _te(p: Pipeline) -> DataFrame:
-    return marts.tickets_enriched(p.fct_tickets, p.dim_account)
+    return marts.tickets_enriched(p.stg_support_tickets, p.dim_account)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -93,14 +93,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_revenue": _with(lambda p: core.monthly_revenue(p.stg_invoices)),
     "usage_scores": _with(lambda p: marts.usage_scores(p.fct_usage, p.settings)),
     "support_scores": _with(
-        lambda p: marts.support_scores(p.fct_tickets, p.settings).select(
+        lambda p: marts.support_scores(p.stg_support_tickets, p.settings).select(
             "account_id", "recent_open_tickets", "recent_avg_csat", "support_score"
         )
     ),
     "revenue_scores": _with(lambda p: marts.revenue_scores(p.fct_revenue)),
     "engagement_scores": _with(lambda p: marts.engagement_scores(p.stg_usage_events, p.settings)),
     "usage_trend": _with(lambda p: marts.usage_trend(p.fct_usage, p.settings)),
-    "escalation_signal": _with(lambda p: marts.escalation_signal(p.fct_tickets, p.settings)),
+    "escalation_signal": _with(lambda p: marts.escalation_signal(p.stg_support_tickets, p.settings)),
     "revenue_trend": _with(lambda p: marts.revenue_trend(p.fct_revenue, p.settings, with_recent_values=True)),
     "monthly_movements": _with(lambda p: marts.monthly_movements(p.fct_revenue)),
     "churn_detection": _with(lambda p: marts.churn_detection(p.fct_revenue_with_next)),
@@ -109,7 +109,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cohort_metrics": _with(lambda p: marts.cohort_metrics(marts.revenue_with_cohort(p.dim_account, p.fct_revenue))),
     "sla_by_priority": _with(lambda p: marts.sla_by_priority(_te(p))),
     "sla_by_segment": _with(lambda p: marts.sla_by_segment(_te(p))),
-    "sla_adherence_union": _with(lambda p: marts.sla_adherence_union(p.fct_tickets, p.dim_account)),
+    "sla_adherence_union": _with(lambda p: marts.sla_adherence_union(p.stg_support_tickets, p.dim_account)),
     "waterfall_movements": _with(
         lambda p: marts.waterfall_movements(p.fct_revenue_with_next).select(
             "revenue_month", "total_mrr", "new_mrr", "expansion_mrr", "contraction_mrr", "paying_accounts",

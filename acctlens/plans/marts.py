@@ -36,11 +36,16 @@ def usage_scores(fct_usage: DataFrame, settings: Settings, num_partitions: int |
     )
 
 
-def support_scores(fct_tickets: DataFrame, settings: Settings) -> DataFrame:
-    """Open-ticket and CSAT ladder over the trailing window."""
+def support_scores(tickets: DataFrame, settings: Settings) -> DataFrame:
+    """Open-ticket and CSAT ladder over the trailing window.
+
+    ``tickets`` is any ticket-grain frame with the staged ticket columns
+    (``stg_support_tickets`` or ``fct_tickets``); the staged one avoids the
+    account-context join the fact carries.
+    """
     t = settings.thresholds
     agg = (
-        fct_tickets.filter(F.col("created_date") >= trailing_days_start(settings.as_of, t.support_window_days))
+        tickets.filter(F.col("created_date") >= trailing_days_start(settings.as_of, t.support_window_days))
         .groupBy("account_id")
         .agg(
             F.count_if(X.is_open_ticket(F.col("status"))).alias("recent_open_tickets"),
@@ -85,21 +90,24 @@ def engagement_scores(stg_usage_events: DataFrame, settings: Settings, num_parti
 def customer_health_scores(
     dim_account: DataFrame,
     fct_usage: DataFrame,
-    fct_tickets: DataFrame,
+    tickets: DataFrame,
     fct_revenue: DataFrame,
     stg_usage_events: DataFrame,
     settings: Settings,
     num_partitions: int | None = None,
     audit: bool = False,
 ) -> DataFrame:
-    """Weighted health score, tier and intervention priority per active account."""
+    """Weighted health score, tier and intervention priority per active account.
+
+    ``tickets``: ticket-grain frame (``stg_support_tickets`` or ``fct_tickets``).
+    """
     t = settings.thresholds
     base = dim_account.filter(F.col("status") == "active").select(
         "account_id", "company_name", "account_segment", "plan_tier", "tenure_months", "current_mrr",
         "current_arr", "account_owner", "lifecycle_stage", "region",
     )
     u = usage_scores(fct_usage, settings, num_partitions)
-    s = support_scores(fct_tickets, settings)
+    s = support_scores(tickets, settings)
     r = revenue_scores(fct_revenue)
     e = engagement_scores(stg_usage_events, settings, num_partitions)
     j = base.join(u, "account_id", "left").join(s, "account_id", "left").join(r, "account_id", "left").join(e, "account_id", "left")
@@ -146,11 +154,14 @@ def usage_trend(fct_usage: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def escalation_signal(fct_tickets: DataFrame, settings: Settings) -> DataFrame:
-    """Escalated tickets (and the high-priority share) in the trailing window."""
+def escalation_signal(tickets: DataFrame, settings: Settings) -> DataFrame:
+    """Escalated tickets (and the high-priority share) in the trailing window.
+
+    ``tickets``: a ticket-grain frame, as for ``support_scores``.
+    """
     start = trailing_days_start(settings.as_of, settings.thresholds.escalation_window_days)
     return (
-        fct_tickets.filter((F.col("created_date") >= start) & (F.col("status") == "escalated"))
+        tickets.filter((F.col("created_date") >= start) & (F.col("status") == "escalated"))
         .groupBy("account_id")
         .agg(
             F.count(F.lit(1)).alias("escalated_tickets_90d"),
@@ -179,13 +190,16 @@ def revenue_trend(fct_revenue: DataFrame, settings: Settings, with_recent_values
 def churn_risk_view(
     customer_health_scores: DataFrame,
     fct_usage: DataFrame,
-    fct_tickets: DataFrame,
+    tickets: DataFrame,
     fct_revenue: DataFrame,
     settings: Settings,
     sort: bool = True,
     audit: bool = False,
 ) -> DataFrame:
-    """Risk flags, level and signal count per active account."""
+    """Risk flags, level and signal count per active account.
+
+    ``tickets``: ticket-grain frame (``stg_support_tickets`` or ``fct_tickets``).
+    """
     t = settings.thresholds
     h = customer_health_scores.select(
         "account_id", "company_name", "account_segment", "plan_tier", "account_owner", "region",
@@ -193,7 +207,7 @@ def churn_risk_view(
     )
     j = (
         h.join(usage_trend(fct_usage, settings), "account_id", "left")
-        .join(escalation_signal(fct_tickets, settings), "account_id", "left")
+        .join(escalation_signal(tickets, settings), "account_id", "left")
         .join(revenue_trend(fct_revenue, settings), "account_id", "left")
     )
     last = F.coalesce(F.col("events_last_30d"), F.lit(0)).cast("bigint")
@@ -412,6 +426,8 @@ def revenue_cohort_analysis(dim_account: DataFrame, fct_revenue: DataFrame, sett
 
 
 def tickets_enriched(fct_tickets: DataFrame, dim_account: DataFrame) -> DataFrame:
+    """Tickets with the account segment; ``fct_tickets`` may also be
+    ``stg_support_tickets`` (the report reads only staged ticket columns)."""
     a = dim_account.select("account_id", "account_segment", F.col("plan_tier").alias("account_plan_tier_dim"))
     return fct_tickets.join(a, "account_id", "inner").withColumn(
         "ticket_year_month", F.date_format("created_date", "yyyy-MM")

@@ -136,7 +136,7 @@ class Pipeline:
         return self._share(
             "customer_health_scores",
             marts.customer_health_scores(
-                self.dim_account, self.fct_usage, self.fct_tickets, self.fct_revenue, self.stg_usage_events,
+                self.dim_account, self.fct_usage, self.stg_support_tickets, self.fct_revenue, self.stg_usage_events,
                 self.settings, self.num_partitions,
             ),
         )
@@ -144,7 +144,7 @@ class Pipeline:
     @cached_property
     def churn_risk_view(self) -> DataFrame:
         return self._share("churn_risk_view", marts.churn_risk_view(
-            self.customer_health_scores, self.fct_usage, self.fct_tickets, self.fct_revenue, self.settings
+            self.customer_health_scores, self.fct_usage, self.stg_support_tickets, self.fct_revenue, self.settings
         ))
 
     @cached_property
@@ -157,7 +157,9 @@ class Pipeline:
 
     @cached_property
     def sla_adherence(self) -> DataFrame:
-        return self._share("sla_adherence", marts.sla_adherence(self.fct_tickets, self.dim_account))
+        # The report reads only staged ticket columns, so the staged tickets
+        # stand in for fct_tickets and skip its account-context join.
+        return self._share("sla_adherence", marts.sla_adherence(self.stg_support_tickets, self.dim_account))
 
     # --- groups
     STAGING = ("stg_accounts", "stg_subscriptions", "stg_invoices", "stg_usage_events", "stg_support_tickets")
