@@ -31,3 +31,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "risk_level" in df.columns
+
+
+@pytest.mark.parametrize("name", ["stg_usage_events", "fct_usage", "fct_tickets", "sla_adherence"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        res = compare(E.queries()[name](spark, SF), con, E.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert res.get("ok"), res
