@@ -114,3 +114,21 @@ def read_raw_tables(spark: SparkSession, names: dict[str, str] | None = None) ->
         support_tickets=lambda: spark.table(names["raw_support_tickets"]),
         spark=spark,
     )
+
+
+def read_raw_parquet_dir(spark: SparkSession, directory: str) -> RawInputs:
+    """``raw_accounts/`` … ``raw_support_tickets/`` parquet tables under one folder.
+
+    Column types may be text or typed; staging casts either way. Filters on
+    derived dates (``event_date >= …``) reach the scan as timestamp
+    predicates, and only the referenced columns are read.
+    """
+    get = lambda name: spark.read.parquet(f"{directory.rstrip('/')}/{name}")
+    return RawInputs(
+        accounts=lambda: get("raw_accounts"),
+        subscriptions=lambda: get("raw_subscriptions"),
+        invoices=lambda: get("raw_invoices"),
+        usage_events=lambda: get("raw_usage_events"),
+        support_tickets=lambda: get("raw_support_tickets"),
+        spark=spark,
+    )
