@@ -40,10 +40,6 @@ def date_from_text(c: Column) -> Column:
     return c.cast("timestamp_ntz").cast("date")
 
 
-def month_start(c: Column) -> Column:
-    return F.trunc(c, "month")
-
-
 def trailing_days_start(as_of: dt.date, days: int) -> Column:
     """``as_of - days``: lower bound (inclusive) of a trailing window."""
     return F.date_sub(as_date_lit(as_of), days)

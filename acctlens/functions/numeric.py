@@ -35,11 +35,6 @@ def round_div(num: Column, den: Column, scale: int = 1, factor: int = 1, input_s
     return F.when(d != 0, (q * sign).cast("double") / F.lit(float(10**scale)))
 
 
-def round_exact(value: Column, scale: int, input_scale: int) -> Column:
-    """HALF_UP rounding of an exact number (integer or decimal) to ``scale``, as double."""
-    return round_div(value, F.lit(1), scale=scale, input_scale=input_scale)
-
-
 def to_tenths(c: Column) -> Column:
     """A one-decimal double (a score or an hours value) as an integer count of tenths."""
     return F.round(c * F.lit(10.0)).cast("bigint")

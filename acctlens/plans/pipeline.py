@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from acctlens.config import Settings
 from acctlens.plans import core, marts, staging
-from acctlens.session import ensure_checkpoint_dir
+from acctlens.session import cut_lineage
 from acctlens.sources.raw import RawInputs
 from acctlens.sources.sinks import write_table
 
@@ -66,8 +66,7 @@ class Pipeline:
         if self.materialize == "persist":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
         else:
-            ensure_checkpoint_dir(self.spark)
-            df = df.checkpoint(eager=True)
+            df = cut_lineage(df)
         self._held.append(df)
         return df
 

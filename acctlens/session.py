@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +26,15 @@ CLUSTER_CONF = {
 }
 
 
+# Startup-only settings (give them to the cluster's spark-submit / builder):
+# delete reliable checkpoint files once the checkpointed data is no longer
+# referenced, so ranking and pipeline checkpoints do not pile up in the
+# shared folder.
+CLUSTER_STARTUP_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def configure_for_scale(spark: SparkSession, overrides: dict | None = None) -> None:
     """Apply ``CLUSTER_CONF`` (plus ``overrides``) to a running cluster session."""
     for key, value in {**CLUSTER_CONF, **(overrides or {})}.items():
@@ -47,6 +55,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -78,11 +87,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def shared_table_path(spark: SparkSession, name: str) -> str:
-    """Location for an intermediate table under the shared checkpoint folder."""
-    return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
-
-
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -133,3 +133,12 @@ def test_declared_check_counts():
     assert len(Q.STAGING_CHECKS) == 60 and len(Q.CORE_CHECKS) == 49 and len(Q.MART_CHECKS) == 25
     assert len(Q.ALL_CHECKS) == 136
     assert kinds.count("relationships") == 5
+
+
+def test_single_check_operators_return_violating_rows(spark):
+    df = spark.createDataFrame(
+        [("k1", "active"), ("k1", "bogus"), ("k2", None), ("k3", "active")], "key string, status string"
+    )
+    assert [(r.key, r.n_records) for r in Q.unique_violations(df, "key").collect()] == [("k1", 2)]
+    assert [r.key for r in Q.not_null_violations(df, "status").collect()] == ["k2"]
+    assert [r.status for r in Q.accepted_values_violations(df, "status", ["active"]).collect()] == ["bogus"]
