@@ -43,10 +43,13 @@ class Pipeline:
         materialize: str | None = None,
         num_partitions: int | None = None,
         shared: tuple[str, ...] | str = SHARED,
+        tables: dict[str, DataFrame] | None = None,
     ) -> None:
         """``shared`` names the relations to materialize (default: the
         multi-consumer facts), or ``"all"`` for every relation, e.g. before
-        running the quality suite, where each relation feeds several checks."""
+        running the quality suite, where each relation feeds several checks.
+        ``tables`` supplies relations already built (e.g. the bucketed tables
+        of ``write_bucketed``); they are used instead of being recomputed."""
         if materialize not in (None, "persist", "checkpoint"):
             raise ValueError(f"unknown materialize mode {materialize!r}")
         self.raw = raw
@@ -54,13 +57,19 @@ class Pipeline:
         self.materialize = materialize
         self.num_partitions = num_partitions
         self.shared = shared
+        self.tables = dict(tables or {})
         self._held: list[DataFrame] = []
 
     @property
     def spark(self) -> SparkSession:
         return self.raw.spark
 
-    def _share(self, name: str, df: DataFrame) -> DataFrame:
+    def _share(self, name: str, build) -> DataFrame:
+        """The relation ``name``: a supplied table, or ``build()``, materialized
+        once when it is one of the shared relations."""
+        if name in self.tables:
+            return self.tables[name]
+        df = build()
         if self.materialize is None or (self.shared != "all" and name not in self.shared):
             return df
         if self.materialize == "persist":
@@ -79,43 +88,42 @@ class Pipeline:
     # --- staging
     @cached_property
     def stg_accounts(self) -> DataFrame:
-        return self._share("stg_accounts", staging.stg_accounts(self.raw.accounts))
+        return self._share("stg_accounts", lambda: staging.stg_accounts(self.raw.accounts))
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
-        return self._share("stg_subscriptions", staging.stg_subscriptions(self.raw.subscriptions))
+        return self._share("stg_subscriptions", lambda: staging.stg_subscriptions(self.raw.subscriptions))
 
     @cached_property
     def stg_invoices(self) -> DataFrame:
-        return self._share("stg_invoices", staging.stg_invoices(self.raw.invoices))
+        return self._share("stg_invoices", lambda: staging.stg_invoices(self.raw.invoices))
 
     @cached_property
     def stg_usage_events(self) -> DataFrame:
-        return self._share("stg_usage_events", staging.stg_usage_events(self.raw.usage_events))
+        return self._share("stg_usage_events", lambda: staging.stg_usage_events(self.raw.usage_events))
 
     @cached_property
     def stg_support_tickets(self) -> DataFrame:
-        return self._share("stg_support_tickets", staging.stg_support_tickets(self.raw.support_tickets))
+        return self._share("stg_support_tickets", lambda: staging.stg_support_tickets(self.raw.support_tickets))
 
     # --- core
     @cached_property
     def dim_account(self) -> DataFrame:
-        return self._share(
-            "dim_account",
+        return self._share("dim_account", lambda:
             core.dim_account(self.stg_accounts, self.stg_subscriptions, self.stg_support_tickets, self.settings),
         )
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return self._share("dim_product", core.dim_product(self.stg_subscriptions))
+        return self._share("dim_product", lambda: core.dim_product(self.stg_subscriptions))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._share("dim_date", core.dim_date(self.spark))
+        return self._share("dim_date", lambda: core.dim_date(self.spark))
 
     @cached_property
     def fct_revenue_with_next(self) -> DataFrame:
-        return self._share("fct_revenue_with_next", core.fct_revenue(self.stg_invoices, self.settings, with_next_month=True))
+        return self._share("fct_revenue_with_next", lambda: core.fct_revenue(self.stg_invoices, self.settings, with_next_month=True))
 
     @cached_property
     def fct_revenue(self) -> DataFrame:
@@ -123,17 +131,16 @@ class Pipeline:
 
     @cached_property
     def fct_usage(self) -> DataFrame:
-        return self._share("fct_usage", core.fct_usage(self.stg_usage_events, self.settings.thresholds))
+        return self._share("fct_usage", lambda: core.fct_usage(self.stg_usage_events, self.settings.thresholds))
 
     @cached_property
     def fct_tickets(self) -> DataFrame:
-        return self._share("fct_tickets", core.fct_tickets(self.stg_support_tickets, self.stg_accounts))
+        return self._share("fct_tickets", lambda: core.fct_tickets(self.stg_support_tickets, self.stg_accounts))
 
     # --- marts
     @cached_property
     def customer_health_scores(self) -> DataFrame:
-        return self._share(
-            "customer_health_scores",
+        return self._share("customer_health_scores", lambda:
             marts.customer_health_scores(
                 self.dim_account, self.fct_usage, self.stg_support_tickets, self.fct_revenue, self.stg_usage_events,
                 self.settings, self.num_partitions,
@@ -142,23 +149,23 @@ class Pipeline:
 
     @cached_property
     def churn_risk_view(self) -> DataFrame:
-        return self._share("churn_risk_view", marts.churn_risk_view(
+        return self._share("churn_risk_view", lambda: marts.churn_risk_view(
             self.customer_health_scores, self.fct_usage, self.stg_support_tickets, self.fct_revenue, self.settings
         ))
 
     @cached_property
     def nrr_summary(self) -> DataFrame:
-        return self._share("nrr_summary", marts.nrr_summary(self.fct_revenue_with_next))
+        return self._share("nrr_summary", lambda: marts.nrr_summary(self.fct_revenue_with_next))
 
     @cached_property
     def revenue_cohort_analysis(self) -> DataFrame:
-        return self._share("revenue_cohort_analysis", marts.revenue_cohort_analysis(self.dim_account, self.fct_revenue, self.settings))
+        return self._share("revenue_cohort_analysis", lambda: marts.revenue_cohort_analysis(self.dim_account, self.fct_revenue, self.settings))
 
     @cached_property
     def sla_adherence(self) -> DataFrame:
         # The report reads only staged ticket columns, so the staged tickets
         # stand in for fct_tickets and skip its account-context join.
-        return self._share("sla_adherence", marts.sla_adherence(self.stg_support_tickets, self.dim_account))
+        return self._share("sla_adherence", lambda: marts.sla_adherence(self.stg_support_tickets, self.dim_account))
 
     # --- groups
     STAGING = ("stg_accounts", "stg_subscriptions", "stg_invoices", "stg_usage_events", "stg_support_tickets")
@@ -168,6 +175,37 @@ class Pipeline:
     def relations(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.STAGING + self.CORE + self.MARTS}
 
+    # Relations the marts read that are worth co-locating on account_id.
+    BUCKETED = ("dim_account", "fct_revenue_with_next", "fct_usage", "stg_support_tickets", "stg_usage_events")
+
+    def write_bucketed(self, out_dir: str, prefix: str = "acctlens_", buckets: int | None = None) -> dict[str, str]:
+        """Write the mart inputs as tables bucketed and sorted by ``account_id``.
+
+        Marts built on them (``Pipeline.from_bucketed``) aggregate and join on
+        ``account_id`` without shuffling the facts again: bucketed scans
+        already satisfy the ``account_id`` distribution. Use the same bucket
+        count for all of them so their joins line up.
+        """
+        n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        written = {}
+        for name in self.BUCKETED:
+            table = f"{prefix}{name}"
+            path = os.path.join(out_dir, name)
+            (
+                getattr(self, name).write.mode("overwrite").format("parquet").option("path", path)
+                .bucketBy(n, "account_id").sortBy("account_id").saveAsTable(table)
+            )
+            written[name] = table
+        return written
+
+    @classmethod
+    def from_bucketed(
+        cls, raw: RawInputs, settings: Settings, prefix: str = "acctlens_", **kwargs
+    ) -> "Pipeline":
+        """A pipeline whose mart inputs are the tables of ``write_bucketed``."""
+        tables = {name: raw.spark.table(f"{prefix}{name}") for name in cls.BUCKETED}
+        return cls(raw, settings, tables=tables, **kwargs)
+
     def write(self, out_dir: str, names: tuple[str, ...] | None = None) -> dict[str, str]:
         """Materialize relations as parquet tables under ``out_dir`` (full rebuild)."""
         written = {}

@@ -50,3 +50,19 @@ def test_parquet_raw_inputs_push_window_filters(spark):
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "GreaterThanOrEqual(event_timestamp" in scan
     assert "event_name" not in scan.split("ReadSchema:")[1]  # unused columns are not read
+
+
+def test_bucketed_inputs_give_same_marts_without_account_shuffles(spark):
+    from acctlens.plans import marts
+
+    out = tempfile.mkdtemp(prefix="acctlens-bucketed-")
+    base = Pipeline(load_raw_inputs(spark, SF), Settings(as_of=AS_OF))
+    base.write_bucketed(out, prefix="t_bkt_", buckets=4)
+    p = Pipeline.from_bucketed(load_raw_inputs(spark, SF), Settings(as_of=AS_OF), prefix="t_bkt_")
+    for name in ("customer_health_scores", "churn_risk_view", "nrr_summary", "sla_adherence"):
+        assert _rows(getattr(p, name)) == _rows(getattr(base, name)), name
+    # grouping the bucketed revenue fact by account needs no shuffle
+    scores = marts.revenue_scores(p.fct_revenue)
+    scores.write.format("noop").mode("overwrite").save()
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan, plan
