@@ -7,8 +7,9 @@ evaluates a whole list and returns one report row per check:
 Cost model of ``run_checks``, per relation:
 
 * all ``unique`` / ``not_null`` / ``accepted_values`` / expression checks
-  share one scan and one hash aggregation on (check, value), partial
-  aggregation first, so a repeated value is collapsed map-side;
+  of all relations share one hash aggregation on (check, value), fed by one
+  scan per relation, partial aggregation first, so a repeated value is
+  collapsed map-side;
 * each ``relationships`` check first reduces the child to distinct keys,
   then anti-joins them with the parent's distinct keys: a key holding a third
   of the child rows is one row by the time it reaches the join.
@@ -110,17 +111,15 @@ def _report_row(c: Check, violations: Column) -> Column:
     )
 
 
-def _single_pass_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Unique, not-null, accepted-values and expression checks of one relation in one pass.
+def _check_entries(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """``(i, v)`` entries of one relation for its unique / not-null /
+    accepted-values / expression checks (``i`` is the check's id).
 
-    Every row emits ``(check, value)`` entries: its value for each unique
-    check, and a marker (NULL value) for each other check it violates. One
-    ``groupBy(check, value)`` (partial aggregation first) then counts both:
-    for a unique check the number of values seen more than once, for the
-    others the number of violating rows.
+    Every row emits its value for each unique check, and a marker (NULL
+    value) for each other check it violates.
     """
     entries = []
-    for i, c in enumerate(checks):
+    for i, c in checks:
         if c.kind == "unique":
             v = F.col(c.column)
             entries.append(F.when(v.isNotNull(), F.struct(F.lit(i).alias("i"), v.cast("string").alias("v"))))
@@ -128,44 +127,52 @@ def _single_pass_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             entries.append(
                 F.when(_folded_predicate(c), F.struct(F.lit(i).alias("i"), F.lit(None).cast("string").alias("v")))
             )
-    exploded = df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull()).select("e.i", "e.v")
-    per_value = exploded.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-    counted = per_value.groupBy("i").agg(
-        F.sum(F.when(F.col("v").isNull(), F.col("n")).when(F.col("n") > 1, F.lit(1)).otherwise(F.lit(0))).alias("_n")
-    )
-    # One row per declared check (a fixed, small list), so checks without a
-    # violation still report 0.
-    declared = df.sparkSession.createDataFrame(
-        [(i, c.relation, c.column, c.check_name) for i, c in enumerate(checks)],
-        "i int, relation string, column_name string, check_name string",
-    )
-    return declared.join(F.broadcast(counted), "i", "left").select(
-        "relation", "column_name", "check_name", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("violations")
-    )
+    return df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull()).select("e.i", "e.v")
 
 
 def run_checks(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q7: evaluate ``checks`` over ``relations``; one report row per check.
 
-    Per relation: one pass for all unique / not-null / accepted-values /
-    expression checks, plus one pre-aggregated anti-join per relationships
-    check.
+    The unique / not-null / accepted-values / expression checks of all
+    relations share one aggregation: each relation is scanned once into
+    ``(check, value)`` entries, the entries are unioned, and one
+    ``groupBy(check, value)`` (partial aggregation first) counts them. For a
+    unique check that yields the number of values seen more than once, for
+    the others the number of violating rows. Each relationships check is a
+    pre-aggregated anti-join.
     """
+    spark = next(iter(relations.values())).sparkSession
+    indexed = list(enumerate(checks))
+    by_relation: dict[str, list[tuple[int, Check]]] = {}
+    for i, c in indexed:
+        if c.kind != "relationships":
+            by_relation.setdefault(c.relation, []).append((i, c))
     pieces: list[DataFrame] = []
-    by_relation: dict[str, list[Check]] = {}
-    for c in checks:
-        by_relation.setdefault(c.relation, []).append(c)
-    for rel, cs in by_relation.items():
-        df = relations[rel]
-        local = [c for c in cs if c.kind != "relationships"]
-        if local:
-            pieces.append(_single_pass_report(df, local))
-        for c in cs:
-            if c.kind == "relationships":
-                # one failure per orphan child row
-                bad = relationships_violations(df, c.column, relations[c.to], c.field)
-                n = bad.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
-                pieces.append(n.select(_report_row(c, F.col("_n")).alias("r")).select("r.*"))
+    if by_relation:
+        entries = reduce(DataFrame.unionByName, [_check_entries(relations[r], cs) for r, cs in by_relation.items()])
+        counted = (
+            entries.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("i")
+            .agg(F.sum(F.when(F.col("v").isNull(), F.col("n")).when(F.col("n") > 1, F.lit(1)).otherwise(F.lit(0))).alias("_n"))
+        )
+        # One row per declared check (a fixed, small list), so checks without
+        # a violation still report 0.
+        declared = spark.createDataFrame(
+            [(i, c.relation, c.column, c.check_name) for cs in by_relation.values() for i, c in cs],
+            "i int, relation string, column_name string, check_name string",
+        )
+        pieces.append(
+            declared.join(F.broadcast(counted), "i", "left").select(
+                "relation", "column_name", "check_name",
+                F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("violations"),
+            )
+        )
+    for _, c in indexed:
+        if c.kind == "relationships":
+            # one failure per orphan child row
+            bad = relationships_violations(relations[c.relation], c.column, relations[c.to], c.field)
+            n = bad.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
+            pieces.append(n.select(_report_row(c, F.col("_n")).alias("r")).select("r.*"))
     report = reduce(DataFrame.unionByName, pieces)
     return report.withColumn("passed", F.col("violations") == 0)
 
