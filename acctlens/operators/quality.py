@@ -10,9 +10,10 @@ Cost model of ``run_checks``, per relation:
   of all relations share one hash aggregation on (check, value), fed by one
   scan per relation, partial aggregation first, so a repeated value is
   collapsed map-side;
-* each ``relationships`` check first reduces the child to distinct keys,
-  then anti-joins them with the parent's distinct keys: a key holding a third
-  of the child rows is one row by the time it reaches the join.
+* the ``relationships`` checks reduce each child to distinct (check, key)
+  rows and anti-join them, in one join, with the parents' distinct keys: a
+  key holding a third of the child rows is one row by the time it reaches
+  the join.
 """
 
 from __future__ import annotations
@@ -130,6 +131,35 @@ def _check_entries(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFr
     return df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull()).select("e.i", "e.v")
 
 
+def _relationships_report(
+    spark, relations: Mapping[str, DataFrame], checks: Sequence[tuple[int, Check]]
+) -> DataFrame:
+    """All relationships checks in one anti-join on (check, key).
+
+    Child keys are reduced to (check, key, rows) and parent keys to distinct
+    (check, key) before the join, so a key holding a third of the child rows
+    is one row when it reaches the join. The result is one failure per
+    orphan child row.
+    """
+    child = reduce(DataFrame.unionByName, [
+        relations[c.relation].filter(F.col(c.column).isNotNull())
+        .select(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("k"))
+        for i, c in checks
+    ]).groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
+    parent = reduce(DataFrame.unionByName, [
+        relations[c.to].select(F.lit(i).alias("i"), F.col(c.field).cast("string").alias("k"))
+        for i, c in checks
+    ]).distinct()
+    orphans = child.join(parent, ["i", "k"], "left_anti").groupBy("i").agg(F.sum("n").alias("_n"))
+    declared = spark.createDataFrame(
+        [(i, c.relation, c.column, c.check_name) for i, c in checks],
+        "i int, relation string, column_name string, check_name string",
+    )
+    return declared.join(F.broadcast(orphans), "i", "left").select(
+        "relation", "column_name", "check_name", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("violations")
+    )
+
+
 def run_checks(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q7: evaluate ``checks`` over ``relations``; one report row per check.
 
@@ -138,8 +168,8 @@ def run_checks(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> D
     ``(check, value)`` entries, the entries are unioned, and one
     ``groupBy(check, value)`` (partial aggregation first) counts them. For a
     unique check that yields the number of values seen more than once, for
-    the others the number of violating rows. Each relationships check is a
-    pre-aggregated anti-join.
+    the others the number of violating rows. The relationships checks share
+    one pre-aggregated anti-join.
     """
     spark = next(iter(relations.values())).sparkSession
     indexed = list(enumerate(checks))
@@ -167,12 +197,9 @@ def run_checks(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> D
                 F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("violations"),
             )
         )
-    for _, c in indexed:
-        if c.kind == "relationships":
-            # one failure per orphan child row
-            bad = relationships_violations(relations[c.relation], c.column, relations[c.to], c.field)
-            n = bad.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
-            pieces.append(n.select(_report_row(c, F.col("_n")).alias("r")).select("r.*"))
+    rels = [(i, c) for i, c in indexed if c.kind == "relationships"]
+    if rels:
+        pieces.append(_relationships_report(spark, relations, rels))
     report = reduce(DataFrame.unionByName, pieces)
     return report.withColumn("passed", F.col("violations") == 0)
 
