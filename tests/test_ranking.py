@@ -1,6 +1,9 @@
 """Distributed global ranking equals the single-partition window functions."""
 
 import pytest
+from hypothesis import given
+from hypothesis import settings as hsettings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -71,3 +74,19 @@ def test_ordered_top_values(spark):
     df = spark.createDataFrame(rows, "k string, m long, x long")
     got = {r.k: r.vals for r in ordered_top_values(df, ["k"], "m", "x", 3, "vals").collect()}
     assert got == {"a": [50, 40, 30], "b": [7]}
+
+
+@hsettings(max_examples=12, deadline=None)
+@given(
+    n=st.integers(min_value=1, max_value=300),
+    buckets=st.integers(min_value=1, max_value=9),
+    parts=st.integers(min_value=1, max_value=9),
+    distinct=st.integers(min_value=1, max_value=20),
+)
+def test_global_ntile_property(spark, n, buckets, parts, distinct):
+    df = _frame(spark, n, distinct)
+    expected = {
+        r.key: r.q for r in df.select("key", F.ntile(buckets).over(Window.orderBy("v", "key")).alias("q")).collect()
+    }
+    got = {r.key: r.q for r in global_ntile(df, ["v", "key"], buckets, "q", num_partitions=parts, stable="persist").collect()}
+    assert got == expected
