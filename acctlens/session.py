@@ -81,7 +81,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (reliable checkpoints live there)")
         path = tempfile.mkdtemp(prefix="acctlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - core setting not modifiable at run time
+            pass  # the SparkContext setting below is what checkpoint() uses
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
