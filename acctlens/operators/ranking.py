@@ -23,6 +23,12 @@ the two consumers different range shuffles, each sampling its own bounds,
 and nothing guarantees the samples (which depend on shuffle fetch order)
 agree. The checkpoint also cuts lineage, so a lost executor costs a re-read,
 not a recomputation of the inputs.
+
+Small inputs: with ``small_rows`` set (the default), the input is first
+materialized once and counted. Up to ``small_rows`` rows (a proven size
+bound, like a broadcast threshold), one task runs the plain window function,
+which skips the sampling job and the range shuffle. Beyond it, the
+distributed path above reads the same materialized input.
 """
 
 from __future__ import annotations
@@ -36,6 +42,8 @@ from pyspark.sql import functions as F
 from acctlens.session import ensure_checkpoint_dir
 
 _PID_SHIFT = 33
+# Largest input ranked in a single task (account-grain rows, a few hundred MB).
+SMALL_RANKING_ROWS = 1_000_000
 
 
 def _default_partitions(df: DataFrame) -> int:
@@ -58,6 +66,23 @@ def _stabilize(df: DataFrame, stable: str) -> DataFrame:
     raise ValueError(f"unknown stable mode {stable!r}")
 
 
+def _materialize(df: DataFrame, stable: str) -> DataFrame:
+    if stable == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if stable == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    raise ValueError(f"unknown stable mode {stable!r}")
+
+
+def _small_input(df: DataFrame, stable: str, small_rows: int | None) -> tuple[DataFrame, bool]:
+    """Materialize ``df`` once and tell whether it is within ``small_rows``."""
+    if not small_rows:
+        return df, False
+    base = _materialize(df, stable)
+    return base, base.count() <= small_rows
+
+
 def _numbered(
     df: DataFrame, order: Sequence[Column | str], num_partitions: int | None, stable: str = "checkpoint"
 ) -> tuple[DataFrame, DataFrame]:
@@ -90,11 +115,15 @@ def global_row_number(
     output: str = "row_number",
     num_partitions: int | None = None,
     stable: str = "checkpoint",
+    small_rows: int | None = SMALL_RANKING_ROWS,
 ) -> DataFrame:
     """``row_number() over (order by <order>)`` without a single-task window.
 
     ``order`` must end in a unique key (the tie-break) for a deterministic result.
     """
+    df, small = _small_input(df, stable, small_rows)
+    if small:
+        return df.withColumn(output, F.row_number().over(Window.orderBy(*_sort_cols(order))).cast("bigint"))
     joined, _ = _numbered(df, order, num_partitions, stable)
     return joined.withColumn(output, (F.col("_local") + F.col("_offset")).cast("bigint")).drop(
         "_mid", "_pid", "_local", "_offset", "_total"
@@ -124,8 +153,12 @@ def global_ntile(
     output: str = "ntile",
     num_partitions: int | None = None,
     stable: str = "checkpoint",
+    small_rows: int | None = SMALL_RANKING_ROWS,
 ) -> DataFrame:
     """``ntile(buckets) over (order by <order>)`` without a single-task window."""
+    df, small = _small_input(df, stable, small_rows)
+    if small:
+        return df.withColumn(output, F.ntile(buckets).over(Window.orderBy(*_sort_cols(order))).cast("bigint"))
     joined, _ = _numbered(df, order, num_partitions, stable)
     rn = F.col("_local") + F.col("_offset")
     return joined.withColumn(output, ntile_of(rn, F.col("_total"), buckets)).drop(

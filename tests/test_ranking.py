@@ -31,7 +31,7 @@ def test_global_ntile_matches_window(spark, n, buckets, stable):
     expected = {
         r.key: r.q for r in df.select("key", F.ntile(buckets).over(Window.orderBy("v", "key")).alias("q")).collect()
     }
-    got = {r.key: r.q for r in global_ntile(df, ["v", "key"], buckets, "q", num_partitions=5, stable=stable).collect()}
+    got = {r.key: r.q for r in global_ntile(df, ["v", "key"], buckets, "q", num_partitions=5, stable=stable, small_rows=0).collect()}
     assert got == expected
 
 
@@ -41,13 +41,13 @@ def test_global_row_number_matches_window(spark, n):
     expected = {
         r.key: r.rn for r in df.select("key", F.row_number().over(Window.orderBy(F.col("v").desc(), "key")).alias("rn")).collect()
     }
-    got = {r.key: r.rn for r in global_row_number(df, [F.col("v").desc(), "key"], "rn", num_partitions=6).collect()}
+    got = {r.key: r.rn for r in global_row_number(df, [F.col("v").desc(), "key"], "rn", num_partitions=6, small_rows=0).collect()}
     assert got == expected
 
 
 def test_ntile_sizes_differ_by_at_most_one(spark):
     df = _frame(spark, 1003, 5)
-    sizes = [r["count"] for r in global_ntile(df, ["v", "key"], 4, "q", num_partitions=8).groupBy("q").count().collect()]
+    sizes = [r["count"] for r in global_ntile(df, ["v", "key"], 4, "q", num_partitions=8, small_rows=0).groupBy("q").count().collect()]
     assert sum(sizes) == 1003 and max(sizes) - min(sizes) <= 1
 
 
@@ -88,5 +88,18 @@ def test_global_ntile_property(spark, n, buckets, parts, distinct):
     expected = {
         r.key: r.q for r in df.select("key", F.ntile(buckets).over(Window.orderBy("v", "key")).alias("q")).collect()
     }
-    got = {r.key: r.q for r in global_ntile(df, ["v", "key"], buckets, "q", num_partitions=parts, stable="persist").collect()}
+    got = {r.key: r.q for r in global_ntile(df, ["v", "key"], buckets, "q", num_partitions=parts, stable="persist", small_rows=0).collect()}
     assert got == expected
+
+
+@pytest.mark.parametrize("small_rows", [10**6, 50])
+def test_size_checked_path_matches_window(spark, small_rows):
+    """Below the bound the plain window runs; above it the distributed path. Same numbers."""
+    df = _frame(spark, 200, 9)
+    expected_q = {r.key: r.q for r in df.select("key", F.ntile(4).over(Window.orderBy("v", "key")).alias("q")).collect()}
+    expected_rn = {
+        r.key: r.rn for r in df.select("key", F.row_number().over(Window.orderBy("v", "key")).alias("rn")).collect()
+    }
+    got_q = {r.key: r.q for r in global_ntile(df, ["v", "key"], 4, "q", num_partitions=4, small_rows=small_rows).collect()}
+    got_rn = {r.key: r.rn for r in global_row_number(df, ["v", "key"], "rn", num_partitions=4, small_rows=small_rows).collect()}
+    assert got_q == expected_q and got_rn == expected_rn
