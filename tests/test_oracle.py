@@ -41,3 +41,13 @@ def test_results_do_not_depend_on_session_time_zone(spark, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert res.get("ok"), res
+
+
+@pytest.mark.parametrize("name", ["stg_subscriptions", "nrr_summary", "revenue_cohort_analysis"])
+def test_results_do_not_depend_on_ansi_mode(spark, con, name):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        res = compare(E.queries()[name](spark, SF), con, E.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert res.get("ok"), res
