@@ -4,7 +4,6 @@ catalogue fallback for an unknown product, audit columns and the view sink."""
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from acctlens.config import Settings
 from acctlens.plans import core, marts
