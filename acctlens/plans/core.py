@@ -235,21 +235,48 @@ def fct_revenue(stg_invoices: DataFrame, settings: Settings | None = None, with_
 # --- usage fact ------------------------------------------------------------------
 
 
-def fct_usage(stg_usage_events: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+FEATURE_BITMAP_MAX = 63  # distinct event names that fit one bigint bitmask
+
+
+def feature_vocabulary(stg_usage_events: DataFrame, limit: int = FEATURE_BITMAP_MAX) -> list[str] | None:
+    """The distinct event names, or None when there are more than ``limit``.
+
+    One column is read and reduced map-side; at most ``limit + 1`` names come
+    back to the driver, a bounded summary.
+    """
+    names = (
+        stg_usage_events.select("event_name").filter(F.col("event_name").isNotNull()).distinct()
+        .limit(limit + 1).collect()
+    )
+    return None if len(names) > limit else sorted(r[0] for r in names)
+
+
+def fct_usage(
+    stg_usage_events: DataFrame, t: Thresholds = Thresholds(), feature_bitmap_max: int = FEATURE_BITMAP_MAX
+) -> DataFrame:
     """One row per account and day.
 
-    The category set is closed (five groups plus ``other``), so its distinct
-    count is the popcount of an OR-ed bit mask; that leaves two distinct
-    counts (users, feature names) for Catalyst's Expand instead of three.
+    Distinct counts without Catalyst's Expand: the category set is closed (five
+    groups plus ``other``), so its distinct count is the popcount of an OR-ed
+    bit mask. Event names get the same treatment when the data holds at most
+    ``feature_bitmap_max`` distinct names (checked up front); then
+    ``active_users`` is the only distinct aggregate, which Spark plans with one
+    shuffle. With more names (or ``feature_bitmap_max=0``) names keep an exact
+    ``count_distinct``.
     """
     cat = F.col("event_category")
     name = F.col("event_name")
     ts = F.col("event_timestamp")
     first, last = F.min(ts), F.max(ts)
+    vocabulary = feature_vocabulary(stg_usage_events, feature_bitmap_max) if feature_bitmap_max else None
+    if vocabulary is not None:
+        features = F.bit_count(F.bit_or(X.small_domain_bit(name, vocabulary))).cast("bigint")
+    else:
+        features = F.count_distinct("event_name")
     daily = stg_usage_events.groupBy("account_id", "event_date").agg(
         F.count(F.lit(1)).alias("total_events"),
         F.count_distinct("user_id").alias("active_users"),
-        F.count_distinct("event_name").alias("distinct_features_used"),
+        features.alias("distinct_features_used"),
         F.bit_count(F.bit_or(X.small_domain_bit(cat, C.EVENT_CATEGORY_NAMES))).cast("bigint").alias("distinct_categories_used"),
         *[F.count_if(cat == c).alias(f"{c}_events") for c in C.EVENT_CATEGORIES],
         F.count_if(name == "api_call").alias("api_calls"),

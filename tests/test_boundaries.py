@@ -77,3 +77,22 @@ def test_revenue_trend_recent_values_only_in_window(spark):
     # window starts 2024-07-31: months Aug..Jan; contractions in Sep, Nov, Jan
     assert r.contraction_months_6m == 3
     assert r.recent_mrr_values == [Decimal("13.00"), Decimal("12.00"), Decimal("11.00")]
+
+
+def test_feature_bitmap_equals_count_distinct(spark):
+    from acctlens.plans.staging import stg_usage_events
+    from acctlens.sources.raw import RAW_USAGE_EVENTS
+
+    rows = [
+        ("e1", "a", "u1", "api_call", "2025-01-10T09:00:00", None),
+        ("e2", "a", "u2", "api_call", "2025-01-10T10:00:00", None),
+        ("e3", "a", "u1", "report_created", "2025-01-10T11:00:00", None),
+        ("e4", "a", "u1", "made_up_event", "2025-01-10T12:00:00", None),
+        ("e5", "b", "u9", "note_added", "2025-01-11T08:00:00", None),
+    ]
+    events = stg_usage_events(spark.createDataFrame(rows, RAW_USAGE_EVENTS))
+    bitmap = {(r.account_id, r.event_date): tuple(r) for r in core.fct_usage(events).collect()}
+    fallback = {(r.account_id, r.event_date): tuple(r) for r in core.fct_usage(events, feature_bitmap_max=2).collect()}
+    assert bitmap == fallback
+    assert bitmap[("a", D(2025, 1, 10))][4] == 3  # distinct_features_used, unknown name included
+    assert core.feature_vocabulary(events, 2) is None
