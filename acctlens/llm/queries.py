@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from acctlens.llm.packing import pack_documents
+from acctlens.llm.simhash import near_duplicates
 from acctlens.llm.store import shared_path, table
 from acctlens.llm.token_files import read_token_files, write_token_files
 
@@ -20,7 +23,21 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece's sequence and place."""
+    packed = pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
 }
 ORACLE: dict[str, str] = {}
