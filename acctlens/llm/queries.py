@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acctlens.llm import oracle
+from acctlens.llm.lines import dedup_lines
 from acctlens.llm.packing import pack_documents
 from acctlens.llm.simhash import near_duplicates
 from acctlens.llm.store import shared_path, table
@@ -35,9 +37,18 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines before and after, and the digest of what stays."""
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_line_dedup": op6_line_dedup,
+}
+ORACLE: dict[str, str] = {
+    "op6_line_dedup": oracle.OP6,
 }
-ORACLE: dict[str, str] = {}
