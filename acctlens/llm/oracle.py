@@ -32,3 +32,45 @@ def line_dedup(documents: str = "documents") -> str:
 
 OP6 = f"""WITH {line_dedup()}
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM deduped"""
+
+_MD5_32 = "('0x' || substr(md5({0}), 1, 8))::BIGINT"
+
+# 32 shards take turns in a table of 4099 slots.
+OP1 = f"""WITH RECURSIVE orders AS (
+    SELECT i, 1 + {_MD5_32.format("name || '/step'")} % 4098 AS a, {_MD5_32.format("name || '/start'")} % 4099 AS b, name
+    FROM (SELECT i, 'shard-' || lpad(i::VARCHAR, 2, '0') AS name FROM range(32) t(i))
+),
+steps AS (
+    SELECT 0 AS turn, -1::BIGINT AS slot, range(4099) AS free
+    UNION ALL
+    SELECT turn + 1, best, list_filter(free, lambda s: s <> best)
+    FROM (
+        SELECT turn, free, list_min(list_transform(free, lambda s: ((a * s + b) % 4099) * 4099 + s)) % 4099 AS best
+        FROM steps JOIN orders ON i = turn % 32 WHERE turn < 4099
+    )
+),
+filled AS (SELECT s.slot, o.name FROM steps s JOIN orders o ON o.i = (s.turn - 1) % 32 WHERE s.turn > 0)
+SELECT doc_id, f.slot::INTEGER AS slot, f.name AS shard
+FROM documents d JOIN filled f ON f.slot = {_MD5_32.format("coalesce(d.doc_id::VARCHAR, '')")} % 4099"""
+
+_TITLE = "CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant' WHEN 'tool' THEN 'Tool' END"
+_ESCAPE = r"replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##')"
+_HEADER = "### (System|User|Assistant|Tool|@[0-9A-F]*): "
+OP2 = rf"""WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, n, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, role)
+),
+sized AS (
+    SELECT *,
+        4 + coalesce(length({_TITLE}), 1 + length(hex(role))) + 2 + 8
+        + length(CASE WHEN regexp_matches(text, '\\.', 's') OR contains(text, '</turn>') OR regexp_matches(text, '{_HEADER}', 's')
+                      THEN {_ESCAPE} ELSE text END) AS n
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(n)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id"""

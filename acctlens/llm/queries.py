@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctlens.llm import oracle
+from acctlens.llm.chat import format_chat, read_chat
+from acctlens.llm.decontaminate import contaminations
 from acctlens.llm.lines import dedup_lines
 from acctlens.llm.packing import pack_documents
+from acctlens.llm.sharding import assign_shards
 from acctlens.llm.simhash import near_duplicates
 from acctlens.llm.store import shared_path, table
 from acctlens.llm.token_files import read_token_files, write_token_files
@@ -18,6 +21,28 @@ from acctlens.llm.token_files import read_token_files, write_token_files
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's slot and shard."""
+    return assign_shards(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+
+
+#: A conversation that says the template's control strings.
+_TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one full of control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = [(-7, 0, "user", _TRICKY), (-7, 1, "assistant", _TRICKY)]
+    turns = turns.unionByName(spark.createDataFrame(tricky, "conv_id bigint, turn bigint, role string, text string"))
+    back = read_chat(format_chat(turns))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids through the token files: written, read back, and summed up per document."""
     path = shared_path(spark, "token-files")
@@ -43,12 +68,23 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's longest verified overlap with each test item."""
+    found = contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "first_word", "end_word", "equal_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_token_files": op3_token_files,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 ORACLE: dict[str, str] = {
+    "op1_sharding": oracle.OP1,
+    "op2_chat_formatting": oracle.OP2,
     "op6_line_dedup": oracle.OP6,
 }
