@@ -74,3 +74,15 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
     sum(n)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id"""
+
+OP7 = """WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+        AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, x.vec_id, list_dot_product(q.e, x.e)::BIGINT AS score
+    FROM v q JOIN v x ON q.vec_id % 50 = 0 AND x.vec_id <> q.vec_id
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""

@@ -15,8 +15,10 @@ from acctlens.llm.lines import dedup_lines
 from acctlens.llm.packing import pack_documents
 from acctlens.llm.sharding import assign_shards
 from acctlens.llm.simhash import near_duplicates
-from acctlens.llm.store import shared_path, table
+from acctlens.llm.store import shared_path, table, with_code
 from acctlens.llm.token_files import read_token_files, write_token_files
+from acctlens.llm.topk import top_k
+from acctlens.llm.toxicity import toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -68,23 +70,37 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best products of every vector whose id is divisible by 50."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's longest verified overlap with each test item."""
     found = contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "first_word", "end_word", "equal_words")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_token_files": op3_token_files,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_exact_top_k": op7_exact_top_k,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
+QUERIES = {name: with_code(query) for name, query in _OPERATORS.items()}
 ORACLE: dict[str, str] = {
     "op1_sharding": oracle.OP1,
     "op2_chat_formatting": oracle.OP2,
     "op6_line_dedup": oracle.OP6,
+    "op7_exact_top_k": oracle.OP7,
 }

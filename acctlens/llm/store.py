@@ -6,7 +6,9 @@ executors, and every reader of it sees the same rows.
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,23 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_code(job: Callable) -> Callable:
+    """``job(spark, ...)`` with this package on the path of local Python workers.
+
+    On a cluster it is installed there or sent along (``--py-files``); the path then adds nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+    def run(spark: SparkSession, *args) -> DataFrame:
+        known = spark.sparkContext.environment
+        paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        return job(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
