@@ -212,9 +212,13 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     return found.groupBy("doc_id", "row_h").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, counts: bool = False) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, counts: bool = False, length_column: str | None = None
+) -> DataFrame:
     """``docs`` with ``text`` without its dropped lines; with ``counts``, ``n_lines`` and ``n_dropped`` come last.
 
+    ``length_column`` names a column with the text's length, which is set anew where lines went.
+
     Keys of at least ``min_chars`` code points held by at least ``min_docs`` rows lose all their lines
     except in the rows of the largest ``doc_id`` holding it. A null text is one empty line and becomes
     the empty text; a text that loses all its lines becomes empty too. A null ``doc_id`` is smaller than
@@ -230,7 +234,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     joined = own.join(drops, ["_ld_id", "_ld_row"], "left")
     all_lines = F.split("text", "\n")
     kept = F.filter(all_lines, lambda line, i: ~F.array_contains(F.col("_ld_places"), i))
-    out = [F.when(F.col("_ld_places").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(f"`{c}`") for c in columns]
+    after = F.when(F.col("_ld_places").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    new = {"text": after.alias("text")}
+    if length_column in columns:
+        length = F.when(F.col("_ld_places").isNull(), F.col(f"`{length_column}`")).otherwise(F.length(after))
+        new[length_column] = length.cast(docs.schema[length_column].dataType).alias(length_column)
+    out = [new.get(c, F.col(f"`{c}`")) for c in columns]
     if counts:
         out += [F.size(all_lines).cast("bigint").alias("n_lines"), F.coalesce(F.size("_ld_places"), F.lit(0)).cast("bigint").alias("n_dropped")]
     return joined.select(*out)

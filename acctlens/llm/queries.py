@@ -13,6 +13,7 @@ from acctlens.llm.chat import format_chat, read_chat
 from acctlens.llm.decontaminate import contaminations
 from acctlens.llm.lines import dedup_lines
 from acctlens.llm.packing import pack_documents
+from acctlens.llm.pii import pii
 from acctlens.llm.sharding import assign_shards
 from acctlens.llm.simhash import near_duplicates
 from acctlens.llm.store import shared_path, table, with_code
@@ -75,6 +76,12 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: counts and digest of the base spans, and all spans. The counts are those of base spans."""
+    found = pii(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's longest verified overlap with each test item."""
     found = contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -94,6 +101,7 @@ _OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_top_k": op7_exact_top_k,
+    "op8_pii": op8_pii,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_toxicity": op10_toxicity,
 }

@@ -51,15 +51,20 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every row of ``docs(doc_id, text)``; null and blank texts get fingerprint zero."""
+    """(doc_id, row_h, fp) for every row of ``docs(doc_id, text)``; null and blank texts get fingerprint zero.
+
+    ``row_h``, a hash of the text, tells rows of one ``doc_id`` apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.large_string()).cast(pa.large_binary())
             found = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("row_h"), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_h", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn("row_h", F.xxhash64("text"))
+    return rows.select("doc_id", "row_h", "text").mapInArrow(run, "doc_id bigint, row_h bigint, fp bigint")
 
 
 _LOW_OF_PAIRS = 0x5555555555555555
@@ -112,6 +117,19 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return met.select("a", "b")
 
 
+def _first_row():
+    """The row with the smallest ``doc_id``, rows without one last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_h"))
+
+
+def _groups(fps: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, component) of every distinct fingerprint, and (component, first) with each component's first row."""
+    nodes = written(fps.groupBy("fp").agg(_first_row().alias("first")), "distinct-fingerprints")
+    linked = components(links(nodes.select("fp"), max_bits)).select(F.col("node").alias("fp"), "component")
+    grouped = nodes.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    return grouped.select("fp", "component"), grouped.groupBy("component").agg(F.min("first").alias("first"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs(doc_id, text)``.
 
@@ -121,10 +139,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     table gives no rows; other columns are ignored.
     """
     fps = written(fingerprints(docs, shingle), "fingerprints")
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct-fingerprints")
-    group = components(links(nodes.select("fp"), max_bits)).select(F.col("node").alias("fp"), "component")
-    grouped = nodes.join(group, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = grouped.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    of_fp = grouped.select("fp", "component").join(least, "component").select("fp", "component_id")
+    grouped, firsts = _groups(fps, max_bits)
+    of_fp = grouped.join(firsts, "component").select("fp", F.col("first.doc_id").alias("component_id"))
     # A fingerprint's rows may be a third of all: one row meets them, so their side of the join can be split.
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each component: its smallest ``doc_id`` (the first text hash among equal ids).
+
+    All columns pass through. Of rows equal in id and text one stays, whichever.
+    """
+    fps = written(fingerprints(docs, shingle), "fingerprints")
+    _, firsts = _groups(fps, max_bits)
+    rows = fps.groupBy("doc_id", "row_h").agg(F.count(F.lit(1)).alias("_sh_n"))
+    chosen = firsts.select(F.col("first.doc_id").alias("_sh_id"), F.col("first.row_h").alias("_sh_h"))
+    keepers = written(chosen.join(rows, F.col("_sh_id").eqNullSafe(rows["doc_id"]) & (F.col("_sh_h") == rows["row_h"])).select("_sh_id", "_sh_h", "_sh_n"), "keepers")
+    own = docs.withColumn("_sh_row", F.xxhash64("text"))
+    kept = own.join(keepers, F.col("_sh_id").eqNullSafe(F.col("doc_id").cast("bigint")) & (F.col("_sh_h") == F.col("_sh_row")))
+    repeated = kept.filter("_sh_n > 1").dropDuplicates(["_sh_id", "_sh_h"])  # the few ids with equal rows
+    return kept.filter("_sh_n = 1").unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -21,11 +21,14 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acctlens.llm.sample import sample_ids
+
 BUCKETS = 1 << 18
 MAX_POSITIVES = 6_000
 MAX_UNLABELLED = 12_000
@@ -33,7 +36,8 @@ MIN_ROWS = 5
 FOLDS = 5
 STEMS = (4, 5, 6)
 SEEDS = (1, 2, 3)
-PENALTY = 2e-3
+#: The L1 penalty for one positive; it falls with the root of their number, as chance differences do.
+PENALTY = 0.08
 _EDGES = b"\"'`.,;:!?()[]{}<>*_-#$%&|/\\~^=+@0123456789"
 
 
@@ -128,12 +132,13 @@ def fit(
         p, u = [narrow(r) for r in pos], [narrow(r) for r in unl]
         return np.mean([_train(p, u, prior, len(used), s, steps, rate, penalty) for s in seeds], axis=0)
 
+    penalty = penalty / np.sqrt(len(pos))
     # the penalised round picks the buckets, the second one sets their weights free of the penalty's pull
     w = trained(steps, rate, penalty)
     used = used[np.abs(w[:-1]) > 0.02]
     number[:] = -1
     number[used] = np.arange(len(used))
-    w = trained(2 * steps, 2 * rate, penalty / 100)
+    w = trained(2 * steps, 2 * rate, penalty / 50)
     weights[used] = w[:-1]
     return Model(weights, float(w[-1]))
 
@@ -161,12 +166,12 @@ def train(
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_label"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text")
-    ids = texts.select("_id").filter("_id IS NOT NULL").distinct()
+    ids = texts.select("_id")
     n_known = known.agg(F.count(F.lit(1)), F.sum("_label")).first()
     if prior is None:
         prior = (n_known[1] or 0) / n_known[0] if n_known[0] else 0.0
-    positive = known.filter("_label = 1").select("_id").join(ids, "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(max_positives)
-    unlabelled = ids.orderBy(F.xxhash64("_id", F.lit(7)), "_id").limit(max_unlabelled)
+    positive = sample_ids(known.filter("_label = 1").select("_id").join(ids, "_id", "left_semi"), max_positives)
+    unlabelled = sample_ids(ids, max_unlabelled, 7)
     # at most max_positives + max_unlabelled ids
     chosen = positive.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
     sample = texts.join(F.broadcast(chosen), "_id").select("positive", "text")
@@ -176,16 +181,21 @@ def train(
     return fit([a for p, a in arrays if p], [a for p, a in arrays if not p], prior)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` as last column (one so named before is replaced); a null text is empty."""
+def score(docs: DataFrame, model: Model, output: str = "score") -> DataFrame:
+    """``docs`` with the score in ``output`` as last column (one so named before is replaced); a null text is empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights
 
     @F.pandas_udf("double")
-    def scores(texts):
-        return texts.map(shared.value.score)
+    def scores(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.score(t) for t in texts], dtype="float64")
+
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != output]
+    return docs.select(*kept, scores(F.coalesce(F.col("text"), F.lit(""))).alias(output))
+
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != "score"]
-    return docs.select(*kept, scores(F.coalesce(F.col("text"), F.lit(""))).alias("score"))
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **parameters) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
+    return score(docs, train(docs, labels, **parameters), "_tx_score").filter(F.col("_tx_score") < threshold).drop("_tx_score")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
