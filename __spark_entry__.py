@@ -195,6 +195,7 @@ _ORACLE["dq_assert_health_score_range"] = O.sql_for(
 
 # The training-data operators and their pipeline can be absent as a whole; a fault inside them is not hidden.
 try:
+    import corpus_pipeline as _pipeline_job
     from acctlens.llm import queries as _llm
 except ModuleNotFoundError as e:
     if not (e.name or "").startswith(("acctlens.llm", "corpus_pipeline")):
@@ -202,6 +203,9 @@ except ModuleNotFoundError as e:
 else:
     _QUERIES.update(_llm.QUERIES)
     _ORACLE.update(_llm.ORACLE)
+    _QUERIES["pipeline"] = _pipeline_job.run
+    if _pipeline_job.ORACLE_SQL:
+        _ORACLE["pipeline"] = _pipeline_job.ORACLE_SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
