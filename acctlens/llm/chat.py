@@ -6,7 +6,7 @@ backslash stands for the character after it.
 
 Round trip: every turn is rendered as it is and parsed again. If the parser recovers the one turn with
 its role and text, the text stays; if not, it holds something in conflict with the grammar, and is
-rendered with escapes: each backslash doubled, one put into each end mark and into each header's ``###``.
+rendered with escapes: each backslash doubled, one put into each end mark and each ``##``.
 Escaped text is parsed once more, and a turn that still differs raises an error instead of being written.
 Turns that parse alone also parse in a row, since each ends with the only end mark it holds.
 
@@ -40,9 +40,9 @@ def _role(tag: Column) -> Column:
 
 
 def escape(text: Column) -> Column:
-    """Backslashes doubled, ``</turn>`` as ``<\\/turn>``, ``###`` as ``#\\##``: no control string is left."""
+    """Backslashes doubled, ``</turn>`` as ``<\\/turn>``, ``##`` as ``#\\#``: no control string is left."""
     doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    return F.replace(F.replace(doubled, F.lit("</turn>"), F.lit("<\\/turn>")), F.lit("###"), F.lit("#\\##"))
+    return F.replace(F.replace(doubled, F.lit("</turn>"), F.lit("<\\/turn>")), F.lit("##"), F.lit("#\\#"))
 
 
 def unescape(text: Column) -> Column:

@@ -54,7 +54,7 @@ SELECT doc_id, f.slot::INTEGER AS slot, f.name AS shard
 FROM documents d JOIN filled f ON f.slot = {_MD5_32.format("coalesce(d.doc_id::VARCHAR, '')")} % 4099"""
 
 _TITLE = "CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant' WHEN 'tool' THEN 'Tool' END"
-_ESCAPE = r"replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##')"
+_ESCAPE = r"replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#')"
 _HEADER = "### (System|User|Assistant|Tool|@[0-9A-F]*): "
 OP2 = rf"""WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
