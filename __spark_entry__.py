@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_sql as O  # noqa: E402
-from acctlens.config import Settings  # noqa: E402
+from acctlens.config import Settings, Thresholds  # noqa: E402
+from acctlens.functions.numeric import MONEY, mean_score, round_div  # noqa: E402
 from acctlens.operators import quality as Q  # noqa: E402
+from acctlens.operators.ranking import global_ntile, global_row_number  # noqa: E402
 from acctlens.plans import core, marts  # noqa: E402
 from acctlens.plans.pipeline import Pipeline  # noqa: E402
 from acctlens.sources.driver_tables import AS_OF, load_raw_inputs  # noqa: E402
@@ -54,17 +56,39 @@ def _dim_date(p: Pipeline) -> DataFrame:
 
 
 def _ticket_summary(p: Pipeline) -> DataFrame:
-    from acctlens.functions.numeric import round_div
-
     t = core.ticket_summary(p.stg_support_tickets)
     return t.select(
         "account_id", "lifetime_tickets", "open_tickets",
-        round_div(F.col("csat_tenths"), F.col("csat_n") * 10, 1).alias("avg_csat"),
+        mean_score(F.col("csat_sum"), F.col("csat_n"), 1).alias("avg_csat"),
         round_div(F.col("hours_tenths"), F.col("hours_n") * 10, 1).alias("avg_resolution_hours"),
         "sla_breaches",
     )
 
 
+def _revenue_trend(p: Pipeline) -> DataFrame:
+    """The three latest amounts in order, as text: the checker does not compare arrays of decimals."""
+    t = marts.revenue_trend(p.fct_revenue, p.settings, with_recent_values=True)
+    values = F.array_join(F.transform("recent_mrr_values", lambda v: v.cast("string")), ", ")
+    return t.select("account_id", values.alias("recent_mrr_values"), "contraction_months_6m")
+
+
+def _options(**changes) -> Callable[[Callable[[Pipeline], DataFrame]], Callable[[SparkSession, str], DataFrame]]:
+    """Queries over a pipeline with other settings."""
+    settings = Settings(as_of=AS_OF, **changes)
+    return lambda fn: lambda spark, sf_dir: fn(Pipeline(load_raw_inputs(spark, sf_dir), settings))
+
+
+_LADDERS = _options(thresholds=Thresholds(
+    fast_ratio=0.25, slow_ratio=2.0, satisfied_min=4.5, neutral_csat_min=2.5, support_few_tickets=1, support_some_tickets=3,
+    support_best=90, support_good=70, support_fair=40, support_poor=20, support_worst=5,
+    small_contraction=60, revenue_growing=80, revenue_flat=55, revenue_shrinking=35, revenue_falling=0,
+))
+
+
+def _ranked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
+
+
 def _te(p: Pipeline) -> DataFrame:
     return marts.tickets_enriched(p.stg_support_tickets, p.dim_account)
 
@@ -101,7 +125,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "engagement_scores": _with(lambda p: marts.engagement_scores(p.stg_usage_events, p.settings)),
     "usage_trend": _with(lambda p: marts.usage_trend(p.fct_usage, p.settings)),
     "escalation_signal": _with(lambda p: marts.escalation_signal(p.stg_support_tickets, p.settings)),
-    "revenue_trend": _with(lambda p: marts.revenue_trend(p.fct_revenue, p.settings, with_recent_values=True)),
+    "revenue_trend": _with(_revenue_trend),
     "monthly_movements": _with(lambda p: marts.monthly_movements(p.fct_revenue)),
     "churn_detection": _with(lambda p: marts.churn_detection(p.fct_revenue_with_next)),
     "churn_detection_anti_join": _with(lambda p: marts.churn_detection_anti_join(p.fct_revenue)),
@@ -109,11 +133,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cohort_metrics": _with(lambda p: marts.cohort_metrics(marts.revenue_with_cohort(p.dim_account, p.fct_revenue))),
     "sla_by_priority": _with(lambda p: marts.sla_by_priority(_te(p))),
     "sla_by_segment": _with(lambda p: marts.sla_by_segment(_te(p))),
-    "sla_adherence_union": _with(lambda p: marts.sla_adherence_union(p.stg_support_tickets, p.dim_account)),
+    # semantic options and other ladders
+    "fct_revenue_new_excluded": _options(include_new_in_expansion=False)(lambda p: p.fct_revenue),
+    "fct_revenue_gap_aware": _options(gap_aware_movements=True)(lambda p: p.fct_revenue),
+    "revenue_cohort_first_observed": _options(cohort_base="first_observed")(lambda p: p.revenue_cohort_analysis),
+    "fct_tickets_thresholds": _LADDERS(lambda p: p.fct_tickets),
+    "support_scores_thresholds": _LADDERS(
+        lambda p: marts.support_scores(p.stg_support_tickets, p.settings).select("account_id", "recent_open_tickets", "support_score")
+    ),
+    "revenue_scores_thresholds": _LADDERS(lambda p: marts.revenue_scores(p.fct_revenue, p.settings)),
+    # global ranking over a whole table
+    "global_row_number": lambda spark, sf_dir: global_row_number(
+        _ranked_orders(spark, sf_dir), [F.col("o_totalprice").desc(), "o_orderkey"], "price_rank"
+    ),
+    "global_ntile": lambda spark, sf_dir: global_ntile(_ranked_orders(spark, sf_dir), ["o_totalprice", "o_orderkey"], 7, "bucket"),
     "waterfall_movements": _with(
         lambda p: marts.waterfall_movements(p.fct_revenue_with_next).select(
             "revenue_month", "total_mrr", "new_mrr", "expansion_mrr", "contraction_mrr", "paying_accounts",
-            F.coalesce(F.col("_churned_mrr"), F.lit(0)).cast("decimal(18,2)").alias("churned_mrr"),
+            F.coalesce(F.col("_churned_mrr"), F.lit(0)).cast(MONEY).alias("churned_mrr"),
             F.col("_churned_accounts").alias("churned_accounts"),
         )
     ),
@@ -155,8 +192,17 @@ _ORACLE: dict[str, str] = {
     "cohort_metrics": O.relation("cohort_metrics"),
     "sla_by_priority": O.relation("sla_by_priority"),
     "sla_by_segment": O.relation("sla_by_segment"),
-    "sla_adherence_union": O.relation("sla_adherence"),
     "waterfall_movements": O.relation("waterfall_movements"),
+    "fct_revenue_new_excluded": O.relation("fct_revenue_new_excluded"),
+    "fct_revenue_gap_aware": O.relation("fct_revenue_gap_aware"),
+    "revenue_cohort_first_observed": O.relation("observed_revenue_cohort_analysis", "cohort_month, months_since_signup"),
+    "fct_tickets_thresholds": O.relation("fct_tickets_thresholds"),
+    "support_scores_thresholds": O.sql_for(
+        "SELECT account_id, recent_open_tickets, support_score FROM support_scores_thresholds", "support_scores_thresholds"
+    ),
+    "revenue_scores_thresholds": O.relation("revenue_scores_thresholds"),
+    "global_row_number": "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS price_rank FROM orders",
+    "global_ntile": "SELECT o_orderkey, o_totalprice, ntile(7) OVER (ORDER BY o_totalprice, o_orderkey) AS bucket FROM orders",
 }
 
 

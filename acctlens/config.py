@@ -104,6 +104,25 @@ class Thresholds:
     healthy_min: float = 60
     neutral_min: float = 40
     at_risk_min: float = 20
+    # Resolution speed, as shares of the target; CSAT tiers: lower bounds
+    fast_ratio: float = 0.5
+    slow_ratio: float = 1.5
+    satisfied_min: float = 4.0
+    neutral_csat_min: float = 3.0
+    # Support ladder: bounds on open tickets, and its scores
+    support_few_tickets: int = 2
+    support_some_tickets: int = 5
+    support_best: int = 100
+    support_good: int = 75
+    support_fair: int = 50
+    support_poor: int = 25
+    support_worst: int = 10
+    # Revenue ladder: bound of a small contraction, and its scores
+    small_contraction: int = 50
+    revenue_growing: int = 100
+    revenue_flat: int = 60
+    revenue_shrinking: int = 30
+    revenue_falling: int = 10
     # Missing-signal defaults (usage, support, revenue, engagement)
     missing_usage_score: int = 0
     missing_support_score: int = 50

@@ -13,18 +13,23 @@ from pyspark.sql import functions as F
 
 from acctlens import config as C
 from acctlens.config import Thresholds
-from acctlens.functions.numeric import round_div
+from acctlens.functions.numeric import MONEY_SCALE, round_div
 
 _DEFAULT = Thresholds()
 
 
+# Unicode white space, a fixed set.
+WHITE_SPACE = "\\t-\\r \\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
+
+
 def clean_text(c: Column) -> Column:
-    return F.trim(c)
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(c, f"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+$", "")
 
 
 def clean_code(c: Column) -> Column:
     """Lower-cased, trimmed code value (tiers, statuses, names)."""
-    return F.lower(F.trim(c))
+    return F.lower(clean_text(c))
 
 
 def lookup(key: Column, table: Mapping[str, object], default: object = None) -> Column:
@@ -132,21 +137,21 @@ def sla_ratio(hours: Column, target_hours: Column) -> Column:
     )
 
 
-def resolution_speed(status: Column, hours: Column, target_hours: Column) -> Column:
+def resolution_speed(status: Column, hours: Column, target_hours: Column, t: Thresholds = _DEFAULT) -> Column:
     return (
         F.when(status.isin(*C.OPEN_TICKET_STATUSES), "unresolved")
-        .when(hours <= target_hours * F.lit(0.5), "fast")
+        .when(hours <= target_hours * F.lit(t.fast_ratio), "fast")
         .when(hours <= target_hours, "on_time")
-        .when(hours <= target_hours * F.lit(1.5), "slow")
+        .when(hours <= target_hours * F.lit(t.slow_ratio), "slow")
         .otherwise("critical_breach")
     )
 
 
-def csat_tier(score: Column) -> Column:
+def csat_tier(score: Column, t: Thresholds = _DEFAULT) -> Column:
     return (
         F.when(score.isNull(), "no_rating")
-        .when(score >= 4.0, "satisfied")
-        .when(score >= 3.0, "neutral")
+        .when(score >= t.satisfied_min, "satisfied")
+        .when(score >= t.neutral_csat_min, "neutral")
         .otherwise("dissatisfied")
     )
 
@@ -181,7 +186,7 @@ def contraction_amount(mrr: Column, previous_mrr: Column) -> Column:
 
 def retention_pct(numerator: Column, starting: Column) -> Column:
     """round(numerator / starting * 100, 1) on money; NULL when starting is 0 or NULL."""
-    return round_div(numerator, starting, scale=1, factor=100, input_scale=2)
+    return round_div(numerator, starting, scale=1, factor=100, input_scale=MONEY_SCALE)
 
 
 # --- health score ----------------------------------------------------------
@@ -208,23 +213,30 @@ def health_tier(score: Column, t: Thresholds = _DEFAULT) -> Column:
     )
 
 
-def support_score(open_tickets: Column, avg_csat: Column) -> Column:
-    """Ladder on open tickets and mean CSAT (missing CSAT reads 5.0, then 3.0)."""
+def support_score(open_tickets: Column, score_sum: Column, n_scores: Column, t: Thresholds = _DEFAULT) -> Column:
+    """Ladder on open tickets and mean CSAT; a missing mean passes each test.
+
+    ``mean >= x`` is tested as ``sum >= x * n`` on exact decimals.
+    """
+
+    def mean_at_least(x: float) -> Column:
+        return (n_scores == 0) | (score_sum >= F.lit(str(x)).cast("decimal(10,4)") * n_scores)
+
     return (
-        F.when((open_tickets == 0) & (F.coalesce(avg_csat, F.lit(5.0)) >= 4.0), 100)
-        .when(open_tickets == 0, 75)
-        .when((open_tickets <= 2) & (F.coalesce(avg_csat, F.lit(3.0)) >= 3.0), 50)
-        .when(open_tickets <= 5, 25)
-        .otherwise(10)
+        F.when((open_tickets == 0) & mean_at_least(t.satisfied_min), t.support_best)
+        .when(open_tickets == 0, t.support_good)
+        .when((open_tickets <= t.support_few_tickets) & mean_at_least(t.neutral_csat_min), t.support_fair)
+        .when(open_tickets <= t.support_some_tickets, t.support_poor)
+        .otherwise(t.support_worst)
     )
 
 
-def revenue_score(net_mrr_change: Column) -> Column:
+def revenue_score(net_mrr_change: Column, t: Thresholds = _DEFAULT) -> Column:
     return (
-        F.when(net_mrr_change > 0, 100)
-        .when(net_mrr_change == 0, 60)
-        .when(net_mrr_change > -50, 30)
-        .otherwise(10)
+        F.when(net_mrr_change > 0, t.revenue_growing)
+        .when(net_mrr_change == 0, t.revenue_flat)
+        .when(net_mrr_change > -t.small_contraction, t.revenue_shrinking)
+        .otherwise(t.revenue_falling)
     )
 
 

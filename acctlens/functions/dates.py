@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, TimestampType
 
 
 def as_date_lit(d: dt.date | str) -> Column:
@@ -30,14 +31,33 @@ def whole_minutes_between(end: Column, start: Column) -> Column:
     return F.timestamp_diff("MINUTE", start, end)
 
 
-def to_utc_timestamp_ntz(c: Column) -> Column:
-    """Parse text or timestamps into a zone-free UTC wall-clock timestamp."""
+_OFFSET = r"(?i)(?:z|utc|gmt|[+-][0-9]{1,2}(?::?[0-9]{2}){0,2})\s*$"
+_HAS_TIME = "[0-9]:[0-9]"
+
+
+def _wall_clock_utc(instant: Column) -> Column:
+    """The UTC wall clock of an instant, whatever the session's zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01").cast("timestamp_ntz"))
+
+
+def to_utc_timestamp_ntz(df: DataFrame, column: str) -> Column:
+    """A text, timestamp or date column of ``df`` as a zone-free UTC wall clock.
+
+    Text with an offset or a Z, and zoned timestamps, are instants; text and
+    timestamps without a zone are UTC already.
+    """
+    c, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, TimestampType):
+        return _wall_clock_utc(c)
+    if isinstance(kind, StringType):
+        zoned = c.rlike(_HAS_TIME) & c.rlike(_OFFSET)
+        return F.when(zoned, _wall_clock_utc(F.when(zoned, c).cast("timestamp"))).otherwise(F.when(~zoned, c).cast("timestamp_ntz"))
     return c.cast("timestamp_ntz")
 
 
-def date_from_text(c: Column) -> Column:
-    """DATE from ``YYYY-MM-DD`` or ``YYYY-MM-DDThh:mm:ss`` text (or a date/timestamp)."""
-    return c.cast("timestamp_ntz").cast("date")
+def date_from_text(df: DataFrame, column: str) -> Column:
+    """The UTC DATE of ``YYYY-MM-DD`` or timestamp text (or of a date or timestamp)."""
+    return to_utc_timestamp_ntz(df, column).cast("date")
 
 
 def trailing_days_start(as_of: dt.date, days: int) -> Column:

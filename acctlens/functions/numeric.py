@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 
 _INT = "decimal(38,0)"
 
+# Money keeps nine decimals from staging to the marts, as the modelled NUMERIC type does.
+MONEY_SCALE = 9
+MONEY = f"decimal(27,{MONEY_SCALE})"
+SCORE_SCALE = 9
+
 
 def _as_scaled_int(c: Column, input_scale: int) -> Column:
     return (c * F.lit(10**input_scale)).cast(_INT)
@@ -35,6 +40,16 @@ def round_div(num: Column, den: Column, scale: int = 1, factor: int = 1, input_s
     return F.when(d != 0, (q * sign).cast("double") / F.lit(float(10**scale)))
 
 
+def exact_score(c: Column) -> Column:
+    """A satisfaction score as an exact decimal, all digits kept."""
+    return c.cast(f"decimal(20,{SCORE_SCALE})")
+
+
+def mean_score(total: Column, n: Column, scale: int) -> Column:
+    """Rounded mean of ``n`` scores whose exact sum is ``total``; NULL without any."""
+    return round_div(total, n, scale=scale, input_scale=SCORE_SCALE)
+
+
 def to_tenths(c: Column) -> Column:
-    """A one-decimal double (a score or an hours value) as an integer count of tenths."""
+    """A one-decimal double (an hours value) as an integer count of tenths."""
     return F.round(c * F.lit(10.0)).cast("bigint")

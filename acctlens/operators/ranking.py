@@ -15,20 +15,11 @@ task. The functions here give the same numbers with the work spread over
    window over that tiny frame; it is broadcast (size = ``n`` rows) and added
    to the local position.
 
-The numbered, range-partitioned rows are materialized once before they are
-counted and joined (``stable="checkpoint"``: a reliable checkpoint into the
-shared ``spark.checkpoint.dir``; ``"persist"``: MEMORY_AND_DISK cache). Both
-consumers then read the same partitions. Without this, column pruning gives
-the two consumers different range shuffles, each sampling its own bounds,
-and nothing guarantees the samples (which depend on shuffle fetch order)
-agree. The checkpoint also cuts lineage, so a lost executor costs a re-read,
-not a recomputation of the inputs.
-
-Small inputs: with ``small_rows`` set (the default), the input is first
-materialized once and counted. Up to ``small_rows`` rows (a proven size
-bound, like a broadcast threshold), one task runs the plain window function,
-which skips the sampling job and the range shuffle. Beyond it, the
-distributed path above reads the same materialized input.
+The numbered rows are materialized once, eagerly (``stable="checkpoint"``: a
+reliable checkpoint in the shared ``spark.checkpoint.dir``; ``"persist"``: a
+MEMORY_AND_DISK cache), so the counts and the rows they are joined to come from
+the same range partitions, and a lost executor costs a re-read. Callers rank a
+narrow frame (order keys and the row's key) and join the number back.
 """
 
 from __future__ import annotations
@@ -42,8 +33,6 @@ from pyspark.sql import functions as F
 from acctlens.session import ensure_checkpoint_dir
 
 _PID_SHIFT = 33
-# Largest input ranked in a single task (account-grain rows, a few hundred MB).
-SMALL_RANKING_ROWS = 1_000_000
 
 
 def _default_partitions(df: DataFrame) -> int:
@@ -55,18 +44,6 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
 
 
 def _stabilize(df: DataFrame, stable: str) -> DataFrame:
-    if stable == "checkpoint":
-        # Lazy reliable checkpoint: the returned frame scans one fixed RDD (one
-        # range partitioner, one shuffle dependency), so every consumer sees
-        # identical partitions; the files are written after the first action.
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=False)
-    if stable == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    raise ValueError(f"unknown stable mode {stable!r}")
-
-
-def _materialize(df: DataFrame, stable: str) -> DataFrame:
     if stable == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
@@ -75,14 +52,6 @@ def _materialize(df: DataFrame, stable: str) -> DataFrame:
     raise ValueError(f"unknown stable mode {stable!r}")
 
 
-def _small_input(df: DataFrame, stable: str, small_rows: int | None) -> tuple[DataFrame, bool]:
-    """Materialize ``df`` once and tell whether it is within ``small_rows``."""
-    if not small_rows:
-        return df, False
-    base = _materialize(df, stable)
-    return base, base.count() <= small_rows
-
-
 def _numbered(
     df: DataFrame, order: Sequence[Column | str], num_partitions: int | None, stable: str = "checkpoint"
 ) -> tuple[DataFrame, DataFrame]:
@@ -115,15 +84,11 @@ def global_row_number(
     output: str = "row_number",
     num_partitions: int | None = None,
     stable: str = "checkpoint",
-    small_rows: int | None = SMALL_RANKING_ROWS,
 ) -> DataFrame:
     """``row_number() over (order by <order>)`` without a single-task window.
 
     ``order`` must end in a unique key (the tie-break) for a deterministic result.
     """
-    df, small = _small_input(df, stable, small_rows)
-    if small:
-        return df.withColumn(output, F.row_number().over(Window.orderBy(*_sort_cols(order))).cast("bigint"))
     joined, _ = _numbered(df, order, num_partitions, stable)
     return joined.withColumn(output, (F.col("_local") + F.col("_offset")).cast("bigint")).drop(
         "_mid", "_pid", "_local", "_offset", "_total"
@@ -153,12 +118,8 @@ def global_ntile(
     output: str = "ntile",
     num_partitions: int | None = None,
     stable: str = "checkpoint",
-    small_rows: int | None = SMALL_RANKING_ROWS,
 ) -> DataFrame:
     """``ntile(buckets) over (order by <order>)`` without a single-task window."""
-    df, small = _small_input(df, stable, small_rows)
-    if small:
-        return df.withColumn(output, F.ntile(buckets).over(Window.orderBy(*_sort_cols(order))).cast("bigint"))
     joined, _ = _numbered(df, order, num_partitions, stable)
     rn = F.col("_local") + F.col("_offset")
     return joined.withColumn(output, ntile_of(rn, F.col("_total"), buckets)).drop(
@@ -175,29 +136,3 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str, values: S
     """
     picked = F.max_by(F.struct(*[F.col(v) for v in values]), F.col(order_col)).alias("_latest")
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_latest.{v}").alias(v) for v in values])
-
-
-def top_n_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, output: str = "rank_in_key"
-) -> DataFrame:
-    """First ``n`` rows per key by ``order`` (ties broken by the order columns).
-
-    Catalyst plans ``row_number() <= n`` as a WindowGroupLimit before the
-    shuffle, so at most ``n`` rows per key and task are exchanged.
-    """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(output, F.row_number().over(w)).filter(F.col(output) <= n)
-
-
-def ordered_top_values(
-    df: DataFrame, keys: Sequence[str], order_col: str, value_col: str, n: int, output: str, descending: bool = True
-) -> DataFrame:
-    """``array_agg(value order by order_col desc limit n)`` per key.
-
-    Rows are first cut to ``n`` per key (WindowGroupLimit), so the collected
-    array holds at most ``n`` elements whatever the key's size.
-    """
-    o = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    top = top_n_per_key(df, keys, [o], n, output="_r")
-    arr = F.sort_array(F.collect_list(F.struct(F.col("_r"), F.col(value_col).alias("v"))))
-    return top.groupBy(*keys).agg(F.transform(arr, lambda s: s["v"]).alias(output))

@@ -13,11 +13,9 @@ from acctlens import config as C
 from acctlens.config import Settings, Thresholds
 from acctlens.functions import columns as X
 from acctlens.functions.dates import as_date_lit, days_between, month_boundaries_between, whole_minutes_between
-from acctlens.functions.numeric import round_div, to_tenths
+from acctlens.functions.numeric import MONEY, exact_score, mean_score, round_div, to_tenths
 from acctlens.sources.generated import date_series_between, literal_values
 
-MONEY = "decimal(18,2)"
-
 
 # --- account dimension --------------------------------------------------------
 
@@ -38,13 +36,14 @@ def subscription_summary(stg_subscriptions: DataFrame) -> DataFrame:
 def ticket_summary(stg_support_tickets: DataFrame) -> DataFrame:
     """Lifetime support roll-up per account.
 
-    Means are kept as exact (sum of tenths, count) pairs and divided once, so
-    the result does not depend on the order rows were summed in.
+    Means are kept as exact (sum, count) pairs and divided once, so the result
+    does not depend on the order rows were summed in. Resolution hours are
+    rounded to tenths by definition; scores keep all their digits.
     """
     return stg_support_tickets.groupBy("account_id").agg(
         F.count(F.lit(1)).alias("lifetime_tickets"),
         F.count_if(X.is_open_ticket(F.col("status"))).alias("open_tickets"),
-        F.sum(to_tenths(F.col("satisfaction_score"))).alias("csat_tenths"),
+        F.sum(exact_score(F.col("satisfaction_score"))).alias("csat_sum"),
         F.count("satisfaction_score").alias("csat_n"),
         F.sum(to_tenths(F.col("resolution_hours"))).alias("hours_tenths"),
         F.count("resolution_hours").alias("hours_n"),
@@ -86,7 +85,7 @@ def dim_account(
         "latest_subscription_date",
         F.coalesce(F.col("lifetime_tickets"), F.lit(0)).cast("bigint").alias("lifetime_tickets"),
         F.coalesce(F.col("open_tickets"), F.lit(0)).cast("bigint").alias("open_tickets"),
-        _mean_tenths("csat_tenths", "csat_n").alias("avg_csat"),
+        F.coalesce(mean_score(F.col("csat_sum"), F.col("csat_n"), 1), F.lit(0.0)).alias("avg_csat"),
         _mean_tenths("hours_tenths", "hours_n").alias("avg_resolution_hours"),
         F.coalesce(F.col("sla_breaches"), F.lit(0)).cast("bigint").alias("sla_breaches"),
         X.lifecycle_stage(F.col("status"), tenure_days, t).alias("lifecycle_stage"),
@@ -235,53 +234,33 @@ def fct_revenue(stg_invoices: DataFrame, settings: Settings | None = None, with_
 # --- usage fact ------------------------------------------------------------------
 
 
-FEATURE_BITMAP_MAX = 63  # distinct event names that fit one bigint bitmask
-
-
-def feature_vocabulary(stg_usage_events: DataFrame, limit: int = FEATURE_BITMAP_MAX) -> list[str] | None:
-    """The distinct event names, or None when there are more than ``limit``.
+def fct_usage(stg_usage_events: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """One row per account and day.
 
-    One column is read and reduced map-side; at most ``limit + 1`` names come
-    back to the driver, a bounded summary.
+    Events are first reduced to (account, day, user, event name), with partial
+    sums before the shuffle, so a hot account's events arrive as counts. The
+    day's measures are sums over that frame, and its distinct counts range over
+    it instead of over the events.
     """
-    names = (
-        stg_usage_events.select("event_name").filter(F.col("event_name").isNotNull()).distinct()
-        .limit(limit + 1).collect()
+    ts = F.col("event_timestamp")
+    small = stg_usage_events.groupBy("account_id", "event_date", "user_id", "event_name", "event_category").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last")
     )
-    return None if len(names) > limit else sorted(r[0] for r in names)
+    cat, name, n = F.col("event_category"), F.col("event_name"), F.col("_n")
+    first, last = F.min("_first"), F.max("_last")
 
+    def events_where(condition):
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).cast("bigint")
 
-def fct_usage(
-    stg_usage_events: DataFrame, t: Thresholds = Thresholds(), feature_bitmap_max: int = FEATURE_BITMAP_MAX
-) -> DataFrame:
-    """One row per account and day.
-
-    Distinct counts without Catalyst's Expand: the category set is closed (five
-    groups plus ``other``), so its distinct count is the popcount of an OR-ed
-    bit mask. Event names get the same treatment when the data holds at most
-    ``feature_bitmap_max`` distinct names (checked up front); then
-    ``active_users`` is the only distinct aggregate, which Spark plans with one
-    shuffle. With more names (or ``feature_bitmap_max=0``) names keep an exact
-    ``count_distinct``.
-    """
-    cat = F.col("event_category")
-    name = F.col("event_name")
-    ts = F.col("event_timestamp")
-    first, last = F.min(ts), F.max(ts)
-    vocabulary = feature_vocabulary(stg_usage_events, feature_bitmap_max) if feature_bitmap_max else None
-    if vocabulary is not None:
-        features = F.bit_count(F.bit_or(X.small_domain_bit(name, vocabulary))).cast("bigint")
-    else:
-        features = F.count_distinct("event_name")
-    daily = stg_usage_events.groupBy("account_id", "event_date").agg(
-        F.count(F.lit(1)).alias("total_events"),
+    daily = small.groupBy("account_id", "event_date").agg(
+        F.sum(n).alias("total_events"),
         F.count_distinct("user_id").alias("active_users"),
-        features.alias("distinct_features_used"),
+        F.count_distinct("event_name").alias("distinct_features_used"),
         F.bit_count(F.bit_or(X.small_domain_bit(cat, C.EVENT_CATEGORY_NAMES))).cast("bigint").alias("distinct_categories_used"),
-        *[F.count_if(cat == c).alias(f"{c}_events") for c in C.EVENT_CATEGORIES],
-        F.count_if(name == "api_call").alias("api_calls"),
-        F.count_if(name == "report_created").alias("reports_created"),
-        F.count_if(name == "workflow_created").alias("workflows_created"),
+        *[events_where(cat == c).alias(f"{c}_events") for c in C.EVENT_CATEGORIES],
+        events_where(name == "api_call").alias("api_calls"),
+        events_where(name == "report_created").alias("reports_created"),
+        events_where(name == "workflow_created").alias("workflows_created"),
         first.alias("first_event_at"),
         last.alias("last_event_at"),
         X.resolution_hours(whole_minutes_between(last, first)).alias("active_hours"),
@@ -296,7 +275,7 @@ def fct_usage(
 # --- ticket fact -------------------------------------------------------------------
 
 
-def fct_tickets(stg_support_tickets: DataFrame, stg_accounts: DataFrame) -> DataFrame:
+def fct_tickets(stg_support_tickets: DataFrame, stg_accounts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Tickets with SLA ratio, speed and CSAT tiers and account context.
 
     The account side grows with the data, so no broadcast is forced; AQE
@@ -308,16 +287,16 @@ def fct_tickets(stg_support_tickets: DataFrame, stg_accounts: DataFrame) -> Data
         "account_owner",
         F.col("region").alias("account_region"),
     )
-    t = stg_support_tickets.join(ctx, "account_id", "left")
+    tickets = stg_support_tickets.join(ctx, "account_id", "left")
     hours, target = F.col("resolution_hours"), F.col("sla_target_hours")
-    return t.select(
+    return tickets.select(
         "ticket_id", "account_id", "priority", "category", "status", "satisfaction_score",
         "created_at", "resolved_at", "created_date",
         F.month("created_at").cast("bigint").alias("created_month"),
         F.date_format("created_at", "yyyy-MM").alias("created_year_month"),
         "resolution_hours", "sla_target_hours", "is_sla_breach",
         X.sla_ratio(hours, target).alias("sla_ratio"),
-        X.resolution_speed(F.col("status"), hours, target).alias("resolution_speed"),
-        X.csat_tier(F.col("satisfaction_score")).alias("csat_tier"),
+        X.resolution_speed(F.col("status"), hours, target, t).alias("resolution_speed"),
+        X.csat_tier(F.col("satisfaction_score"), t).alias("csat_tier"),
         "account_plan_tier", "account_owner", "account_region",
     )

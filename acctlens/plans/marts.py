@@ -7,17 +7,15 @@ frames hash-partitioned on the same key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctlens.config import Settings
 from acctlens.functions import columns as X
 from acctlens.functions.dates import month_boundaries_between, trailing_days_start, trailing_months_start
-from acctlens.functions.numeric import round_div, to_tenths
+from acctlens.functions.numeric import MONEY, MONEY_SCALE, exact_score, mean_score, round_div, to_tenths
 from acctlens.operators.ranking import global_ntile, global_row_number, latest_per_key
 
-MONEY = "decimal(18,2)"
-
 
 # --- customer health ------------------------------------------------------------
 
@@ -49,28 +47,25 @@ def support_scores(tickets: DataFrame, settings: Settings) -> DataFrame:
         .groupBy("account_id")
         .agg(
             F.count_if(X.is_open_ticket(F.col("status"))).alias("recent_open_tickets"),
-            F.sum(to_tenths(F.col("satisfaction_score"))).alias("_csat_tenths"),
+            F.sum(exact_score(F.col("satisfaction_score"))).alias("_csat_sum"),
             F.count("satisfaction_score").alias("_csat_n"),
         )
     )
-    # Exact mean of one-decimal scores (sum of tenths / count) keeps the >= 4.0
-    # and >= 3.0 tests free of summation-order noise.
-    avg = F.col("_csat_tenths").cast("double") / (F.col("_csat_n") * F.lit(10.0))
-    avg = F.when(F.col("_csat_n") > 0, avg)
+    avg = F.when(F.col("_csat_n") > 0, F.col("_csat_sum").cast("double") / F.col("_csat_n"))
     return agg.select(
         "account_id",
         "recent_open_tickets",
-        "_csat_tenths",
+        "_csat_sum",
         "_csat_n",
         avg.alias("recent_avg_csat"),
-        X.support_score(F.col("recent_open_tickets"), avg).cast("bigint").alias("support_score"),
+        X.support_score(F.col("recent_open_tickets"), F.col("_csat_sum"), F.col("_csat_n"), t).cast("bigint").alias("support_score"),
     )
 
 
-def revenue_scores(fct_revenue: DataFrame) -> DataFrame:
+def revenue_scores(fct_revenue: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Score of each account's latest revenue month."""
     latest = latest_per_key(fct_revenue, ["account_id"], "revenue_month", ["mrr", "net_mrr_change"])
-    return latest.select("account_id", "mrr", "net_mrr_change", X.revenue_score(F.col("net_mrr_change")).cast("bigint").alias("revenue_score"))
+    return latest.select("account_id", "mrr", "net_mrr_change", X.revenue_score(F.col("net_mrr_change"), *([settings.thresholds] if settings else [])).cast("bigint").alias("revenue_score"))
 
 
 def engagement_scores(stg_usage_events: DataFrame, settings: Settings, num_partitions: int | None = None) -> DataFrame:
@@ -87,7 +82,7 @@ def engagement_scores(stg_usage_events: DataFrame, settings: Settings, num_parti
     )
 
 
-def customer_health_scores(
+def scored_accounts(
     dim_account: DataFrame,
     fct_usage: DataFrame,
     tickets: DataFrame,
@@ -95,9 +90,8 @@ def customer_health_scores(
     stg_usage_events: DataFrame,
     settings: Settings,
     num_partitions: int | None = None,
-    audit: bool = False,
 ) -> DataFrame:
-    """Weighted health score, tier and intervention priority per active account.
+    """M12 without its rank: weighted health score and tier per active account.
 
     ``tickets``: ticket-grain frame (``stg_support_tickets`` or ``fct_tickets``).
     """
@@ -108,7 +102,7 @@ def customer_health_scores(
     )
     u = usage_scores(fct_usage, settings, num_partitions)
     s = support_scores(tickets, settings)
-    r = revenue_scores(fct_revenue)
+    r = revenue_scores(fct_revenue, settings)
     e = engagement_scores(stg_usage_events, settings, num_partitions)
     j = base.join(u, "account_id", "left").join(s, "account_id", "left").join(r, "account_id", "left").join(e, "account_id", "left")
     us = F.coalesce(F.col("usage_score"), F.lit(t.missing_usage_score)).cast("bigint")
@@ -122,17 +116,21 @@ def customer_health_scores(
         us.alias("usage_score"), ss.alias("support_score"), rs.alias("revenue_score"), es.alias("engagement_score"),
         F.coalesce(F.col("avg_daily_events"), F.lit(0.0)).alias("avg_daily_events_30d"),
         F.coalesce(F.col("recent_open_tickets"), F.lit(0)).cast("bigint").alias("open_tickets_90d"),
-        F.coalesce(round_div(F.col("_csat_tenths"), F.col("_csat_n") * F.lit(10), scale=1), F.lit(0.0)).alias("avg_csat_90d"),
+        F.coalesce(mean_score(F.col("_csat_sum"), F.col("_csat_n"), 1), F.lit(0.0)).alias("avg_csat_90d"),
         F.coalesce(F.col("mrr"), F.lit(0)).cast(MONEY).alias("latest_mrr"),
         F.coalesce(F.col("net_mrr_change"), F.lit(0)).cast(MONEY).alias("latest_mrr_change"),
         F.coalesce(F.col("features_used_30d"), F.lit(0)).cast("bigint").alias("features_used_30d"),
         score.alias("health_score"),
     )
-    tiered = scored.withColumn("health_tier", X.health_tier(F.col("health_score"), t))
-    out = global_row_number(tiered, ["health_score", "account_id"], "intervention_priority", num_partitions)
-    if audit:
-        out = out.withColumn("scored_at", F.current_timestamp())
-    return out
+    return scored.withColumn("health_tier", X.health_tier(F.col("health_score"), t))
+
+
+def customer_health_scores(scored: DataFrame, num_partitions: int | None = None, audit: bool = False) -> DataFrame:
+    """``scored_accounts`` with the intervention priority, ranked on a narrow frame."""
+    narrow = scored.select("health_score", "account_id")
+    ranks = global_row_number(narrow, ["health_score", "account_id"], "intervention_priority", num_partitions)
+    out = scored.join(ranks.select("account_id", "intervention_priority"), "account_id")
+    return out.withColumn("scored_at", F.current_timestamp()) if audit else out
 
 
 # --- churn risk -------------------------------------------------------------------
@@ -188,7 +186,7 @@ def revenue_trend(fct_revenue: DataFrame, settings: Settings, with_recent_values
 
 
 def churn_risk_view(
-    customer_health_scores: DataFrame,
+    scored: DataFrame,
     fct_usage: DataFrame,
     tickets: DataFrame,
     fct_revenue: DataFrame,
@@ -198,10 +196,11 @@ def churn_risk_view(
 ) -> DataFrame:
     """Risk flags, level and signal count per active account.
 
-    ``tickets``: ticket-grain frame (``stg_support_tickets`` or ``fct_tickets``).
+    ``scored``: ``scored_accounts`` (no rank is read); ``tickets``: ticket-grain
+    frame (``stg_support_tickets`` or ``fct_tickets``).
     """
     t = settings.thresholds
-    h = customer_health_scores.select(
+    h = scored.select(
         "account_id", "company_name", "account_segment", "plan_tier", "account_owner", "region",
         "current_mrr", "current_arr", "tenure_months", "health_score", "health_tier",
     )
@@ -324,8 +323,6 @@ def nrr_summary(fct_revenue_with_next: DataFrame, sort: bool = True) -> DataFram
     is dropped, as the reproduced left join from the monthly movements does.
     The global ``lag`` runs over one row per month: a calendar-bounded size.
     """
-    from pyspark.sql import Window
-
     w = Window.orderBy("revenue_month")
     wf = waterfall_movements(fct_revenue_with_next).filter(F.col("paying_accounts") > 0).select(
         "revenue_month",
@@ -388,8 +385,6 @@ def revenue_cohort_analysis(dim_account: DataFrame, fct_revenue: DataFrame, sett
     (cohort, offset) rows, so the metrics are computed once instead of being
     re-derived for a self-join.
     """
-    from pyspark.sql import Window
-
     cm = cohort_metrics(revenue_with_cohort(dim_account, fct_revenue, settings))
     cohort = Window.partitionBy("cohort_month")
     at_zero = F.col("months_since_signup") == 0
@@ -400,10 +395,11 @@ def revenue_cohort_analysis(dim_account: DataFrame, fct_revenue: DataFrame, sett
     ).filter(F.col("initial_accounts").isNotNull())
     n, mrr = F.col("active_accounts"), F.col("cohort_mrr")
     n0, mrr0 = F.col("initial_accounts"), F.col("initial_mrr")
-    # avg - initial_mrr / initial_accounts == (mrr*n0 - mrr0*n) / (n*n0), in cents.
+    # avg - initial_mrr / initial_accounts == (mrr*n0 - mrr0*n) / (n*n0), in the money's smallest unit.
+    unit = F.lit(10**MONEY_SCALE)
     change = round_div(
-        (mrr * F.lit(100)).cast("decimal(38,0)") * n0 - (mrr0 * F.lit(100)).cast("decimal(38,0)") * n,
-        n * n0 * F.lit(100),
+        (mrr * unit).cast("decimal(38,0)") * n0 - (mrr0 * unit).cast("decimal(38,0)") * n,
+        (n * n0).cast("decimal(20,0)") * unit,
         scale=2,
     )
     out = j.select(
@@ -412,7 +408,7 @@ def revenue_cohort_analysis(dim_account: DataFrame, fct_revenue: DataFrame, sett
         "months_since_signup",
         "active_accounts",
         "cohort_mrr",
-        round_div(mrr, n, scale=6, input_scale=2).alias("avg_mrr_per_account"),
+        (mrr.cast("double") / n).alias("avg_mrr_per_account"),
         "initial_accounts",
         "initial_mrr",
         round_div(n, n0, scale=1, factor=100).alias("account_retention_pct"),
@@ -428,109 +424,84 @@ def revenue_cohort_analysis(dim_account: DataFrame, fct_revenue: DataFrame, sett
 def tickets_enriched(fct_tickets: DataFrame, dim_account: DataFrame) -> DataFrame:
     """Tickets with the account segment; ``fct_tickets`` may also be
     ``stg_support_tickets`` (the report reads only staged ticket columns)."""
-    a = dim_account.select("account_id", "account_segment", F.col("plan_tier").alias("account_plan_tier_dim"))
+    a = dim_account.select("account_id", "account_segment")
     return fct_tickets.join(a, "account_id", "inner").withColumn(
         "ticket_year_month", F.date_format("created_date", "yyyy-MM")
     )
 
 
-def _sla_measures(resolved_hours_quantiles: bool):
+def _hours_frame(tickets_enriched: DataFrame) -> DataFrame:
+    """Tickets reduced to (month, priority, segment, resolved hours in tenths), with counts and exact sums.
+
+    Every measure of the report, quantiles included, is a sum over this frame;
+    its size follows the distinct hours, not the tickets.
+    """
     resolved = F.col("status") == "resolved"
     breach = F.col("is_sla_breach")
-    within = F.count_if((breach == F.lit(False)) & resolved)
-    n_resolved = F.count_if(resolved)
-    res_hours = F.when(resolved, F.col("resolution_hours"))
-    measures = [
-        F.count(F.lit(1)).alias("total_tickets"),
-        n_resolved.alias("resolved_tickets"),
-        F.count_if(breach == F.lit(True)).alias("sla_breaches"),
-        within.alias("within_sla"),
-        F.count_if(X.is_open_ticket(F.col("status"))).alias("unresolved_tickets"),
-        F.sum(to_tenths(res_hours)).alias("_hours_tenths"),
-        F.count(res_hours).alias("_hours_n"),
-        F.sum(to_tenths(F.col("satisfaction_score"))).alias("_csat_tenths"),
-        F.count("satisfaction_score").alias("_csat_n"),
-    ]
-    if resolved_hours_quantiles:
-        # Exact discrete quantiles; resolution hours are tenths, so the value
-        # frequency map behind percentile_disc stays small in any group size.
-        measures += [
-            F.expr(
-                "percentile_disc(0.5) WITHIN GROUP (ORDER BY CASE WHEN status = 'resolved' THEN resolution_hours END)"
-            ).alias("_p50"),
-            F.expr(
-                "percentile_disc(0.9) WITHIN GROUP (ORDER BY CASE WHEN status = 'resolved' THEN resolution_hours END)"
-            ).alias("_p90"),
-        ]
-    return measures
-
-
-def _sla_finish(df: DataFrame, quantiles: bool) -> DataFrame:
-    cols = [
-        F.col("ticket_year_month"),
-        F.col("dimension_type"),
-        F.col("dimension_value"),
-        F.col("total_tickets"),
-        F.col("resolved_tickets"),
-        F.col("sla_breaches"),
-        F.col("within_sla"),
-        F.col("unresolved_tickets"),
-        round_div(F.col("within_sla"), F.col("resolved_tickets"), scale=1, factor=100).alias("sla_adherence_pct"),
-        round_div(F.col("_hours_tenths"), F.col("_hours_n") * F.lit(10), scale=1).alias("avg_resolution_hours"),
-        (F.round(F.col("_p50"), 1) if quantiles else F.lit(None).cast("double")).alias("median_resolution_hours"),
-        (F.round(F.col("_p90"), 1) if quantiles else F.lit(None).cast("double")).alias("p90_resolution_hours"),
-        round_div(F.col("_csat_tenths"), F.col("_csat_n") * F.lit(10), scale=2).alias("avg_csat"),
-    ]
-    return df.select(*cols)
+    return tickets_enriched.groupBy(
+        "ticket_year_month", "priority", "account_segment",
+        to_tenths(F.when(resolved, F.col("resolution_hours"))).alias("tenths"),
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(resolved).alias("n_resolved"),
+        F.count_if(breach).alias("n_breach"),
+        F.count_if(~breach & resolved).alias("n_within"),
+        F.count_if(X.is_open_ticket(F.col("status"))).alias("n_open"),
+        F.sum(exact_score(F.col("satisfaction_score"))).alias("csat_sum"),
+        F.count("satisfaction_score").alias("csat_n"),
+    )
+
+
+def _sla_half(frame: DataFrame, dimension: str, column: str) -> DataFrame:
+    """Half of the report, from the reduced frame: sums, and exact quantiles by cumulative counts."""
+    keys = ["ticket_year_month", "dimension_value"]
+    per_hour = frame.groupBy("ticket_year_month", F.col(column).alias("dimension_value"), "tenths").agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_resolved", "n_breach", "n_within", "n_open", "csat_sum", "csat_n")]
+    )
+    known = F.when(F.col("tenths").isNotNull(), F.col("n")).otherwise(0)
+    group = Window.partitionBy(*keys)
+    counted = per_hour.select(
+        "*", known.alias("hours_n"), F.sum(known).over(group).alias("all_n"),
+        F.sum(known).over(group.orderBy(F.col("tenths").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+    )
+
+    def quantile(percent: int):
+        # the least value whose cumulative count reaches the share
+        return F.min(F.when(F.col("upto") * 100 >= F.col("all_n") * percent, F.col("tenths"))) / F.lit(10.0)
+
+    total = lambda c: F.sum(c).cast("bigint")
+    out = counted.groupBy(*keys).agg(
+        total("n").alias("total_tickets"), total("n_resolved").alias("resolved_tickets"), total("n_breach").alias("sla_breaches"),
+        total("n_within").alias("within_sla"), total("n_open").alias("unresolved_tickets"),
+        round_div(F.sum("n_within"), F.sum("n_resolved"), scale=1, factor=100).alias("sla_adherence_pct"),
+        round_div(F.sum(F.col("tenths") * F.col("hours_n")), F.sum("hours_n") * 10, scale=1).alias("avg_resolution_hours"),
+        quantile(50).alias("median_resolution_hours"), quantile(90).alias("p90_resolution_hours"),
+        mean_score(F.sum("csat_sum"), F.sum("csat_n"), 2).alias("avg_csat"),
+    )
+    blank = {} if dimension == "priority" else {
+        "resolved_tickets": "bigint", "within_sla": "bigint", "unresolved_tickets": "bigint",
+        "median_resolution_hours": "double", "p90_resolution_hours": "double",
+    }
+    measures = [F.lit(None).cast(blank[c]).alias(c) if c in blank else F.col(c) for c in out.columns if c not in keys]
+    return out.select("ticket_year_month", F.lit(dimension).alias("dimension_type"), "dimension_value", *measures)
 
 
 def sla_by_priority(tickets_enriched: DataFrame) -> DataFrame:
     """SLA summary per month and priority, with P50 and P90."""
-    agg = tickets_enriched.groupBy("ticket_year_month", F.col("priority").alias("dimension_value")).agg(*_sla_measures(True))
-    return _sla_finish(agg.withColumn("dimension_type", F.lit("priority")), True)
+    return _sla_half(_hours_frame(tickets_enriched), "priority", "priority")
 
 
 def sla_by_segment(tickets_enriched: DataFrame) -> DataFrame:
     """SLA summary per month and account segment (fewer measures)."""
-    agg = tickets_enriched.groupBy("ticket_year_month", F.col("account_segment").alias("dimension_value")).agg(*_sla_measures(False))
-    out = _sla_finish(agg.withColumn("dimension_type", F.lit("segment")), False)
-    for c in ("resolved_tickets", "within_sla", "unresolved_tickets"):
-        out = out.withColumn(c, F.lit(None).cast("bigint"))
-    return out
-
-
-def sla_adherence_union(fct_tickets: DataFrame, dim_account: DataFrame, sort: bool = True) -> DataFrame:
-    """M15 as two aggregations stacked with a dimension label.
-
-    Each branch scans and joins the tickets on its own; ``sla_adherence``
-    computes the same rows in one pass.
-    """
-    te = tickets_enriched(fct_tickets, dim_account)
-    out = sla_by_priority(te).unionByName(sla_by_segment(te))
-    return out.orderBy("ticket_year_month", "dimension_type", "dimension_value") if sort else out
+    return _sla_half(_hours_frame(tickets_enriched), "segment", "account_segment")
 
 
 def sla_adherence(fct_tickets: DataFrame, dim_account: DataFrame, sort: bool = True) -> DataFrame:
-    """M15 in one aggregation pass: GROUPING SETS over (month, priority) and (month, segment).
+    """Both halves stacked with a dimension label (U1/U2), from one reduced frame.
 
-    One scan and one join of the tickets feed both report halves. The
-    quantiles are computed for both sets and blanked for segment rows, where
-    the report does not show them.
+    The tickets are scanned, joined and aggregated once; Spark reuses that
+    exchange for the second half.
     """
-    te = tickets_enriched(fct_tickets, dim_account)
-    g = te.groupingSets(
-        [["ticket_year_month", "priority"], ["ticket_year_month", "account_segment"]],
-        "ticket_year_month", "priority", "account_segment",
-    ).agg(*_sla_measures(True), F.grouping_id().alias("_gid"))
-    is_priority = F.col("_gid") == 1  # account_segment aggregated away
-    labelled = g.select(
-        "*",
-        F.when(is_priority, "priority").otherwise("segment").alias("dimension_type"),
-        F.when(is_priority, F.col("priority")).otherwise(F.col("account_segment")).alias("dimension_value"),
-    )
-    out = _sla_finish(labelled, True)
-    seg = F.col("dimension_type") == "segment"
-    for c, typ in (("resolved_tickets", "bigint"), ("within_sla", "bigint"), ("unresolved_tickets", "bigint"),
-                   ("median_resolution_hours", "double"), ("p90_resolution_hours", "double")):
-        out = out.withColumn(c, F.when(~seg, F.col(c)).cast(typ))
+    frame = _hours_frame(tickets_enriched(fct_tickets, dim_account))
+    out = _sla_half(frame, "priority", "priority").unionByName(_sla_half(frame, "segment", "account_segment"))
     return out.orderBy("ticket_year_month", "dimension_type", "dimension_value") if sort else out

@@ -26,7 +26,7 @@ from acctlens.sources.raw import RawInputs
 from acctlens.sources.sinks import write_table
 
 SHARED = (
-    "dim_account", "fct_revenue_with_next", "fct_usage", "fct_tickets", "stg_usage_events", "customer_health_scores",
+    "dim_account", "fct_revenue_with_next", "fct_usage", "fct_tickets", "stg_usage_events", "scored_accounts",
 )
 
 MART_PARTITIONING = {
@@ -44,12 +44,14 @@ class Pipeline:
         num_partitions: int | None = None,
         shared: tuple[str, ...] | str = SHARED,
         tables: dict[str, DataFrame] | None = None,
+        audit: bool = False,
     ) -> None:
         """``shared`` names the relations to materialize (default: the
         multi-consumer facts), or ``"all"`` for every relation, e.g. before
         running the quality suite, where each relation feeds several checks.
         ``tables`` supplies relations already built (e.g. the bucketed tables
-        of ``write_bucketed``); they are used instead of being recomputed."""
+        of ``write_bucketed``); they are used instead of being recomputed.
+        ``audit`` adds the load, scoring and assessment times."""
         if materialize not in (None, "persist", "checkpoint"):
             raise ValueError(f"unknown materialize mode {materialize!r}")
         self.raw = raw
@@ -58,6 +60,7 @@ class Pipeline:
         self.num_partitions = num_partitions
         self.shared = shared
         self.tables = dict(tables or {})
+        self.audit = audit
         self._held: list[DataFrame] = []
 
     @property
@@ -88,23 +91,23 @@ class Pipeline:
     # --- staging
     @cached_property
     def stg_accounts(self) -> DataFrame:
-        return self._share("stg_accounts", lambda: staging.stg_accounts(self.raw.accounts))
+        return self._share("stg_accounts", lambda: staging.stg_accounts(self.raw.accounts, self.audit))
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
-        return self._share("stg_subscriptions", lambda: staging.stg_subscriptions(self.raw.subscriptions))
+        return self._share("stg_subscriptions", lambda: staging.stg_subscriptions(self.raw.subscriptions, self.audit))
 
     @cached_property
     def stg_invoices(self) -> DataFrame:
-        return self._share("stg_invoices", lambda: staging.stg_invoices(self.raw.invoices))
+        return self._share("stg_invoices", lambda: staging.stg_invoices(self.raw.invoices, self.audit))
 
     @cached_property
     def stg_usage_events(self) -> DataFrame:
-        return self._share("stg_usage_events", lambda: staging.stg_usage_events(self.raw.usage_events))
+        return self._share("stg_usage_events", lambda: staging.stg_usage_events(self.raw.usage_events, self.audit))
 
     @cached_property
     def stg_support_tickets(self) -> DataFrame:
-        return self._share("stg_support_tickets", lambda: staging.stg_support_tickets(self.raw.support_tickets))
+        return self._share("stg_support_tickets", lambda: staging.stg_support_tickets(self.raw.support_tickets, self.audit))
 
     # --- core
     @cached_property
@@ -135,22 +138,27 @@ class Pipeline:
 
     @cached_property
     def fct_tickets(self) -> DataFrame:
-        return self._share("fct_tickets", lambda: core.fct_tickets(self.stg_support_tickets, self.stg_accounts))
+        return self._share("fct_tickets", lambda: core.fct_tickets(self.stg_support_tickets, self.stg_accounts, self.settings.thresholds))
 
     # --- marts
     @cached_property
-    def customer_health_scores(self) -> DataFrame:
-        return self._share("customer_health_scores", lambda:
-            marts.customer_health_scores(
+    def scored_accounts(self) -> DataFrame:
+        return self._share("scored_accounts", lambda:
+            marts.scored_accounts(
                 self.dim_account, self.fct_usage, self.stg_support_tickets, self.fct_revenue, self.stg_usage_events,
                 self.settings, self.num_partitions,
             ),
         )
 
+    @cached_property
+    def customer_health_scores(self) -> DataFrame:
+        return self._share("customer_health_scores", lambda:
+            marts.customer_health_scores(self.scored_accounts, self.num_partitions, self.audit))
+
     @cached_property
     def churn_risk_view(self) -> DataFrame:
         return self._share("churn_risk_view", lambda: marts.churn_risk_view(
-            self.customer_health_scores, self.fct_usage, self.stg_support_tickets, self.fct_revenue, self.settings
+            self.scored_accounts, self.fct_usage, self.stg_support_tickets, self.fct_revenue, self.settings, audit=self.audit
         ))
 
     @cached_property

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctlens.functions import columns as X
+from acctlens.functions.numeric import MONEY
 from acctlens.functions.dates import date_from_text, days_between, to_utc_timestamp_ntz, whole_minutes_between
 
 
@@ -35,14 +36,14 @@ def stg_accounts(raw: DataFrame, audit: bool = False) -> DataFrame:
 
 def stg_subscriptions(raw: DataFrame, audit: bool = False) -> DataFrame:
     status = X.clean_code(F.col("status"))
-    start = date_from_text(F.col("start_date"))
-    end = date_from_text(F.col("end_date"))
+    start = date_from_text(raw, "start_date")
+    end = date_from_text(raw, "end_date")
     out = raw.filter(F.col("subscription_id").isNotNull()).select(
         F.col("subscription_id").cast("string").alias("subscription_id"),
         F.col("account_id").cast("string").alias("account_id"),
         X.clean_code(F.col("product_name")).alias("product_name"),
         X.clean_code(F.col("plan_tier")).alias("plan_tier"),
-        F.col("mrr_amount").cast("decimal(18,2)").alias("mrr_amount"),
+        F.col("mrr_amount").cast(MONEY).alias("mrr_amount"),
         start.alias("start_date"),
         end.alias("end_date"),
         status.alias("status"),
@@ -59,10 +60,10 @@ def stg_invoices(raw: DataFrame, audit: bool = False) -> DataFrame:
         F.col("invoice_id").cast("string").alias("invoice_id"),
         F.col("account_id").cast("string").alias("account_id"),
         invoice_date.alias("invoice_date"),
-        F.col("amount").cast("decimal(18,2)").alias("amount"),
-        F.upper(F.trim(F.col("currency"))).alias("currency"),
+        F.col("amount").cast(MONEY).alias("amount"),
+        F.upper(X.clean_text(F.col("currency"))).alias("currency"),
         status.alias("status"),
-        F.trim(F.col("line_items")).alias("line_items"),
+        X.clean_text(F.col("line_items")).alias("line_items"),
         F.trunc(invoice_date, "month").alias("invoice_month"),
         X.flag_equals(status, "paid").alias("is_paid"),
     )
@@ -71,7 +72,7 @@ def stg_invoices(raw: DataFrame, audit: bool = False) -> DataFrame:
 
 def stg_usage_events(raw: DataFrame, audit: bool = False) -> DataFrame:
     name = X.clean_code(F.col("event_name"))
-    ts = to_utc_timestamp_ntz(F.col("event_timestamp"))
+    ts = to_utc_timestamp_ntz(raw, "event_timestamp")
     out = raw.filter(F.col("event_id").isNotNull()).select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("account_id").cast("string").alias("account_id"),
@@ -86,8 +87,8 @@ def stg_usage_events(raw: DataFrame, audit: bool = False) -> DataFrame:
 
 
 def stg_support_tickets(raw: DataFrame, audit: bool = False) -> DataFrame:
-    created = to_utc_timestamp_ntz(F.col("created_at"))
-    resolved = to_utc_timestamp_ntz(F.col("resolved_at"))
+    created = to_utc_timestamp_ntz(raw, "created_at")
+    resolved = to_utc_timestamp_ntz(raw, "resolved_at")
     priority = X.clean_code(F.col("priority"))
     minutes = whole_minutes_between(resolved, created)
     out = raw.filter(F.col("ticket_id").isNotNull()).select(

@@ -5,12 +5,16 @@ The engine's inputs are CRM/billing/product/support tables; the test data is
 adapters derive the five raw relations from those tables with plain
 DataFrame expressions, so their size grows with the data:
 
-* account = ``o_custkey div 10`` (one account per ten customers; this lines up
-  with ``events.user_id``), keeping the customers with ``c_custkey % 10 = 0``
-  as the account master rows;
+* account = ``custkey div 10`` (ten customers make an account; this lines up
+  with ``events.user_id``): the first customer gives name and industry, the one
+  of the highest balance the owner and region, and all are head count;
 * one subscription, one invoice and one support ticket per order;
 * one usage event per ``events`` row.
 
+Some values come as messy as real exports: codes with tabs and no-break spaces
+around them, ticket times as text with and without a zone offset, sub-cent
+amounts, and scores of two decimals.
+
 Order dates are shifted so that the last order date lands on the as-of date.
 All rules below are deterministic functions of the keys.
 """
@@ -32,6 +36,7 @@ AS_OF = dt.date(2024, 1, 31)
 ORDER_DATE_SHIFT_DAYS = 8218  # 2001-08-01 -> 2024-01-31
 DEFAULT_SIGNUP = dt.date(2023, 1, 1)
 CUSTOMERS_PER_ACCOUNT = 10
+ISO = "'yyyy-MM-dd HH:mm:ss'"
 # Event type -> feature category whose three names stand in for it.
 EVENT_TYPE_CATEGORY = {
     "click": "reporting",
@@ -45,7 +50,7 @@ SUBSCRIPTION_STATUS_BY_ORDER = {"O": "active", "F": "cancelled", "P": "upgraded"
 INVOICE_STATUS_BY_ORDER = {"F": "paid", "O": "overdue", "P": "void"}
 # First digit of o_orderpriority -> ticket priority.
 TICKET_PRIORITY_BY_DIGIT = {"1": "P1", "2": "P2", "3": "P3", "4": "P4", "5": "P4"}
-INVOICE_UNIT_AMOUNT = "49.50"
+INVOICE_UNIT_AMOUNT = "49.505"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,6 +80,14 @@ ACCOUNT_NO = f"(o_custkey div {CUSTOMERS_PER_ACCOUNT})"
 TIER = "(CASE WHEN (a * 7) % 20 < 9 THEN 'starter' WHEN (a * 7) % 20 < 16 THEN 'growth' ELSE 'enterprise' END)"
 
 
+def _zoned_text(moment: str) -> str:
+    """A UTC wall clock as text: by turns with an offset, with a Z, and plain."""
+    return (
+        f"CASE k % 3 WHEN 0 THEN concat(date_format(timestampadd(MINUTE, 330, {moment}), {ISO}), '+05:30')"
+        f" WHEN 1 THEN concat(date_format({moment}, {ISO}), 'Z') ELSE date_format({moment}, {ISO}) END"
+    )
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS k",
@@ -88,8 +101,13 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = (
         _read(spark, sf_dir, "customer")
-        .filter(F.expr(f"c_custkey % {CUSTOMERS_PER_ACCOUNT} = 0"))
-        .selectExpr("c_custkey div 10 AS a", "c_name", "c_nationkey", "c_mktsegment")
+        .groupBy(F.expr(f"c_custkey div {CUSTOMERS_PER_ACCOUNT}").alias("a"))
+        .agg(
+            F.min_by("c_name", "c_custkey").alias("c_name"),
+            F.min_by("c_mktsegment", "c_custkey").alias("c_mktsegment"),
+            F.max_by("c_nationkey", F.struct("c_acctbal", "c_custkey")).alias("c_nationkey"),
+            F.count(F.lit(1)).alias("customers"),
+        )
     )
     # nation (25 rows) and region (5 rows) are fixed-size dimensions.
     nation = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
@@ -102,8 +120,8 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr(
             "CAST(a AS STRING) AS account_id",
             "c_name AS company_name",
-            "c_mktsegment AS industry",
-            "CAST(1 + (a * 37) % (CASE a % 3 WHEN 0 THEN 60 WHEN 1 THEN 500 ELSE 2000 END) AS BIGINT) AS employee_count",
+            "concat('\\t', c_mktsegment, '\\u00a0') AS industry",
+            "CAST(customers + (a * 37) % (CASE a % 3 WHEN 0 THEN 60 WHEN 1 THEN 500 ELSE 2000 END) AS BIGINT) AS employee_count",
             f"{TIER} AS plan_tier",
             "n_name AS account_owner",
             "r_name AS region",
@@ -140,8 +158,8 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(k AS STRING) AS invoice_id",
         "CAST(a AS STRING) AS account_id",
         "order_date AS invoice_date",
-        f"CAST(CAST(k % 3 + 1 AS DECIMAL(18,2)) * CAST('{INVOICE_UNIT_AMOUNT}' AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS amount",
-        "'usd ' AS currency",
+        f"CAST((k % 3 + 1) * CAST('{INVOICE_UNIT_AMOUNT}' AS DECIMAL(10,3)) AS DECIMAL(18,3)) AS amount",
+        "'\\tusd\\u2003' AS currency",
         f"{_case('o_orderstatus', INVOICE_STATUS_BY_ORDER)} AS status",
         f"concat(' ', {_pick('k % 4', C.PRODUCTS)}, ' ') AS line_items",
     )
@@ -153,12 +171,13 @@ def raw_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         for etype, category in EVENT_TYPE_CATEGORY.items()
     )
     back_days = "(CASE WHEN event_id % 4 < user_id % 5 THEN 31 ELSE 0 END + dayofmonth(ts) % 3)"
+    moved = f"timestampadd(DAY, -{back_days}, ts)"
     return _read(spark, sf_dir, "events").selectExpr(
         "CAST(event_id AS STRING) AS event_id",
         "CAST(user_id AS STRING) AS account_id",
         "CAST(user_id * 10 + event_id % 4 AS STRING) AS user_id",
         f"CASE {names} END AS event_name",
-        f"timestampadd(DAY, -{back_days}, ts) AS event_timestamp",
+        f"{moved} AS event_timestamp",
         "CAST(NULL AS STRING) AS properties",
     )
 
@@ -166,6 +185,7 @@ def raw_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = _case("substring(o_orderpriority, 1, 1)", TICKET_PRIORITY_BY_DIGIT)
     target = _case("priority", {k.upper(): v for k, v in C.SLA_TARGET_HOURS.items()})
+    resolved = f"timestampadd(MINUTE, {target} * 3 * ((k * 7919) % 40), created_at)"
     base = _orders(spark, sf_dir).selectExpr(
         "k",
         "a",
@@ -178,13 +198,12 @@ def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.selectExpr(
         "CAST(k AS STRING) AS ticket_id",
         "CAST(a AS STRING) AS account_id",
-        "created_at",
-        f"CASE WHEN status = 'resolved' THEN timestampadd(MINUTE, {target} * 3 * ((k * 7919) % 40), created_at) END"
-        " AS resolved_at",
-        "priority",
+        f"{_zoned_text('created_at')} AS created_at",
+        f"CASE WHEN status = 'resolved' THEN {_zoned_text(resolved)} END AS resolved_at",
+        "concat(priority, '\\t') AS priority",
         f"{_pick('k % 6', C.TICKET_CATEGORIES)} AS category",
         "status",
-        "CASE WHEN status = 'resolved' AND k % 5 != 0 THEN CAST(20 + (a % 3) * 10 + k % 11 AS DOUBLE) / 10.0D END"
+        "CASE WHEN status = 'resolved' AND k % 5 != 0 THEN CAST(200 + (a % 3) * 100 + (k % 23) * 5 AS DOUBLE) / 100.0D END"
         " AS satisfaction_score",
     )
 

@@ -7,7 +7,7 @@ Each micro-batch (``foreachBatch``):
    batch id makes a retried batch replace its own files instead of appending
    them twice;
 2. finds the days it touched (one row per day: calendar-bounded) and reads
-   every staged event of those days. A semi-join on the partition column,
+   every staged event of those days, each event once. A semi-join on the partition column,
    with the day list broadcast, lets dynamic partition pruning skip the
    other days;
 3. recomputes ``fct_usage`` for those days and overwrites only their
@@ -37,7 +37,11 @@ def refresh_daily_usage(batch: DataFrame, batch_id: int, staged_path: str, fact_
     write_table(staged, path=staged_path, partition_by=("event_date", "_batch"), mode="overwrite",
                 dynamic_overwrite=True)
     days = spark.read.parquet(staged_path).filter(F.col("_batch") == batch_id).select("event_date").distinct()
-    events = spark.read.parquet(staged_path).join(F.broadcast(days), "event_date", "left_semi").drop("_batch")
+    # one row per touched day; a NULL day matches NULL
+    days = F.broadcast(days.withColumnRenamed("event_date", "_day"))
+    events = spark.read.parquet(staged_path).join(days, F.col("event_date").eqNullSafe(F.col("_day")), "left_semi")
+    # an event delivered again in a later batch counts once
+    events = events.drop("_batch").dropDuplicates(["event_id"])
     write_table(fct_usage(events, t), path=fact_path, partition_by=("event_date",), cluster_by=("account_id",),
                 mode="overwrite", dynamic_overwrite=True)
 

@@ -4,9 +4,10 @@ Each relation is a named CTE over the pre-registered driver views
 (``customer nation region orders events``). ``sql_for(final, *ctes)`` emits a
 WITH clause holding the CTEs a query needs, in dependency order.
 
-Rounding follows the reproduced semantics (half away from zero on the exact
-value). DuckDB turns decimal division into DOUBLE, so exact ratios are
-written with integer division on HUGEINT (``_hu_div``).
+Written from the rules, not from the engine: domains are value tables that
+are joined, flags are computed once and reused, churn is a look at the next
+paid month. Rounding is half away from zero on the exact value; DuckDB turns
+decimal division into DOUBLE, so exact ratios use HUGEINT division (``_ratio``).
 """
 
 from __future__ import annotations
@@ -14,40 +15,40 @@ from __future__ import annotations
 AS_OF = "DATE '2024-01-31'"
 AS_OF_TS = "TIMESTAMP '2024-01-31 00:00:00'"
 SHIFT_DAYS = 8218
+MONEY = "DECIMAL(27,9)"
+_UNIT = 10**9  # of money and of scores
 
+# Unicode white space, a fixed set.
+_SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
-def _hu_div(num: str, den: str, scale: int = 1, factor: int = 1) -> str:
-    """round(factor * num / den, scale), half away from zero, as DOUBLE; NULL when den is 0."""
-    n = f"CAST(({num}) AS HUGEINT)"
-    d = f"CAST(({den}) AS HUGEINT)"
-    return (
-        f"(CASE WHEN {d} = 0 THEN NULL ELSE "
-        f"(CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END) * "
-        f"CAST((abs({n}) * {2 * factor * 10 ** scale} + abs({d})) // (2 * abs({d})) AS DOUBLE) / {float(10 ** scale)} END)"
-    )
+
+def _text(x: str) -> str:
+    return f"regexp_replace({x}, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
 
 
-def _cents(x: str) -> str:
-    return f"CAST(({x}) * 100 AS HUGEINT)"
+def _code(x: str) -> str:
+    return f"lower({_text(x)})"
 
 
-def _tier(a: str) -> str:
-    return f"(CASE WHEN ({a} * 7) % 20 < 9 THEN 'starter' WHEN ({a} * 7) % 20 < 16 THEN 'growth' ELSE 'enterprise' END)"
+def _ratio(num: str, den: str, scale: int = 1, factor: int = 1) -> str:
+    """round(factor * num / den, scale), half away from zero, as DOUBLE; NULL when den is 0 or NULL."""
+    n, d = f"CAST(({num}) AS HUGEINT)", f"nullif(CAST(({den}) AS HUGEINT), 0)"
+    size = f"(2 * {factor * 10**scale} * abs({n}) + abs({d})) // (2 * abs({d}))"
+    return f"(sign({n}) * sign({d}) * CAST({size} AS DOUBLE) / {float(10**scale)})"
 
 
-_PRODUCT_BY_K = "(CASE k % 4 WHEN 0 THEN 'novacrm_platform' WHEN 1 THEN 'api_access' WHEN 2 THEN 'advanced_analytics' ELSE 'priority_support' END)"
+def _units(x: str) -> str:
+    """Money or scores as whole numbers of their smallest unit."""
+    return f"(({x}) * {_UNIT})"
 
-_EVENT_CATEGORY = """CASE
-    WHEN lower(trim(event_name)) IN ('dashboard_viewed', 'report_created', 'export_generated') THEN 'reporting'
-    WHEN lower(trim(event_name)) IN ('contact_added', 'deal_updated', 'note_added') THEN 'crm_core'
-    WHEN lower(trim(event_name)) IN ('email_sent', 'meeting_logged', 'task_completed') THEN 'communication'
-    WHEN lower(trim(event_name)) IN ('api_call', 'integration_configured', 'workflow_created') THEN 'advanced'
-    WHEN lower(trim(event_name)) IN ('search_performed', 'filter_applied', 'user_invited') THEN 'platform'
-    ELSE 'other' END"""
 
+def _mean_score(scale: int) -> str:
+    return _ratio(f"sum(CAST(satisfaction_score AS DECIMAL(20,9))) * {_UNIT}", f"count(satisfaction_score) * {_UNIT}", scale)
 
-def _mean_tenths(col: str, scale: int = 1) -> str:
-    return _hu_div(f"sum(round({col} * 10))", f"count({col}) * 10", scale)
+
+def _table(name: str, columns: str, rows: list[tuple]) -> None:
+    """A value table."""
+    _cte(name, (), f"SELECT * FROM (VALUES {', '.join(map(str, rows))}) v({columns})")
 
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -57,559 +58,430 @@ def _cte(name: str, deps: tuple[str, ...], body: str) -> None:
     CTES[name] = (deps, body)
 
 
+# ---------------------------------------------------------------- fixed values
+_EVENTS = {
+    "reporting": ("dashboard_viewed", "report_created", "export_generated"),
+    "crm_core": ("contact_added", "deal_updated", "note_added"),
+    "communication": ("email_sent", "meeting_logged", "task_completed"),
+    "advanced": ("api_call", "integration_configured", "workflow_created"),
+    "platform": ("search_performed", "filter_applied", "user_invited"),
+}
+_EVENT_TYPES = {"click": "reporting", "error": "advanced", "purchase": "crm_core", "signup": "platform", "view": "communication"}
+_PRODUCTS = [  # number, name, kind, shown as, category, add-on price
+    (0, "novacrm_platform", "platform", "NovaCRM Platform", "core", -1),
+    (1, "api_access", "addon", "API Access", "integration", 29),
+    (2, "advanced_analytics", "addon", "Advanced Analytics", "analytics", 79),
+    (3, "priority_support", "addon", "Priority Support", "support", 59),
+]
+_table("event_names", "category, n, name", [(c, i, n) for c, names in _EVENTS.items() for i, n in enumerate(names)])
+_table("event_types", "event_type, category", list(_EVENT_TYPES.items()))
+_table("products", "n, name, kind, shown, category, price", _PRODUCTS)
+_table("tiers", "tier, price, below", [("starter", 49, 9), ("growth", 149, 16), ("enterprise", 499, 20)])
+_table("targets", "priority, hours", [("p1", 4), ("p2", 12), ("p3", 48), ("p4", 120)])
+_table("ticket_kinds", "n, kind", list(enumerate(("bug", "feature_request", "billing", "onboarding", "how_to", "performance"))))
+
 # ---------------------------------------------------------------- raw adapters
-_cte("raw_orders", (), f"""
-SELECT o_orderkey AS k, o_custkey // 10 AS a, o_orderstatus, o_orderpriority,
+_TIER_OF = "(SELECT arg_min(tier, below) FROM tiers WHERE below > ({0} * 7) % 20)"
+
+_cte("raw_orders", ("tiers",), f"""
+SELECT o_orderkey AS k, o_custkey // 10 AS a, o_orderstatus, CAST(left(o_orderpriority, 1) AS INTEGER) AS digit,
        CAST(o_orderdate AS DATE) + {SHIFT_DAYS} AS order_date
 FROM orders""")
 
-_cte("raw_first_order", ("raw_orders",), "SELECT a, min(order_date) AS first_order_date FROM raw_orders GROUP BY a")
-
-_cte("raw_accounts", ("raw_first_order",), f"""
-SELECT CAST(c.a AS VARCHAR) AS account_id,
-       c.c_name AS company_name,
-       c.c_mktsegment AS industry,
-       CAST(1 + (c.a * 37) % (CASE c.a % 3 WHEN 0 THEN 60 WHEN 1 THEN 500 ELSE 2000 END) AS BIGINT) AS employee_count,
-       {_tier('c.a')} AS plan_tier,
-       n.n_name AS account_owner,
-       r.r_name AS region,
-       CASE WHEN c.a % 3 = 0 THEN {AS_OF} - CAST((c.a * 53) % 400 AS INTEGER)
-            ELSE coalesce(f.first_order_date, DATE '2023-01-01') END AS signup_date,
-       CASE WHEN c.a % 15 IN (3, 7) THEN 'churned' WHEN c.a % 15 = 11 THEN 'trial'
-            WHEN c.a % 15 = 13 THEN 'suspended' ELSE 'active' END AS status
-FROM (SELECT *, c_custkey // 10 AS a FROM customer WHERE c_custkey % 10 = 0) c
-LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
-LEFT JOIN raw_first_order f ON f.a = c.a""")
-
-_cte("raw_subscriptions", ("raw_orders",), f"""
-SELECT CAST(k AS VARCHAR) AS subscription_id,
-       CAST(a AS VARCHAR) AS account_id,
-       {_PRODUCT_BY_K} AS product_name,
-       {_tier('a')} AS plan_tier,
-       CAST(CASE k % 4
-              WHEN 0 THEN (CASE {_tier('a')} WHEN 'starter' THEN 49 WHEN 'growth' THEN 149 WHEN 'enterprise' THEN 499 END)
-              WHEN 1 THEN 29 WHEN 2 THEN 79 ELSE 59 END AS DECIMAL(18,2)) AS mrr_amount,
-       CASE WHEN k % 5 = 0 THEN strftime(order_date, '%Y-%m-%d') || 'T00:00:00'
-            ELSE strftime(order_date, '%Y-%m-%d') END AS start_date,
-       CASE WHEN o_orderstatus <> 'O'
-            THEN strftime(order_date + CAST(k % 400 + 30 AS INTEGER), '%Y-%m-%d') END AS end_date,
-       CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'F' THEN 'cancelled' WHEN 'P' THEN 'upgraded' END AS status
-FROM raw_orders""")
-
-_cte("raw_invoices", ("raw_orders",), f"""
-SELECT CAST(k AS VARCHAR) AS invoice_id,
-       CAST(a AS VARCHAR) AS account_id,
-       order_date AS invoice_date,
-       CAST((k % 3 + 1) * 49.50 AS DECIMAL(18,2)) AS amount,
-       'usd ' AS currency,
-       CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'overdue' WHEN 'P' THEN 'void' END AS status,
-       ' ' || {_PRODUCT_BY_K} || ' ' AS line_items
-FROM raw_orders""")
-
-_cte("raw_usage_events", (), """
-SELECT CAST(event_id AS VARCHAR) AS event_id,
-       CAST(user_id AS VARCHAR) AS account_id,
-       CAST(user_id * 10 + event_id % 4 AS VARCHAR) AS user_id,
-       CASE event_type
-         WHEN 'click' THEN ['dashboard_viewed', 'report_created', 'export_generated'][event_id % 3 + 1]
-         WHEN 'error' THEN ['api_call', 'integration_configured', 'workflow_created'][event_id % 3 + 1]
-         WHEN 'purchase' THEN ['contact_added', 'deal_updated', 'note_added'][event_id % 3 + 1]
-         WHEN 'signup' THEN ['search_performed', 'filter_applied', 'user_invited'][event_id % 3 + 1]
-         WHEN 'view' THEN ['email_sent', 'meeting_logged', 'task_completed'][event_id % 3 + 1]
-       END AS event_name,
-       ts - to_days(CAST((CASE WHEN event_id % 4 < user_id % 5 THEN 31 ELSE 0 END) + day(ts) % 3 AS INTEGER))
-         AS event_timestamp,
-       CAST(NULL AS VARCHAR) AS properties
-FROM events""")
-
-_cte("raw_tickets_base", ("raw_orders",), f"""
-SELECT k, a,
-       {AS_OF_TS} - to_days(CAST(k % 200 AS INTEGER)) + to_minutes(CAST((k * 13) % 1440 AS INTEGER)) AS created_at,
-       CASE WHEN k % 12 = 0 AND a % 2 = 0 THEN 'open'
-            WHEN k % 12 = 6 AND a % 4 = 0 THEN 'escalated' ELSE 'resolved' END AS tstatus,
-       CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'P1' WHEN '2' THEN 'P2' WHEN '3' THEN 'P3'
-            WHEN '4' THEN 'P4' WHEN '5' THEN 'P4' END AS priority
-FROM raw_orders""")
-
-_cte("raw_support_tickets", ("raw_tickets_base",), """
-SELECT CAST(k AS VARCHAR) AS ticket_id,
-       CAST(a AS VARCHAR) AS account_id,
-       created_at,
-       CASE WHEN tstatus = 'resolved' THEN created_at + to_minutes(CAST(
-            (CASE priority WHEN 'P1' THEN 4 WHEN 'P2' THEN 12 WHEN 'P3' THEN 48 WHEN 'P4' THEN 120 END)
-            * 3 * ((k * 7919) % 40) AS INTEGER)) END AS resolved_at,
-       priority,
-       ['bug', 'feature_request', 'billing', 'onboarding', 'how_to', 'performance'][k % 6 + 1] AS category,
-       tstatus AS status,
-       CASE WHEN tstatus = 'resolved' AND k % 5 <> 0 THEN CAST(20 + (a % 3) * 10 + k % 11 AS DOUBLE) / 10.0 END
-         AS satisfaction_score
-FROM raw_tickets_base""")
+_cte("raw_accounts", ("raw_orders",), f"""
+WITH first_order AS (SELECT a, min(order_date) AS first_date FROM raw_orders GROUP BY a),
+grouped AS (
+    SELECT c_custkey // 10 AS a, count(*) AS customers, arg_min(c_name, c_custkey) AS c_name,
+           arg_min(c_mktsegment, c_custkey) AS segment, arg_max(c_nationkey, (c_acctbal, c_custkey)) AS nation_key
+    FROM customer GROUP BY 1
+)
+SELECT CAST(g.a AS VARCHAR) AS account_id, g.c_name AS company_name, chr(9) || g.segment || chr(160) AS industry,
+       CAST(g.customers + (g.a * 37) % [60, 500, 2000][g.a % 3 + 1] AS BIGINT) AS employee_count,
+       {_TIER_OF.format('g.a')} AS plan_tier, n.n_name AS account_owner, r.r_name AS region,
+       if(g.a % 3 = 0, {AS_OF} - CAST((g.a * 53) % 400 AS INTEGER), coalesce(f.first_date, DATE '2023-01-01')) AS signup_date,
+       coalesce(map {{3: 'churned', 7: 'churned', 11: 'trial', 13: 'suspended'}}[CAST(g.a % 15 AS INTEGER)], 'active') AS status
+FROM grouped g
+LEFT JOIN first_order f USING (a)
+LEFT JOIN nation n ON n.n_nationkey = g.nation_key
+LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""")
+
+_cte("raw_subscriptions", ("raw_orders", "products"), f"""
+SELECT CAST(k AS VARCHAR) AS subscription_id, CAST(a AS VARCHAR) AS account_id, p.name AS product_name,
+       {_TIER_OF.format('a')} AS plan_tier,
+       if(p.price < 0, (SELECT t.price FROM tiers t WHERE t.tier = {_TIER_OF.format('a')}), p.price) AS mrr_amount,
+       order_date::VARCHAR || if(k % 5 = 0, 'T00:00:00', '') AS start_date,
+       if(o_orderstatus = 'O', NULL, (order_date + CAST(k % 400 + 30 AS INTEGER))::VARCHAR) AS end_date,
+       map {{'O': 'active', 'F': 'cancelled', 'P': 'upgraded'}}[o_orderstatus] AS status
+FROM raw_orders JOIN products p ON p.n = k % 4""")
+
+_cte("raw_invoices", ("raw_orders", "products"), """
+SELECT CAST(k AS VARCHAR) AS invoice_id, CAST(a AS VARCHAR) AS account_id, order_date AS invoice_date,
+       (k % 3 + 1) * 49.505 AS amount, chr(9) || 'usd' || chr(8195) AS currency,
+       map {'F': 'paid', 'O': 'overdue', 'P': 'void'}[o_orderstatus] AS status, ' ' || p.name || ' ' AS line_items
+FROM raw_orders JOIN products p ON p.n = k % 4""")
+
+_cte("raw_usage_events", ("event_types", "event_names"), """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS account_id,
+       CAST(user_id * 10 + event_id % 4 AS VARCHAR) AS user_id, n.name AS event_name,
+       ts - to_days(CAST(if(event_id % 4 < user_id % 5, 31, 0) + day(ts) % 3 AS INTEGER)) AS event_timestamp
+FROM events e
+LEFT JOIN event_types t ON t.event_type = e.event_type
+LEFT JOIN event_names n ON n.category = t.category AND n.n = e.event_id % 3""")
+
+_cte("raw_support_tickets", ("raw_orders", "targets", "ticket_kinds"), f"""
+WITH base AS (
+    SELECT *, {AS_OF_TS} - to_days(CAST(k % 200 AS INTEGER)) + to_minutes(CAST((k * 13) % 1440 AS INTEGER)) AS created_at,
+           'p' || least(digit, 4) AS level,
+           if(k % 12 = 0 AND a % 2 = 0, 'open', if(k % 12 = 6 AND a % 4 = 0, 'escalated', 'resolved')) AS state
+    FROM raw_orders
+)
+SELECT CAST(k AS VARCHAR) AS ticket_id, CAST(a AS VARCHAR) AS account_id, created_at,
+       if(state = 'resolved', created_at + to_minutes(CAST(hours * 3 * ((k * 7919) % 40) AS INTEGER)), NULL) AS resolved_at,
+       upper(level) || chr(9) AS priority, kind AS category, state AS status,
+       if(state = 'resolved' AND k % 5 <> 0, CAST(200 + (a % 3) * 100 + (k % 23) * 5 AS DOUBLE) / 100.0, NULL) AS satisfaction_score
+FROM base JOIN targets ON targets.priority = level JOIN ticket_kinds ON ticket_kinds.n = k % 6""")
 
 # ---------------------------------------------------------------- staging
-_cte("stg_accounts", ("raw_accounts",), """
-SELECT CAST(account_id AS VARCHAR) AS account_id,
-       trim(company_name) AS company_name,
-       lower(trim(industry)) AS industry,
-       CAST(employee_count AS BIGINT) AS employee_count,
-       lower(trim(plan_tier)) AS plan_tier,
-       trim(account_owner) AS account_owner,
-       lower(trim(region)) AS region,
-       CAST(signup_date AS DATE) AS signup_date,
-       lower(trim(status)) AS status
+_cte("stg_accounts", ("raw_accounts",), f"""
+SELECT account_id, {_text('company_name')} AS company_name, {_code('industry')} AS industry, employee_count,
+       {_code('plan_tier')} AS plan_tier, {_text('account_owner')} AS account_owner, {_code('region')} AS region,
+       CAST(signup_date AS DATE) AS signup_date, {_code('status')} AS status
 FROM raw_accounts WHERE account_id IS NOT NULL""")
 
-_cte("stg_subscriptions", ("raw_subscriptions",), """
-SELECT CAST(subscription_id AS VARCHAR) AS subscription_id,
-       CAST(account_id AS VARCHAR) AS account_id,
-       lower(trim(product_name)) AS product_name,
-       lower(trim(plan_tier)) AS plan_tier,
-       CAST(mrr_amount AS DECIMAL(18,2)) AS mrr_amount,
-       CAST(CAST(start_date AS TIMESTAMP) AS DATE) AS start_date,
-       CASE WHEN end_date IS NULL THEN NULL ELSE CAST(CAST(end_date AS TIMESTAMP) AS DATE) END AS end_date,
-       lower(trim(status)) AS status,
-       CASE WHEN lower(trim(status)) = 'active' THEN true ELSE false END AS is_active,
-       CASE WHEN end_date IS NOT NULL
-            THEN date_diff('day', CAST(CAST(start_date AS TIMESTAMP) AS DATE), CAST(CAST(end_date AS TIMESTAMP) AS DATE))
-       END AS duration_days
-FROM raw_subscriptions WHERE subscription_id IS NOT NULL""")
-
-_cte("stg_invoices", ("raw_invoices",), """
-SELECT CAST(invoice_id AS VARCHAR) AS invoice_id,
-       CAST(account_id AS VARCHAR) AS account_id,
-       CAST(invoice_date AS DATE) AS invoice_date,
-       CAST(amount AS DECIMAL(18,2)) AS amount,
-       upper(trim(currency)) AS currency,
-       lower(trim(status)) AS status,
-       trim(line_items) AS line_items,
-       CAST(date_trunc('month', CAST(invoice_date AS DATE)) AS DATE) AS invoice_month,
-       CASE WHEN lower(trim(status)) = 'paid' THEN true ELSE false END AS is_paid
-FROM raw_invoices WHERE invoice_id IS NOT NULL""")
+_cte("stg_subscriptions", ("raw_subscriptions",), f"""
+SELECT *, status IS NOT DISTINCT FROM 'active' AS is_active, end_date - start_date AS duration_days
+FROM (
+    SELECT subscription_id, account_id, {_code('product_name')} AS product_name, {_code('plan_tier')} AS plan_tier,
+           CAST(mrr_amount AS {MONEY}) AS mrr_amount, CAST(left(start_date, 10) AS DATE) AS start_date,
+           CAST(left(end_date, 10) AS DATE) AS end_date, {_code('status')} AS status
+    FROM raw_subscriptions WHERE subscription_id IS NOT NULL)""")
+
+_cte("stg_invoices", ("raw_invoices",), f"""
+SELECT *, CAST(date_trunc('month', invoice_date) AS DATE) AS invoice_month, status IS NOT DISTINCT FROM 'paid' AS is_paid
+FROM (
+    SELECT invoice_id, account_id, CAST(invoice_date AS DATE) AS invoice_date, CAST(amount AS {MONEY}) AS amount,
+           upper({_text('currency')}) AS currency, {_code('status')} AS status, {_text('line_items')} AS line_items
+    FROM raw_invoices WHERE invoice_id IS NOT NULL)""")
 
 _cte("stg_usage_events", ("raw_usage_events",), f"""
-SELECT CAST(event_id AS VARCHAR) AS event_id,
-       CAST(account_id AS VARCHAR) AS account_id,
-       CAST(user_id AS VARCHAR) AS user_id,
-       lower(trim(event_name)) AS event_name,
-       CAST(event_timestamp AS TIMESTAMP) AS event_timestamp,
-       CAST(CAST(event_timestamp AS TIMESTAMP) AS DATE) AS event_date,
-       CAST(hour(CAST(event_timestamp AS TIMESTAMP)) AS BIGINT) AS event_hour,
-       {_EVENT_CATEGORY} AS event_category
-FROM raw_usage_events WHERE event_id IS NOT NULL""")
+SELECT e.event_id, e.account_id, e.user_id, {_code('e.event_name')} AS event_name, e.event_timestamp,
+       CAST(e.event_timestamp AS DATE) AS event_date, hour(e.event_timestamp) AS event_hour,
+       coalesce(n.category, 'other') AS event_category
+FROM raw_usage_events e LEFT JOIN event_names n ON n.name = {_code('e.event_name')}
+WHERE e.event_id IS NOT NULL""")
 
 _cte("stg_support_tickets", ("raw_support_tickets",), f"""
-SELECT CAST(ticket_id AS VARCHAR) AS ticket_id,
-       CAST(account_id AS VARCHAR) AS account_id,
-       CAST(created_at AS TIMESTAMP) AS created_at,
-       CASE WHEN resolved_at IS NULL THEN NULL ELSE CAST(resolved_at AS TIMESTAMP) END AS resolved_at,
-       lower(trim(priority)) AS priority,
-       lower(trim(category)) AS category,
-       lower(trim(status)) AS status,
-       CASE WHEN satisfaction_score IS NULL THEN NULL ELSE CAST(satisfaction_score AS DOUBLE) END AS satisfaction_score,
-       CASE WHEN resolved_at IS NOT NULL
-            THEN {_hu_div("date_sub('minute', CAST(created_at AS TIMESTAMP), CAST(resolved_at AS TIMESTAMP))", "60", 1)}
-       END AS resolution_hours,
-       CASE WHEN lower(trim(priority)) = 'p1' THEN 4 WHEN lower(trim(priority)) = 'p2' THEN 12
-            WHEN lower(trim(priority)) = 'p3' THEN 48 WHEN lower(trim(priority)) = 'p4' THEN 120 END AS sla_target_hours,
-       CASE WHEN resolved_at IS NULL THEN NULL
-            WHEN lower(trim(priority)) = 'p1' AND date_sub('minute', created_at, resolved_at) / 60.0 > 4 THEN true
-            WHEN lower(trim(priority)) = 'p2' AND date_sub('minute', created_at, resolved_at) / 60.0 > 12 THEN true
-            WHEN lower(trim(priority)) = 'p3' AND date_sub('minute', created_at, resolved_at) / 60.0 > 48 THEN true
-            WHEN lower(trim(priority)) = 'p4' AND date_sub('minute', created_at, resolved_at) / 60.0 > 120 THEN true
-            ELSE false END AS is_sla_breach,
-       CAST(CAST(created_at AS TIMESTAMP) AS DATE) AS created_date
-FROM raw_support_tickets WHERE ticket_id IS NOT NULL""")
+SELECT r.ticket_id, r.account_id, r.created_at, r.resolved_at, {_code('r.priority')} AS priority, {_code('r.category')} AS category,
+       {_code('r.status')} AS status, r.satisfaction_score,
+       {_ratio("date_sub('minute', r.created_at, r.resolved_at)", '60', 1)} AS resolution_hours,
+       g.hours AS sla_target_hours,
+       if(r.resolved_at IS NULL, NULL, coalesce(date_sub('minute', r.created_at, r.resolved_at) > 60 * g.hours, false)) AS is_sla_breach,
+       CAST(r.created_at AS DATE) AS created_date
+FROM raw_support_tickets r LEFT JOIN targets g ON g.priority = {_code('r.priority')}
+WHERE r.ticket_id IS NOT NULL""")
 
 # ---------------------------------------------------------------- core
-_cte("subscription_summary", ("stg_subscriptions",), """
-SELECT account_id,
-       CAST(sum(CASE WHEN is_active THEN mrr_amount ELSE 0 END) AS DECIMAL(18,2)) AS current_mrr,
-       CAST(count(CASE WHEN is_active THEN 1 END) AS BIGINT) AS active_subscription_count,
-       CAST(count(*) AS BIGINT) AS total_subscription_count,
-       min(start_date) AS first_subscription_date,
-       max(CASE WHEN is_active THEN start_date END) AS latest_subscription_date,
-       CAST(count(CASE WHEN is_active AND product_name != 'novacrm_platform' THEN 1 END) AS BIGINT) AS active_addon_count
-FROM stg_subscriptions GROUP BY 1""")
+_cte("subscription_summary", ("stg_subscriptions",), f"""
+SELECT account_id, CAST(coalesce(sum(mrr_amount) FILTER (is_active), 0) AS {MONEY}) AS current_mrr,
+       count(*) FILTER (is_active) AS active_subscription_count, count(*) AS total_subscription_count,
+       min(start_date) AS first_subscription_date, max(start_date) FILTER (is_active) AS latest_subscription_date,
+       count(*) FILTER (is_active AND product_name <> (SELECT name FROM products WHERE kind = 'platform')) AS active_addon_count
+FROM stg_subscriptions GROUP BY ALL""")
 
 _cte("ticket_summary", ("stg_support_tickets",), f"""
-SELECT account_id,
-       CAST(count(*) AS BIGINT) AS lifetime_tickets,
-       CAST(count(CASE WHEN status IN ('open', 'escalated') THEN 1 END) AS BIGINT) AS open_tickets,
-       {_mean_tenths('satisfaction_score')} AS avg_csat,
-       {_mean_tenths('resolution_hours')} AS avg_resolution_hours,
-       CAST(sum(CASE WHEN is_sla_breach THEN 1 ELSE 0 END) AS BIGINT) AS sla_breaches
-FROM stg_support_tickets GROUP BY 1""")
+SELECT account_id, count(*) AS lifetime_tickets, count(*) FILTER (status = 'open' OR status = 'escalated') AS open_tickets,
+       {_mean_score(1)} AS avg_csat,
+       {_ratio('sum(CAST(resolution_hours * 10 AS BIGINT))', '10 * count(resolution_hours)', 1)} AS avg_resolution_hours,
+       count(*) FILTER (is_sla_breach) AS sla_breaches
+FROM stg_support_tickets GROUP BY ALL""")
 
 _cte("dim_account", ("stg_accounts", "subscription_summary", "ticket_summary"), f"""
-SELECT a.account_id, a.company_name, a.industry, a.employee_count, a.plan_tier, a.account_owner, a.region,
-       a.signup_date, a.status,
-       date_diff('day', a.signup_date, {AS_OF}) AS tenure_days,
-       date_diff('month', a.signup_date, {AS_OF}) AS tenure_months,
-       CASE WHEN a.plan_tier = 'enterprise' OR a.employee_count > 500 THEN 'enterprise'
-            WHEN a.plan_tier = 'growth' OR a.employee_count > 50 THEN 'mid_market'
-            ELSE 'smb' END AS account_segment,
-       CAST(coalesce(s.current_mrr, 0) AS DECIMAL(18,2)) AS current_mrr,
-       CAST(coalesce(s.current_mrr, 0) * 12 AS DECIMAL(18,2)) AS current_arr,
-       coalesce(s.active_subscription_count, 0) AS active_subscription_count,
-       coalesce(s.total_subscription_count, 0) AS total_subscription_count,
-       coalesce(s.active_addon_count, 0) AS active_addon_count,
-       s.first_subscription_date,
-       s.latest_subscription_date,
-       coalesce(t.lifetime_tickets, 0) AS lifetime_tickets,
-       coalesce(t.open_tickets, 0) AS open_tickets,
-       coalesce(t.avg_csat, 0.0) AS avg_csat,
-       coalesce(t.avg_resolution_hours, 0.0) AS avg_resolution_hours,
-       coalesce(t.sla_breaches, 0) AS sla_breaches,
-       CASE WHEN a.status = 'trial' THEN 'trial'
-            WHEN a.status = 'churned' THEN 'churned'
-            WHEN date_diff('day', a.signup_date, {AS_OF}) <= 90 THEN 'onboarding'
-            WHEN date_diff('day', a.signup_date, {AS_OF}) <= 365 THEN 'growing'
-            ELSE 'mature' END AS lifecycle_stage
-FROM stg_accounts a
-LEFT JOIN subscription_summary s ON a.account_id = s.account_id
-LEFT JOIN ticket_summary t ON a.account_id = t.account_id""")
-
-_cte("dim_product", ("stg_subscriptions",), """
-SELECT pa.product_name || '_' || coalesce(pt.plan_tier, 'all') AS product_key,
-       pa.product_name, pa.product_type, pa.product_display_name,
-       coalesce(pt.plan_tier, 'all') AS plan_tier,
-       CAST(coalesce(pt.tier_price_mrr, pa.list_price_mrr) AS BIGINT) AS list_price_mrr,
-       pa.feature_category
+SELECT account_id, company_name, industry, employee_count, plan_tier, account_owner, region, signup_date, status,
+       {AS_OF} - signup_date AS tenure_days,
+       (year({AS_OF}) * 12 + month({AS_OF})) - (year(signup_date) * 12 + month(signup_date)) AS tenure_months,
+       ['smb', 'mid_market', 'enterprise'][1 + greatest(
+            if(plan_tier = 'growth' OR employee_count > 50, 1, 0), if(plan_tier = 'enterprise' OR employee_count > 500, 2, 0))] AS account_segment,
+       coalesce(current_mrr, 0::{MONEY}) AS current_mrr, CAST(12 * coalesce(current_mrr, 0::{MONEY}) AS {MONEY}) AS current_arr,
+       coalesce(active_subscription_count, 0) AS active_subscription_count,
+       coalesce(total_subscription_count, 0) AS total_subscription_count,
+       coalesce(active_addon_count, 0) AS active_addon_count, first_subscription_date, latest_subscription_date,
+       coalesce(lifetime_tickets, 0) AS lifetime_tickets, coalesce(open_tickets, 0) AS open_tickets,
+       coalesce(avg_csat, 0.0) AS avg_csat, coalesce(avg_resolution_hours, 0.0) AS avg_resolution_hours,
+       coalesce(sla_breaches, 0) AS sla_breaches,
+       if(status IN ('trial', 'churned'), status,
+          if({AS_OF} - signup_date > 365, 'mature', if({AS_OF} - signup_date > 90, 'growing', 'onboarding'))) AS lifecycle_stage
+FROM stg_accounts LEFT JOIN subscription_summary USING (account_id) LEFT JOIN ticket_summary USING (account_id)""")
+
+_cte("dim_product", ("stg_subscriptions", "products", "tiers"), """
+WITH sold AS (SELECT DISTINCT product_name FROM stg_subscriptions),
+offers AS (
+    SELECT s.product_name, coalesce(p.kind, 'addon') AS product_type,
+           coalesce(p.shown, list_reduce(list_transform(string_split(s.product_name, '_'), lambda w: upper(w[1]) || w[2:]), lambda x, y: x || ' ' || y))
+             AS product_display_name,
+           unnest(if(p.kind = 'platform', (SELECT list({'tier': tier, 'price': price}) FROM tiers), [{'tier': 'all', 'price': coalesce(p.price, 0)}])) AS offer,
+           coalesce(p.category, 'other') AS feature_category
+    FROM sold s LEFT JOIN products p ON p.name = s.product_name
+)
+SELECT concat_ws('_', product_name, offer.tier) AS product_key, product_name, product_type, product_display_name,
+       offer.tier AS plan_tier, CAST(offer.price AS BIGINT) AS list_price_mrr, feature_category
+FROM offers""")
+
+_cte("dim_date", ("stg_invoices", "stg_usage_events", "stg_support_tickets"), """
+WITH days AS (
+    SELECT invoice_date AS d FROM stg_invoices UNION SELECT event_date FROM stg_usage_events UNION SELECT created_date FROM stg_support_tickets
+),
+spine AS (SELECT CAST(unnest(range(min(d)::TIMESTAMP, max(d)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS date_day FROM days)
+SELECT date_day, year(date_day) AS year, quarter(date_day) AS quarter, month(date_day) AS month_number,
+       monthname(date_day) AS month_name, left(date_day::VARCHAR, 7) AS year_month, weekofyear(date_day) AS week_number,
+       dayofweek(date_day) + 1 AS day_of_week, dayname(date_day) AS day_name, day(date_day) AS day_of_month,
+       isodow(date_day) > 5 AS is_weekend, CAST(date_trunc('month', date_day) AS DATE) AS first_day_of_month,
+       last_day(date_day) AS last_day_of_month, CAST(date_trunc('quarter', date_day) AS DATE) AS first_day_of_quarter,
+       make_date(year(date_day), 1, 1) AS first_day_of_year
+FROM spine""")
+
+_cte("monthly_revenue", ("stg_invoices",), f"""
+SELECT account_id, invoice_month AS revenue_month, CAST(sum(amount) AS {MONEY}) AS mrr
+FROM stg_invoices WHERE is_paid GROUP BY ALL""")
+
+
+def _revenue(before: str, new_is_expansion: bool = True) -> str:
+    """The revenue fact, given the expression of the previous month's amount."""
+    first = "mrr" if new_is_expansion else f"0::{MONEY}"
+    return f"""
+SELECT account_id, revenue_month, mrr, CAST(12 * mrr AS {MONEY}) AS arr, CAST(mrr - change AS {MONEY}) AS previous_mrr,
+       if(is_new, 'new', if(change = 0, 'flat', if(change > 0, 'expansion', 'contraction'))) AS revenue_movement,
+       CAST(if(is_new, {first}, greatest(change, 0)) AS {MONEY}) AS expansion_mrr,
+       CAST(if(is_new, 0, greatest(-change, 0)) AS {MONEY}) AS contraction_mrr,
+       CAST(change AS {MONEY}) AS net_mrr_change, month_number
 FROM (
-  SELECT product_name,
-         CASE WHEN product_name = 'novacrm_platform' THEN 'platform' ELSE 'addon' END AS product_type,
-         CASE WHEN product_name = 'novacrm_platform' THEN 'NovaCRM Platform'
-              WHEN product_name = 'api_access' THEN 'API Access'
-              WHEN product_name = 'advanced_analytics' THEN 'Advanced Analytics'
-              WHEN product_name = 'priority_support' THEN 'Priority Support'
-              ELSE array_to_string(list_transform(string_split(replace(product_name, '_', ' '), ' '),
-                                                  lambda w: upper(w[1]) || lower(w[2:])), ' ') END AS product_display_name,
-         CASE WHEN product_name = 'novacrm_platform' THEN NULL
-              WHEN product_name = 'api_access' THEN 29
-              WHEN product_name = 'advanced_analytics' THEN 79
-              WHEN product_name = 'priority_support' THEN 59 ELSE 0 END AS list_price_mrr,
-         CASE WHEN product_name = 'novacrm_platform' THEN 'core'
-              WHEN product_name = 'api_access' THEN 'integration'
-              WHEN product_name = 'advanced_analytics' THEN 'analytics'
-              WHEN product_name = 'priority_support' THEN 'support' ELSE 'other' END AS feature_category
-  FROM stg_subscriptions GROUP BY product_name
-) pa
-LEFT JOIN (
-  SELECT 'novacrm_platform' AS product_name, plan_tier,
-         CASE WHEN plan_tier = 'starter' THEN 49 WHEN plan_tier = 'growth' THEN 149
-              WHEN plan_tier = 'enterprise' THEN 499 END AS tier_price_mrr
-  FROM (SELECT unnest(['starter', 'growth', 'enterprise']) AS plan_tier)
-) pt ON pa.product_name = pt.product_name""")
-
-_cte("activity_bounds", ("stg_invoices", "stg_usage_events", "stg_support_tickets"), """
-SELECT min(lo) AS lo, max(hi) AS hi FROM (
-  SELECT min(invoice_date) AS lo, max(invoice_date) AS hi FROM stg_invoices
-  UNION ALL SELECT min(event_date), max(event_date) FROM stg_usage_events
-  UNION ALL SELECT min(created_date), max(created_date) FROM stg_support_tickets)""")
-
-_cte("dim_date", ("activity_bounds",), """
-SELECT date_day,
-       CAST(year(date_day) AS BIGINT) AS year,
-       CAST(quarter(date_day) AS BIGINT) AS quarter,
-       CAST(month(date_day) AS BIGINT) AS month_number,
-       strftime(date_day, '%B') AS month_name,
-       strftime(date_day, '%Y-%m') AS year_month,
-       CAST(weekofyear(date_day) AS BIGINT) AS week_number,
-       CAST(dayofweek(date_day) + 1 AS BIGINT) AS day_of_week,
-       strftime(date_day, '%A') AS day_name,
-       CAST(day(date_day) AS BIGINT) AS day_of_month,
-       CASE WHEN dayofweek(date_day) + 1 IN (1, 7) THEN true ELSE false END AS is_weekend,
-       CAST(date_trunc('month', date_day) AS DATE) AS first_day_of_month,
-       last_day(date_day) AS last_day_of_month,
-       CAST(date_trunc('quarter', date_day) AS DATE) AS first_day_of_quarter,
-       CAST(date_trunc('year', date_day) AS DATE) AS first_day_of_year
-FROM (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_day
-      FROM activity_bounds)""")
-
-_cte("monthly_revenue", ("stg_invoices",), """
-SELECT account_id, invoice_month AS revenue_month, CAST(sum(amount) AS DECIMAL(18,2)) AS mrr
-FROM stg_invoices WHERE is_paid = true GROUP BY 1, 2""")
-
-_cte("fct_revenue", ("monthly_revenue",), """
-SELECT account_id, revenue_month, mrr,
-       CAST(mrr * 12 AS DECIMAL(18,2)) AS arr,
-       CAST(coalesce(previous_mrr, 0) AS DECIMAL(18,2)) AS previous_mrr,
-       CASE WHEN previous_mrr IS NULL THEN 'new' WHEN mrr > previous_mrr THEN 'expansion'
-            WHEN mrr < previous_mrr THEN 'contraction' ELSE 'flat' END AS revenue_movement,
-       CAST(CASE WHEN previous_mrr IS NULL THEN mrr WHEN mrr > previous_mrr THEN mrr - previous_mrr ELSE 0 END
-            AS DECIMAL(18,2)) AS expansion_mrr,
-       CAST(CASE WHEN previous_mrr IS NOT NULL AND mrr < previous_mrr THEN previous_mrr - mrr ELSE 0 END
-            AS DECIMAL(18,2)) AS contraction_mrr,
-       CAST(mrr - coalesce(previous_mrr, 0) AS DECIMAL(18,2)) AS net_mrr_change,
-       CAST(month_number AS BIGINT) AS month_number
-FROM (SELECT *, lag(mrr) OVER (PARTITION BY account_id ORDER BY revenue_month) AS previous_mrr,
-                dense_rank() OVER (PARTITION BY account_id ORDER BY revenue_month) AS month_number
-      FROM monthly_revenue)""")
+    SELECT *, mrr - coalesce({before}, 0) AS change, {before} IS NULL AS is_new
+    FROM (SELECT *, lag(mrr) OVER w AS last_mrr, lag(revenue_month) OVER w AS last_month, row_number() OVER w AS month_number
+          FROM monthly_revenue WINDOW w AS (PARTITION BY account_id ORDER BY revenue_month)))"""
+
+
+_cte("fct_revenue", ("monthly_revenue",), _revenue("last_mrr"))
+_cte("fct_revenue_new_excluded", ("monthly_revenue",), _revenue("last_mrr", new_is_expansion=False))
+_cte("fct_revenue_gap_aware", ("monthly_revenue",), _revenue("if(last_month + INTERVAL 1 MONTH = revenue_month, last_mrr, NULL)"))
 
 _cte("fct_usage", ("stg_usage_events",), f"""
-SELECT *,
-       {_hu_div('distinct_categories_used', '5', 0, 100)} AS feature_breadth_pct,
-       CASE WHEN total_events >= 10 AND distinct_features_used >= 5 THEN true ELSE false END AS is_power_usage_day
-FROM (
-  SELECT account_id, event_date,
-         CAST(count(*) AS BIGINT) AS total_events,
-         CAST(count(DISTINCT user_id) AS BIGINT) AS active_users,
-         CAST(count(DISTINCT event_name) AS BIGINT) AS distinct_features_used,
-         CAST(count(DISTINCT event_category) AS BIGINT) AS distinct_categories_used,
-         CAST(count_if(event_category = 'reporting') AS BIGINT) AS reporting_events,
-         CAST(count_if(event_category = 'crm_core') AS BIGINT) AS crm_core_events,
-         CAST(count_if(event_category = 'communication') AS BIGINT) AS communication_events,
-         CAST(count_if(event_category = 'advanced') AS BIGINT) AS advanced_events,
-         CAST(count_if(event_category = 'platform') AS BIGINT) AS platform_events,
-         CAST(count_if(event_name = 'api_call') AS BIGINT) AS api_calls,
-         CAST(count_if(event_name = 'report_created') AS BIGINT) AS reports_created,
-         CAST(count_if(event_name = 'workflow_created') AS BIGINT) AS workflows_created,
-         min(event_timestamp) AS first_event_at,
-         max(event_timestamp) AS last_event_at,
-         {_hu_div("date_sub('minute', min(event_timestamp), max(event_timestamp))", "60", 1)} AS active_hours
-  FROM stg_usage_events GROUP BY 1, 2)""")
-
-_cte("fct_tickets", ("stg_support_tickets", "stg_accounts"), f"""
-SELECT t.ticket_id, t.account_id, t.priority, t.category, t.status, t.satisfaction_score,
-       t.created_at, t.resolved_at, t.created_date,
-       CAST(month(t.created_at) AS BIGINT) AS created_month,
-       strftime(t.created_at, '%Y-%m') AS created_year_month,
+WITH days AS (
+    SELECT account_id, event_date, count(*) AS total_events, count(DISTINCT user_id) AS active_users,
+           count(DISTINCT event_name) AS distinct_features_used, count(DISTINCT event_category) AS distinct_categories_used,
+           {', '.join(f"count(*) FILTER (event_category = '{c}') AS {c}_events" for c in _EVENTS)},
+           {', '.join(f"count(*) FILTER (event_name = '{n}') AS {c}" for n, c in (('api_call', 'api_calls'), ('report_created', 'reports_created'), ('workflow_created', 'workflows_created')))},
+           min(event_timestamp) AS first_event_at, max(event_timestamp) AS last_event_at
+    FROM stg_usage_events GROUP BY account_id, event_date
+)
+SELECT *, {_ratio("date_sub('minute', first_event_at, last_event_at)", '60', 1)} AS active_hours,
+       {_ratio('distinct_categories_used', '5', 0, 100)} AS feature_breadth_pct,
+       total_events >= 10 AND distinct_features_used >= 5 AS is_power_usage_day
+FROM days""")
+
+
+def _tickets(fast: str, slow: str, satisfied: str, neutral: str) -> str:
+    return f"""
+SELECT t.ticket_id, t.account_id, t.priority, t.category, t.status, t.satisfaction_score, t.created_at, t.resolved_at, t.created_date,
+       month(t.created_at) AS created_month, left(t.created_date::VARCHAR, 7) AS created_year_month,
        t.resolution_hours, t.sla_target_hours, t.is_sla_breach,
-       CASE WHEN t.resolution_hours IS NOT NULL AND t.sla_target_hours > 0
-            THEN {_hu_div('round(t.resolution_hours * 10)', 't.sla_target_hours * 10', 2)} END AS sla_ratio,
-       CASE WHEN t.status IN ('open', 'escalated') THEN 'unresolved'
-            WHEN t.resolution_hours <= t.sla_target_hours * 0.5 THEN 'fast'
-            WHEN t.resolution_hours <= t.sla_target_hours THEN 'on_time'
-            WHEN t.resolution_hours <= t.sla_target_hours * 1.5 THEN 'slow'
-            ELSE 'critical_breach' END AS resolution_speed,
-       CASE WHEN t.satisfaction_score IS NULL THEN 'no_rating'
-            WHEN t.satisfaction_score >= 4.0 THEN 'satisfied'
-            WHEN t.satisfaction_score >= 3.0 THEN 'neutral'
-            ELSE 'dissatisfied' END AS csat_tier,
-       ac.plan_tier AS account_plan_tier, ac.account_owner, ac.region AS account_region
-FROM stg_support_tickets t
-LEFT JOIN stg_accounts ac ON t.account_id = ac.account_id""")
+       {_ratio('CAST(10 * t.resolution_hours AS BIGINT)', '10 * t.sla_target_hours', 2)} AS sla_ratio,
+       if(t.status IN ('open', 'escalated'), 'unresolved', coalesce(
+            (SELECT arg_min(speed, part) FROM (VALUES ('fast', {fast}), ('on_time', 1.0), ('slow', {slow})) v(speed, part)
+             WHERE t.resolution_hours <= part * t.sla_target_hours), 'critical_breach')) AS resolution_speed,
+       coalesce(['dissatisfied', 'neutral', 'satisfied'][1 + CAST(t.satisfaction_score >= {neutral} AS INTEGER)
+                + CAST(t.satisfaction_score >= {satisfied} AS INTEGER)], 'no_rating') AS csat_tier,
+       a.plan_tier AS account_plan_tier, a.account_owner, a.region AS account_region
+FROM stg_support_tickets t LEFT JOIN stg_accounts a USING (account_id)"""
+
+
+_cte("fct_tickets", ("stg_support_tickets", "stg_accounts"), _tickets("0.5", "1.5", "4.0", "3.0"))
+_cte("fct_tickets_thresholds", ("stg_support_tickets", "stg_accounts"), _tickets("0.25", "2.0", "4.5", "2.5"))
 
 # ---------------------------------------------------------------- health score signals
 _cte("usage_scores", ("fct_usage",), f"""
-SELECT account_id, avg(total_events) AS avg_daily_events,
-       CAST(ntile(4) OVER (ORDER BY avg(total_events), account_id) * 25 AS BIGINT) AS usage_score
-FROM fct_usage WHERE event_date >= {AS_OF} - 30 GROUP BY 1""")
-
-_cte("support_scores", ("fct_tickets",), f"""
-SELECT account_id, recent_open_tickets, recent_avg_csat, avg_csat_1dp,
-       CAST(CASE WHEN recent_open_tickets = 0 AND coalesce(recent_avg_csat, 5.0) >= 4.0 THEN 100
-                 WHEN recent_open_tickets = 0 THEN 75
-                 WHEN recent_open_tickets <= 2 AND coalesce(recent_avg_csat, 3.0) >= 3.0 THEN 50
-                 WHEN recent_open_tickets <= 5 THEN 25
-                 ELSE 10 END AS BIGINT) AS support_score
-FROM (
-  SELECT account_id,
-         CAST(count(CASE WHEN status IN ('open', 'escalated') THEN 1 END) AS BIGINT) AS recent_open_tickets,
-         sum(round(satisfaction_score * 10)) / (count(satisfaction_score) * 10.0) AS recent_avg_csat,
-         {_mean_tenths('satisfaction_score')} AS avg_csat_1dp
-  FROM fct_tickets WHERE created_date >= {AS_OF} - 30 GROUP BY 1)""")
-
-_cte("revenue_scores", ("fct_revenue",), """
-SELECT account_id, mrr, net_mrr_change,
-       CAST(CASE WHEN net_mrr_change > 0 THEN 100 WHEN net_mrr_change = 0 THEN 60
-                 WHEN net_mrr_change > -50 THEN 30 ELSE 10 END AS BIGINT) AS revenue_score
-FROM fct_revenue
-QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY revenue_month DESC) = 1""")
+SELECT *, 25 * ntile(4) OVER (ORDER BY avg_daily_events, account_id) AS usage_score
+FROM (SELECT account_id, avg(total_events) AS avg_daily_events FROM fct_usage WHERE {AS_OF} - event_date <= 30 GROUP BY ALL)""")
+
+
+def _support(good: str, fair: str, few: int, some: int, points: tuple[int, ...]) -> str:
+    return f"""
+WITH recent AS (
+    SELECT account_id, count(*) FILTER (status IN ('open', 'escalated')) AS waiting, count(satisfaction_score) AS n,
+           coalesce(sum(CAST(satisfaction_score AS DECIMAL(20,9))), 0) AS total, {_mean_score(1)} AS avg_csat_1dp
+    FROM stg_support_tickets WHERE {AS_OF} - created_date <= 30 GROUP BY account_id
+)
+SELECT account_id, waiting AS recent_open_tickets, CAST(total AS DOUBLE) / nullif(n, 0) AS recent_avg_csat, avg_csat_1dp,
+       CAST(if(waiting = 0, if(total >= {good} * n, {points[0]}, {points[1]}),
+               if(waiting <= {few} AND total >= {fair} * n, {points[2]}, if(waiting <= {some}, {points[3]}, {points[4]}))) AS BIGINT) AS support_score
+FROM recent"""
+
+
+_cte("support_scores", ("stg_support_tickets",), _support("4.0", "3.0", 2, 5, (100, 75, 50, 25, 10)))
+_cte("support_scores_thresholds", ("stg_support_tickets",), _support("4.5", "2.5", 1, 3, (90, 70, 40, 20, 5)))
+
+
+def _revenue_points(points: tuple[int, ...], small: int) -> str:
+    return f"""
+SELECT account_id, last.mrr AS mrr, last.net_mrr_change AS net_mrr_change,
+       CAST([{points[3]}, {points[2]}, {points[1]}, {points[0]}][1 + CAST(last.net_mrr_change > -{small} AS INTEGER)
+            + CAST(last.net_mrr_change >= 0 AS INTEGER) + CAST(last.net_mrr_change > 0 AS INTEGER)] AS BIGINT) AS revenue_score
+FROM (SELECT account_id, arg_max(f, revenue_month) AS last FROM fct_revenue f GROUP BY account_id)"""
+
+
+_cte("revenue_scores", ("fct_revenue",), _revenue_points((100, 60, 30, 10), 50))
+_cte("revenue_scores_thresholds", ("fct_revenue",), _revenue_points((80, 55, 35, 0), 60))
 
 _cte("engagement_scores", ("stg_usage_events",), f"""
-SELECT account_id, CAST(count(DISTINCT event_name) AS BIGINT) AS features_used_30d,
-       CAST(ntile(4) OVER (ORDER BY count(DISTINCT event_name), account_id) * 25 AS BIGINT) AS engagement_score
-FROM stg_usage_events WHERE event_date >= {AS_OF} - 30 GROUP BY 1""")
-
-_cte("customer_health_scores", ("dim_account", "usage_scores", "support_scores", "revenue_scores", "engagement_scores"), """
-SELECT *,
-       CASE WHEN health_score >= 80 THEN 'champion' WHEN health_score >= 60 THEN 'healthy'
-            WHEN health_score >= 40 THEN 'neutral' WHEN health_score >= 20 THEN 'at_risk'
-            ELSE 'critical' END AS health_tier,
-       CAST(row_number() OVER (ORDER BY health_score, account_id) AS BIGINT) AS intervention_priority
-FROM (
-  SELECT a.account_id, a.company_name, a.account_segment, a.plan_tier, a.tenure_months, a.current_mrr,
-         a.current_arr, a.account_owner, a.lifecycle_stage, a.region,
-         coalesce(u.usage_score, 0) AS usage_score,
-         coalesce(s.support_score, 50) AS support_score,
-         coalesce(r.revenue_score, 50) AS revenue_score,
-         coalesce(e.engagement_score, 0) AS engagement_score,
-         coalesce(u.avg_daily_events, 0.0) AS avg_daily_events_30d,
-         coalesce(s.recent_open_tickets, 0) AS open_tickets_90d,
-         coalesce(s.avg_csat_1dp, 0.0) AS avg_csat_90d,
-         CAST(coalesce(r.mrr, 0) AS DECIMAL(18,2)) AS latest_mrr,
-         CAST(coalesce(r.net_mrr_change, 0) AS DECIMAL(18,2)) AS latest_mrr_change,
-         coalesce(e.features_used_30d, 0) AS features_used_30d,
-         CAST(round(coalesce(u.usage_score, 0) * 0.30 + coalesce(s.support_score, 50) * 0.20
-                    + coalesce(r.revenue_score, 50) * 0.25 + coalesce(e.engagement_score, 0) * 0.25, 1) AS DOUBLE)
-           AS health_score
-  FROM (SELECT * FROM dim_account WHERE status = 'active') a
-  LEFT JOIN usage_scores u ON a.account_id = u.account_id
-  LEFT JOIN support_scores s ON a.account_id = s.account_id
-  LEFT JOIN revenue_scores r ON a.account_id = r.account_id
-  LEFT JOIN engagement_scores e ON a.account_id = e.account_id)""")
+SELECT *, 25 * ntile(4) OVER (ORDER BY features_used_30d, account_id) AS engagement_score
+FROM (SELECT account_id, count(DISTINCT event_name) AS features_used_30d FROM stg_usage_events WHERE {AS_OF} - event_date <= 30 GROUP BY ALL)""")
+
+_cte("scored_accounts", ("dim_account", "usage_scores", "support_scores", "revenue_scores", "engagement_scores"), f"""
+WITH parts AS (
+    SELECT account_id, company_name, account_segment, plan_tier, tenure_months, current_mrr, current_arr, account_owner, lifecycle_stage, region,
+           ifnull(usage_score, 0) AS usage_score, ifnull(support_score, 50) AS support_score,
+           ifnull(revenue_score, 50) AS revenue_score, ifnull(engagement_score, 0) AS engagement_score,
+           ifnull(avg_daily_events, 0.0) AS avg_daily_events_30d, ifnull(recent_open_tickets, 0) AS open_tickets_90d,
+           ifnull(avg_csat_1dp, 0.0) AS avg_csat_90d, ifnull(mrr, 0::{MONEY}) AS latest_mrr,
+           ifnull(net_mrr_change, 0::{MONEY}) AS latest_mrr_change, ifnull(features_used_30d, 0) AS features_used_30d
+    FROM dim_account LEFT JOIN usage_scores USING (account_id) LEFT JOIN support_scores USING (account_id)
+    LEFT JOIN revenue_scores USING (account_id) LEFT JOIN engagement_scores USING (account_id)
+    WHERE status = 'active'
+),
+weighed AS (
+    SELECT *, CAST(round((30 * usage_score + 20 * support_score + 25 * revenue_score + 25 * engagement_score) / 100.0, 1) AS DOUBLE) AS health_score
+    FROM parts
+)
+SELECT *, ['critical', 'at_risk', 'neutral', 'healthy', 'champion', 'champion'][1 + CAST(floor(health_score / 20) AS INTEGER)] AS health_tier
+FROM weighed""")
+
+_cte("customer_health_scores", ("scored_accounts",), """
+SELECT *, row_number() OVER (ORDER BY health_score, account_id) AS intervention_priority FROM scored_accounts""")
 
 # ---------------------------------------------------------------- churn risk signals
 _cte("usage_trend", ("fct_usage",), f"""
-SELECT account_id,
-       CAST(sum(CASE WHEN event_date >= {AS_OF} - 30 THEN total_events ELSE 0 END) AS BIGINT) AS events_last_30d,
-       CAST(sum(CASE WHEN event_date >= {AS_OF} - 60 AND event_date < {AS_OF} - 30 THEN total_events ELSE 0 END)
-            AS BIGINT) AS events_prev_30d
-FROM fct_usage WHERE event_date >= {AS_OF} - 60 GROUP BY 1""")
-
-_cte("escalation_signal", ("fct_tickets",), f"""
-SELECT account_id, CAST(count(*) AS BIGINT) AS escalated_tickets_90d,
-       CAST(count_if(priority IN ('p1', 'p2')) AS BIGINT) AS high_priority_tickets_90d
-FROM fct_tickets WHERE created_date >= {AS_OF} - 90 AND status = 'escalated' GROUP BY 1""")
-
-_cte("revenue_trend", ("fct_revenue",), f"""
-SELECT account_id,
-       list(mrr ORDER BY revenue_month DESC)[1:3] AS recent_mrr_values,
-       CAST(count_if(revenue_movement = 'contraction') AS BIGINT) AS contraction_months_6m
-FROM fct_revenue WHERE revenue_month >= CAST({AS_OF} - INTERVAL 6 MONTH AS DATE) GROUP BY 1""")
-
-_cte("churn_risk_view", ("customer_health_scores", "usage_trend", "escalation_signal", "revenue_trend"), f"""
-SELECT h.account_id, h.company_name, h.account_segment, h.plan_tier, h.account_owner, h.region,
-       h.current_mrr, h.current_arr, h.tenure_months, h.health_score, h.health_tier,
-       coalesce(ut.events_last_30d, 0) AS events_last_30d,
-       coalesce(ut.events_prev_30d, 0) AS events_prev_30d,
-       CASE WHEN coalesce(ut.events_prev_30d, 0) = 0 THEN 0.0
-            ELSE {_hu_div('coalesce(ut.events_last_30d, 0) - ut.events_prev_30d', 'ut.events_prev_30d', 1, 100)} END
-         AS usage_change_pct,
-       coalesce(es.escalated_tickets_90d, 0) AS escalated_tickets_90d,
-       coalesce(es.high_priority_tickets_90d, 0) AS high_priority_tickets_90d,
-       coalesce(rt.contraction_months_6m, 0) AS contraction_months_6m,
-       CASE WHEN h.health_score < 40 THEN true ELSE false END AS is_low_health,
-       CASE WHEN coalesce(ut.events_prev_30d, 0) > 0
-             AND coalesce(ut.events_last_30d, 0) < ut.events_prev_30d * 0.5 THEN true ELSE false END AS is_usage_declining,
-       CASE WHEN coalesce(es.escalated_tickets_90d, 0) >= 2 THEN true ELSE false END AS has_escalations,
-       CASE WHEN coalesce(rt.contraction_months_6m, 0) >= 2 THEN true ELSE false END AS has_revenue_contraction,
-       CASE WHEN h.health_score < 20 THEN 'critical'
-            WHEN h.health_score < 40
-              OR (coalesce(ut.events_prev_30d, 0) > 0 AND coalesce(ut.events_last_30d, 0) < ut.events_prev_30d * 0.5)
-              OR coalesce(es.escalated_tickets_90d, 0) >= 2 THEN 'high'
-            WHEN h.health_score < 60 OR coalesce(rt.contraction_months_6m, 0) >= 2 THEN 'medium'
-            ELSE 'low' END AS risk_level,
-       CAST((CASE WHEN h.health_score < 40 THEN 1 ELSE 0 END)
-          + (CASE WHEN coalesce(ut.events_prev_30d, 0) > 0
-                   AND coalesce(ut.events_last_30d, 0) < ut.events_prev_30d * 0.5 THEN 1 ELSE 0 END)
-          + (CASE WHEN coalesce(es.escalated_tickets_90d, 0) >= 2 THEN 1 ELSE 0 END)
-          + (CASE WHEN coalesce(rt.contraction_months_6m, 0) >= 2 THEN 1 ELSE 0 END) AS BIGINT) AS risk_signal_count
-FROM customer_health_scores h
-LEFT JOIN usage_trend ut ON h.account_id = ut.account_id
-LEFT JOIN escalation_signal es ON h.account_id = es.account_id
-LEFT JOIN revenue_trend rt ON h.account_id = rt.account_id""")
+WITH aged AS (SELECT account_id, total_events, {AS_OF} - event_date AS age FROM fct_usage)
+SELECT account_id, CAST(coalesce(sum(total_events) FILTER (age <= 30), 0) AS BIGINT) AS events_last_30d,
+       CAST(coalesce(sum(total_events) FILTER (age > 30), 0) AS BIGINT) AS events_prev_30d
+FROM aged WHERE age <= 60 GROUP BY account_id""")
+
+_cte("escalation_signal", ("stg_support_tickets",), f"""
+SELECT account_id, count(*) AS escalated_tickets_90d, count(*) FILTER (priority < 'p3') AS high_priority_tickets_90d
+FROM stg_support_tickets WHERE status = 'escalated' AND {AS_OF} - created_date <= 90 GROUP BY account_id""")
+
+_cte("revenue_trend", ("fct_revenue",), """
+SELECT account_id, array_to_string(list(CAST(mrr AS VARCHAR) ORDER BY revenue_month DESC)[:3], ', ') AS recent_mrr_values,
+       count(*) FILTER (revenue_movement = 'contraction') AS contraction_months_6m
+FROM fct_revenue WHERE revenue_month >= DATE '2023-07-31' GROUP BY account_id""")
+
+_cte("churn_risk_view", ("scored_accounts", "usage_trend", "escalation_signal", "revenue_trend"), f"""
+WITH signals AS (
+    SELECT account_id, company_name, account_segment, plan_tier, account_owner, region, current_mrr, current_arr, tenure_months,
+           health_score, health_tier, ifnull(events_last_30d, 0) AS events_last_30d, ifnull(events_prev_30d, 0) AS events_prev_30d,
+           ifnull(escalated_tickets_90d, 0) AS escalated_tickets_90d, ifnull(high_priority_tickets_90d, 0) AS high_priority_tickets_90d,
+           ifnull(contraction_months_6m, 0) AS contraction_months_6m
+    FROM scored_accounts LEFT JOIN usage_trend USING (account_id) LEFT JOIN escalation_signal USING (account_id)
+    LEFT JOIN revenue_trend USING (account_id)
+),
+flagged AS (
+    SELECT *, health_score < 40 AS is_low_health, 2 * events_last_30d < events_prev_30d AS is_usage_declining,
+           escalated_tickets_90d > 1 AS has_escalations, contraction_months_6m > 1 AS has_revenue_contraction
+    FROM signals
+)
+SELECT *, ifnull({_ratio('events_last_30d - events_prev_30d', 'events_prev_30d', 1, 100)}, 0.0) AS usage_change_pct,
+       if(health_score < 20, 'critical', if(is_low_health OR is_usage_declining OR has_escalations, 'high',
+          if(health_score < 60 OR has_revenue_contraction, 'medium', 'low'))) AS risk_level,
+       len(list_filter([is_low_health, is_usage_declining, has_escalations, has_revenue_contraction], lambda f: f)) AS risk_signal_count
+FROM flagged""")
 
 # ---------------------------------------------------------------- net revenue retention
-_cte("monthly_movements", ("fct_revenue",), """
-SELECT revenue_month,
-       CAST(sum(mrr) AS DECIMAL(18,2)) AS total_mrr,
-       CAST(sum(CASE WHEN revenue_movement = 'new' THEN mrr ELSE 0 END) AS DECIMAL(18,2)) AS new_mrr,
-       CAST(sum(expansion_mrr) AS DECIMAL(18,2)) AS expansion_mrr,
-       CAST(sum(contraction_mrr) AS DECIMAL(18,2)) AS contraction_mrr,
-       CAST(count(DISTINCT account_id) AS BIGINT) AS paying_accounts
-FROM fct_revenue GROUP BY 1""")
-
-_cte("churn_detection", ("fct_revenue",), """
-SELECT r.revenue_month AS last_active_month,
-       CAST(r.revenue_month + INTERVAL 1 MONTH AS DATE) AS churn_month,
-       CAST(sum(r.mrr) AS DECIMAL(18,2)) AS churned_mrr,
-       CAST(count(DISTINCT r.account_id) AS BIGINT) AS churned_accounts
-FROM fct_revenue r
-LEFT JOIN fct_revenue next_month
-  ON r.account_id = next_month.account_id
- AND CAST(r.revenue_month + INTERVAL 1 MONTH AS DATE) = next_month.revenue_month
-WHERE next_month.account_id IS NULL
-GROUP BY 1, 2""")
-
-_NRR = lambda num: _hu_div(_cents(num), _cents("starting_mrr"), 1, 100)
-
-_cte("nrr_summary", ("monthly_movements", "churn_detection"), f"""
-SELECT revenue_month,
-       CAST(coalesce(starting_mrr, 0) AS DECIMAL(18,2)) AS starting_mrr,
-       new_mrr, expansion_mrr, contraction_mrr, churned_mrr, ending_mrr,
-       CASE WHEN coalesce(starting_mrr, 0) = 0 THEN NULL
-            ELSE {_NRR('starting_mrr + expansion_mrr - contraction_mrr - churned_mrr')} END AS nrr_pct,
-       CASE WHEN coalesce(starting_mrr, 0) = 0 THEN NULL
-            ELSE {_NRR('starting_mrr - contraction_mrr - churned_mrr')} END AS grr_pct,
-       paying_accounts, churned_accounts,
-       CASE WHEN coalesce(starting_mrr, 0) = 0 THEN NULL ELSE {_NRR('ending_mrr - starting_mrr')} END AS mrr_growth_pct,
-       CAST(ending_mrr * 12 AS DECIMAL(18,2)) AS ending_arr
-FROM (
-  SELECT m.revenue_month, m.total_mrr AS ending_mrr, m.new_mrr, m.expansion_mrr, m.contraction_mrr,
-         CAST(coalesce(c.churned_mrr, 0) AS DECIMAL(18,2)) AS churned_mrr,
-         m.paying_accounts,
-         coalesce(c.churned_accounts, 0) AS churned_accounts,
-         lag(m.total_mrr) OVER (ORDER BY m.revenue_month) AS starting_mrr
-  FROM monthly_movements m
-  LEFT JOIN churn_detection c ON m.revenue_month = c.churn_month)""")
+_cte("monthly_movements", ("fct_revenue",), f"""
+SELECT revenue_month, {', '.join(f"CAST({x} AS {MONEY}) AS {n}" for x, n in (
+    ('sum(mrr)', 'total_mrr'), ("coalesce(sum(mrr) FILTER (revenue_movement = 'new'), 0)", 'new_mrr'),
+    ('sum(expansion_mrr)', 'expansion_mrr'), ('sum(contraction_mrr)', 'contraction_mrr')))}, count(*) AS paying_accounts
+FROM fct_revenue GROUP BY revenue_month""")
+
+_cte("churn_detection", ("fct_revenue",), f"""
+WITH next_paid AS (
+    SELECT *, CAST(revenue_month + INTERVAL 1 MONTH AS DATE) AS due, lead(revenue_month) OVER (PARTITION BY account_id ORDER BY revenue_month) AS paid
+    FROM fct_revenue
+)
+SELECT revenue_month AS last_active_month, due AS churn_month, CAST(sum(mrr) AS {MONEY}) AS churned_mrr, count(*) AS churned_accounts
+FROM next_paid WHERE paid IS DISTINCT FROM due GROUP BY revenue_month, due""")
+
+_cte("waterfall_movements", ("monthly_movements", "churn_detection"), f"""
+SELECT ifnull(revenue_month, churn_month) AS revenue_month, total_mrr, ifnull(new_mrr, 0::{MONEY}) AS new_mrr, expansion_mrr, contraction_mrr,
+       ifnull(paying_accounts, 0) AS paying_accounts, ifnull(churned_mrr, 0::{MONEY}) AS churned_mrr, ifnull(churned_accounts, 0) AS churned_accounts
+FROM monthly_movements FULL JOIN churn_detection ON revenue_month = churn_month""")
+
+
+def _of_start(amount: str) -> str:
+    return _ratio(_units(amount), _units("opening"), 1, 100)
+
+
+_cte("nrr_summary", ("waterfall_movements",), f"""
+WITH months AS (
+    SELECT *, ifnull(lag(total_mrr) OVER (ORDER BY revenue_month), 0::{MONEY}) AS opening
+    FROM waterfall_movements WHERE paying_accounts > 0
+)
+SELECT revenue_month, opening AS starting_mrr, new_mrr, expansion_mrr, contraction_mrr, churned_mrr, total_mrr AS ending_mrr,
+       {_of_start('opening + expansion_mrr - contraction_mrr - churned_mrr')} AS nrr_pct,
+       {_of_start('opening - contraction_mrr - churned_mrr')} AS grr_pct, paying_accounts, churned_accounts,
+       {_of_start('total_mrr - opening')} AS mrr_growth_pct, CAST(12 * total_mrr AS {MONEY}) AS ending_arr
+FROM months""")
+
 
 # ---------------------------------------------------------------- cohorts
-_cte("revenue_with_cohort", ("dim_account", "fct_revenue"), """
-SELECT r.account_id, c.cohort_month, r.revenue_month, r.mrr, r.month_number,
-       date_diff('month', c.cohort_month, r.revenue_month) AS months_since_signup
-FROM fct_revenue r
-INNER JOIN (SELECT account_id, CAST(date_trunc('month', signup_date) AS DATE) AS cohort_month FROM dim_account) c
-  ON r.account_id = c.account_id""")
-
-_cte("cohort_metrics", ("revenue_with_cohort",), """
-SELECT cohort_month, months_since_signup,
-       CAST(count(DISTINCT account_id) AS BIGINT) AS active_accounts,
-       CAST(sum(mrr) AS DECIMAL(18,2)) AS cohort_mrr
-FROM revenue_with_cohort GROUP BY 1, 2""")
-
-_cte("revenue_cohort_analysis", ("cohort_metrics",), f"""
-SELECT cm.cohort_month,
-       strftime(cm.cohort_month, '%Y-%m') AS cohort_label,
-       cm.months_since_signup,
-       cm.active_accounts,
-       cm.cohort_mrr,
-       {_hu_div(_cents('cm.cohort_mrr'), 'cm.active_accounts * 100', 6)} AS avg_mrr_per_account,
-       cs.initial_accounts,
-       cs.initial_mrr,
-       {_hu_div('cm.active_accounts', 'cs.initial_accounts', 1, 100)} AS account_retention_pct,
-       {_hu_div(_cents('cm.cohort_mrr'), _cents('cs.initial_mrr'), 1, 100)} AS revenue_retention_pct,
-       {_hu_div(f"{_cents('cm.cohort_mrr')} * cs.initial_accounts - {_cents('cs.initial_mrr')} * cm.active_accounts",
-                'cm.active_accounts * cs.initial_accounts * 100', 2)} AS avg_mrr_change_per_account
-FROM cohort_metrics cm
-INNER JOIN (SELECT cohort_month, active_accounts AS initial_accounts, cohort_mrr AS initial_mrr
-            FROM cohort_metrics WHERE months_since_signup = 0) cs
-  ON cm.cohort_month = cs.cohort_month""")
+def _cohort(prefix: str, cohorts: str) -> None:
+    _cte(f"{prefix}revenue_with_cohort", ("dim_account", "fct_revenue"), f"""
+WITH cohorts AS ({cohorts})
+SELECT account_id, cohort_month, revenue_month, mrr, month_number,
+       12 * (year(revenue_month) - year(cohort_month)) + month(revenue_month) - month(cohort_month) AS months_since_signup
+FROM cohorts JOIN fct_revenue USING (account_id)""")
+    _cte(f"{prefix}cohort_metrics", (f"{prefix}revenue_with_cohort",), f"""
+SELECT cohort_month, months_since_signup, count(DISTINCT account_id) AS active_accounts, CAST(sum(mrr) AS {MONEY}) AS cohort_mrr
+FROM {prefix}revenue_with_cohort GROUP BY ALL""")
+    _cte(f"{prefix}revenue_cohort_analysis", (f"{prefix}cohort_metrics",), f"""
+WITH based AS (
+    SELECT *, any_value(active_accounts) FILTER (months_since_signup = 0) OVER (PARTITION BY cohort_month) AS initial_accounts,
+           any_value(cohort_mrr) FILTER (months_since_signup = 0) OVER (PARTITION BY cohort_month) AS initial_mrr
+    FROM {prefix}cohort_metrics
+)
+SELECT cohort_month, left(cohort_month::VARCHAR, 7) AS cohort_label, months_since_signup, active_accounts, cohort_mrr,
+       CAST(cohort_mrr AS DOUBLE) / active_accounts AS avg_mrr_per_account, initial_accounts, initial_mrr,
+       {_ratio('active_accounts', 'initial_accounts', 1, 100)} AS account_retention_pct,
+       {_ratio(_units('cohort_mrr'), _units('initial_mrr'), 1, 100)} AS revenue_retention_pct,
+       {_ratio(f"CAST({_units('cohort_mrr')} AS HUGEINT) * initial_accounts - CAST({_units('initial_mrr')} AS HUGEINT) * active_accounts",
+               f'active_accounts::HUGEINT * initial_accounts * {_UNIT}', 2)} AS avg_mrr_change_per_account
+FROM based WHERE initial_accounts IS NOT NULL""")
+
+
+_cohort("", "SELECT account_id, CAST(date_trunc('month', signup_date) AS DATE) AS cohort_month FROM dim_account")
+_cohort("observed_", "SELECT account_id, min(revenue_month) AS cohort_month FROM fct_revenue GROUP BY account_id")
 
 # ---------------------------------------------------------------- SLA adherence
-_cte("tickets_enriched", ("fct_tickets", "dim_account"), """
-SELECT t.*, a.account_segment, a.plan_tier AS account_plan_tier_dim,
-       strftime(t.created_date, '%Y-%m') AS ticket_year_month
-FROM fct_tickets t INNER JOIN dim_account a ON t.account_id = a.account_id""")
-
-_SLA_COMMON = f"""
-       CAST(count(*) AS BIGINT) AS total_tickets,
-       CAST(count_if(status = 'resolved') AS BIGINT) AS resolved_tickets,
-       CAST(count_if(is_sla_breach = true) AS BIGINT) AS sla_breaches,
-       CAST(count_if(is_sla_breach = false AND status = 'resolved') AS BIGINT) AS within_sla,
-       CAST(count_if(status IN ('open', 'escalated')) AS BIGINT) AS unresolved_tickets,
-       {_hu_div("count_if(is_sla_breach = false AND status = 'resolved')", "count_if(status = 'resolved')", 1, 100)}
-         AS sla_adherence_pct,
-       {_hu_div("sum(round(CASE WHEN status = 'resolved' THEN resolution_hours END * 10))",
-                "count(CASE WHEN status = 'resolved' THEN resolution_hours END) * 10", 1)} AS avg_resolution_hours,
-       round(quantile_disc(CASE WHEN status = 'resolved' THEN resolution_hours END, 0.5), 1) AS median_resolution_hours,
-       round(quantile_disc(CASE WHEN status = 'resolved' THEN resolution_hours END, 0.9), 1) AS p90_resolution_hours,
-       {_mean_tenths('satisfaction_score', 2)} AS avg_csat"""
-
-_cte("sla_by_priority", ("tickets_enriched",), f"""
-SELECT ticket_year_month, 'priority' AS dimension_type, priority AS dimension_value, {_SLA_COMMON}
-FROM tickets_enriched GROUP BY 1, 2, 3""")
-
-_cte("sla_by_segment", ("tickets_enriched",), f"""
-SELECT ticket_year_month, 'segment' AS dimension_type, account_segment AS dimension_value,
-       total_tickets, CAST(NULL AS BIGINT) AS resolved_tickets, sla_breaches, CAST(NULL AS BIGINT) AS within_sla,
-       CAST(NULL AS BIGINT) AS unresolved_tickets, sla_adherence_pct, avg_resolution_hours,
-       CAST(NULL AS DOUBLE) AS median_resolution_hours, CAST(NULL AS DOUBLE) AS p90_resolution_hours, avg_csat
-FROM (SELECT ticket_year_month, account_segment, {_SLA_COMMON} FROM tickets_enriched GROUP BY 1, 2)""")
-
-_cte("sla_adherence", ("sla_by_priority", "sla_by_segment"), """
-SELECT * FROM sla_by_priority UNION ALL SELECT * FROM sla_by_segment""")
+_cte("sla_tickets", ("stg_support_tickets", "dim_account"), """
+SELECT left(created_date::VARCHAR, 7) AS ticket_year_month, priority, account_segment, s.status = 'resolved' AS done, is_sla_breach AS late,
+       s.status IN ('open', 'escalated') AS waiting, if(s.status = 'resolved', resolution_hours, NULL) AS hours, satisfaction_score
+FROM stg_support_tickets s JOIN dim_account USING (account_id)""")
+
+
+def _sla(dimension: str, column: str) -> str:
+    def only(x: str, kind: str) -> str:
+        return x if dimension == "priority" else f"NULL::{kind}"
+
+    return f"""
+SELECT ticket_year_month, '{dimension}' AS dimension_type, {column} AS dimension_value, count(*) AS total_tickets,
+       {only('count(*) FILTER (done)', 'BIGINT')} AS resolved_tickets, count(*) FILTER (late) AS sla_breaches,
+       {only('count(*) FILTER (done AND NOT late)', 'BIGINT')} AS within_sla, {only('count(*) FILTER (waiting)', 'BIGINT')} AS unresolved_tickets,
+       {_ratio('count(*) FILTER (done AND NOT late)', 'count(*) FILTER (done)', 1, 100)} AS sla_adherence_pct,
+       {_ratio('sum(CAST(10 * hours AS BIGINT))', '10 * count(hours)', 1)} AS avg_resolution_hours,
+       {only('quantile_disc(hours, 0.5)', 'DOUBLE')} AS median_resolution_hours, {only('quantile_disc(hours, 0.9)', 'DOUBLE')} AS p90_resolution_hours,
+       {_mean_score(2)} AS avg_csat
+FROM sla_tickets GROUP BY ticket_year_month, {column}"""
+
+
+_cte("sla_by_priority", ("sla_tickets",), _sla("priority", "priority"))
+_cte("sla_by_segment", ("sla_tickets",), _sla("segment", "account_segment"))
+_cte("sla_adherence", ("sla_by_priority", "sla_by_segment"), "FROM sla_by_priority UNION ALL FROM sla_by_segment")
 
 
 def _closure(names: tuple[str, ...]) -> list[str]:
@@ -676,15 +548,3 @@ def quality_report_sql(checks) -> str:
                 rels.append(r)
     union = "\nUNION ALL\n".join(check_sql(c) for c in checks)
     return sql_for(f"SELECT *, violations = 0 AS passed FROM (\n{union}\n)", *rels)
-
-
-# Monthly movements with churn attributed to the following month; months that
-# only receive churn (no paying account) appear with zero paying accounts.
-_cte("waterfall_movements", ("monthly_movements", "churn_detection"), """
-SELECT coalesce(m.revenue_month, c.churn_month) AS revenue_month,
-       m.total_mrr, coalesce(m.new_mrr, CAST(0 AS DECIMAL(18,2))) AS new_mrr, m.expansion_mrr, m.contraction_mrr,
-       coalesce(m.paying_accounts, 0) AS paying_accounts,
-       CAST(coalesce(c.churned_mrr, 0) AS DECIMAL(18,2)) AS churned_mrr,
-       coalesce(c.churned_accounts, 0) AS churned_accounts
-FROM monthly_movements m
-FULL OUTER JOIN churn_detection c ON m.revenue_month = c.churn_month""")

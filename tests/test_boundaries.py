@@ -79,7 +79,7 @@ def test_revenue_trend_recent_values_only_in_window(spark):
     assert r.recent_mrr_values == [Decimal("13.00"), Decimal("12.00"), Decimal("11.00")]
 
 
-def test_feature_bitmap_equals_count_distinct(spark):
+def test_usage_fact_counts_distinct_names_and_users(spark):
     from acctlens.plans.staging import stg_usage_events
     from acctlens.sources.raw import RAW_USAGE_EVENTS
 
@@ -91,8 +91,8 @@ def test_feature_bitmap_equals_count_distinct(spark):
         ("e5", "b", "u9", "note_added", "2025-01-11T08:00:00", None),
     ]
     events = stg_usage_events(spark.createDataFrame(rows, RAW_USAGE_EVENTS))
-    bitmap = {(r.account_id, r.event_date): tuple(r) for r in core.fct_usage(events).collect()}
-    fallback = {(r.account_id, r.event_date): tuple(r) for r in core.fct_usage(events, feature_bitmap_max=2).collect()}
-    assert bitmap == fallback
-    assert bitmap[("a", D(2025, 1, 10))][4] == 3  # distinct_features_used, unknown name included
-    assert core.feature_vocabulary(events, 2) is None
+    day = {(r.account_id, r.event_date): r for r in core.fct_usage(events).collect()}
+    a, b = day[("a", D(2025, 1, 10))], day[("b", D(2025, 1, 11))]
+    assert (a.total_events, a.active_users, a.distinct_features_used, a.distinct_categories_used) == (4, 2, 3, 3)
+    assert (a.api_calls, a.reports_created, a.advanced_events, a.reporting_events, a.active_hours) == (2, 1, 2, 1, 3.0)
+    assert (b.total_events, b.active_users, b.crm_core_events, b.api_calls) == (1, 1, 1, 0)

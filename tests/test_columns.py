@@ -76,9 +76,9 @@ def test_month_boundaries(spark):
 
 
 def test_support_score_ladder(spark):
-    rows = [(0, 4.0), (0, 3.9), (0, None), (2, 3.0), (2, 2.9), (2, None), (5, 4.5), (6, 4.5)]
-    got = _col(spark, rows, "o long, c double", X.support_score(F.col("o"), F.col("c")))
-    assert got == [100, 75, 100, 50, 25, 50, 25, 10]
+    rows = [(0, "4.0", 1), (0, "3.9", 1), (0, "7.9", 2), (0, "0", 0), (2, "3.0", 1), (2, "2.9", 1), (2, "0", 0), (5, "4.5", 1), (6, "4.5", 1)]
+    got = _col(spark, [(o, Decimal(s), n) for o, s, n in rows], "o long, s decimal(20,9), n long", X.support_score(F.col("o"), F.col("s"), F.col("n")))
+    assert got == [100, 75, 75, 100, 50, 25, 50, 25, 10]
 
 
 def test_revenue_score_ladder(spark):

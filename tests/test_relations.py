@@ -100,7 +100,8 @@ def test_sla_quantiles_and_null_groups(spark, settings):
     p2 = out[("priority", "p2")]
     assert p2.median_resolution_hours is None and p2.sla_adherence_pct is None  # all-null group
     assert out[("segment", "smb")].total_tickets == 11 and out[("segment", "smb")].resolved_tickets is None
-    same = {(r.dimension_type, r.dimension_value): tuple(r) for r in marts.sla_adherence_union(t, accounts).collect()}
+    te = marts.tickets_enriched(t, accounts)
+    same = {(r.dimension_type, r.dimension_value): tuple(r) for r in marts.sla_by_priority(te).unionByName(marts.sla_by_segment(te)).collect()}
     assert same == {k: tuple(v) for k, v in out.items()}
 
 
