@@ -206,14 +206,34 @@ _ORACLE: dict[str, str] = {
 }
 
 
-def _checked_relations(p: Pipeline) -> dict[str, DataFrame]:
-    rels = p.relations()
-    rels["dim_date"] = _dim_date(p)
-    return rels
+def _checked_relations(p: Pipeline, checks: list[Q.Check]) -> dict[str, DataFrame]:
+    """The relations that the checks name, and no others."""
+    named = dict.fromkeys(r for c in checks for r in (c.relation, c.to) if r)
+    return {n: _dim_date(p) if n == "dim_date" else getattr(p, n) for n in named}
 
 
 def _suite(checks: list[Q.Check]) -> Callable[[SparkSession, str], DataFrame]:
-    return _with(lambda p: Q.run_checks(_checked_relations(p), checks))
+    return _with(lambda p: Q.run_checks(_checked_relations(p, checks), checks))
+
+
+# Checks that the given tables do violate.
+_TABLE_CHECKS = [
+    Q.Check("order_lines", "l_orderkey", "unique"),
+    Q.Check("order_lines", "l_returnflag", "accepted_values", ("A", "N")),
+    Q.Check("order_states", "open_status", "not_null"),
+    Q.Check("order_states", "o_orderkey", "unique"),
+    Q.Check("order_states", "o_custkey", "relationships", to="solvent_customers", field="c_custkey"),
+    Q.Check("order_states", None, "expression", predicate="o_totalprice > 200000", name="assert_price_ceiling"),
+]
+
+
+def _tables_to_check(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    return {
+        "order_lines": read("lineitem").select("l_orderkey", "l_returnflag"),
+        "order_states": read("orders").selectExpr("o_orderkey", "o_custkey", "o_totalprice", "nullif(o_orderstatus, 'F') AS open_status"),
+        "solvent_customers": read("customer").filter("c_acctbal > 0").select("c_custkey"),
+    }
 
 
 _QUALITY_GROUPS = {
@@ -227,6 +247,14 @@ for _name, _checks in _QUALITY_GROUPS.items():
     _QUERIES[_name] = _suite(_checks)
     _ORACLE[_name] = O.quality_report_sql(_checks)
 
+_QUERIES["dq_violated_checks"] = lambda spark, sf_dir: Q.run_checks(_tables_to_check(spark, sf_dir), _TABLE_CHECKS)
+_ORACLE["dq_violated_checks"] = O.quality_report_sql(_TABLE_CHECKS)
+_QUERIES["dq_repeated_order_keys"] = lambda spark, sf_dir: Q.unique_violations(_tables_to_check(spark, sf_dir)["order_lines"], "l_orderkey")
+_ORACLE["dq_repeated_order_keys"] = "SELECT l_orderkey, count(*) AS n_records FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1"
+_QUERIES["dq_orders_over_ceiling"] = lambda spark, sf_dir: Q.expression_violations(
+    _tables_to_check(spark, sf_dir)["order_states"], "o_totalprice > 200000"
+).select("o_orderkey", "o_totalprice")
+_ORACLE["dq_orders_over_ceiling"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 200000"
 _QUERIES["dq_assert_mrr_non_negative"] = _with(lambda p: Q.mrr_non_negative(p.fct_revenue))
 _ORACLE["dq_assert_mrr_non_negative"] = O.sql_for(
     "SELECT account_id, revenue_month, mrr FROM fct_revenue WHERE mrr < 0", "fct_revenue"

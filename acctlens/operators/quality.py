@@ -6,10 +6,10 @@ evaluates a whole list and returns one report row per check:
 
 Cost model of ``run_checks``, per relation:
 
-* all ``unique`` / ``not_null`` / ``accepted_values`` / expression checks
-  of all relations share one hash aggregation on (check, value), fed by one
-  scan per relation, partial aggregation first, so a repeated value is
-  collapsed map-side;
+* all ``not_null`` / ``accepted_values`` / expression checks are counts of one
+  aggregate over one scan: a task sends one row, whatever it has read;
+* a ``unique`` check is a group-by of its own column, with partial counts, so a
+  repeated value is collapsed before the shuffle;
 * the ``relationships`` checks reduce each child to distinct (check, key)
   rows and anti-join them, in one join, with the parents' distinct keys: a
   key holding a third of the child rows is one row by the time it reaches
@@ -103,36 +103,19 @@ def _folded_predicate(c: Check) -> Column:
     return F.coalesce(F.expr(c.predicate), F.lit(False))
 
 
-def _report_row(c: Check, violations: Column) -> Column:
-    return F.struct(
-        F.lit(c.relation).alias("relation"),
-        F.lit(c.column).cast("string").alias("column_name"),
-        F.lit(c.check_name).alias("check_name"),
-        violations.cast("bigint").alias("violations"),
-    )
-
+def _counts(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """``(i, n)``: violating rows of one relation's row-wise checks, by one aggregate."""
+    row = df.agg(*[F.count_if(_folded_predicate(c)).alias(f"n{i}") for i, c in checks])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n")) for i, _ in checks])))
 
-def _check_entries(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    """``(i, v)`` entries of one relation for its unique / not-null /
-    accepted-values / expression checks (``i`` is the check's id).
 
-    Every row emits its value for each unique check, and a marker (NULL
-    value) for each other check it violates.
-    """
-    entries = []
-    for i, c in checks:
-        if c.kind == "unique":
-            v = F.col(c.column)
-            entries.append(F.when(v.isNotNull(), F.struct(F.lit(i).alias("i"), v.cast("string").alias("v"))))
-        else:
-            entries.append(
-                F.when(_folded_predicate(c), F.struct(F.lit(i).alias("i"), F.lit(None).cast("string").alias("v")))
-            )
-    return df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull()).select("e.i", "e.v")
+def _repeated(df: DataFrame, i: int, c: Check) -> DataFrame:
+    """``(i, n)``: how many values of the column occur more than once."""
+    return unique_violations(df, c.column).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
 
 
-def _relationships_report(
-    spark, relations: Mapping[str, DataFrame], checks: Sequence[tuple[int, Check]]
+def _orphans(
+    relations: Mapping[str, DataFrame], checks: Sequence[tuple[int, Check]]
 ) -> DataFrame:
     """All relationships checks in one anti-join on (check, key).
 
@@ -150,58 +133,33 @@ def _relationships_report(
         relations[c.to].select(F.lit(i).alias("i"), F.col(c.field).cast("string").alias("k"))
         for i, c in checks
     ]).distinct()
-    orphans = child.join(parent, ["i", "k"], "left_anti").groupBy("i").agg(F.sum("n").alias("_n"))
-    declared = spark.createDataFrame(
-        [(i, c.relation, c.column, c.check_name) for i, c in checks],
-        "i int, relation string, column_name string, check_name string",
-    )
-    return declared.join(F.broadcast(orphans), "i", "left").select(
-        "relation", "column_name", "check_name", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("violations")
-    )
+    return child.join(parent, ["i", "k"], "left_anti").groupBy("i").agg(F.sum("n").alias("n"))
 
 
 def run_checks(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q7: evaluate ``checks`` over ``relations``; one report row per check.
 
-    The unique / not-null / accepted-values / expression checks of all
-    relations share one aggregation: each relation is scanned once into
-    ``(check, value)`` entries, the entries are unioned, and one
-    ``groupBy(check, value)`` (partial aggregation first) counts them. For a
-    unique check that yields the number of values seen more than once, for
-    the others the number of violating rows. The relationships checks share
-    one pre-aggregated anti-join.
+    Only the relations that the checks name are read.
     """
     spark = next(iter(relations.values())).sparkSession
-    indexed = list(enumerate(checks))
-    by_relation: dict[str, list[tuple[int, Check]]] = {}
-    for i, c in indexed:
-        if c.kind != "relationships":
-            by_relation.setdefault(c.relation, []).append((i, c))
+    row_wise: dict[str, list[tuple[int, Check]]] = {}
     pieces: list[DataFrame] = []
-    if by_relation:
-        entries = reduce(DataFrame.unionByName, [_check_entries(relations[r], cs) for r, cs in by_relation.items()])
-        counted = (
-            entries.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("i")
-            .agg(F.sum(F.when(F.col("v").isNull(), F.col("n")).when(F.col("n") > 1, F.lit(1)).otherwise(F.lit(0))).alias("_n"))
-        )
-        # One row per declared check (a fixed, small list), so checks without
-        # a violation still report 0.
-        declared = spark.createDataFrame(
-            [(i, c.relation, c.column, c.check_name) for cs in by_relation.values() for i, c in cs],
-            "i int, relation string, column_name string, check_name string",
-        )
-        pieces.append(
-            declared.join(F.broadcast(counted), "i", "left").select(
-                "relation", "column_name", "check_name",
-                F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("violations"),
-            )
-        )
-    rels = [(i, c) for i, c in indexed if c.kind == "relationships"]
-    if rels:
-        pieces.append(_relationships_report(spark, relations, rels))
-    report = reduce(DataFrame.unionByName, pieces)
-    return report.withColumn("passed", F.col("violations") == 0)
+    for i, c in enumerate(checks):
+        if c.kind == "unique":
+            pieces.append(_repeated(relations[c.relation], i, c))
+        elif c.kind != "relationships":
+            row_wise.setdefault(c.relation, []).append((i, c))
+    pieces += [_counts(relations[r], cs) for r, cs in row_wise.items()]
+    if links := [(i, c) for i, c in enumerate(checks) if c.kind == "relationships"]:
+        pieces.append(_orphans(relations, links))
+    # one row per declared check (a fixed, small list), so checks without a violation report 0
+    declared = spark.createDataFrame(
+        [(i, c.relation, c.column, c.check_name) for i, c in enumerate(checks)],
+        "i int, relation string, column_name string, check_name string",
+    )
+    counted = declared.join(F.broadcast(reduce(DataFrame.unionByName, pieces)), "i", "left")
+    violations = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
+    return counted.select("relation", "column_name", "check_name", violations.alias("violations"), (violations == 0).alias("passed"))
 
 
 # ---------------------------------------------------------------------------

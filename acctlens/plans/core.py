@@ -234,39 +234,55 @@ def fct_revenue(stg_invoices: DataFrame, settings: Settings | None = None, with_
 # --- usage fact ------------------------------------------------------------------
 
 
+def _null_safe_day(account_id, event_date) -> dict:
+    """An account-day as non-null join keys, so that NULLs match each other."""
+    return {
+        "_account": F.coalesce(account_id, F.lit("")), "_no_account": account_id.isNull(),
+        "_date": F.coalesce(event_date, F.lit("0001-01-01").cast("date")), "_no_date": event_date.isNull(),
+    }
+
+
 def fct_usage(stg_usage_events: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """One row per account and day.
 
-    Events are first reduced to (account, day, user, event name), with partial
-    sums before the shuffle, so a hot account's events arrive as counts. The
-    day's measures are sums over that frame, and its distinct counts range over
-    it instead of over the events.
+    Events are first reduced to (account, day, user), with partial sums before
+    the shuffle; the day's measures are sums over that frame and its users are
+    its rows. Distinct event names are counted on their own reduced frame and
+    joined to the day. That join is on a unique key, so consumers that do not
+    ask for the names neither join nor read them.
     """
     ts = F.col("event_timestamp")
-    small = stg_usage_events.groupBy("account_id", "event_date", "user_id", "event_name", "event_category").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_last")
+    cat, name = F.col("event_category"), F.col("event_name")
+    counts = {f"{c}_events": F.count_if(cat == c) for c in C.EVENT_CATEGORIES} | {
+        "api_calls": F.count_if(name == "api_call"),
+        "reports_created": F.count_if(name == "report_created"),
+        "workflows_created": F.count_if(name == "workflow_created"),
+    }
+    per_user = stg_usage_events.groupBy("account_id", "event_date", "user_id").agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.bit_or(X.small_domain_bit(cat, C.EVENT_CATEGORY_NAMES)).alias("_categories"),
+        *[c.alias(n) for n, c in counts.items()],
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"),
     )
-    cat, name, n = F.col("event_category"), F.col("event_name"), F.col("_n")
     first, last = F.min("_first"), F.max("_last")
-
-    def events_where(condition):
-        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).cast("bigint")
-
-    daily = small.groupBy("account_id", "event_date").agg(
-        F.sum(n).alias("total_events"),
-        F.count_distinct("user_id").alias("active_users"),
-        F.count_distinct("event_name").alias("distinct_features_used"),
-        F.bit_count(F.bit_or(X.small_domain_bit(cat, C.EVENT_CATEGORY_NAMES))).cast("bigint").alias("distinct_categories_used"),
-        *[events_where(cat == c).alias(f"{c}_events") for c in C.EVENT_CATEGORIES],
-        events_where(name == "api_call").alias("api_calls"),
-        events_where(name == "report_created").alias("reports_created"),
-        events_where(name == "workflow_created").alias("workflows_created"),
+    daily = per_user.groupBy("account_id", "event_date").agg(
+        F.sum("total_events").alias("total_events"),
+        F.count("user_id").alias("active_users"),
+        F.bit_count(F.bit_or("_categories")).cast("bigint").alias("distinct_categories_used"),
+        *[F.sum(n).alias(n) for n in counts],
         first.alias("first_event_at"),
         last.alias("last_event_at"),
         X.resolution_hours(whole_minutes_between(last, first)).alias("active_hours"),
     )
-    return daily.select(
-        "*",
+    day = _null_safe_day(F.col("account_id"), F.col("event_date"))
+    names = stg_usage_events.filter(name.isNotNull()).select(*[c.alias(k) for k, c in day.items()], name).distinct()
+    features = names.groupBy(*day).agg(F.count(F.lit(1)).alias("_features"))
+    own = _null_safe_day(daily["account_id"], daily["event_date"])
+    same_day = [own[k] == features[k] for k in day]
+    joined = daily.join(features, same_day, "left").withColumn("distinct_features_used", F.coalesce("_features", F.lit(0)).cast("bigint"))
+    return joined.select(
+        "account_id", "event_date", "total_events", "active_users", "distinct_features_used", "distinct_categories_used",
+        *counts, "first_event_at", "last_event_at", "active_hours",
         X.feature_breadth_pct(F.col("distinct_categories_used"), t.scored_categories).alias("feature_breadth_pct"),
         X.is_power_usage_day(F.col("total_events"), F.col("distinct_features_used"), t).alias("is_power_usage_day"),
     )

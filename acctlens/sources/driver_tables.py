@@ -36,7 +36,6 @@ AS_OF = dt.date(2024, 1, 31)
 ORDER_DATE_SHIFT_DAYS = 8218  # 2001-08-01 -> 2024-01-31
 DEFAULT_SIGNUP = dt.date(2023, 1, 1)
 CUSTOMERS_PER_ACCOUNT = 10
-ISO = "'yyyy-MM-dd HH:mm:ss'"
 # Event type -> feature category whose three names stand in for it.
 EVENT_TYPE_CATEGORY = {
     "click": "reporting",
@@ -83,8 +82,8 @@ TIER = "(CASE WHEN (a * 7) % 20 < 9 THEN 'starter' WHEN (a * 7) % 20 < 16 THEN '
 def _zoned_text(moment: str) -> str:
     """A UTC wall clock as text: by turns with an offset, with a Z, and plain."""
     return (
-        f"CASE k % 3 WHEN 0 THEN concat(date_format(timestampadd(MINUTE, 330, {moment}), {ISO}), '+05:30')"
-        f" WHEN 1 THEN concat(date_format({moment}, {ISO}), 'Z') ELSE date_format({moment}, {ISO}) END"
+        f"CASE k % 3 WHEN 0 THEN concat(CAST(timestampadd(MINUTE, 330, {moment}) AS STRING), '+05:30')"
+        f" WHEN 1 THEN concat(CAST({moment} AS STRING), 'Z') ELSE CAST({moment} AS STRING) END"
     )
 
 

@@ -23,7 +23,7 @@ def write_table(
     fmt: str = "parquet",
     dynamic_overwrite: bool = False,
 ) -> None:
-    """Full-rebuild table sink (the mart materialization).
+    """Full-rebuild table sink (the mart materialization): a path, a table, or a table at a path.
 
     Facts that are filtered by date downstream should be partitioned by their
     month/date column so trailing-window filters prune files. With
@@ -40,7 +40,7 @@ def write_table(
     if partition_by:
         w = w.partitionBy(*partition_by)
     if table is not None:
-        w.saveAsTable(table)
+        (w.option("path", path) if path is not None else w).saveAsTable(table)
     elif path is not None:
         w.save(path)
     else:

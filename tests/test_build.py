@@ -23,3 +23,10 @@ def test_build_writes_relations_and_report(spark, capsys):
     # the adapters' region names are outside the accepted list: a real finding
     assert report.filter("relation = 'stg_accounts' AND column_name = 'region' AND NOT passed").count() == 1
     assert spark.read.parquet(os.path.join(out, "churn_risk_view")).count() > 0
+    # staged relations are views, marts are tables, and the audit times are there
+    assert {"_loaded_at", "account_id"} <= set(spark.table("stg_accounts").columns)
+    mart = spark.table("customer_health_scores")
+    assert mart.filter("scored_at IS NULL").count() == 0 and spark.catalog.tableExists("churn_risk_view")
+    assert "assessed_at" in spark.read.parquet(os.path.join(out, "churn_risk_view")).columns
+    for name in ("customer_health_scores", "churn_risk_view", "nrr_summary", "revenue_cohort_analysis", "sla_adherence"):
+        spark.sql(f"DROP TABLE {name}")

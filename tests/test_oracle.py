@@ -2,6 +2,7 @@
 plus the driver's entry point."""
 
 import os
+import re
 
 import pytest
 
@@ -9,6 +10,8 @@ import __spark_entry__ as E
 from oracle_harness import compare, duck_connection
 
 SF = "/root/testdata/sf0.001"
+# the training-data queries have their own tests, in tests/llm
+NAMES = sorted(n for n in E.queries() if not re.match(r"op[0-9]+_|pipeline$", n))
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 
@@ -18,10 +21,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(NAMES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     res = compare(E.queries()[name](spark, SF), con, E.oracle_sql()[name])
     assert res.get("ok"), res
