@@ -39,7 +39,7 @@ _MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) & (2**64 - 1) | 1 fo
 class _Words(dict):
     """word -> 64-bit hash, filled as words are met; starts again when it is full."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -22,8 +22,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks kept per Python worker, about 150 MB; two generations of them.
-CACHE_CHUNKS = 500_000
+#: Chunks in each of a worker's two generations, about 40 MB.
+CACHE_CHUNKS = 200_000
+#: Texts of a batch are encoded in slices of about this many bytes, which bounds the arrays made for them.
+SLICE_BYTES = 4 << 20
 END_ID = 2
 
 
@@ -109,9 +111,19 @@ class ChunkEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end (uint32), and the number of ids of each; a null text is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(np.asarray(pc.binary_length(texts)))
+        ids, sizes, at = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)], 0
+        while at < len(texts):
+            before = int(ends[at - 1]) if at else 0
+            upto = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+            some_ids, some_sizes = self._encode_slice(texts.slice(at, upto - at))
+            ids.append(some_ids)
+            sizes.append(some_sizes)
+            at = upto
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         n = len(texts)
-        if not n:
-            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         chunks = pc.split_pattern(texts, " ")
         per_text = np.asarray(pc.list_value_length(chunks)).astype(np.int64)
         flat = chunks.flatten().dictionary_encode()

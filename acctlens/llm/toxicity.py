@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from acctlens.llm.sample import sample_ids
 
 BUCKETS = 1 << 18
-MAX_POSITIVES = 6_000
-MAX_UNLABELLED = 12_000
+MAX_POSITIVES = 4_000
+MAX_UNLABELLED = 8_000
 MIN_ROWS = 5
 FOLDS = 5
 STEMS = (4, 5, 6)
@@ -44,7 +44,7 @@ _EDGES = b"\"'`.,;:!?()[]{}<>*_-#$%&|/\\~^=+@0123456789"
 class _Buckets(dict):
     """word -> its buckets: of the word, and of its first 4, 5 and 6 letters; starts again when it is full."""
 
-    LIMIT = 300_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= self.LIMIT:
@@ -119,25 +119,27 @@ def fit(
     weights = np.zeros(BUCKETS)
     if not pos or not unl:
         return Model(weights, float(np.log(prior / (1 - prior))))
-    rows = np.bincount(np.concatenate(pos + unl), minlength=BUCKETS)
+    rows = np.zeros(BUCKETS, np.int64)
+    for r in (*pos, *unl):
+        rows[r] += 1  # a row's buckets are distinct
     used = np.flatnonzero(rows >= min_rows)
-    number = np.full(BUCKETS, -1)
-    number[used] = np.arange(len(used))
 
-    def narrow(r: np.ndarray) -> np.ndarray:
-        n = number[r]
-        return n[n >= 0]
+    def narrowed(sets: list[np.ndarray], kept: np.ndarray, size: int) -> list[np.ndarray]:
+        """The sets in the numbers of the kept buckets."""
+        number = np.full(size, -1, np.int32)
+        number[kept] = np.arange(len(kept))
+        new = (number[r] for r in sets)
+        return [n[n >= 0] for n in new]
 
     def trained(steps: int, rate: float, penalty: float) -> np.ndarray:
-        p, u = [narrow(r) for r in pos], [narrow(r) for r in unl]
-        return np.mean([_train(p, u, prior, len(used), s, steps, rate, penalty) for s in seeds], axis=0)
+        return np.mean([_train(pos, unl, prior, len(used), s, steps, rate, penalty) for s in seeds], axis=0)
 
+    pos, unl = narrowed(pos, used, BUCKETS), narrowed(unl, used, BUCKETS)
     penalty = penalty / np.sqrt(len(pos))
     # the penalised round picks the buckets, the second one sets their weights free of the penalty's pull
     w = trained(steps, rate, penalty)
-    used = used[np.abs(w[:-1]) > 0.02]
-    number[:] = -1
-    number[used] = np.arange(len(used))
+    clear = np.flatnonzero(np.abs(w[:-1]) > 0.02)
+    pos, unl, used = narrowed(pos, clear, len(used)), narrowed(unl, clear, len(used)), used[clear]
     w = trained(2 * steps, 2 * rate, penalty / 50)
     weights[used] = w[:-1]
     return Model(weights, float(w[-1]))
@@ -175,10 +177,9 @@ def train(
     # at most max_positives + max_unlabelled ids
     chosen = positive.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
     sample = texts.join(F.broadcast(chosen), "_id").select("positive", "text")
-    rows = sample.mapInArrow(_bucket_rows, "positive boolean, buckets binary").limit(2 * (max_positives + max_unlabelled)).collect()
-    sets = sorted((bool(r[0]), bytes(r[1])) for r in rows)  # the order rows come in does not matter
-    arrays = [(p, np.frombuffer(b, "<i4").astype(np.int64)) for p, b in sets]
-    return fit([a for p, a in arrays if p], [a for p, a in arrays if not p], prior)
+    sets = sample.mapInArrow(_bucket_rows, "positive boolean, buckets binary").orderBy("positive", "buckets")
+    rows = [(r[0], np.frombuffer(r[1], "<i4")) for r in sets.limit(2 * (max_positives + max_unlabelled)).toLocalIterator()]
+    return fit([a for p, a in rows if p], [a for p, a in rows if not p], prior)
 
 
 def score(docs: DataFrame, model: Model, output: str = "score") -> DataFrame:
