@@ -213,7 +213,13 @@ def _checked_relations(p: Pipeline, checks: list[Q.Check]) -> dict[str, DataFram
 
 
 def _suite(checks: list[Q.Check]) -> Callable[[SparkSession, str], DataFrame]:
-    return _with(lambda p: Q.run_checks(_checked_relations(p, checks), checks))
+    """Each relation feeds several checks, so each is computed once into the checkpoint folder."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        p = Pipeline(load_raw_inputs(spark, sf_dir), Settings(as_of=AS_OF), materialize="checkpoint", shared="all")
+        return Q.run_checks(_checked_relations(p, checks), checks)
+
+    return run
 
 
 # Checks that the given tables do violate.
