@@ -10,7 +10,7 @@ zero, the step goes back up instead. The classifiers are linear in the set of a
 stems (hashed into ``BUCKETS``), trained in numpy with Adam from several seeds; the score is the sigmoid of their mean.
 
 Bounds: at most ``MAX_POSITIVES`` positives and ``MAX_UNLABELLED`` unlabelled rows, those with the
-smallest hash of the id, come to the driver as bucket numbers. Weights of buckets that fewer than
+smallest hash of the id, come to the driver as bucket numbers, one row of each id. Weights of buckets that fewer than
 ``MIN_ROWS`` of those rows hold stay zero. Every row is scored, on its whole text.
 """
 
@@ -148,7 +148,7 @@ def fit(
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = pa.array([buckets(t.as_py()).astype("<i4").tobytes() for t in batch.column("text")], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("positive"), sets], names=["positive", "buckets"])
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("positive"), sets], names=["_id", "positive", "buckets"])
 
 
 def held_out(doc_id, folds: int = FOLDS):
@@ -176,9 +176,11 @@ def train(
     unlabelled = sample_ids(ids, max_unlabelled, 7)
     # at most max_positives + max_unlabelled ids
     chosen = positive.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
-    sample = texts.join(F.broadcast(chosen), "_id").select("positive", "text")
-    sets = sample.mapInArrow(_bucket_rows, "positive boolean, buckets binary").orderBy("positive", "buckets")
-    rows = [(r[0], np.frombuffer(r[1], "<i4")) for r in sets.limit(2 * (max_positives + max_unlabelled)).toLocalIterator()]
+    sample = texts.join(F.broadcast(chosen), "_id").select("_id", "positive", "text")
+    sets = sample.mapInArrow(_bucket_rows, "_id bigint, positive boolean, buckets binary")
+    # rows that share an id count once in each class, by their smallest set: no more rows than chosen ids
+    sets = sets.groupBy("_id", "positive").agg(F.min("buckets").alias("buckets")).select("positive", "buckets").orderBy("positive", "buckets")
+    rows = [(r[0], np.frombuffer(r[1], "<i4")) for r in sets.toLocalIterator()]
     return fit([a for p, a in rows if p], [a for p, a in rows if not p], prior)
 
 

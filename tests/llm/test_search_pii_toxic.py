@@ -219,6 +219,16 @@ def test_toxicity_on_held_out_rows(spark, make_docs):
     assert kept.columns == docs.columns and kept.count() == sum(r.score < 0.5 for r in got)
 
 
+@pytest.mark.parametrize("kind", ["all", "hot"])
+def test_repeated_ids_leave_the_positives_in_the_sample(spark, make_docs, kind):
+    rows, labels, _ = _toxic_rows(300)
+    repeats = rows * 9 if kind == "all" else rows + [rows[0]] * 2000
+    frame = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    once, many = (toxicity.train(make_docs(x), frame, max_positives=50, max_unlabelled=300) for x in (rows, repeats))
+    assert np.abs(once.weights).max() > 0
+    assert (once.weights == many.weights).all() and once.bias == many.bias
+
+
 def test_held_out_labels_are_never_read(spark, make_docs):
     rows, labels, _ = _toxic_rows(300)
     docs = make_docs(rows)
