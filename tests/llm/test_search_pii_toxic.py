@@ -229,6 +229,10 @@ def test_repeated_ids_leave_the_positives_in_the_sample(spark, make_docs, kind):
     assert (once.weights == many.weights).all() and once.bias == many.bias
 
 
+def test_toxicity_sample_bounds():
+    assert (toxicity.MAX_POSITIVES, toxicity.MAX_UNLABELLED) == (6_000, 12_000)
+
+
 def test_held_out_labels_are_never_read(spark, make_docs):
     rows, labels, _ = _toxic_rows(300)
     docs = make_docs(rows)
