@@ -1,14 +1,18 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a window of ``SPAN`` words of which a fixed mask looks at some and ignores the others, so a
-substituted word that falls on ignored places leaves the seed's hash as it is. The masks are chosen so
-that few substitutions hit all of them at once. The seeds of the test items and of the documents are
-joined by hash. Around every hit, document and item are laid side by side at that alignment, and the
-overlap is the longest run of places around the hit that keeps ``MIN_SHARE`` of its words equal.
+A seed is a window of words of which a fixed mask looks at some and ignores the others, so a
+substituted word that falls on ignored places leaves the seed's hash as it is. The seeds of the test
+items and of the documents are joined by hash. Around every hit, document and item are laid side by side
+at that alignment, and the overlap is the longest run of places around the hit, from an equal word to an
+equal word, that keeps ``MIN_SHARE`` of its words equal.
+
+No such run of ``SPAN`` words or more is missed: every way to replace 2 of 12, 3 of 15 or 4 of 20 words
+leaves a window of ``MASKS`` as it is. A run of 12 to 23 words holds one of these cases, and a longer one
+falls into pieces of 12 to 23 words, of which one has its share of equal words.
 
 An overlap counts if it spans ``MIN_WORDS`` words, or the whole item if that is shorter (items under
-``SPAN`` words are looked for whole, by one seed of their own length; under ``SHORTEST`` words an item
-is no evidence and is left out).
+``SPAN`` words are looked for whole, by masks of their own length that pass every substitution the share
+allows between their first and last word; under ``SHORTEST`` words an item is no evidence and is left out).
 
 The items come to the tasks in blocks of at most ``BLOCK_WORDS`` words, so what is broadcast has a fixed
 bound; a larger test set takes one pass over the documents per block.
@@ -17,6 +21,7 @@ bound; a larger test set takes one pass over the documents per block.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed masks: 1 looks at the word, 0 ignores it.
-MASKS = ("111011011011", "110110111101", "101111010111", "111101101101")
+#: Fixed masks: 1 looks at the word, 0 ignores it. Lossless at MIN_SHARE for SPAN words or more.
+MASKS = ("1101010011", "1000101111", "1111000101", "1101011001", "1111100001", "1010011101")
 SPAN = 12
 MIN_WORDS = 12
 MIN_SHARE = 0.8
 SHORTEST = 6
 BLOCK_WORDS = 2_000_000
 _FILTER_BITS = 22
+_CHECKED_HITS = 8192
 _U = np.uint64
 _MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) & (2**64 - 1) | 1 for i in range(4096)], np.uint64)
 
@@ -58,25 +64,41 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
+def whole_masks(n: int, min_share: float) -> list[str]:
+    """Masks of ``n`` words, of which one ignores all unequal words, first and last equal, that the share allows."""
+    unequal = min(int(n * (1 - min_share) + 1e-9), n - 2)
+    groups = np.array_split(np.arange(1, n - 1), min(unequal + 2, n - 2))
+    masks = []
+    for ignored in combinations(groups, unequal):
+        places = set(np.concatenate([[], *ignored]).tolist())
+        masks.append("".join("0" if i in places else "1" for i in range(n)))
+    return masks
+
+
 def _seeds(h: np.ndarray, mask: str) -> np.ndarray:
     """The hash of every window of ``h`` under the mask."""
     n = len(h) - len(mask) + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.full(n, _U(len(mask)))
+    mixed = h ^ (h >> _U(29))
     for i, bit in enumerate(mask):
         if bit == "1":
-            out += (h[i : i + n] ^ (h[i : i + n] >> _U(29))) * _MULTIPLIERS[i]
+            out += mixed[i : i + n] * _MULTIPLIERS[i]
     return out ^ (out >> _U(32))
 
 
 class SeedIndex:
     """Seeds of a block of items, sorted by hash, behind a bit filter."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], masks: tuple[str, ...], span: int, shortest: int):
+    def __init__(self, items: list[tuple[int, np.ndarray]], masks: tuple[str, ...], span: int, shortest: int, min_share: float = MIN_SHARE):
         self.ids = [i for i, _ in items]
         self.words = [h for _, h in items]
-        self.masks = {span: list(masks)} | {n: ["1" * n] for n in sorted({len(h) for h in self.words if shortest <= len(h) < span})}
+        self.sizes = np.array([len(h) for h in self.words], np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.concatenate([np.zeros(0, np.uint64), *self.words])
+        short = sorted({len(h) for h in self.words if shortest <= len(h) < span})
+        self.masks = {span: list(masks)} | {n: whole_masks(n, min_share) for n in short}
         hashes, item, place = [], [], []
         for k, h in enumerate(self.words):
             if len(h) < shortest:
@@ -112,10 +134,28 @@ class SeedIndex:
                     found.append(np.stack([self.item[entry], at - self.place[entry], at], 1))
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
+    def likely(self, h: np.ndarray, hits: np.ndarray, min_words: int, min_share: float) -> np.ndarray:
+        """The hits with a run of the needed words and share nearby; a longer run has such a piece around one of its hits."""
+        needs = np.minimum(min_words, self.sizes[hits[:, 0]])
+        kept = np.zeros(len(hits), bool)
+        for need in np.unique(needs).tolist():
+            rows, reach = np.flatnonzero(needs == need), 2 * max(need, SPAN)
+            for some in np.array_split(rows, -(-len(rows) // _CHECKED_HITS)):
+                item, shift, at = (c[:, None] for c in hits[some].T)
+                here = at + np.arange(-reach, SPAN + reach)
+                there = here - shift
+                inside = (here >= 0) & (here < len(h)) & (there >= 0) & (there < self.sizes[item])
+                equal = inside & (h[np.where(inside, here, 0)] == self.flat[self.first[item] + np.where(inside, there, 0)])
+                score = np.pad(np.cumsum(equal - min_share, axis=1), ((0, 0), (1, 0)))
+                kept[some] = (score[:, need:] >= np.minimum.accumulate(score, axis=1)[:, :-need] - 1e-9).any(axis=1)
+        return hits[kept]
+
     def overlaps(self, h: np.ndarray, min_words: int, min_share: float) -> list[tuple[int, int, int, int]]:
         """(item id, first word, end word, equal words): the longest verified overlap of each item with the document."""
         best: dict[int, tuple[int, int, int, int]] = {}
         hits = self.hits(h)
+        if len(hits):
+            hits = self.likely(h, hits, min_words, min_share)
         if not len(hits):
             return []
         _, starts = np.unique(hits[:, :2], axis=0, return_index=True)
@@ -194,16 +234,15 @@ def contaminations(
     are reported each; with an empty table on either side there are no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    span = len(masks[0])
-    if any(len(m) != span for m in masks):
-        raise ValueError("masks of one length are needed")
+    if any(len(m) > SPAN for m in masks):
+        raise ValueError(f"masks of at most {SPAN} words are needed")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row_h"), "text")
     found = spark.createDataFrame([], OVERLAP_SCHEMA)
     for block in _blocks(benchmark, block_words):
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = SeedIndex(shared.value, masks, span, shortest)
+            index = SeedIndex(shared.value, masks, SPAN, shortest, min_share)
             for batch in batches:
                 rows = []
                 for i, text in enumerate(batch.column("text")):

@@ -1,5 +1,6 @@
 """Vector search by brute force, personal data by plain patterns, decontamination by planted passages, toxicity by held-out rows."""
 
+import itertools
 import random
 import re
 import zlib
@@ -178,6 +179,38 @@ def test_seeds_tolerate_substitutions():
         assert [o[0] for o in index.overlaps(other, 12, 0.8)] == [1]
 
 
+def _substituted(item, at):
+    other = item.copy()
+    other[list(at)] = 5
+    return other
+
+
+@pytest.mark.parametrize("size, n", [(12, 2), (15, 3), (20, 4), (25, 5), (6, 1), (7, 1), (8, 1), (9, 1), (10, 2), (11, 2)])
+def test_every_allowed_substitution_is_found(size, n):
+    r = random.Random(size)
+    item = np.array([r.getrandbits(63) for _ in range(size)], np.uint64)
+    index = dc.SeedIndex([(1, item)], dc.MASKS, dc.SPAN, dc.SHORTEST)
+    for at in itertools.islice(itertools.combinations(range(1, size - 1), n), 0, None, 1 if size < 20 else 37):
+        assert index.overlaps(_substituted(item, at), 12, 0.8) == [(1, 0, size, size - n)], at
+
+
+def _longest_by_force(equal, share=0.8):
+    places = np.flatnonzero(equal).tolist()
+    sums = np.concatenate([[0], np.cumsum(equal)])
+    return max((y + 1 - x for x in places for y in places if y >= x and sums[y + 1] - sums[x] >= share * (y + 1 - x) - 1e-9), default=0)
+
+
+def test_every_fifth_word_replaced_at_any_length():
+    r = random.Random(3)
+    for size in range(13, 200, 9):
+        item = np.array([r.getrandbits(63) for _ in range(size)], np.uint64)
+        index = dc.SeedIndex([(1, item)], dc.MASKS, dc.SPAN, dc.SHORTEST)
+        for start in range(5):
+            other = _substituted(item, range(start, size, 5))
+            longest = _longest_by_force(other == item)
+            assert [o[0] for o in index.overlaps(other, 12, 0.8)] == [1] * (longest >= 12), (size, start)
+
+
 def test_decontamination_of_nothing(spark, make_docs):
     docs, bench = _decon_tables(spark, make_docs)
     assert dc.contaminations(make_docs([]), bench).collect() == []
