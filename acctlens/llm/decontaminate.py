@@ -3,8 +3,8 @@
 A seed is a window of words of which a fixed mask looks at some and ignores the others, so a
 substituted word that falls on ignored places leaves the seed's hash as it is. The seeds of the test
 items and of the documents are joined by hash. Around every hit, document and item are laid side by side
-at that alignment, and the overlap is the longest run of places around the hit, from an equal word to an
-equal word, that keeps ``MIN_SHARE`` of its words equal.
+at that alignment, and the overlap is the longest run of places, from an equal word to an equal word,
+that keeps ``MIN_SHARE`` of its words equal.
 
 No such run of ``SPAN`` words or more is missed: every way to replace 2 of 12, 3 of 15 or 4 of 20 words
 leaves a window of ``MASKS`` as it is. A run of 12 to 23 words holds one of these cases, and a longer one
@@ -158,43 +158,29 @@ class SeedIndex:
             hits = self.likely(h, hits, min_words, min_share)
         if not len(hits):
             return []
-        _, starts = np.unique(hits[:, :2], axis=0, return_index=True)
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(hits)]):
-            item, shift = int(hits[a, 0]), int(hits[a, 1])
+        for item, shift in np.unique(hits[:, :2], axis=0).tolist():
             words = self.words[item]
             lo, hi = max(0, shift), min(len(h), shift + len(words))
             equal = h[lo:hi] == words[lo - shift : hi - shift]
-            need = min(min_words, len(words))
-            for x, y in _stretches(equal, np.unique(hits[a:b, 2] - lo), min_share):
-                n = int(equal[x:y].sum())
-                # a stretch must span the needed words; of a short item all of them
-                if y - x >= need and (item not in best or y - x > best[item][2] - best[item][1]):
-                    best[item] = (self.ids[item], lo + x, lo + y, n)
+            x, y = _longest(equal, min_share)
+            # a stretch must span the needed words; of a short item all of them
+            if y - x >= min(min_words, len(words)) and (item not in best or y - x > best[item][2] - best[item][1]):
+                best[item] = (self.ids[item], lo + x, lo + y, int(equal[x:y].sum()))
         return sorted(best.values())
 
 
-def _stretches(equal: np.ndarray, hits: np.ndarray, min_share: float) -> list[tuple[int, int]]:
-    """Around each hit, the longest [x, y) holding it, from an equal word to an equal word, with ``min_share`` equal."""
-    out, covered = [], -1
+def _longest(equal: np.ndarray, min_share: float) -> tuple[int, int]:
+    """The longest [x, y), the first of these, from an equal word to an equal word, with ``min_share`` equal."""
     score = np.concatenate([[0.0], np.cumsum(equal - min_share)])  # a stretch fits if score[y] >= score[x]
-    n = len(equal)
-    before, after = np.flatnonzero(equal), np.flatnonzero(equal) + 1
+    xs = np.flatnonzero(equal)
+    if not len(xs):
+        return 0, 0
     # best end for a start: the last y with score[y] >= score[x], by the running maximum from the right
     right_max = np.maximum.accumulate(score[::-1])[::-1]
-    for hit in hits.tolist():
-        if hit < covered or not 0 <= hit < n:
-            continue
-        xs = before[before <= hit]
-        if not len(xs):
-            continue
-        ends = np.searchsorted(-right_max, -(score[xs] - 1e-9), side="right") - 1
-        ends = after[np.maximum(np.searchsorted(after, ends, side="right") - 1, 0)]
-        fits = (ends > hit) & (score[ends] >= score[xs] - 1e-9)
-        if fits.any():
-            k = int(np.argmax(np.where(fits, ends - xs, -1)))
-            out.append((int(xs[k]), int(ends[k])))
-            covered = max(covered, int(ends[k]))
-    return out
+    ends = np.searchsorted(-right_max, -(score[xs] - 1e-9), side="right") - 1
+    ends = xs[np.searchsorted(xs, ends) - 1] + 1  # the last equal word before it
+    k = int(np.argmax(ends - xs))
+    return int(xs[k]), int(ends[k])
 
 
 def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int, np.ndarray]]]:

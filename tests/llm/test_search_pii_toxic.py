@@ -211,6 +211,18 @@ def test_every_fifth_word_replaced_at_any_length():
             assert [o[0] for o in index.overlaps(other, 12, 0.8)] == [1] * (longest >= 12), (size, start)
 
 
+def test_overlap_is_the_longest_of_its_alignment():
+    r = random.Random(8)
+    item = np.array([r.getrandbits(63) for _ in range(30)], np.uint64)
+    index = dc.SeedIndex([(1, item)], dc.MASKS, dc.SPAN, dc.SHORTEST)
+    shapes = ["011011011110110111100111111111", "0" * 30, "1" * 30]
+    shapes += ["".join(r.choice("11110") for _ in range(30)) for _ in range(800)]
+    for shape in shapes:
+        other = _substituted(item, [i for i, c in enumerate(shape) if c == "0"])
+        longest = _longest_by_force(other == item)
+        assert [o[2] - o[1] for o in index.overlaps(other, 12, 0.8)] == [longest] * (longest >= 12), shape
+
+
 def test_decontamination_of_nothing(spark, make_docs):
     docs, bench = _decon_tables(spark, make_docs)
     assert dc.contaminations(make_docs([]), bench).collect() == []
