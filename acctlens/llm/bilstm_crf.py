@@ -156,7 +156,10 @@ class BiLstmCrf:
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Viterbi tags of windows, and what each place adds to the lead of its path over one that is outside all along."""
-        e = self.emissions(x)
+        return self.best_path(self.emissions(x))
+
+    def best_path(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``decode`` of emissions (steps, windows, tags)."""
         trans, start = self._transitions()
         steps, n, k = e.shape
         trans = trans.astype(e.dtype)

@@ -5,10 +5,11 @@ training data: windows of a bounded sample of documents (``MAX_DOCS`` rows, ``MA
 with the spans rewritten into forms the patterns do not know (a phone number without its country code, a
 mail address with "(at)" and "(dot)"). The tagger (``bilstm_crf``) is trained in numpy from these.
 
-Tagging: a span of any kind holds a digit, an @ or a bracketed "at", so overlapping windows are laid over
-the surroundings of every such place of the whole text; elsewhere nothing can be found. Each window is
-decoded alone. A span cut by a window's edge is left to the window that sees it whole. Equal spans of
-overlapping windows add up their margins, and of all spans of a document the set without overlaps of the
+Tagging: a span of any kind holds a digit, an @ or a bracketed "at", so the surroundings (``REACH``
+characters to both sides, merged where they meet) of every such place of the whole text are decoded, each
+by one Viterbi path; elsewhere nothing can be found. The emissions of a region longer than ``PIECE`` come
+from overlapping pieces that are joined in the middle of their overlaps. So no edge cuts a span that ends
+within ``REACH`` of its digit, @ or "at". Of all spans of a document the set without overlaps of the
 greatest total is taken. Added spans touch no base span and pass their kind's check.
 """
 
@@ -26,10 +27,12 @@ from acctlens.llm.bilstm_crf import BiLstmCrf, classes
 from acctlens.llm.sample import sample_ids
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, STRIDE, REACH = 64, 32, 40
+#: REACH is beyond the 64 characters of a mail address's local part, however far its domain's dots are spelled out.
+WINDOW, REACH = 64, 128
+PIECE, PIECE_STRIDE = 512, 256
 MAX_DOCS, MAX_WINDOWS = 8_000, 1_200
 MIN_MARGIN = 3.0
-BATCH_WINDOWS = 4096
+BATCH_PLACES = 1 << 18
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -113,8 +116,48 @@ def _regions(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _window_starts(a: int, b: int) -> list[int]:
-    return [a] if b - a <= WINDOW else [*range(a, b - WINDOW, STRIDE), b - WINDOW]
+def _pieces(a: int, b: int) -> list[tuple[int, int, int, int]]:
+    """(start, end, first and end place to keep) of the pieces of a region: each place is kept from one of them."""
+    starts = [a] if b - a <= PIECE else [*range(a, b - PIECE, PIECE_STRIDE), b - PIECE]
+    ends = [min(x + PIECE, b) for x in starts]
+    joints = [a, *((x + y) // 2 for x, y in zip(starts[1:], ends)), b]
+    return list(zip(starts, ends, joints, joints[1:]))
+
+
+def _batches(lengths: list[int]) -> Iterator[list[int]]:
+    """Numbers of rows of like length, together of at most BATCH_PLACES places when padded (one row at least)."""
+    batch: list[int] = []
+    for i in sorted(range(len(lengths)), key=lengths.__getitem__):
+        if batch and ((len(batch) + 1) * lengths[i] > BATCH_PLACES or lengths[i] > 1.25 * lengths[batch[0]] + 16):
+            yield batch
+            batch = []
+        batch.append(i)
+    if batch:
+        yield batch
+
+
+def _decoded(codes: list[np.ndarray], model: BiLstmCrf) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number, tags, margins) of each region, one place longer than it."""
+    pieces = [(i, *p) for i, code in enumerate(codes) for p in _pieces(0, len(code))]
+    merged: list[np.ndarray | None] = [None] * len(codes)
+    for batch in _batches([y - x for _, x, y, _, _ in pieces]):
+        rows = [pieces[n] for n in batch]
+        window = np.zeros((len(rows), rows[-1][2] - rows[-1][1]), np.int64)
+        for n, (i, x, y, _, _) in enumerate(rows):
+            window[n, : y - x] = codes[i][x:y]
+        e = model.emissions(window)
+        for n, (i, x, _, first, end) in enumerate(rows):
+            if merged[i] is None:
+                merged[i] = np.zeros((len(codes[i]), e.shape[2]), e.dtype)
+            merged[i][first:end] = e[first - x : end - x, n]
+    for batch in _batches([len(c) for c in codes]):
+        e = np.full((len(codes[batch[-1]]) + 1, len(batch), merged[batch[0]].shape[1]), -1e4, merged[batch[0]].dtype)
+        e[:, :, 0] = 0  # beyond its end a region is outside
+        for n, i in enumerate(batch):
+            e[: len(codes[i]), n] = merged[i]
+        tags, margins = model.best_path(e)
+        for n, i in enumerate(batch):
+            yield i, tags[n, : len(codes[i]) + 1], margins[n, : len(codes[i]) + 1]
 
 
 def reconcile(found: dict[Span, float], base: list[Span]) -> list[Span]:
@@ -144,38 +187,35 @@ def reconcile(found: dict[Span, float], base: list[Span]) -> list[Span]:
 def added_spans(texts: list[str], base: list[list[Span]], model: BiLstmCrf | None) -> list[list[Span]]:
     """Spans the tagger adds to each text."""
     found: list[dict[Span, float]] = [{} for _ in texts]
-    where: list[tuple[int, int, int, int]] = []  # text, window start, region
+    where: list[tuple[int, int]] = []  # text, start of the region
     held: list[np.ndarray] = []
 
     def flush() -> None:
-        tags, margins = model.decode(np.stack(held).astype(np.int64))
-        for w, t in np.argwhere(tags % 2 == 1).tolist():
-            of, start, a, b = where[w]
-            tag, end = int(tags[w, t]), t + 1
-            while end < WINDOW and tags[w, end] == tag + 1:
-                end += 1
-            if (t == 0 and start > a) or (end == WINDOW and start + WINDOW < b) or start + end > b:
-                continue
-            text, x, y, kind = texts[of], start + t, start + end, (tag - 1) // 2
-            margin = float(margins[w, t : end + 1].sum())  # the step out of the span too
-            apart = not (x and text[x - 1].isalnum()) and not (y < len(text) and text[y].isalnum())
-            if margin >= MIN_MARGIN and apart and plausible(kind, text[x:y]):
-                found[of][(x, kind, y)] = found[of].get((x, kind, y), 0.0) + margin
+        for n, tags, margins in _decoded(held, model):
+            of, start = where[n]
+            text = texts[of]
+            for t in np.flatnonzero(tags % 2 == 1).tolist():
+                tag, end = int(tags[t]), t + 1
+                while tags[end] == tag + 1:
+                    end += 1
+                x, y, kind = start + t, start + end, (tag - 1) // 2
+                margin = float(margins[t : end + 1].sum())  # the step out of the span too
+                apart = not (x and text[x - 1].isalnum()) and not (y < len(text) and text[y].isalnum())
+                if margin >= MIN_MARGIN and apart and plausible(kind, text[x:y]):
+                    found[of][(x, kind, y)] = margin
         where.clear(), held.clear()
 
+    places = 0
     for i, text in enumerate(texts if model else []):
         for a, b in _regions(text):
             if all(any(s <= m.start() < e for s, _, e in base[i] if e > a and s < b) for m in _TRIGGER.finditer(text, a, b)):
                 continue  # base spans hold all of its triggers, and an added span would need one of its own
-            code = classes(text[a:b])
-            for start in _window_starts(a, b):
-                window = np.zeros(WINDOW, np.int8)
-                part = code[start - a : start - a + WINDOW]
-                window[: len(part)] = part
-                where.append((i, start, a, b))
-                held.append(window)
-                if len(held) == BATCH_WINDOWS:
-                    flush()
+            where.append((i, a))
+            held.append(classes(text[a:b]))
+            places += b - a
+            if places >= BATCH_PLACES:
+                flush()
+                places = 0
     if held:
         flush()
     return [reconcile(f, b) if f else [] for f, b in zip(found, base)]
@@ -223,11 +263,10 @@ def training_windows(text: str) -> list[tuple[str, list[Span]]]:
 
 def fit(windows: list[tuple[str, list[Span]]], epochs: int = 8, hidden: int = 16) -> BiLstmCrf | None:
     """Train on labelled windows and their variants; None without any span."""
-    # a variant can be longer than its window: it is cut, if no span is
-    labelled = [(t[:WINDOW], s) for w in windows for t, s in _variants(*w) if all(b <= WINDOW for _, _, b in s)]
+    labelled = [v for w in windows for v in _variants(*w)]  # a variant can be longer than its window
     if not any(s for _, s in labelled):
         return None
-    x, y = np.zeros((len(labelled), WINDOW), np.int64), np.zeros((len(labelled), WINDOW), np.int64)
+    x, y = (np.zeros((len(labelled), max(len(t) for t, _ in labelled)), np.int64) for _ in range(2))
     for i, (text, spans) in enumerate(labelled):
         x[i, : len(text)] = classes(text)
         for a, kind, b in spans:

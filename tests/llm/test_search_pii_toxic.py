@@ -136,6 +136,47 @@ def test_pii_adds_spans_and_keeps_base_ones(spark, make_docs):
     assert "phone:12:24" in by[900] or "email:9:38" in by[901]  # at least one form that the patterns do not know
 
 
+class _Marked:
+    """A tagger without errors: all that is not a blank or a full stop belongs to a mail address."""
+
+    def emissions(self, x):
+        e = np.zeros((x.shape[1], len(x), 9))
+        blank = pii.classes(" ")[0]
+        inside = (x != blank) & (x != pii.classes(".")[0]) & (x != 0)
+        first = inside & ~np.pad(inside, ((0, 0), (1, 0)))[:, :-1]
+        e[:, :, 1], e[:, :, 2] = np.where(first, 9.0, -9.0).T, np.where(inside & ~first, 9.0, -9.0).T
+        e[:, :, 3:] = -9.0
+        return e
+
+    best_path = BiLstmCrf.best_path
+    decode = BiLstmCrf.decode
+
+    def _transitions(self):
+        return np.zeros((9, 9)), np.zeros(9)
+
+
+@pytest.mark.parametrize("size", [10, 31, 40, 56, 63, 90, 110])
+def test_long_spans_are_found_at_every_place(size):
+    span = "j" * size + "(at)" + "d" * size
+    for before in range(0, 130, 7):
+        text = ". " * 40 + " " * before + span + " ." * 80
+        found = pii.added_spans([text], [[]], _Marked())
+        assert found == [[(80 + before, 0, 80 + before + len(span))]], before
+
+
+def test_regions_beyond_a_piece_keep_their_spans():
+    text = " ".join(["j" * 40 + "(at)" + "d" * 40] * 60)
+    assert [s[2] - s[0] for s in pii.added_spans([text], [[]], _Marked())[0]] == [84] * 60
+
+
+def test_training_keeps_variants_longer_than_a_window(monkeypatch):
+    seen = []
+    monkeypatch.setattr(BiLstmCrf, "train", lambda self, x, y, epochs: seen.append((x, y)) or [1.0])
+    text = "write to " + "j" * 25 + "@" + "d" * 20 + ".com"
+    pii.fit([(text, pii.base_spans(text))])
+    assert len(seen[0][0]) == 16 and (seen[0][1] > 0).any(axis=1).all()
+
+
 def test_pii_without_labels(spark, make_docs):
     assert pii.pii(make_docs([])).collect() == []
     assert [r.spans for r in pii.pii(make_docs([(1, "nothing 1 here")])).collect()] == [""]
