@@ -7,7 +7,8 @@ space that stands between two characters that are not white space. So a text
 is the sequence of its space-separated chunks, each encoded with its leading
 space, and every distinct chunk of a batch is encoded once by the library.
 A text with white space beside one of its spaces (two spaces, a space before
-a line break, ...) has no such cuts there and is encoded whole.
+a line break, ...) has no such cuts there and is encoded whole, and so is a text that
+holds the string of one of the vocabulary's added tokens: the library gives it that token's id.
 
 ``ChunkEncoder`` keeps the chunks it has seen in a bounded cache; the cache
 changes speed only.
@@ -69,7 +70,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.model = self.tokenizer.model
         self.pieces = regex.compile(PIECES).findall
         self.letters = _byte_letters()
@@ -140,6 +141,8 @@ class ChunkEncoder:
         counts = lengths[codes]
         # texts to encode whole: those with a chunk that needs its neighbours (the empty text among them, with no ids)
         bad = np.minimum.reduceat(counts, first) == 0
+        for token in self.added:
+            bad |= np.asarray(pc.match_substring(texts, token))
         counts[np.repeat(bad, per_text)] = 0
         # the first chunk of a text has no leading space, and is encoded by itself
         counts[first] = 0

@@ -45,6 +45,15 @@ def test_chunked_encoding_equals_whole_encoding(texts):
     assert ids.tolist() == [i for w in whole for i in w]
 
 
+def test_added_tokens_in_a_text_get_their_ids():
+    plain = Tokenizer.from_file(PATH)
+    texts = ["end <|endoftext|> of", "<|endoftext|>", "a<|endoftext|>b c", "x <|endoftext|>", "<|endoftext| >", "no token here", "", None, "end <|endoftext|> of"]
+    ids, sizes = ChunkEncoder(PATH).encode(pa.array(texts))
+    whole = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert whole[0] == [437, 220, 50256, 286]
+    assert sizes.tolist() == [len(w) for w in whole] and ids.tolist() == [i for w in whole for i in w]
+
+
 def test_encoder_rejects_other_vocabularies():
     with pytest.raises(ValueError):
         ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
