@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from acctlens.llm.license_texts import PHRASES, TEMPLATES
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -86,3 +88,55 @@ scored AS (
 ),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_RUNS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{_RUNS}')"
+
+
+# Windows of twice the power of two that holds a notice, 16 words at least; four fifths of its words needed. No phrase has over 4 words.
+OP11 = f"""WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_words("text")} AS words FROM documents),
+notices AS (
+    SELECT tid, label, words, n, (4 * n + 4) // 5 AS need, greatest(16, 2 * pow(2, ceil(log2(len(words))))::BIGINT) AS size
+    FROM (SELECT *, len(list_distinct(words)) AS n FROM (
+        SELECT tid, label, {_words("notice")} AS words
+        FROM (VALUES {", ".join(f"({i}, {_text(label)}, {_text(notice)})" for i, (label, notice) in enumerate(TEMPLATES))}) v(tid, label, notice)))
+),
+notice_words AS (SELECT DISTINCT tid, label, n, need, size, unnest(words) AS word FROM notices),
+placed AS (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM docs),
+said AS (SELECT rid, place, list(word) OVER (PARTITION BY rid ORDER BY place ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS ahead FROM placed),
+held AS (
+    SELECT rid, tid, label, n, need, k, word FROM (
+        SELECT p.rid, w.*, p.place // (size // 2) AS k0 FROM placed p JOIN notice_words w USING (word)
+    ), LATERAL (SELECT k0 - back AS k FROM (VALUES (0), (1)) b(back)) WHERE k >= 0
+),
+met AS (
+    SELECT rid, label, count(DISTINCT word) / any_value(n)::DOUBLE AS containment
+    FROM held GROUP BY rid, tid, label, k HAVING count(DISTINCT word) >= any_value(need)
+),
+phrases AS (
+    SELECT label, string_split(phrase, ' ') AS words
+    FROM (VALUES {", ".join(f"({_text(phrase)}, {_text(label)})" for phrase, label in PHRASES)}) v(phrase, label)
+),
+places AS (
+    SELECT rid, label, place FROM said JOIN phrases ON ahead[1] = words[1] AND ahead[: len(words)] = words
+),
+base AS (
+    SELECT rid, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+    FROM places GROUP BY rid
+),
+labelled AS (
+    SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM (SELECT rid, label FROM met UNION ALL SELECT rid, label FROM places) GROUP BY rid
+),
+best AS (SELECT rid, max(containment) AS score FROM met GROUP BY rid)
+SELECT d.doc_id, len(d.words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+    coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0)::DOUBLE END AS score
+FROM docs d LEFT JOIN base USING (rid) LEFT JOIN labelled USING (rid) LEFT JOIN best USING (rid)"""

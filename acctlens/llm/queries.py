@@ -12,10 +12,13 @@ from acctlens.llm import oracle
 from acctlens.llm.chat import format_chat, read_chat
 from acctlens.llm.decontaminate import contaminations
 from acctlens.llm.lines import dedup_lines
+from acctlens.llm.licenses import scan_licenses
 from acctlens.llm.packing import pack_documents
 from acctlens.llm.pii import pii
+from acctlens.llm.repair import repair_conversations, summaries
 from acctlens.llm.sharding import assign_shards
 from acctlens.llm.simhash import near_duplicates
+from acctlens.llm.spelling import count_words, group_spellings
 from acctlens.llm.store import shared_path, table, with_code
 from acctlens.llm.token_files import read_token_files, write_token_files
 from acctlens.llm.topk import top_k
@@ -93,6 +96,43 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases, and the labels of the notices that its blocks hold."""
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    columns = ["doc_id", "n_words", "n_base", "first_word", "last_word"]
+    return found.select(*columns, F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """``turns`` (nulls: one space) with a twentieth of them each dropped, emptied, unpunctuated, repeated or set to user."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    hit = F.crc32(key) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    copies = F.explode(F.when(hit == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    changed = F.when(hit == 1, F.lit("")).when(hit == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    return turns.filter(hit != 0).select(
+        "conv_id", "turn", F.when(hit == 4, F.lit("user")).otherwise(role).alias("role"), changed.alias("text"), copies.alias("copy")
+    ).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired: its faults, the cheapest edits and the digest of what they give."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    done = summaries(repair_conversations(damaged(turns)))
+    given = turns.select(F.col("conv_id").cast("bigint").alias("given")).distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return given.join(done, F.col("given").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("given").alias("conv_id"), *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its more frequent form, the last form of the chain and its near words."""
+    return group_spellings(count_words(table(spark, sf_dir, "documents")))
+
+
 _OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_chat_formatting": op2_chat_formatting,
@@ -104,6 +144,9 @@ _OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_license_scans": op11_license_scans,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 QUERIES = {name: with_code(query) for name, query in _OPERATORS.items()}
 ORACLE: dict[str, str] = {
@@ -111,4 +154,5 @@ ORACLE: dict[str, str] = {
     "op2_chat_formatting": oracle.OP2,
     "op6_line_dedup": oracle.OP6,
     "op7_exact_top_k": oracle.OP7,
+    "op11_license_scans": oracle.OP11,
 }
