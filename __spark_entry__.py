@@ -144,7 +144,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_scores_thresholds": _LADDERS(lambda p: marts.revenue_scores(p.fct_revenue, p.settings)),
     # global ranking over a whole table
     "global_row_number": lambda spark, sf_dir: global_row_number(
-        _ranked_orders(spark, sf_dir), [F.col("o_totalprice").desc(), "o_orderkey"], "price_rank"
+        _ranked_orders(spark, sf_dir), ["o_totalprice desc", "o_orderkey"], "price_rank"
     ),
     "global_ntile": lambda spark, sf_dir: global_ntile(_ranked_orders(spark, sf_dir), ["o_totalprice", "o_orderkey"], 7, "bucket"),
     "waterfall_movements": _with(

@@ -20,7 +20,7 @@ from acctlens.operators.ranking import global_ntile, global_row_number, latest_p
 # --- customer health ------------------------------------------------------------
 
 
-def usage_scores(fct_usage: DataFrame, settings: Settings, num_partitions: int | None = None) -> DataFrame:
+def usage_scores(fct_usage: DataFrame, settings: Settings) -> DataFrame:
     """Quartile (x25) of mean daily events over the trailing window."""
     t = settings.thresholds
     per_account = (
@@ -28,7 +28,7 @@ def usage_scores(fct_usage: DataFrame, settings: Settings, num_partitions: int |
         .groupBy("account_id")
         .agg(F.avg("total_events").alias("avg_daily_events"))
     )
-    ranked = global_ntile(per_account, ["avg_daily_events", "account_id"], t.score_buckets, "_q", num_partitions)
+    ranked = global_ntile(per_account, ["avg_daily_events", "account_id"], t.score_buckets, "_q")
     return ranked.select(
         "account_id", "avg_daily_events", (F.col("_q") * (100 // t.score_buckets)).cast("bigint").alias("usage_score")
     )
@@ -68,7 +68,7 @@ def revenue_scores(fct_revenue: DataFrame, settings: Settings | None = None) ->
     return latest.select("account_id", "mrr", "net_mrr_change", X.revenue_score(F.col("net_mrr_change"), *([settings.thresholds] if settings else [])).cast("bigint").alias("revenue_score"))
 
 
-def engagement_scores(stg_usage_events: DataFrame, settings: Settings, num_partitions: int | None = None) -> DataFrame:
+def engagement_scores(stg_usage_events: DataFrame, settings: Settings) -> DataFrame:
     """Quartile (x25) of distinct features used over the trailing window."""
     t = settings.thresholds
     per_account = (
@@ -76,7 +76,7 @@ def engagement_scores(stg_usage_events: DataFrame, settings: Settings, num_parti
         .groupBy("account_id")
         .agg(F.count_distinct("event_name").alias("features_used_30d"))
     )
-    ranked = global_ntile(per_account, ["features_used_30d", "account_id"], t.score_buckets, "_q", num_partitions)
+    ranked = global_ntile(per_account, ["features_used_30d", "account_id"], t.score_buckets, "_q")
     return ranked.select(
         "account_id", "features_used_30d", (F.col("_q") * (100 // t.score_buckets)).cast("bigint").alias("engagement_score")
     )
@@ -89,7 +89,6 @@ def scored_accounts(
     fct_revenue: DataFrame,
     stg_usage_events: DataFrame,
     settings: Settings,
-    num_partitions: int | None = None,
 ) -> DataFrame:
     """M12 without its rank: weighted health score and tier per active account.
 
@@ -100,10 +99,10 @@ def scored_accounts(
         "account_id", "company_name", "account_segment", "plan_tier", "tenure_months", "current_mrr",
         "current_arr", "account_owner", "lifecycle_stage", "region",
     )
-    u = usage_scores(fct_usage, settings, num_partitions)
+    u = usage_scores(fct_usage, settings)
     s = support_scores(tickets, settings)
     r = revenue_scores(fct_revenue, settings)
-    e = engagement_scores(stg_usage_events, settings, num_partitions)
+    e = engagement_scores(stg_usage_events, settings)
     j = base.join(u, "account_id", "left").join(s, "account_id", "left").join(r, "account_id", "left").join(e, "account_id", "left")
     us = F.coalesce(F.col("usage_score"), F.lit(t.missing_usage_score)).cast("bigint")
     ss = F.coalesce(F.col("support_score"), F.lit(t.missing_support_score)).cast("bigint")
@@ -125,11 +124,15 @@ def scored_accounts(
     return scored.withColumn("health_tier", X.health_tier(F.col("health_score"), t))
 
 
-def customer_health_scores(scored: DataFrame, num_partitions: int | None = None, audit: bool = False) -> DataFrame:
-    """``scored_accounts`` with the intervention priority, ranked on a narrow frame."""
-    narrow = scored.select("health_score", "account_id")
-    ranks = global_row_number(narrow, ["health_score", "account_id"], "intervention_priority", num_partitions)
-    out = scored.join(ranks.select("account_id", "intervention_priority"), "account_id")
+def customer_health_scores(scored: DataFrame, accounts: DataFrame, audit: bool = False) -> DataFrame:
+    """``scored_accounts`` with the intervention priority.
+
+    The scores are few whole numbers; ``accounts`` (any frame with the account ids) tells where to cut
+    the ties, so the scored accounts are evaluated once.
+    """
+    out = global_row_number(
+        scored, ["health_score", "account_id"], "intervention_priority", steps=["health_score"], sample=accounts.select("account_id")
+    )
     return out.withColumn("scored_at", F.current_timestamp()) if audit else out
 
 

@@ -41,7 +41,6 @@ class Pipeline:
         raw: RawInputs,
         settings: Settings,
         materialize: str | None = None,
-        num_partitions: int | None = None,
         shared: tuple[str, ...] | str = SHARED,
         tables: dict[str, DataFrame] | None = None,
         audit: bool = False,
@@ -57,7 +56,6 @@ class Pipeline:
         self.raw = raw
         self.settings = settings
         self.materialize = materialize
-        self.num_partitions = num_partitions
         self.shared = shared
         self.tables = dict(tables or {})
         self.audit = audit
@@ -146,14 +144,14 @@ class Pipeline:
         return self._share("scored_accounts", lambda:
             marts.scored_accounts(
                 self.dim_account, self.fct_usage, self.stg_support_tickets, self.fct_revenue, self.stg_usage_events,
-                self.settings, self.num_partitions,
+                self.settings,
             ),
         )
 
     @cached_property
     def customer_health_scores(self) -> DataFrame:
         return self._share("customer_health_scores", lambda:
-            marts.customer_health_scores(self.scored_accounts, self.num_partitions, self.audit))
+            marts.customer_health_scores(self.scored_accounts, self.stg_accounts, self.audit))
 
     @cached_property
     def churn_risk_view(self) -> DataFrame:

@@ -52,8 +52,16 @@ TICKET_PRIORITY_BY_DIGIT = {"1": "P1", "2": "P2", "3": "P3", "4": "P4", "5": "P4
 INVOICE_UNIT_AMOUNT = "49.505"
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+class DriverTables:
+    """The driver's tables, each opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._opened = spark, sf_dir.rstrip("/"), {}
+
+    def __call__(self, table: str) -> DataFrame:
+        if table not in self._opened:
+            self._opened[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._opened[table]
 
 
 # Derived columns are written as SQL expression text: one JVM call per
@@ -87,8 +95,8 @@ def _zoned_text(moment: str) -> str:
     )
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "orders").selectExpr(
+def _orders(tables: DriverTables) -> DataFrame:
+    return tables("orders").selectExpr(
         "o_orderkey AS k",
         f"{ACCOUNT_NO} AS a",
         "o_orderstatus",
@@ -97,9 +105,9 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_accounts(tables: DriverTables) -> DataFrame:
     cust = (
-        _read(spark, sf_dir, "customer")
+        tables("customer")
         .groupBy(F.expr(f"c_custkey div {CUSTOMERS_PER_ACCOUNT}").alias("a"))
         .agg(
             F.min_by("c_name", "c_custkey").alias("c_name"),
@@ -109,9 +117,9 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     # nation (25 rows) and region (5 rows) are fixed-size dimensions.
-    nation = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = F.broadcast(_read(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    first_order = _orders(spark, sf_dir).groupBy("a").agg(F.min("order_date").alias("first_order_date"))
+    nation = F.broadcast(tables("nation").select("n_nationkey", "n_name", "n_regionkey"))
+    region = F.broadcast(tables("region").select("r_regionkey", "r_name"))
+    first_order = _orders(tables).groupBy("a").agg(F.min("order_date").alias("first_order_date"))
     return (
         cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
@@ -132,13 +140,13 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_subscriptions(tables: DriverTables) -> DataFrame:
     product = _pick("k % 4", C.PRODUCTS)
     mrr = (
         f"CASE WHEN {product} = '{C.PLATFORM_PRODUCT}' THEN {_case(TIER, C.PLATFORM_TIER_PRICES)}"
         f" ELSE {_case(product, C.ADDON_LIST_PRICES)} END"
     )
-    return _orders(spark, sf_dir).selectExpr(
+    return _orders(tables).selectExpr(
         "CAST(k AS STRING) AS subscription_id",
         "CAST(a AS STRING) AS account_id",
         f"{product} AS product_name",
@@ -152,8 +160,8 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders(spark, sf_dir).selectExpr(
+def raw_invoices(tables: DriverTables) -> DataFrame:
+    return _orders(tables).selectExpr(
         "CAST(k AS STRING) AS invoice_id",
         "CAST(a AS STRING) AS account_id",
         "order_date AS invoice_date",
@@ -164,14 +172,14 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_usage_events(tables: DriverTables) -> DataFrame:
     names = " ".join(
         f"WHEN event_type = '{etype}' THEN {_pick('event_id % 3', C.EVENT_CATEGORIES[category])}"
         for etype, category in EVENT_TYPE_CATEGORY.items()
     )
     back_days = "(CASE WHEN event_id % 4 < user_id % 5 THEN 31 ELSE 0 END + dayofmonth(ts) % 3)"
     moved = f"timestampadd(DAY, -{back_days}, ts)"
-    return _read(spark, sf_dir, "events").selectExpr(
+    return tables("events").selectExpr(
         "CAST(event_id AS STRING) AS event_id",
         "CAST(user_id AS STRING) AS account_id",
         "CAST(user_id * 10 + event_id % 4 AS STRING) AS user_id",
@@ -181,11 +189,11 @@ def raw_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_support_tickets(tables: DriverTables) -> DataFrame:
     priority = _case("substring(o_orderpriority, 1, 1)", TICKET_PRIORITY_BY_DIGIT)
     target = _case("priority", {k.upper(): v for k, v in C.SLA_TARGET_HOURS.items()})
     resolved = f"timestampadd(MINUTE, {target} * 3 * ((k * 7919) % 40), created_at)"
-    base = _orders(spark, sf_dir).selectExpr(
+    base = _orders(tables).selectExpr(
         "k",
         "a",
         f"timestampadd(MINUTE, (k * 13) % 1440, timestampadd(DAY, -(k % 200), TIMESTAMP_NTZ'{AS_OF} 00:00:00'))"
@@ -209,11 +217,12 @@ def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
     """The five raw relations, each built on first use."""
+    tables = DriverTables(spark, sf_dir)
     return RawInputs(
-        accounts=lambda: raw_accounts(spark, sf_dir),
-        subscriptions=lambda: raw_subscriptions(spark, sf_dir),
-        invoices=lambda: raw_invoices(spark, sf_dir),
-        usage_events=lambda: raw_usage_events(spark, sf_dir),
-        support_tickets=lambda: raw_support_tickets(spark, sf_dir),
+        accounts=lambda: raw_accounts(tables),
+        subscriptions=lambda: raw_subscriptions(tables),
+        invoices=lambda: raw_invoices(tables),
+        usage_events=lambda: raw_usage_events(tables),
+        support_tickets=lambda: raw_support_tickets(tables),
         spark=spark,
     )
