@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
@@ -27,7 +29,12 @@ from acctlens.operators import quality as Q  # noqa: E402
 from acctlens.operators.ranking import global_ntile, global_row_number  # noqa: E402
 from acctlens.plans import core, marts  # noqa: E402
 from acctlens.plans.pipeline import Pipeline  # noqa: E402
+from acctlens.session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from acctlens.sources.driver_tables import AS_OF, load_raw_inputs  # noqa: E402
+from acctlens.sources.raw import (  # noqa: E402
+    RAW_SCHEMAS, READABLE_CHECKS, RawInputs, read_raw_csv_dir, read_raw_tables, write_raw_csv_dir,
+)
+from acctlens.sources.sinks import register_views, replace_table  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -89,8 +96,79 @@ def _ranked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
 
 
-def _te(p: Pipeline) -> DataFrame:
-    return marts.tickets_enriched(p.stg_support_tickets, p.dim_account)
+# --- the raw inputs by other ways in -------------------------------------------
+
+
+def _through_csv(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """The raw relations written as CSV files, some with line breaks in a field, with a file of unreadable records beside each."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/raw-csv-{uuid.uuid4().hex}"
+    raw = load_raw_inputs(spark, sf_dir)
+    accounts = raw.accounts.withColumn("industry", F.concat(F.lit("\n"), F.col("industry"), F.lit("\r\n")))  # staging trims them
+    changed = RawInputs(accounts, raw.subscriptions, raw.invoices, raw.usage_events, raw.support_tickets, spark)
+    write_raw_csv_dir(changed, path, names)
+    for name in names:
+        short = getattr(changed, name.removeprefix("raw_")).select(*RAW_SCHEMAS[name].names[:2])
+        keys = short.filter(F.col(short.columns[0]).cast("bigint") % 50 == 0).select(*[F.col(c).cast("string") for c in short.columns])
+        keys.write.mode("append").options(header=True, quoteAll=True).csv(f"{path}/{name}.csv")
+    return path
+
+
+def _staged_from_csv(relation: str, name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: getattr(
+        Pipeline(read_raw_csv_dir(spark, _through_csv(spark, sf_dir, name)), Settings(as_of=AS_OF)), relation
+    )
+
+
+def _unreadable_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = read_raw_csv_dir(spark, _through_csv(spark, sf_dir, *RAW_SCHEMAS))
+    return Q.run_checks(raw.bad_records, READABLE_CHECKS)
+
+
+def _staged_from_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All staged relations of raw inputs that are known to the session by name only: their rows."""
+    given = load_raw_inputs(spark, sf_dir).as_dict()
+    names = {name: f"{name}_{uuid.uuid4().hex}" for name in given}
+    register_views({names[name]: df for name, df in given.items()})
+    p = Pipeline(read_raw_tables(spark, names), Settings(as_of=AS_OF))
+    counts = [getattr(p, r).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(r).alias("relation"), "n_rows") for r in p.STAGING]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _rebuilt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart written, replaced as a whole by a second build, and read through the catalog."""
+    p = _pipeline(spark, sf_dir)
+    base, table = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rebuilt-{uuid.uuid4().hex}", f"nrr_{uuid.uuid4().hex}"
+    replace_table(p.nrr_summary.limit(1), base, table)
+    replace_table(p.nrr_summary, base, table)
+    return spark.table(table)
+
+
+def _bucketed(mart: str, *inputs: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A mart over inputs written as tables bucketed by account."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prefix = f"b_{uuid.uuid4().hex}_"
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}tables"
+        _pipeline(spark, sf_dir).write_bucketed(path, prefix, names=inputs)
+        return getattr(Pipeline.from_bucketed(load_raw_inputs(spark, sf_dir), Settings(as_of=AS_OF), prefix, inputs), mart)
+
+    return run
+
+
+def _unlisted_products(p: Pipeline) -> DataFrame:
+    """The product dimension of subscriptions to retired products, which no list names."""
+    retired = F.col("subscription_id").cast("bigint") % 3 == 0
+    name = F.when(retired, F.concat(F.lit("retired_"), "product_name")).otherwise(F.col("product_name"))
+    return core.dim_product(p.stg_subscriptions.withColumn("product_name", name))
+
+
+def _audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per account of the churn view: that it and its layers below bear their times."""
+    p = Pipeline(load_raw_inputs(spark, sf_dir), Settings(as_of=AS_OF), audit=True)
+    loaded = p.stg_accounts.select("account_id", F.col("_loaded_at").isNotNull().alias("is_loaded"))
+    scored = p.customer_health_scores.select("account_id", F.col("scored_at").isNotNull().alias("is_scored"))
+    assessed = p.churn_risk_view.select("account_id", F.col("assessed_at").isNotNull().alias("is_assessed"))
+    return loaded.join(scored, "account_id").join(assessed, "account_id")
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -131,8 +209,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "churn_detection_anti_join": _with(lambda p: marts.churn_detection_anti_join(p.fct_revenue)),
     "revenue_with_cohort": _with(lambda p: marts.revenue_with_cohort(p.dim_account, p.fct_revenue)),
     "cohort_metrics": _with(lambda p: marts.cohort_metrics(marts.revenue_with_cohort(p.dim_account, p.fct_revenue))),
-    "sla_by_priority": _with(lambda p: marts.sla_by_priority(_te(p))),
-    "sla_by_segment": _with(lambda p: marts.sla_by_segment(_te(p))),
+    "sla_by_priority": _with(lambda p: marts.sla_by_priority(p.stg_support_tickets, p.dim_account)),
+    "sla_by_segment": _with(lambda p: marts.sla_by_segment(p.stg_support_tickets, p.dim_account)),
     # semantic options and other ladders
     "fct_revenue_new_excluded": _options(include_new_in_expansion=False)(lambda p: p.fct_revenue),
     "fct_revenue_gap_aware": _options(gap_aware_movements=True)(lambda p: p.fct_revenue),
@@ -142,6 +220,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda p: marts.support_scores(p.stg_support_tickets, p.settings).select("account_id", "recent_open_tickets", "support_score")
     ),
     "revenue_scores_thresholds": _LADDERS(lambda p: marts.revenue_scores(p.fct_revenue, p.settings)),
+    # the raw files, names and tables
+    "csv_stg_accounts": _staged_from_csv("stg_accounts", "raw_accounts"),
+    "csv_stg_subscriptions": _staged_from_csv("stg_subscriptions", "raw_subscriptions"),
+    "csv_stg_invoices": _staged_from_csv("stg_invoices", "raw_invoices"),
+    "csv_stg_usage_events": _staged_from_csv("stg_usage_events", "raw_usage_events"),
+    "csv_stg_support_tickets": _staged_from_csv("stg_support_tickets", "raw_support_tickets"),
+    "csv_unreadable_records": _unreadable_records,
+    "named_staging_rows": _staged_from_views,
+    "rebuilt_nrr_table": _rebuilt_table,
+    "nrr_summary_bucketed": _bucketed("nrr_summary", "fct_revenue_with_next"),
+    "churn_risk_view_bucketed": _bucketed("churn_risk_view", *Pipeline.BUCKETED),
+    "dim_product_unlisted": _with(_unlisted_products),
+    "audit_columns": _audit_columns,
     # global ranking over a whole table
     "global_row_number": lambda spark, sf_dir: global_row_number(
         _ranked_orders(spark, sf_dir), ["o_totalprice desc", "o_orderkey"], "price_rank"
@@ -201,23 +292,42 @@ _ORACLE: dict[str, str] = {
         "SELECT account_id, recent_open_tickets, support_score FROM support_scores_thresholds", "support_scores_thresholds"
     ),
     "revenue_scores_thresholds": O.relation("revenue_scores_thresholds"),
+    **{f"csv_stg_{n}": O.relation(f"stg_{n}") for n in ("accounts", "subscriptions", "invoices", "usage_events", "support_tickets")},
+    "csv_unreadable_records": O.UNREADABLE_RECORDS,
+    "named_staging_rows": O.sql_for(
+        " UNION ALL ".join(f"SELECT '{r}' AS relation, count(*) AS n_rows FROM {r}" for r in Pipeline.STAGING), *Pipeline.STAGING
+    ),
+    "rebuilt_nrr_table": O.relation("nrr_summary"),
+    "nrr_summary_bucketed": O.relation("nrr_summary", "revenue_month"),
+    "churn_risk_view_bucketed": O.relation("churn_risk_view", "risk_signal_count DESC, health_score, account_id"),
+    "dim_product_unlisted": O.relation("dim_product_unlisted"),
+    "audit_columns": O.sql_for("SELECT account_id, true AS is_loaded, true AS is_scored, true AS is_assessed FROM churn_risk_view", "churn_risk_view"),
     "global_row_number": "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS price_rank FROM orders",
     "global_ntile": "SELECT o_orderkey, o_totalprice, ntile(7) OVER (ORDER BY o_totalprice, o_orderkey) AS bucket FROM orders",
 }
 
 
-def _checked_relations(p: Pipeline, checks: list[Q.Check]) -> dict[str, DataFrame]:
-    """The relations that the checks name, and no others."""
-    named = dict.fromkeys(r for c in checks for r in (c.relation, c.to) if r)
-    return {n: _dim_date(p) if n == "dim_date" else getattr(p, n) for n in named}
+class _Relations(Mapping):
+    """The pipeline's relations by name, each built when it is asked for."""
+
+    def __init__(self, p: Pipeline):
+        self.p = p
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return _dim_date(self.p) if name == "dim_date" else getattr(self.p, name)
+
+    def __iter__(self):
+        return iter(Pipeline.STAGING + Pipeline.CORE + Pipeline.MARTS)
+
+    def __len__(self) -> int:
+        return len(list(iter(self)))
 
 
 def _suite(checks: list[Q.Check]) -> Callable[[SparkSession, str], DataFrame]:
-    """Each relation feeds several checks, so each is computed once into the checkpoint folder."""
+    """A relation that feeds several parts of the suite is written once, with the checked columns only."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        p = Pipeline(load_raw_inputs(spark, sf_dir), Settings(as_of=AS_OF), materialize="checkpoint", shared="all")
-        return Q.run_checks(_checked_relations(p, checks), checks)
+        return Q.run_checks(Q.narrowed(_Relations(_pipeline(spark, sf_dir)), checks, cut_lineage), checks)
 
     return run
 
@@ -265,7 +375,7 @@ _QUERIES["dq_assert_mrr_non_negative"] = _with(lambda p: Q.mrr_non_negative(p.fc
 _ORACLE["dq_assert_mrr_non_negative"] = O.sql_for(
     "SELECT account_id, revenue_month, mrr FROM fct_revenue WHERE mrr < 0", "fct_revenue"
 )
-_QUERIES["dq_assert_health_score_range"] = _with(lambda p: Q.health_score_range(p.customer_health_scores))
+_QUERIES["dq_assert_health_score_range"] = _with(lambda p: Q.health_score_range(p.scored_accounts))
 _ORACLE["dq_assert_health_score_range"] = O.sql_for(
     "SELECT account_id, company_name, health_score FROM customer_health_scores "
     "WHERE health_score < 0 OR health_score > 100",

@@ -6,22 +6,28 @@ parquet, in dependency order, and every later relation and check reads the
 written files, with column pruning and pushed filters; the marts are tables of
 the catalog too. Audit columns are filled in. The check report (one row per
 check) is written next to them.
+
+Each relation is a new version beside the one of the last build (``sinks.replace_table``): a
+build that fails leaves the old rows readable. The row-wise checks of written relations are
+counted by the tasks that write them; only views, uniqueness and relationships are read for.
+Rows of the inputs that cannot be parsed are left out of the relations and counted by checks of their own.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from acctlens.config import Settings
-from acctlens.operators.quality import ALL_CHECKS, run_checks
+from acctlens.operators.quality import ALL_CHECKS, observed, run_checks
 from acctlens.plans.pipeline import MART_PARTITIONING, Pipeline
-from acctlens.sources.raw import RawInputs
-from acctlens.sources.sinks import register_views, write_table
+from acctlens.sources.raw import READABLE_CHECKS, RawInputs
+from acctlens.sources.sinks import register_views, replace_table
 
 
 @dataclass(frozen=True)
@@ -43,21 +49,28 @@ def build(raw: RawInputs, settings: Settings, out_dir: str, table_prefix: str =
     p = Pipeline(raw, settings, audit=True)
     register_views({f"{table_prefix}{n}".replace(".", "_"): getattr(p, n) for n in p.STAGING})
     places = {n: "view" for n in p.STAGING}
-
-    def write(name: str, path: str, table: str | None = None) -> None:
-        write_table(
-            getattr(p, name), path=path, table=table, partition_by=MART_PARTITIONING.get(name, ()),
-            cluster_by=("account_id",) if name in MART_PARTITIONING else (),
+    bad_records = raw.bad_records
+    checks = [*ALL_CHECKS, *(READABLE_CHECKS if bad_records else [])]
+    known: dict[int, int] = {}
+
+    def write(name: str, base: str, table: str | None = None) -> str:
+        counts = observed(checks, name)
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        path = replace_table(
+            getattr(p, name), base, table, partition_by=MART_PARTITIONING.get(name, ()),
+            cluster_by=("account_id",) if name in MART_PARTITIONING else (), observe=(seen, counts) if counts else None,
         )
+        if counts:
+            known.update({int(k[1:]): n for k, n in seen.get.items()})
         setattr(p, name, spark.read.parquet(path))  # all that follows reads the files
+        return path
 
     for name in p.CORE + p.MARTS:
         if name in INTERNAL:
             write(INTERNAL[name], os.path.join(out_dir, "_internal", INTERNAL[name]))
-        places[name] = os.path.join(out_dir, name)
-        write(name, places[name], f"{table_prefix}{name}" if name in p.MARTS else None)
-    report_path = os.path.join(out_dir, "_quality_report")
-    run_checks(p.relations(), ALL_CHECKS).write.mode("overwrite").parquet(report_path)
+        places[name] = write(name, os.path.join(out_dir, name), f"{table_prefix}{name}" if name in p.MARTS else None)
+    relations = p.relations() | bad_records
+    report_path = replace_table(run_checks(relations, checks, known), os.path.join(out_dir, "_quality_report"))
     # The report has one row per declared check (136 rows), so summing it on
     # the driver reads a bounded summary, not data.
     summary = spark.read.parquet(report_path).agg(

@@ -14,11 +14,16 @@ Cost model of ``run_checks``, per relation:
   rows and anti-join them, in one join, with the parents' distinct keys: a
   key holding a third of the child rows is one row by the time it reaches
   the join.
+
+``observed`` takes the row-wise counts of a relation while it is written, without a read of its
+own; ``run_checks`` is then told the counts. ``narrowed`` cuts each relation down to the columns that
+its checks name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -136,29 +141,69 @@ def _orphans(
     return child.join(parent, ["i", "k"], "left_anti").groupBy("i").agg(F.sum("n").alias("n"))
 
 
-def run_checks(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def is_row_wise(c: Check) -> bool:
+    return c.kind not in ("unique", "relationships")
+
+
+def observed(checks: Sequence[Check], relation: str) -> list[Column]:
+    """Counts of the violations of the relation's row-wise checks, each named by the check's place in ``checks``."""
+    return [F.count_if(_folded_predicate(c)).alias(f"n{i}") for i, c in enumerate(checks) if c.relation == relation and is_row_wise(c)]
+
+
+def checked_columns(checks: Sequence[Check], relation: str, columns: Sequence[str]) -> list[str]:
+    """Those of the relation's ``columns`` that some check names, in their order."""
+    named = {c.column for c in checks if c.relation == relation} | {c.field for c in checks if c.to == relation}
+    for c in checks:
+        if c.relation == relation and c.predicate:
+            named |= set(re.findall(r"\w+", c.predicate))
+    return [c for c in columns if c in named]
+
+
+def narrowed(
+    relations: Mapping[str, DataFrame], checks: Sequence[Check], cut: Callable[[DataFrame], DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """The relations that the checks name, with the columns they name and no others.
+
+    ``cut`` (a checkpoint, say) is applied to those that more than one part of the suite reads.
+    """
+    out = {}
+    for name in dict.fromkeys(r for c in checks for r in (c.relation, c.to) if r):
+        df = relations[name]
+        out[name] = df.select(*checked_columns(checks, name, df.columns))
+        parts = {("unique", c.column) if c.kind == "unique" else is_row_wise(c) for c in checks if c.relation == name}
+        parts |= {"parent" for c in checks if c.to == name}
+        if cut and len(parts) > 1:
+            out[name] = cut(out[name])
+    return out
+
+
+def run_checks(relations: Mapping[str, DataFrame], checks: Sequence[Check], known: Mapping[int, int] | None = None) -> DataFrame:
     """Q7: evaluate ``checks`` over ``relations``; one report row per check.
 
-    Only the relations that the checks name are read.
+    Only the relations that the checks name are read. ``known`` holds violations counted already,
+    by the check's place in ``checks``.
     """
+    known = dict(known or {})
     spark = next(iter(relations.values())).sparkSession
     row_wise: dict[str, list[tuple[int, Check]]] = {}
     pieces: list[DataFrame] = []
     for i, c in enumerate(checks):
+        if i in known:
+            continue
         if c.kind == "unique":
             pieces.append(_repeated(relations[c.relation], i, c))
         elif c.kind != "relationships":
             row_wise.setdefault(c.relation, []).append((i, c))
     pieces += [_counts(relations[r], cs) for r, cs in row_wise.items()]
-    if links := [(i, c) for i, c in enumerate(checks) if c.kind == "relationships"]:
+    if links := [(i, c) for i, c in enumerate(checks) if c.kind == "relationships" and i not in known]:
         pieces.append(_orphans(relations, links))
     # one row per declared check (a fixed, small list), so checks without a violation report 0
     declared = spark.createDataFrame(
-        [(i, c.relation, c.column, c.check_name) for i, c in enumerate(checks)],
-        "i int, relation string, column_name string, check_name string",
+        [(i, c.relation, c.column, c.check_name, known.get(i)) for i, c in enumerate(checks)],
+        "i int, relation string, column_name string, check_name string, known bigint",
     )
-    counted = declared.join(F.broadcast(reduce(DataFrame.unionByName, pieces)), "i", "left")
-    violations = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
+    counted = declared.join(F.broadcast(reduce(DataFrame.unionByName, pieces)), "i", "left") if pieces else declared.withColumn("n", F.lit(0))
+    violations = F.coalesce("known", "n", F.lit(0)).cast("bigint")
     return counted.select("relation", "column_name", "check_name", violations.alias("violations"), (violations == 0).alias("passed"))
 
 

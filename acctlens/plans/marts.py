@@ -424,25 +424,19 @@ def revenue_cohort_analysis(dim_account: DataFrame, fct_revenue: DataFrame, sett
 # --- SLA adherence --------------------------------------------------------------------
 
 
-def tickets_enriched(fct_tickets: DataFrame, dim_account: DataFrame) -> DataFrame:
-    """Tickets with the account segment; ``fct_tickets`` may also be
-    ``stg_support_tickets`` (the report reads only staged ticket columns)."""
-    a = dim_account.select("account_id", "account_segment")
-    return fct_tickets.join(a, "account_id", "inner").withColumn(
-        "ticket_year_month", F.date_format("created_date", "yyyy-MM")
-    )
+_TICKET_SUMS = ("n", "n_resolved", "n_breach", "n_within", "n_open", "csat_sum", "csat_n")
 
 
-def _hours_frame(tickets_enriched: DataFrame) -> DataFrame:
-    """Tickets reduced to (month, priority, segment, resolved hours in tenths), with counts and exact sums.
+def ticket_hours(tickets: DataFrame) -> DataFrame:
+    """Tickets reduced to (account, month, priority, resolved hours in tenths), with counts and exact sums.
 
-    Every measure of the report, quantiles included, is a sum over this frame;
-    its size follows the distinct hours, not the tickets.
+    ``tickets`` is any ticket-grain frame with the staged columns. An account that holds a third of all tickets
+    is a few rows of each month and priority, one for each distinct duration, before it meets a join.
     """
     resolved = F.col("status") == "resolved"
     breach = F.col("is_sla_breach")
-    return tickets_enriched.groupBy(
-        "ticket_year_month", "priority", "account_segment",
+    return tickets.groupBy(
+        "account_id", F.date_format("created_date", "yyyy-MM").alias("ticket_year_month"), "priority",
         to_tenths(F.when(resolved, F.col("resolution_hours"))).alias("tenths"),
     ).agg(
         F.count(F.lit(1)).alias("n"),
@@ -455,11 +449,26 @@ def _hours_frame(tickets_enriched: DataFrame) -> DataFrame:
     )
 
 
+def tickets_enriched(reduced: DataFrame, dim_account: DataFrame) -> DataFrame:
+    """``ticket_hours`` with the account segment; tickets of unknown accounts fall out."""
+    return reduced.join(dim_account.select("account_id", "account_segment"), "account_id", "inner")
+
+
+def _hours_frame(tickets: DataFrame, dim_account: DataFrame) -> DataFrame:
+    """Tickets by (month, priority, segment, tenths of hours).
+
+    Every measure of the report, quantiles included, is a sum over this frame;
+    its size follows the distinct hours, not the tickets.
+    """
+    enriched = tickets_enriched(ticket_hours(tickets), dim_account)
+    return enriched.groupBy("ticket_year_month", "priority", "account_segment", "tenths").agg(*[F.sum(c).alias(c) for c in _TICKET_SUMS])
+
+
 def _sla_half(frame: DataFrame, dimension: str, column: str) -> DataFrame:
     """Half of the report, from the reduced frame: sums, and exact quantiles by cumulative counts."""
     keys = ["ticket_year_month", "dimension_value"]
     per_hour = frame.groupBy("ticket_year_month", F.col(column).alias("dimension_value"), "tenths").agg(
-        *[F.sum(c).alias(c) for c in ("n", "n_resolved", "n_breach", "n_within", "n_open", "csat_sum", "csat_n")]
+        *[F.sum(c).alias(c) for c in _TICKET_SUMS]
     )
     known = F.when(F.col("tenths").isNotNull(), F.col("n")).otherwise(0)
     group = Window.partitionBy(*keys)
@@ -489,22 +498,22 @@ def _sla_half(frame: DataFrame, dimension: str, column: str) -> DataFrame:
     return out.select("ticket_year_month", F.lit(dimension).alias("dimension_type"), "dimension_value", *measures)
 
 
-def sla_by_priority(tickets_enriched: DataFrame) -> DataFrame:
+def sla_by_priority(tickets: DataFrame, dim_account: DataFrame) -> DataFrame:
     """SLA summary per month and priority, with P50 and P90."""
-    return _sla_half(_hours_frame(tickets_enriched), "priority", "priority")
+    return _sla_half(_hours_frame(tickets, dim_account), "priority", "priority")
 
 
-def sla_by_segment(tickets_enriched: DataFrame) -> DataFrame:
+def sla_by_segment(tickets: DataFrame, dim_account: DataFrame) -> DataFrame:
     """SLA summary per month and account segment (fewer measures)."""
-    return _sla_half(_hours_frame(tickets_enriched), "segment", "account_segment")
+    return _sla_half(_hours_frame(tickets, dim_account), "segment", "account_segment")
 
 
-def sla_adherence(fct_tickets: DataFrame, dim_account: DataFrame, sort: bool = True) -> DataFrame:
+def sla_adherence(tickets: DataFrame, dim_account: DataFrame, sort: bool = True) -> DataFrame:
     """Both halves stacked with a dimension label (U1/U2), from one reduced frame.
 
-    The tickets are scanned, joined and aggregated once; Spark reuses that
-    exchange for the second half.
+    The tickets are scanned and aggregated once, and only the aggregate is joined; Spark reuses
+    that exchange for the second half.
     """
-    frame = _hours_frame(tickets_enriched(fct_tickets, dim_account))
+    frame = _hours_frame(tickets, dim_account)
     out = _sla_half(frame, "priority", "priority").unionByName(_sla_half(frame, "segment", "account_segment"))
     return out.orderBy("ticket_year_month", "dimension_type", "dimension_value") if sort else out

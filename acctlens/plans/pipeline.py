@@ -23,7 +23,7 @@ from acctlens.config import Settings
 from acctlens.plans import core, marts, staging
 from acctlens.session import cut_lineage
 from acctlens.sources.raw import RawInputs
-from acctlens.sources.sinks import write_table
+from acctlens.sources.sinks import replace_table
 
 SHARED = (
     "dim_account", "fct_revenue_with_next", "fct_usage", "fct_tickets", "stg_usage_events", "scored_accounts",
@@ -184,7 +184,9 @@ class Pipeline:
     # Relations the marts read that are worth co-locating on account_id.
     BUCKETED = ("dim_account", "fct_revenue_with_next", "fct_usage", "stg_support_tickets", "stg_usage_events")
 
-    def write_bucketed(self, out_dir: str, prefix: str = "acctlens_", buckets: int | None = None) -> dict[str, str]:
+    def write_bucketed(
+        self, out_dir: str, prefix: str = "acctlens_", buckets: int | None = None, names: tuple[str, ...] = BUCKETED
+    ) -> dict[str, str]:
         """Write the mart inputs as tables bucketed and sorted by ``account_id``.
 
         Marts built on them (``Pipeline.from_bucketed``) aggregate and join on
@@ -194,7 +196,7 @@ class Pipeline:
         """
         n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         written = {}
-        for name in self.BUCKETED:
+        for name in names:
             table = f"{prefix}{name}"
             path = os.path.join(out_dir, name)
             (
@@ -206,22 +208,18 @@ class Pipeline:
 
     @classmethod
     def from_bucketed(
-        cls, raw: RawInputs, settings: Settings, prefix: str = "acctlens_", **kwargs
+        cls, raw: RawInputs, settings: Settings, prefix: str = "acctlens_", names: tuple[str, ...] = BUCKETED, **kwargs
     ) -> "Pipeline":
         """A pipeline whose mart inputs are the tables of ``write_bucketed``."""
-        tables = {name: raw.spark.table(f"{prefix}{name}") for name in cls.BUCKETED}
+        tables = {name: raw.spark.table(f"{prefix}{name}") for name in names}
         return cls(raw, settings, tables=tables, **kwargs)
 
     def write(self, out_dir: str, names: tuple[str, ...] | None = None) -> dict[str, str]:
-        """Materialize relations as parquet tables under ``out_dir`` (full rebuild)."""
+        """Write relations as parquet under ``out_dir``, each a new version beside its old ones; returns the versions' paths."""
         written = {}
         for name in names or (self.CORE + self.MARTS):
-            path = os.path.join(out_dir, name)
-            write_table(
-                getattr(self, name),
-                path=path,
-                partition_by=MART_PARTITIONING.get(name, ()),
+            written[name] = replace_table(
+                getattr(self, name), os.path.join(out_dir, name), partition_by=MART_PARTITIONING.get(name, ()),
                 cluster_by=("account_id",) if name in MART_PARTITIONING else (),
             )
-            written[name] = path
         return written

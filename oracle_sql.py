@@ -226,6 +226,10 @@ SELECT concat_ws('_', product_name, offer.tier) AS product_key, product_name, pr
        offer.tier AS plan_tier, CAST(offer.price AS BIGINT) AS list_price_mrr, feature_category
 FROM offers""")
 
+_cte("subscriptions_unlisted", ("stg_subscriptions",), """
+SELECT * REPLACE (if(CAST(subscription_id AS BIGINT) % 3 = 0, 'retired_' || product_name, product_name) AS product_name) FROM stg_subscriptions""")
+_cte("dim_product_unlisted", ("subscriptions_unlisted", "products", "tiers"), CTES["dim_product"][1].replace("stg_subscriptions", "subscriptions_unlisted"))
+
 _cte("dim_date", ("stg_invoices", "stg_usage_events", "stg_support_tickets"), """
 WITH days AS (
     SELECT invoice_date AS d FROM stg_invoices UNION SELECT event_date FROM stg_usage_events UNION SELECT created_date FROM stg_support_tickets
@@ -554,3 +558,12 @@ def quality_report_sql(checks) -> str:
                 rels.append(r)
     union = "\nUNION ALL\n".join(check_sql(c) for c in checks)
     return sql_for(f"SELECT *, violations = 0 AS passed FROM (\n{union}\n)", *rels)
+
+
+# Every fiftieth record of the raw files is written a second time without most of its columns.
+_RAW_KEYS = {"raw_accounts": "DISTINCT c_custkey // 10 AS k FROM customer", "raw_usage_events": "event_id AS k FROM events"}
+_RAW_KEYS |= {name: "o_orderkey AS k FROM orders" for name in ("raw_subscriptions", "raw_invoices", "raw_support_tickets")}
+UNREADABLE_RECORDS = "SELECT *, violations = 0 AS passed FROM (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS relation, NULL::VARCHAR AS column_name, 'readable' AS check_name, count(*) AS violations FROM (SELECT {keys}) WHERE k % 50 = 0"
+    for name, keys in _RAW_KEYS.items()
+) + ")"
