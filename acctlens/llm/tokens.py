@@ -5,7 +5,8 @@ The ids are those of the ``tokenizers`` library on the whole text with
 its pre-tokenizer cuts, and the pre-tokenizer always cuts before a single
 space that stands between two characters that are not white space. So a text
 is the sequence of its space-separated chunks, each encoded with its leading
-space, and every distinct chunk of a batch is encoded once by the library.
+space, and every distinct chunk of a batch is encoded once by the library, thousands of
+them in one call.
 A text with white space beside one of its spaces (two spaces, a space before
 a line break, ...) has no such cuts there and is encoded whole, and so is a text that
 holds the string of one of the vocabulary's added tokens: the library gives it that token's id.
@@ -17,29 +18,25 @@ changes speed only.
 from __future__ import annotations
 
 import functools
-from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks in each of a worker's two generations, about 40 MB.
-CACHE_CHUNKS = 200_000
+#: Chunks in each of a worker's two generations, about 80 MB.
+CACHE_CHUNKS = 400_000
 #: Texts of a batch are encoded in slices of about this many bytes, which bounds the arrays made for them.
 SLICE_BYTES = 4 << 20
 END_ID = 2
 
 
-#: The pre-tokenizer of byte-level BPE vocabularies, a fixed value: it must cut as the library does.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_PROBE = "It's 12 o'clock,\tdéjà  vu:\n\n 3.14 «ça»  we'll\u00a0see... "
-
-
-def _byte_letters() -> dict[int, str]:
-    """The visible letter that stands for each byte in a byte-level vocabulary."""
-    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(visible)]
-    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+#: New chunks are handed to the library in texts of about this many characters.
+JOINED_CHARS = 1 << 12
+#: What may follow a word in its chunk and is then a piece of its own.
+STOPS = ".,;:!?"
+#: The letter that stands for a space in byte-level vocabularies, a fixed value.
+SPACE = "\u0120"
+_PROBE = "It's 12 o'clock,\tdéjà vu:\n\n3.14 «ça» we'll\u00a0see... 100,000 \U0001f600x end"
 
 
 class _Cache:
@@ -66,48 +63,74 @@ class _Cache:
 
 class ChunkEncoder:
     def __init__(self, tokenizer_path: str, cache_chunks: int = CACHE_CHUNKS):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        self.model = self.tokenizer.model
-        self.pieces = regex.compile(PIECES).findall
-        self.letters = _byte_letters()
-        self.space = self.letters[32]
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(names.values()) + 1, bool)  # ids that begin with a space
+        self.spaced[[i for name, i in names.items() if name.startswith(SPACE)]] = True
+        self.tails: dict[str, bytes] = {}  # runs of stops
         self.chunks = _Cache(cache_chunks)  # chunk without its leading space -> ids; empty: needs its neighbours
-        self.piece_ids: dict[str, bytes] = {}
-        if b"".join(map(self._piece, self.pieces(_PROBE))) != self._whole([_PROBE])[0].tobytes():
+        spaces = int(self.spaced[self._whole([_PROBE])[0]].sum())
+        if spaces != _PROBE.count(" ") or self.encode(pa.array([_PROBE]))[0].tolist() != self._whole([_PROBE])[0].tolist():
             raise ValueError(f"{tokenizer_path} is not a byte-level BPE with the usual pre-tokenizer")
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.piece_ids.get(piece)
-        if found is None:
-            if piece.isascii() and piece[1:].isalpha() and piece[0] == " ":
-                spelled = self.space + piece[1:]
-            else:
-                spelled = piece.encode().decode("latin1").translate(self.letters)
-            found = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-            self.piece_ids[piece] = found
-        return found
+    def _stands_alone(self, word: str) -> bool:
+        return bool(word) and not word[0].isspace() and not word[-1].isspace() and not any(token in word for token in self.added)
+
+    def _alone(self, words: list[str]) -> list[bytes]:
+        """Ids of chunks that stand alone, many at a time: joined by spaces, each begins at the next id that begins with a space."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(words):
+            upto, size = at, 0
+            while upto < len(words) and size < JOINED_CHARS:
+                size += len(words[upto]) + 1
+                upto += 1
+            ids = self._whole([" " + " ".join(words[at:upto])])[0]
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) == upto - at and starts[0] == 0:
+                raw, cuts = ids.tobytes(), (4 * starts).tolist()
+                out += [raw[x:y] for x, y in zip(cuts, [*cuts[1:], len(raw)])]
+            else:  # an added token that spans chunks, say
+                out += [ids.tobytes() for ids in self._whole([" " + w for w in words[at:upto]])]
+            at = upto
+        return out
 
     def _encode_missing(self, words: list[str], at: list[int], blobs: list) -> None:
-        self.chunks.turn(len(at))
-        if len(self.piece_ids) + len(at) > self.chunks.size:
-            self.piece_ids.clear()
-        young, piece, pieces = self.chunks.young, self._piece, self.pieces
+        """New chunks: a word with stops after it is the word and the stops, others go to the library whole."""
+        self.chunks.turn(2 * len(at))
+        young, old = self.chunks.young, self.chunks.old
+        new: dict[str, None] = {}
+        stopped: list[tuple[int, str, str]] = []
         for i in at:
             word = words[i]
-            if word.isalpha():
-                ids = piece(" " + word)
-            elif not word or word[0].isspace() or word[-1].isspace():
-                ids = b""
+            if word.isalnum():
+                new[word] = None
+            elif (core := word.rstrip(STOPS)).isalpha():
+                stopped.append((i, core, word[len(core) :]))
+                if core not in young:
+                    if (known := old.get(core)) is not None:
+                        young[core] = known
+                    else:
+                        new[core] = None
+            elif self._stands_alone(word):
+                new[word] = None
             else:
-                ids = b"".join(map(piece, pieces(" " + word)))
-            young[word] = blobs[i] = ids
+                young[word] = blobs[i] = b""
+        young.update(zip(new, self._alone(list(new))))
+        if len(self.tails) > 10_000:
+            self.tails.clear()
+        tails = list({tail for _, _, tail in stopped} - self.tails.keys())
+        self.tails.update(zip(tails, (ids.tobytes() for ids in self._whole(tails))))
+        for i, core, tail in stopped:
+            young[words[i]] = young[core] + self.tails[tail]
+        for i in at:
+            blobs[i] = young[words[i]]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end (uint32), and the number of ids of each; a null text is empty."""
@@ -129,7 +152,7 @@ class ChunkEncoder:
         per_text = np.asarray(pc.list_value_length(chunks)).astype(np.int64)
         flat = chunks.flatten().dictionary_encode()
         codes = np.asarray(flat.indices)
-        words = flat.dictionary.to_pylist()
+        words = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
         blobs = self.chunks.get_all(words)
         missing = [i for i, b in enumerate(blobs) if b is None]
         if missing:
@@ -148,7 +171,7 @@ class ChunkEncoder:
         counts[first] = 0
         heads = np.flatnonzero(~bad).tolist()
         fronts = flat.dictionary.take(pa.array(codes[first[heads]])).to_pylist() if heads else []
-        alone = dict(zip(heads, (np.frombuffer(b"".join(map(self._piece, self.pieces(w))), "<u4") for w in fronts)))
+        alone = dict(zip(heads, self._whole(fronts)))
         again = np.flatnonzero(bad).tolist()
         alone.update(zip(again, self._whole(texts.take(pa.array(again, pa.int64())).to_pylist())))
         ends = np.cumsum(counts)

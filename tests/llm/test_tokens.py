@@ -22,9 +22,7 @@ TEXTS = ["", None, " ", "  ", "a  b", " lead", "trail ", "x \n y", "it's we'll",
 
 
 def _library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def _ids(text):
@@ -35,6 +33,18 @@ def _crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+def test_stops_and_joined_chunks_equal_the_library():
+    r = random.Random(8)
+    some = ["word", "Wörter", "日本", "can't", "3.14", "a.b", "x", "…", "(so)", "e\u0301", "\u00a0y", "don't,", "tab\tin", "line\nin", "<|endoftext|>", "Ġ", "\u0120a"]
+    texts = [" ".join(r.choice(some) + r.choice(["", ".", ",", "...", "?!", "!" * 50, ";:"]) for _ in range(r.randrange(400))) for _ in range(60)]
+    enc = ChunkEncoder(PATH, 300)
+    for _ in range(2):  # the second time from a cache that has turned
+        ids, sizes = enc.encode(pa.array(texts))
+        whole = [e.ids for e in _library().encode_batch(texts, add_special_tokens=False)]
+        assert sizes.tolist() == [len(w) for w in whole]
+        assert ids.tolist() == [i for w in whole for i in w]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("ab 'st\n\t.,1é語  <|>"), max_size=40), min_size=1, max_size=6))
 def test_chunked_encoding_equals_whole_encoding(texts):
