@@ -37,15 +37,15 @@ ANNULI = 8
 SAMPLE = 4096
 CHUNK = 4096
 BLOCK = 2048
-RESULT_SCHEMA = "query_id bigint, vec_id bigint, score bigint"
+#: query_id numbers a query row, own is its vec_id.
+RESULT_SCHEMA = "query_id bigint, own bigint, vec_id bigint, score bigint"
 
 
 def quantized(vectors: DataFrame, scale: float = 256.0) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of each component as bytes of doubles, without the rows that take no part.
+    """(vec_id, v, n): floor(scale * x) of each component as bytes of doubles, without the rows that take no part.
 
     Those are vectors that are null or hold a null or a component that is not finite, and rows without an
-    id. Of several rows of one id the one with the smallest bytes counts. Shorter vectors count as if filled
-    up with zeros.
+    id. ``n`` counts the rows equal in both. Shorter vectors count as if filled up with zeros.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +61,7 @@ def quantized(vectors: DataFrame, scale: float = 256.0) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "v"])
 
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    return rows.mapInArrow(run, "vec_id bigint, v binary").groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.mapInArrow(run, "vec_id bigint, v binary").groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
 def matrix(rows, dim: int) -> np.ndarray:
@@ -135,17 +135,22 @@ def _indexed(rows: DataFrame, shared, query: bool) -> DataFrame:
             columns.append(pa.array(list(d), pa.list_(pa.float64())) if query else pa.array(own))
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "v", "cell", "d"])
 
-    return rows.mapInArrow(run, f"vec_id bigint, v binary, cell int, d {'array<double>' if query else 'double'}")
+    return rows.select("vec_id", "v").mapInArrow(run, f"vec_id bigint, v binary, cell int, d {'array<double>' if query else 'double'}")
+
+
+def _each(rows: DataFrame, k: int) -> DataFrame:
+    """``rows(vec_id, v, n)`` one by one; of equal rows ``k`` at most, as no ranking of k takes more."""
+    return rows.select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)))).alias("_copy"))
 
 
 def _best(k: int, dim: int):
     def run(key: tuple, queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(vectors):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        q_ids, x_ids = queries["query_id"].to_numpy(np.int64), vectors["vec_id"].to_numpy(np.int64)
+            return pd.DataFrame({"query_id": [], "own": [], "vec_id": [], "score": []}).astype("int64")
+        rows, q_ids, x_ids = (f[c].to_numpy(np.int64) for f, c in ((queries, "query_id"), (queries, "own"), (vectors, "vec_id")))
         s = products(matrix(queries["q"], dim), matrix(vectors["v"], dim))
         other = q_ids[:, None] != x_ids
-        if len(x_ids) > k + 1:  # what falls below the k-th best besides the query itself is out
+        if len(x_ids) > k:  # what falls below the k-th best besides the query's own rows is out
             floor = np.partition(np.where(other, s, np.iinfo(np.int64).min), -k, axis=1)[:, -k]
             other &= s >= floor[:, None]
         a, b = np.nonzero(other)
@@ -154,24 +159,24 @@ def _best(k: int, dim: int):
         a, b, score = a[order], b[order], score[order]
         first = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=len(q_ids)))])
         keep = np.arange(len(a)) - first[a] < k
-        return pd.DataFrame({"query_id": q_ids[a[keep]], "vec_id": x_ids[b[keep]], "score": score[keep]})
+        return pd.DataFrame({"query_id": rows[a[keep]], "own": q_ids[a[keep]], "vec_id": x_ids[b[keep]], "score": score[keep]})
 
     return run
 
 
 def _scan(visits: DataFrame, index: DataFrame, chunks: DataFrame, blocks: int, k: int, dim: int) -> DataFrame:
-    """The k best of every (query, chunk) that ``visits(query_id, q, cell)`` asks for."""
+    """The k best of every (query, chunk) that ``visits(query_id, own, q, cell)`` asks for."""
     dealt = visits.join(F.broadcast(chunks), "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).select("query_id", "q", "cell", "chunk", "block")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).select("query_id", "own", "q", "cell", "chunk", "block")
     wanted = dealt.select("cell", "chunk", "block").distinct()
-    copies = index.join(F.broadcast(chunks), "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), "chunks").cast("int"))
+    copies = index.join(F.broadcast(chunks), "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), "chunks").cast("int"))
     copies = copies.join(wanted, ["cell", "chunk"]).select("vec_id", "v", *[F.col(c).alias(f"x_{c}") for c in ("cell", "chunk", "block")])
     asking = dealt.groupBy("cell", "chunk", "block")
     return asking.cogroup(copies.groupBy("x_cell", "x_chunk", "x_block")).applyInPandas(_best(k, dim), RESULT_SCHEMA)
 
 
-def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+def _ranked(found: DataFrame, k: int, of: str = "query_id") -> DataFrame:
+    order = Window.partitionBy(of).orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -179,16 +184,21 @@ def top_k(
     vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, pivots: int = PIVOTS, annuli: int = ANNULI,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest products of each row of ``vectors(vec_id, embedding)``
-    that ``is_query`` (a condition on vec_id) names, with all other rows; ties go to the smaller vec_id.
+    that ``is_query`` (a condition on vec_id) names, with all rows of other ids; ties go to the smaller vec_id.
+
+    Every row counts: one id may have several vectors, each a candidate, and equal rows are as many candidates.
+    An id that several query rows bear has one ranking, of the products of all of them.
 
     Fewer candidates give fewer rows. Which rows take no part is said at ``quantized``; an empty table or
     one without queries gives no rows, other columns are ignored.
     """
     spark = vectors.sparkSession
     rows = written(quantized(vectors, scale), "vectors")
-    queries = rows.filter(is_query)
+    queries = _each(rows.filter(is_query), k).select(F.monotonically_increasing_id().alias("query_id"), F.col("vec_id").alias("own"), F.col("v").alias("q"))
+    queries = written(queries, "queries")
+    # of the ids of one vector the k + 1 smallest: without a query's own id, k are left
     copies = Window.partitionBy("v").orderBy("vec_id")
-    kept = rows.withColumn("_nth", F.row_number().over(copies)).filter(F.col("_nth") <= k + 1).drop("_nth")
+    kept = _each(rows.withColumn("_nth", F.row_number().over(copies)).filter(F.col("_nth") <= k + 1), k)
 
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dim, top = 0, 0.0
@@ -199,13 +209,15 @@ def top_k(
         yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([top])], names=["dim", "top"])
 
     dim, norm2 = rows.mapInArrow(norms, "dim int, top double").agg(F.max("dim"), F.max("top")).first()
-    sample = [bytes(r[0]) for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("v").limit(SAMPLE).collect()]
+    sample = [bytes(r[0]) for r in rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").select("v").limit(SAMPLE).collect()]
     if not sample:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     fitted = Pivots.fit(matrix(sample, dim), norm2, pivots, annuli)
     shared = spark.sparkContext.broadcast(fitted)
     index = written(_indexed(kept, shared, False), "pivot-index")
-    asked = written(_indexed(queries, shared, True).withColumnRenamed("vec_id", "query_id").withColumnRenamed("v", "q"), "pivot-queries")
+    placed = _indexed(queries.select(F.col("query_id").alias("vec_id"), F.col("q").alias("v")), shared, True)
+    placed = placed.withColumnRenamed("vec_id", "query_id").withColumnRenamed("v", "q")
+    asked = written(placed.join(queries.select("query_id", "own"), "query_id"), "pivot-queries")
     # one row per cell: at most pivots * annuli
     cells = {r["cell"]: r for r in index.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi")).collect()}
     chunks = spark.createDataFrame([(c, -(-r["n"] // CHUNK)) for c, r in cells.items()], "cell int, chunks int")
@@ -214,20 +226,25 @@ def top_k(
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """From the query's own annulus outwards at its nearest pivot, until the cells hold k candidates."""
         for batch in batches:
-            ids, qs, at = [], [], []
-            for i, q, cell, d in zip(*(batch.column(c).to_pylist() for c in ("query_id", "q", "cell", "d"))):
+            ids, owns, qs, at = [], [], [], []
+            for i, own, q, cell, d in zip(*(batch.column(c).to_pylist() for c in ("query_id", "own", "q", "cell", "d"))):
                 pivot, here = cell // annuli, d[cell // annuli]
                 near = [c for c in range(pivot * annuli, (pivot + 1) * annuli) if c in cells]
                 near.sort(key=lambda c: (max(cells[c]["lo"] - here, here - cells[c]["hi"], 0.0), c))
                 n = 0
                 for c in near:
-                    ids.append(i), qs.append(q), at.append(c)
+                    ids.append(i), owns.append(own), qs.append(q), at.append(c)
                     n += cells[c]["n"]
                     if n > k:  # one of them can be the query itself
                         break
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(qs, pa.binary()), pa.array(at, pa.int32())], names=["query_id", "q", "cell"])
+            yield visits(ids, owns, qs, at)
+
+    visit_schema = "query_id bigint, own bigint, q binary, cell int"
+
+    def visits(ids: list, owns: list, qs: list, cells: list) -> pa.RecordBatch:
+        columns = [pa.array(ids, pa.int64()), pa.array(owns, pa.int64()), pa.array(qs, pa.binary()), pa.array(cells, pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, names=["query_id", "own", "q", "cell"])
 
-    visit_schema = "query_id bigint, q binary, cell int"
     first_visits = written(asked.mapInArrow(home, visit_schema), "first-visits")
     first = written(_ranked(_scan(first_visits, index, chunks, blocks, k, dim), k), "first-found")
     bound = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
@@ -239,8 +256,8 @@ def top_k(
         at = np.array(sorted(cells), np.int64)
         lo, hi = (np.array([cells[c][b] for c in at.tolist()]) for b in ("lo", "hi"))
         for batch in batches:
-            ids, qs, to = [], [], []
-            for i, q, d, n, worst, seen in zip(*(batch.column(c).to_pylist() for c in ("query_id", "q", "d", "n", "worst", "seen"))):
+            ids, owns, qs, to = [], [], [], []
+            for i, own, q, d, n, worst, seen in zip(*(batch.column(c).to_pylist() for c in ("query_id", "own", "q", "d", "n", "worst", "seen"))):
                 x = np.frombuffer(q, "<f8")
                 reach = np.inf
                 if n is not None and n >= k:
@@ -250,9 +267,10 @@ def top_k(
                 need = (here >= lo - reach - slack) & (here <= hi + reach + slack) & ~np.isin(at, seen or [])
                 to += at[need].tolist()
                 ids += [i] * int(need.sum())
+                owns += [own] * int(need.sum())
                 qs += [q] * int(need.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(qs, pa.binary()), pa.array(to, pa.int32())], names=["query_id", "q", "cell"])
+            yield visits(ids, owns, qs, to)
 
-    more = _scan(rest_of.select("query_id", "q", "d", "n", "worst", "seen").mapInArrow(rest, visit_schema), index, chunks, blocks, k, dim)
-    both = _ranked(first.select("query_id", "vec_id", "score").unionByName(more), k)
-    return both.select("query_id", "rank", "vec_id", "score")
+    more = _scan(rest_of.select("query_id", "own", "q", "d", "n", "worst", "seen").mapInArrow(rest, visit_schema), index, chunks, blocks, k, dim)
+    both = _ranked(first.select("own", "vec_id", "score").unionByName(more.select("own", "vec_id", "score")), k, "own")
+    return both.select(F.col("own").alias("query_id"), "rank", "vec_id", "score")

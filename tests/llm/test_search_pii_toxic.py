@@ -3,34 +3,33 @@
 import itertools
 import random
 import re
+import time
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from acctlens.llm import decontaminate as dc
-from acctlens.llm import pii, topk, toxicity
+from acctlens.llm import oracle, pii, topk, toxicity
 from acctlens.llm.bilstm_crf import BiLstmCrf
 
 
 def _slow_top_k(rows, k):
-    vecs = {}
+    vecs = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
-        q = [float(np.floor(256.0 * x)) + 0.0 for x in v]
-        if i not in vecs or np.array(q, "<f8").tobytes() < np.array(vecs[i], "<f8").tobytes():
-            vecs[i] = q
-    out = []
-    for i, q in vecs.items():
+        vecs.append((i, [int(np.floor(256.0 * x)) for x in v]))
+    found = {}
+    for i, q in vecs:
         if i % 50 == 0:
-            scores = sorted((-sum(int(a) * int(b) for a, b in zip(q, x)), j) for j, x in vecs.items() if j != i)
-            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores[:k])]
-    return sorted(out)
+            found.setdefault(i, []).extend((-sum(a * b for a, b in zip(q, x)), j) for j, x in vecs if j != i)
+    return sorted((i, n + 1, j, -s) for i, scores in found.items() for n, (s, j) in enumerate(sorted(scores)[:k]))
 
 
-@pytest.mark.parametrize("kind", ["clusters", "copies", "odd", "few"])
+@pytest.mark.parametrize("kind", ["clusters", "copies", "odd", "few", "repeats"])
 def test_top_k(spark, kind, monkeypatch):
     rng = np.random.default_rng(5)
     monkeypatch.setattr(topk, "CHUNK", 40)
@@ -44,11 +43,24 @@ def test_top_k(spark, kind, monkeypatch):
                              (1300, [3.0]), (1350, [1e12] * 8), (1400, [-1e12] * 8), (7, rows[7][1]), (7, [0.5] * 8), (50, rows[50][1])]
     elif kind == "few":
         rows = rows[:3]
+    elif kind == "repeats":  # one id holds a third of the rows, some of them equal, and some query ids have several vectors
+        rows = [(50 if i % 3 == 0 else i % 120, v) for i, v in rows] + [(50, rows[3][1])] * 20 + [(100, rows[3][1])] * 8 + [(7, rows[3][1])] * 3
     frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id bigint, embedding array<double>, score int")
     got = topk.top_k(frame, F.col("vec_id") % 50 == 0, k=5, pivots=5, annuli=3)
     assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == _slow_top_k(rows, 5)
 
 
+def test_repeated_ids_equal_sql(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.9, 0.0]), (2, [0.1, 0.1]), (2, [0.1, 0.1]), (0, [0.0, 3.0]), (50, [0.9, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    got = topk.top_k(frame, F.col("vec_id") % 50 == 0, k=5).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(tuple(r) for r in got) == sorted(con.sql(oracle.OP7).fetchall())
+    assert (0, 1, 1, 98304) in [tuple(r) for r in got]
+
+
 def test_top_k_of_nothing(spark):
     for rows in ([], [(1, [1.0])], [(50, None)]):
         frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
@@ -77,6 +89,29 @@ def test_long_runs_take_linear_time():
         pii.base_spans(text)
 
 
+def test_many_spans_take_linear_time():
+    text = " ".join(f"+1 974 555 {i % 10_000:04d} me{i}@mail.example.com (at) 12" for i in range(20_000))  # a megabyte
+    base = pii.base_spans(text)
+    assert len(base) == 40_000
+    begun = time.monotonic()
+    covered = pii._Covered(base)
+    inside = [covered.meets(m.start(), m.start() + 1) for m in pii._TRIGGER.finditer(text)]
+    assert sum(not x for x in inside) == 3 * 20_000  # the "(at)" and the two digits
+    found = {(i, 0, i + 8): 1.0 + i % 3 for i in range(0, len(text), 5)}
+    assert all(not covered.meets(a, b) for a, _, b in pii.reconcile(found, base))
+    pii.training_windows(text)
+    assert time.monotonic() - begun < 30
+
+
+def test_covered_equals_a_plain_search():
+    r = random.Random(2)
+    for _ in range(200):
+        spans = sorted((a, 0, a + r.randrange(1, 9)) for a in (r.randrange(60) for _ in range(r.randrange(8))))
+        for a in range(62):
+            for b in (a + 1, a + 4):
+                assert pii._Covered(spans).meets(a, b) == any(a < y and x < b for x, _, y in spans)
+
+
 def test_lstm_crf_gradient():
     rng = np.random.default_rng(0)
     model = BiLstmCrf(2, hidden=3, seed=1)
