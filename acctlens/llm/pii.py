@@ -1,7 +1,8 @@
 """Personal data: base patterns, and spans added by a character-level BiLSTM with CRF transitions.
 
 Base spans come from fixed patterns and checks (``base_spans``) and always stay. They also label the
-training data: windows of a bounded sample of documents (``MAX_DOCS`` rows, ``MAX_WINDOWS`` windows),
+training data: windows of a bounded sample of documents (``MAX_DOCS`` rows, ``MAX_WINDOWS`` windows, around at
+most ``PLACES_PER_TEXT`` places of a text, drawn by hash),
 with the spans rewritten into forms the patterns do not know (a phone number without its country code, a
 mail address with "(at)" and "(dot)"). The tagger (``bilstm_crf``) is trained in numpy from these.
 
@@ -10,12 +11,15 @@ characters to both sides, merged where they meet) of every such place of the who
 by one Viterbi path; elsewhere nothing can be found. The emissions of a region longer than ``PIECE`` come
 from overlapping pieces that are joined in the middle of their overlaps. So no edge cuts a span that ends
 within ``REACH`` of its digit, @ or "at". Of all spans of a document the set without overlaps of the
-greatest total is taken. Added spans touch no base span and pass their kind's check.
+greatest total is taken. Added spans touch no base span and pass their kind's check. Beside the sorting of its
+spans, a text takes time in proportion to its length.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +35,7 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW, REACH = 64, 128
 PIECE, PIECE_STRIDE = 512, 256
 MAX_DOCS, MAX_WINDOWS = 8_000, 1_200
+PLACES_PER_TEXT = 64
 MIN_MARGIN = 3.0
 BATCH_PLACES = 1 << 18
 
@@ -116,6 +121,25 @@ def _regions(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+class _Covered:
+    """The places that some of the sorted ``spans`` cover, as stretches that can be searched."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, _, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        """Whether a place of [a, b) is covered."""
+        i = bisect_left(self.starts, b) - 1
+        return i >= 0 and self.ends[i] > a
+
+
 def _pieces(a: int, b: int) -> list[tuple[int, int, int, int]]:
     """(start, end, first and end place to keep) of the pieces of a region: each place is kept from one of them."""
     starts = [a] if b - a <= PIECE else [*range(a, b - PIECE, PIECE_STRIDE), b - PIECE]
@@ -162,13 +186,13 @@ def _decoded(codes: list[np.ndarray], model: BiLstmCrf) -> Iterator[tuple[int, n
 
 def reconcile(found: dict[Span, float], base: list[Span]) -> list[Span]:
     """The set of ``found`` spans without overlaps, with each other or with ``base``, of the greatest total weight."""
-    taken = sorted((a, b) for a, _, b in base)
-    spans = sorted((s for s in found if not any(s[0] < b and a < s[2] for a, b in taken)), key=lambda s: (s[2], s))
+    taken = _Covered(base)
+    spans = sorted((s for s in found if not taken.meets(s[0], s[2])), key=lambda s: (s[2], s))
     ends = [s[2] for s in spans]
     best: list[tuple[float, int]] = [(0.0, -1)]  # total, last span taken
     came = [0]
     for i, s in enumerate(spans):
-        before = int(np.searchsorted(ends[:i], s[0], side="right"))
+        before = bisect_right(ends, s[0], 0, i)
         total = best[before][0] + found[s]
         if total > best[-1][0]:
             best.append((total, i))
@@ -180,7 +204,7 @@ def reconcile(found: dict[Span, float], base: list[Span]) -> list[Span]:
     while at and best[at][1] >= 0:
         i = best[at][1]
         out.append(spans[i])
-        at = int(np.searchsorted(ends[:i], spans[i][0], side="right"))
+        at = bisect_right(ends, spans[i][0], 0, i)
     return sorted(out)
 
 
@@ -207,8 +231,9 @@ def added_spans(texts: list[str], base: list[list[Span]], model: BiLstmCrf | Non
 
     places = 0
     for i, text in enumerate(texts if model else []):
+        covered = _Covered(base[i])
         for a, b in _regions(text):
-            if all(any(s <= m.start() < e for s, _, e in base[i] if e > a and s < b) for m in _TRIGGER.finditer(text, a, b)):
+            if all(covered.meets(m.start(), m.start() + 1) for m in _TRIGGER.finditer(text, a, b)):
                 continue  # base spans hold all of its triggers, and an added span would need one of its own
             where.append((i, a))
             held.append(classes(text[a:b]))
@@ -242,12 +267,14 @@ def _variants(text: str, spans: list[Span]) -> Iterator[tuple[str, list[Span]]]:
 
 
 def training_windows(text: str) -> list[tuple[str, list[Span]]]:
-    """Labelled windows of a text: one around each base span, and one around each other trigger."""
+    """Labelled windows of a text: one around each base span, and one around each other trigger, around at most
+    ``PLACES_PER_TEXT`` of them, chosen by hash from the whole text."""
     base = base_spans(text)
     out, seen = [], set()
     centers = [(a + b) // 2 for a, _, b in base]
-    centers += [m.start() for m in _TRIGGER.finditer(text) if not any(a <= m.start() < b for a, _, b in base)]
-    for center in centers[:64]:
+    covered = _Covered(base)
+    centers += [m.start() for m in _TRIGGER.finditer(text) if not covered.meets(m.start(), m.start() + 1)]
+    for center in sorted(centers, key=lambda c: zlib.crc32(str(c).encode()))[:PLACES_PER_TEXT]:
         start = max(0, center - 20 - center % 23)
         if start // 16 in seen:
             continue
