@@ -18,6 +18,7 @@ changes speed only.
 from __future__ import annotations
 
 import functools
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -188,7 +189,8 @@ class ChunkEncoder:
 
 @functools.lru_cache(maxsize=2)
 def encoder(tokenizer_path: str) -> ChunkEncoder:
-    """One encoder per Python worker and vocabulary file."""
+    """One encoder per Python worker and vocabulary file. A task has one core: the library's own threads would only wait for each other."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return ChunkEncoder(tokenizer_path)
 
 
