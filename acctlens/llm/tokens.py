@@ -24,8 +24,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks in each of a worker's two generations, about 80 MB.
-CACHE_CHUNKS = 400_000
+#: Chunks in each of a worker's two generations, about 160 MB.
+CACHE_CHUNKS = 800_000
 #: Texts of a batch are encoded in slices of about this many bytes, which bounds the arrays made for them.
 SLICE_BYTES = 4 << 20
 END_ID = 2
