@@ -26,18 +26,17 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter("a < b").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b", "a") % 999_983)).first())
+def _same(now: DataFrame, before: DataFrame) -> bool:
+    """Whether two sets of edges are equal: as many, and none of the one missing in the other."""
+    return now.count() == before.count() and now.join(before, ["a", "b"], "left_anti").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; the component is its smallest node."""
     now = written(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    state = _state(now)
-    while state[0]:
-        now = written(_stars(_stars(now, True), False), "edges")
-        before, state = state, _state(now)
-        if before == state:
+    while not now.isEmpty():
+        before, now = now, written(_stars(_stars(now, True), False), "edges")
+        if _same(now, before):
             break
     members = now.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return members.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
