@@ -201,15 +201,17 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     lines = written(hashed.mapInArrow(_line_hashes(min_chars), _LINE_SCHEMA), "line-hashes")
     shards = max(1, -(-lines.count() // shard_keys))
     index = written(build_index(lines, shards), "line-index", "uncompressed")
-    probes = lines.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int"))
+    # a written row's number: rows equal in id and text spread over a shard's tasks as all others do
+    probes = lines.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int")).withColumn("number", F.monotonically_increasing_id())
     # tasks per shard by the rows that meet it; one row per shard
     tasks = probes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(PROBE_ROWS)).cast("int").alias("tasks"))
-    salted = probes.join(tasks, "shard").withColumn("salt", F.pmod(F.xxhash64("row_h", "doc_id"), "tasks").cast("int")).drop("tasks")
+    salted = probes.join(tasks, "shard").withColumn("salt", F.pmod("number", "tasks").cast("int")).drop("tasks", "number")
     copies = index.join(tasks, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).drop("tasks")
     together = copies.unionByName(salted, allowMissingColumns=True)
     sorted_rows = together.repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("n").isNull())
     found = sorted_rows.mapInArrow(_probe(min_docs), _DROP_SCHEMA)
-    return found.groupBy("doc_id", "row_h").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    # a key's places are one set member however many rows repeat it, so a group is no larger than its text
+    return found.groupBy("doc_id", "row_h").agg(F.flatten(F.collect_set("places")).alias("places"))
 
 
 def dedup_lines(

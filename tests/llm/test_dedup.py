@@ -185,6 +185,17 @@ def test_line_dedup_probes_in_many_shards_and_tasks(make_docs, monkeypatch):
     assert (0, 1) in gone and (20, 0) not in gone and (lines.NO_ID, 0) in gone and (60, 0) in gone and (65, 0) not in gone and (50, 0) not in gone
 
 
+def test_line_dedup_of_rows_that_are_a_third_of_the_table(make_docs, monkeypatch):
+    monkeypatch.setattr(lines, "PROBE_ROWS", 50)
+    shared = [f"{COMMON}, part {k}" for k in range(6)]
+    rows = [(5, "\n".join([*shared, f"{COMMON}, part 0"]))] * 300 + [(None, shared[1])] * 100 + [(10 + i, f"own {i}\n{shared[i % 6]}") for i in range(500)]
+    docs = make_docs(rows)
+    got = lines.dedup_lines(docs.select("doc_id", "text"), counts=True)
+    assert collections.Counter(tuple(r) for r in got.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256)).collect()) == _slow_lines(rows)
+    places = [r.places for r in lines.dropped_lines(docs.select("doc_id", "text", F.xxhash64("text").alias("row_h"))).collect() if r.doc_id == 5]
+    assert [sorted(p) for p in places] == [list(range(7))]
+
+
 def test_line_dedup_passes_columns_through(make_docs):
     docs = make_docs(_line_rows())
     out = lines.dedup_lines(docs, length_column="n_chars")
