@@ -9,9 +9,11 @@ where the second term is the loss on negatives, estimated without any. If a mini
 zero, the step goes back up instead. The classifiers are linear in the set of a text's words and word
 stems (hashed into ``BUCKETS``), trained in numpy with Adam from several seeds; the score is the sigmoid of their mean.
 
-Bounds: at most ``MAX_POSITIVES`` positives and ``MAX_UNLABELLED`` unlabelled rows, those with the
-smallest hash of the id, come to the driver as bucket numbers, one row of each id. Weights of buckets that fewer than
-``MIN_ROWS`` of those rows hold stay zero. Every row is scored, on its whole text.
+Bounds: the sample is at most ``MAX_POSITIVES`` positives and ``MAX_UNLABELLED`` unlabelled rows, those with the
+smallest hash of the id, one row of each id. Spark counts its buckets by class; buckets that fewer than ``MIN_ROWS``
+of those rows hold, and those beyond the ``MAX_BUCKETS`` whose shares in the classes differ most (in standard
+errors), keep the weight zero. A row comes to the driver as ``MAX_BUCKETS`` bits, whatever its text's length: at
+most 18 MB. Every row is scored, on its whole text.
 """
 
 from __future__ import annotations
@@ -28,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctlens.llm.sample import sample_ids
+from acctlens.llm.store import written
 
 BUCKETS = 1 << 18
 MAX_POSITIVES = 6_000
 MAX_UNLABELLED = 12_000
 MIN_ROWS = 5
+MAX_BUCKETS = 1 << 13
 FOLDS = 5
 STEMS = (4, 5, 6)
 SEEDS = (1, 2, 3)
@@ -114,7 +118,7 @@ def fit(
     pos: list[np.ndarray], unl: list[np.ndarray], prior: float, seeds: tuple[int, ...] = SEEDS,
     steps: int = 400, rate: float = 0.02, penalty: float = PENALTY, min_rows: int = MIN_ROWS,
 ) -> Model:
-    """Train on the bucket sets of positives and unlabelled rows. Without either, every score is ``prior``."""
+    """Train on the bucket sets of positives and unlabelled rows, with ``prior`` set to 0.001 to 0.9. Without either, every score is it."""
     prior = float(np.clip(prior, 1e-3, 0.9))
     weights = np.zeros(BUCKETS)
     if not pos or not unl:
@@ -147,10 +151,34 @@ def fit(
 
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = pa.array([buckets(t.as_py()).astype("<i4").tobytes() for t in batch.column("text")], pa.binary())
+        sets = pa.array([buckets(t.as_py()).astype(np.int32) for t in batch.column("text")], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("positive"), sets], names=["_id", "positive", "buckets"])
 
 
+def _telling_buckets(sets: DataFrame, n_pos: int, n_unl: int, min_rows: int, max_buckets: int) -> np.ndarray:
+    """The sorted buckets whose shares in the two classes of ``sets(positive, buckets)`` differ most, in standard errors."""
+    held = sets.select("positive", F.explode("buckets").alias("bucket")).groupBy("bucket")
+    counts = held.agg(F.count(F.lit(1)).alias("n"), F.count_if("positive").alias("n_pos")).filter(F.col("n") >= min_rows)
+    share = F.col("n") / F.lit(n_pos + n_unl)
+    error = F.sqrt(share * (1 - share) * F.lit(1 / n_pos + 1 / n_unl))
+    apart = F.abs(F.col("n_pos") / F.lit(n_pos) - (F.col("n") - F.col("n_pos")) / F.lit(n_unl))
+    ranked = counts.select("bucket", F.when(error > 0, apart / error).otherwise(0.0).alias("z"))
+    top = ranked.orderBy(F.col("z").desc(), "bucket").limit(max_buckets)
+    return np.sort(np.array([r[0] for r in top.select("bucket").collect()], np.int64))  # at most max_buckets
+
+
+def _as_bits(kept: np.ndarray):
+    """Every set as one bit for each of the kept buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("buckets")
+            bits = [np.packbits(np.isin(kept, np.asarray(lists[i].values), assume_unique=True)).tobytes() for i in range(len(lists))]
+            yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(bits, pa.binary())], names=["positive", "bits"])
+
+    return run
+
+
 def held_out(doc_id, folds: int = FOLDS):
     """Whether a row's label is never learned from: crc32 of the id as text falls in fold 0. A null id counts as empty."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
@@ -158,12 +186,12 @@ def held_out(doc_id, folds: int = FOLDS):
 
 def train(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float | None = None,
-    max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED,
+    max_positives: int = MAX_POSITIVES, max_unlabelled: int = MAX_UNLABELLED, max_buckets: int = MAX_BUCKETS,
 ) -> Model:
     """Fit on ``docs(doc_id, text)`` and the rows of ``labels(doc_id, <label>)`` outside the held-out fold.
 
     A document with several labels is positive if one is. ``prior`` is the share of positives among the
-    labelled rows if it is not given. Null ids and labels are no labels.
+    labelled rows if it is not given; the risk uses it within 0.001 to 0.9. Null ids and labels are no labels.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_label"))
@@ -177,10 +205,15 @@ def train(
     # at most max_positives + max_unlabelled ids
     chosen = positive.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
     sample = texts.join(F.broadcast(chosen), "_id").select("_id", "positive", "text")
-    sets = sample.mapInArrow(_bucket_rows, "_id bigint, positive boolean, buckets binary")
+    sets = sample.mapInArrow(_bucket_rows, "_id bigint, positive boolean, buckets array<int>")
     # rows that share an id count once in each class, by their smallest set: no more rows than chosen ids
-    sets = sets.groupBy("_id", "positive").agg(F.min("buckets").alias("buckets")).select("positive", "buckets").orderBy("positive", "buckets")
-    rows = [(r[0], np.frombuffer(r[1], "<i4")) for r in sets.toLocalIterator()]
+    sets = written(sets.groupBy("_id", "positive").agg(F.min("buckets").alias("buckets")), "toxicity-sample")
+    n_pos, n_unl = sets.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
+    if not n_pos or not n_unl:
+        return fit([], [], prior)
+    kept = _telling_buckets(sets, n_pos, n_unl, MIN_ROWS, max_buckets)
+    bits = sets.mapInArrow(_as_bits(kept), "positive boolean, bits binary").orderBy("positive", "bits")
+    rows = [(r[0], kept[np.unpackbits(np.frombuffer(r[1], np.uint8), count=len(kept)).astype(bool)].astype(np.int32)) for r in bits.toLocalIterator()]
     return fit([a for p, a in rows if p], [a for p, a in rows if not p], prior)
 
 

@@ -8,6 +8,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -354,6 +355,19 @@ def test_toxicity_sample_bounds():
     assert (toxicity.MAX_POSITIVES, toxicity.MAX_UNLABELLED) == (6_000, 12_000)
 
 
+def test_rows_at_the_driver_are_bits_of_the_telling_buckets(spark, make_docs):
+    rows, labels, _ = _toxic_rows(300)
+    docs, frame = make_docs(rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = toxicity.train(docs, frame, max_buckets=4)
+    assert 0 < np.count_nonzero(model.weights) <= 4
+    sets = [(i % 2 == 0, [1, 2 + i % 2, 4] if i < 20 else [1, 5]) for i in range(40)] + [(True, [6])]
+    kept = toxicity._telling_buckets(spark.createDataFrame(sets, "positive boolean, buckets array<int>"), 21, 20, 2, 3)
+    assert kept.tolist() == [1, 2, 3]  # 1: all but the last row; 6: one row
+    batch = pa.RecordBatch.from_pydict({"positive": [True, False], "buckets": pa.array([[1, 3, 9], []], pa.list_(pa.int32()))})
+    (out,) = toxicity._as_bits(kept)([batch])
+    assert out.column("bits").to_pylist() == [b"\xa0", b"\x00"]
+
+
 def test_held_out_labels_are_never_read(spark, make_docs):
     rows, labels, _ = _toxic_rows(300)
     docs = make_docs(rows)
