@@ -2,20 +2,24 @@
 
 A seed is a window of words of which a fixed mask looks at some and ignores the others, so a
 substituted word that falls on ignored places leaves the seed's hash as it is. The seeds of the test
-items and of the documents are joined by hash. Around every hit, document and item are laid side by side
-at that alignment, and the overlap is the longest run of places, from an equal word to an equal word,
-that keeps ``MIN_SHARE`` of its words equal.
+items and of the documents are joined by hash. At every alignment that a shared seed gives, document and
+item are laid side by side, and the overlap is the longest run of places, from an equal word to an equal
+word, that keeps ``MIN_SHARE`` of its words equal.
 
 No such run of ``SPAN`` words or more is missed: every way to replace 2 of 12, 3 of 15 or 4 of 20 words
 leaves a window of ``MASKS`` as it is. A run of 12 to 23 words holds one of these cases, and a longer one
 falls into pieces of 12 to 23 words, of which one has its share of equal words.
 
-An overlap counts if it spans ``MIN_WORDS`` words, or the whole item if that is shorter (items under
+An overlap counts if it spans ``MIN_WORDS`` words, or the whole item if that is shorter. Items under
 ``SPAN`` words are looked for whole, by masks of their own length that pass every substitution the share
-allows between their first and last word; under ``SHORTEST`` words an item is no evidence and is left out).
-
-The items come to the tasks in blocks of at most ``BLOCK_WORDS`` words, so what is broadcast has a fixed
-bound; a larger test set takes one pass over the documents per block.
+allows between their first and last word. Items under ``SHORTEST`` words are no evidence by themselves;
+``shortest=1`` looks for them too, as exactly as for the others.
+
+Items, seeds, hits and alignments are tables that Spark writes, shuffles and joins; neither side passes
+through the driver. The documents are read once. A bit filter of the items' seeds, ``FILTER_BITS`` bits at
+most whatever the items, goes to the tasks, so that few seeds without a partner are shuffled; one that
+passes by chance finds nothing in the join. Keys that hold more than a ``HOT_SHARE`` of the rows of a
+join are salted. One document's alignments are one row of a task, like its text.
 """
 
 from __future__ import annotations
@@ -29,45 +33,50 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acctlens.llm.store import written
+
 #: Fixed masks: 1 looks at the word, 0 ignores it. Lossless at MIN_SHARE for SPAN words or more.
 MASKS = ("1101010011", "1000101111", "1111000101", "1101011001", "1111100001", "1010011101")
 SPAN = 12
 MIN_WORDS = 12
 MIN_SHARE = 0.8
 SHORTEST = 6
-BLOCK_WORDS = 2_000_000
-_FILTER_BITS = 22
-_CHECKED_HITS = 8192
+FILTER_BITS = 1 << 27
+_FILTER_STEPS = (0, 18, 37)
+_PART_BITS = 1 << 15  # of one bitmap of Spark's bitmap_construct_agg
+#: A key with more than this share of a join's rows is salted, so at most its inverse of keys are.
+HOT_SHARE = 1 / 1024
+_CHUNK_WORDS = 200_000
 _U = np.uint64
 _MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) & (2**64 - 1) | 1 for i in range(4096)], np.uint64)
 
 
 class _Words(dict):
-    """word -> 64-bit hash, filled as words are met; starts again when it is full."""
+    """word -> 64-bit hash of the word without punctuation at its ends, filled as words are met; starts again when it is full."""
 
     LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        self[word] = found = xxhash.xxh3_64_intdigest(word.strip(_EDGES))
         return found
 
 
-_WORDS = _Words()
 _EDGES = b"\"'`.,;:!?()[]{}<>*_"
+_WORDS = _Words()
 
 
 def word_hashes(text: str | None) -> np.ndarray:
     """Hashes of a text's words: split at ASCII white space, A-Z as a-z, without punctuation at their ends."""
-    words = [w.strip(_EDGES) for w in (text or "").encode().lower().split()]
+    words = (text or "").encode().lower().split()
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
 def whole_masks(n: int, min_share: float) -> list[str]:
     """Masks of ``n`` words, of which one ignores all unequal words, first and last equal, that the share allows."""
-    unequal = min(int(n * (1 - min_share) + 1e-9), n - 2)
-    groups = np.array_split(np.arange(1, n - 1), min(unequal + 2, n - 2))
+    unequal = max(0, min(int(n * (1 - min_share) + 1e-9), n - 2))
+    groups = np.array_split(np.arange(1, n - 1), max(1, min(unequal + 2, n - 2)))
     masks = []
     for ignored in combinations(groups, unequal):
         places = set(np.concatenate([[], *ignored]).tolist())
@@ -88,87 +97,6 @@ def _seeds(h: np.ndarray, mask: str) -> np.ndarray:
     return out ^ (out >> _U(32))
 
 
-class SeedIndex:
-    """Seeds of a block of items, sorted by hash, behind a bit filter."""
-
-    def __init__(self, items: list[tuple[int, np.ndarray]], masks: tuple[str, ...], span: int, shortest: int, min_share: float = MIN_SHARE):
-        self.ids = [i for i, _ in items]
-        self.words = [h for _, h in items]
-        self.sizes = np.array([len(h) for h in self.words], np.int64)
-        self.first = np.cumsum(self.sizes) - self.sizes
-        self.flat = np.concatenate([np.zeros(0, np.uint64), *self.words])
-        short = sorted({len(h) for h in self.words if shortest <= len(h) < span})
-        self.masks = {span: list(masks)} | {n: whole_masks(n, min_share) for n in short}
-        hashes, item, place = [], [], []
-        for k, h in enumerate(self.words):
-            if len(h) < shortest:
-                continue
-            for mask in self.masks[min(len(h), span)]:
-                s = _seeds(h, mask)
-                hashes.append(s)
-                item.append(np.full(len(s), k))
-                place.append(np.arange(len(s)))
-        hashes = np.concatenate([np.zeros(0, np.uint64), *hashes])
-        order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[order]
-        self.item = np.concatenate([np.zeros(0, np.int64), *item])[order]
-        self.place = np.concatenate([np.zeros(0, np.int64), *place])[order]
-        self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[(self.hashes & _U((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-
-    def hits(self, h: np.ndarray) -> np.ndarray:
-        """Distinct (item, alignment, place in the document) of the seeds that a document shares with the items."""
-        found = []
-        for masks in self.masks.values():
-            for mask in masks:
-                s = _seeds(h, mask)
-                at = np.flatnonzero(self.filter[(s & _U((1 << _FILTER_BITS) - 1)).astype(np.int64)])
-                if not len(at):
-                    continue
-                first, last = (np.searchsorted(self.hashes, s[at], side) for side in ("left", "right"))
-                n = last - first
-                if n.any():
-                    at, first, n = at[n > 0], first[n > 0], n[n > 0]
-                    entry = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    at = np.repeat(at, n)
-                    found.append(np.stack([self.item[entry], at - self.place[entry], at], 1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-
-    def likely(self, h: np.ndarray, hits: np.ndarray, min_words: int, min_share: float) -> np.ndarray:
-        """The hits with a run of the needed words and share nearby; a longer run has such a piece around one of its hits."""
-        needs = np.minimum(min_words, self.sizes[hits[:, 0]])
-        kept = np.zeros(len(hits), bool)
-        for need in np.unique(needs).tolist():
-            rows, reach = np.flatnonzero(needs == need), 2 * max(need, SPAN)
-            for some in np.array_split(rows, -(-len(rows) // _CHECKED_HITS)):
-                item, shift, at = (c[:, None] for c in hits[some].T)
-                here = at + np.arange(-reach, SPAN + reach)
-                there = here - shift
-                inside = (here >= 0) & (here < len(h)) & (there >= 0) & (there < self.sizes[item])
-                equal = inside & (h[np.where(inside, here, 0)] == self.flat[self.first[item] + np.where(inside, there, 0)])
-                score = np.pad(np.cumsum(equal - min_share, axis=1), ((0, 0), (1, 0)))
-                kept[some] = (score[:, need:] >= np.minimum.accumulate(score, axis=1)[:, :-need] - 1e-9).any(axis=1)
-        return hits[kept]
-
-    def overlaps(self, h: np.ndarray, min_words: int, min_share: float) -> list[tuple[int, int, int, int]]:
-        """(item id, first word, end word, equal words): the longest verified overlap of each item with the document."""
-        best: dict[int, tuple[int, int, int, int]] = {}
-        hits = self.hits(h)
-        if len(hits):
-            hits = self.likely(h, hits, min_words, min_share)
-        if not len(hits):
-            return []
-        for item, shift in np.unique(hits[:, :2], axis=0).tolist():
-            words = self.words[item]
-            lo, hi = max(0, shift), min(len(h), shift + len(words))
-            equal = h[lo:hi] == words[lo - shift : hi - shift]
-            x, y = _longest(equal, min_share)
-            # a stretch must span the needed words; of a short item all of them
-            if y - x >= min(min_words, len(words)) and (item not in best or y - x > best[item][2] - best[item][1]):
-                best[item] = (self.ids[item], lo + x, lo + y, int(equal[x:y].sum()))
-        return sorted(best.values())
-
-
 def _longest(equal: np.ndarray, min_share: float) -> tuple[int, int]:
     """The longest [x, y), the first of these, from an equal word to an equal word, with ``min_share`` equal."""
     score = np.concatenate([[0.0], np.cumsum(equal - min_share)])  # a stretch fits if score[y] >= score[x]
@@ -183,34 +111,178 @@ def _longest(equal: np.ndarray, min_share: float) -> tuple[int, int]:
     return int(xs[k]), int(ends[k])
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """Items with their word hashes, in blocks of at most ``block_words`` words (one item at least)."""
-    schema = "item_id bigint, words binary"
+def _batches(rows: Iterator[pa.RecordBatch], schema: pa.Schema, make) -> Iterator[pa.RecordBatch]:
+    """The rows that ``make`` gives for each input row, in batches."""
+    for batch in rows:
+        made = [r for row in zip(*batch.columns) for r in make(*row)]
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), schema)], schema=schema)
+
+
+def _item_tables(benchmark: DataFrame, masks: tuple[str, ...], shortest: int, min_share: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(item_id, item_key) of every item row, (item_key, words) of every different word sequence, and its seeds."""
+
+    def hashed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema({"item_id": pa.int64(), "words": pa.binary()})
+        yield from _batches(rows, schema, lambda i, t: [(i.as_py(), word_hashes(t.as_py()).tobytes())])
+
+    def seeds_of(key: pa.Scalar, words: pa.Scalar) -> Iterator[tuple[int, int, int, int]]:
+        h = np.frombuffer(words.as_py(), np.uint64)
+        for mask in masks if len(h) >= SPAN else whole_masks(len(h), min_share):
+            for place, seed in enumerate(_seeds(h, mask).view(np.int64).tolist()):
+                yield seed, key.as_py(), place, len(h)
+
+    def seeded(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema({"seed": pa.int64(), "item_key": pa.int64(), "item_place": pa.int64(), "n_words": pa.int64()})
+        yield from _batches(rows, schema, seeds_of)
+
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = items.mapInArrow(hashed, "item_id bigint, words binary").filter(F.length("words") >= 8 * max(shortest, 1))
+    items = written(items, "decon-items")
+    texts = items.select("words").distinct().select(F.monotonically_increasing_id().alias("item_key"), "words")
+    texts = written(texts, "decon-texts")
+    seeds = written(texts.mapInArrow(seeded, "seed bigint, item_key bigint, item_place bigint, n_words bigint"), "decon-seeds")
+    return items.join(texts, "words").select("item_id", "item_key"), texts, seeds
+
+
+def _bit_filter(seeds: DataFrame, filter_bits: int) -> np.ndarray:
+    """Bits set by Spark for the items' seeds, 32 a seed and ``filter_bits`` at most: that many come to the driver at most."""
+    bits = min(max(filter_bits, _PART_BITS), max(_PART_BITS, 1 << (32 * seeds.count()).bit_length()))
+    places = [F.shiftrightunsigned("seed", n).bitwiseAND(F.lit(bits - 1)) + 1 for n in _FILTER_STEPS]  # buckets count from 1
+    places = seeds.select(F.explode(F.array(*places)).alias("place"))
+    parts = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    for part in parts.toLocalIterator():
+        first = (part["bucket"] - 1) * _PART_BITS // 8
+        out[first : first + _PART_BITS // 8] = np.frombuffer(bytes(part["bits"]), np.uint8)
+    return out
+
+
+def _flat_hits(words: list[np.ndarray], masks: list[str], bit_filter: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place, seed) of the seeds that pass the filter, by document; the words of many documents in one array."""
+    flat = np.concatenate(words)
+    ends = np.cumsum([len(w) for w in words])
+    found = []
+    for mask in masks:
+        seeds = _seeds(flat, mask)
+        at = np.arange(len(seeds))
+        for n in _FILTER_STEPS:
+            p = (seeds[at] >> _U(n)) & _U(8 * len(bit_filter) - 1)
+            at = at[(bit_filter[(p >> _U(3)).astype(np.int64)] >> (p & _U(7)).astype(np.uint8)) & 1 > 0]
+        doc = np.searchsorted(ends, at, side="right")
+        inside = at + len(mask) <= ends[doc]  # a window over two documents is none
+        found.append(np.stack([doc[inside], at[inside], seeds[at[inside]].view(np.int64)]))
+    doc, at, seed = np.concatenate(found, axis=1)
+    order = np.argsort(doc, kind="stable")
+    return doc[order], (at - np.concatenate([[0], ends])[doc])[order], seed[order]
+
+
+_FLAGGED = pa.schema({
+    "doc_id": pa.int64(), "row_h": pa.int64(), "words": pa.binary(),
+    "hits": pa.list_(pa.struct({"place": pa.int64(), "seed": pa.int64()})),
+})
+
+
+def _flagged(docs: DataFrame, seeds: DataFrame, masks: tuple[str, ...], min_share: float, filter_bits: int) -> DataFrame:
+    """The document rows with a seed that passes the filter, their words and these seeds; each has its own ``doc_key``."""
+    lengths = [r["n_words"] for r in seeds.filter(F.col("n_words") < SPAN).select("n_words").distinct().collect()]  # SPAN at most
+    used = [*masks, *(m for n in sorted(lengths) for m in whole_masks(n, min_share))]
+    shared = docs.sparkSession.sparkContext.broadcast(_bit_filter(seeds, filter_bits))
+
+    def flag(ids: list, row_hs: list, words: list[np.ndarray]) -> pa.RecordBatch:
+        doc, place, seed = _flat_hits(words, used, shared.value)
+        n = np.bincount(doc, minlength=len(words))
+        kept = np.flatnonzero(n).tolist()
+        hits = pa.StructArray.from_arrays([pa.array(place), pa.array(seed)], names=["place", "seed"])
+        hits = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n[kept])]).astype(np.int32), hits)
+        columns = [pa.array([ids[i] for i in kept], pa.int64()), pa.array([row_hs[i] for i in kept], pa.int64())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([words[i].tobytes() for i in kept], pa.binary()), hits], schema=_FLAGGED)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            ids, row_hs = batch.column("doc_id").to_pylist(), batch.column("row_h").to_pylist()
+            first, n, words = 0, 0, []
+            for i, text in enumerate(batch.column("text"), 1):
+                words.append(word_hashes(text.as_py()))
+                n += len(words[-1])
+                if n >= _CHUNK_WORDS or i == batch.num_rows:
+                    yield flag(ids[first:i], row_hs[first:i], words)
+                    first, n, words = i, 0, []
+
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row_h"), "text")
+    found = texts.mapInArrow(run, "doc_id bigint, row_h bigint, words binary, hits array<struct<place: bigint, seed: bigint>>")
+    return written(found.withColumn("doc_key", F.monotonically_increasing_id()), "decon-flagged")
+
+
+def _salted_join(many: DataFrame, few: DataFrame, key: str, spread: str, hot_share: float) -> DataFrame:
+    """``many`` joined with ``few`` by ``key``; a key with over ``hot_share`` of the rows of ``many`` is dealt by ``spread``."""
+    total = many.count()
+    least = max(1, int(total * hot_share))
+    hot = many.groupBy(key).count().filter(F.col("count") > least)
+    hot = F.broadcast(hot.select(key, F.ceil(F.col("count") / least).alias("salts")))  # 1 / hot_share keys at most
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = many.join(hot, key, "left").withColumn("salt", F.pmod(F.xxhash64(spread), salts)).drop("salts")
+    copied = few.join(hot, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))).drop("salts")
+    return dealt.join(copied, [key, "salt"]).drop("salt")
+
+
+_ALIGNED = "doc_key bigint, doc_id bigint, row_h bigint, item_key bigint, shift bigint, words binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = pa.array([word_hashes(t.as_py()).tobytes() for t in batch.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("item_id"), words], names=["item_id", "words"])
 
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").mapInArrow(run, schema)
-    block, n = [], 0
-    for row in items.toLocalIterator():  # one partition of the test set at a time
-        words = np.frombuffer(bytes(row["words"]), np.uint64)
-        if block and n + len(words) > block_words:
-            yield block
-            block, n = [], 0
-        block.append((row["item_id"], words))
-        n += len(words)
-    if block:
-        yield block
+def _alignments(flagged: DataFrame, seeds: DataFrame, hot_share: float) -> DataFrame:
+    """For every alignment that a shared seed gives: the document's words beside the item."""
 
+    def cut(key, doc_id, row_h, words, aligned) -> Iterator[tuple]:
+        own = memoryview(words.as_py())
+        for at in aligned.as_py():
+            lo, hi = max(0, at["shift"]), at["shift"] + at["n_words"]
+            yield key.as_py(), doc_id.as_py(), row_h.as_py(), at["item_key"], at["shift"], bytes(own[8 * lo : 8 * hi])
 
-OVERLAP_SCHEMA = "doc_id bigint, row_h bigint, item_id bigint, first_word bigint, end_word bigint, equal_words bigint"
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in _ALIGNED.split(", ")]
+        schema = pa.schema({n: pa.binary() if n == "words" else pa.int64() for n in names})
+        for row in rows:  # a document at a time: its cuts are one batch
+            for i in range(row.num_rows):
+                yield from _batches(iter([row.slice(i, 1)]), schema, cut)
+
+    hits = written(flagged.select("doc_key", F.explode("hits").alias("hit")).select("doc_key", "hit.place", "hit.seed"), "decon-hits")
+    met = _salted_join(hits, seeds, "seed", "doc_key", hot_share)
+    met = met.select("doc_key", F.struct("item_key", "n_words", (F.col("place") - F.col("item_place")).alias("shift")).alias("at")).distinct()
+    aligned = met.groupBy("doc_key").agg(F.collect_list("at").alias("aligned"))
+    both = flagged.join(aligned, "doc_key").select("doc_key", "doc_id", "row_h", "words", "aligned")
+    return written(both.mapInArrow(run, _ALIGNED), "decon-aligned")
+
+
+_VERIFIED = "doc_key bigint, doc_id bigint, row_h bigint, item_key bigint, shift bigint, first_word bigint, end_word bigint, equal_words bigint"
+
+
+def _verified(aligned: DataFrame, texts: DataFrame, min_words: int, min_share: float, hot_share: float) -> DataFrame:
+    """The longest overlap of each document row with each different item text; of equally long ones the first."""
+
+    def verify(key, doc_id, row_h, item_key, shift, words, item) -> Iterator[tuple]:
+        shift, item = shift.as_py(), np.frombuffer(item.as_py(), np.uint64)
+        here = np.frombuffer(words.as_py(), np.uint64)
+        lo = max(0, shift)
+        equal = here == item[lo - shift : lo - shift + len(here)]
+        x, y = _longest(equal, min_share)
+        if y - x >= max(1, min(min_words, len(item))):
+            yield key.as_py(), doc_id.as_py(), row_h.as_py(), item_key.as_py(), shift, lo + x, lo + y, int(equal[x:y].sum())
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema({c.split()[0]: pa.int64() for c in _VERIFIED.split(", ")})
+        yield from _batches(rows, schema, verify)
+
+    beside = _salted_join(aligned, texts.withColumnRenamed("words", "item"), "item_key", "doc_key", hot_share)
+    order = ["doc_key", "doc_id", "row_h", "item_key", "shift", "words", "item"]
+    found = beside.select(order).mapInArrow(run, _VERIFIED)
+    best = F.struct((F.col("end_word") - F.col("first_word")).alias("n"), (-F.col("shift")).alias("s"), "first_word", "end_word", "equal_words")
+    found = found.groupBy("doc_key", "doc_id", "row_h", "item_key").agg(F.max(best).alias("best"))
+    return written(found.select("doc_key", "doc_id", "row_h", "item_key", "best.first_word", "best.end_word", "best.equal_words"), "decon-found")
 
 
 def contaminations(
     docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS,
-    min_share: float = MIN_SHARE, shortest: int = SHORTEST, block_words: int = BLOCK_WORDS,
+    min_share: float = MIN_SHARE, shortest: int = SHORTEST, filter_bits: int = FILTER_BITS, hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """The verified overlaps of ``docs(doc_id, text)`` with ``benchmark(item_id, text)``.
 
@@ -218,37 +290,29 @@ def contaminations(
     with the item, and how many of them are equal. ``row_h`` is the hash of the document's text. Null
     texts have no words and overlap nothing; null ids are kept as they are; repeated documents and items
     are reported each; with an empty table on either side there are no rows; other columns are ignored.
+    Texts of any length are read whole. ``filter_bits`` is a power of two; whatever it is, the rows are the same.
     """
-    spark = docs.sparkSession
+    found, members = _found(docs, benchmark, masks, min_words, min_share, shortest, filter_bits, hot_share)
+    columns = ["doc_id", "row_h", "item_id", "first_word", "end_word", "equal_words"]
+    return _salted_join(found, members, "item_key", "doc_key", hot_share).select(columns)
+
+
+def _found(
+    docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS,
+    min_share: float = MIN_SHARE, shortest: int = SHORTEST, filter_bits: int = FILTER_BITS, hot_share: float = HOT_SHARE,
+) -> tuple[DataFrame, DataFrame]:
+    """The overlaps with different item texts, and the items that have them."""
     if any(len(m) > SPAN for m in masks):
         raise ValueError(f"masks of at most {SPAN} words are needed")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row_h"), "text")
-    found = spark.createDataFrame([], OVERLAP_SCHEMA)
-    for block in _blocks(benchmark, block_words):
-        shared = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = SeedIndex(shared.value, masks, SPAN, shortest, min_share)
-            for batch in batches:
-                rows = []
-                for i, text in enumerate(batch.column("text")):
-                    h = word_hashes(text.as_py())
-                    rows += [(i, *o) for o in index.overlaps(h, min_words, min_share)]
-                if rows:
-                    of, item, first, end, equal = (list(c) for c in zip(*rows))
-                    at = pa.array(of, pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(at), batch.column("row_h").take(at), *(pa.array(c, pa.int64()) for c in (item, first, end, equal))],
-                        names=["doc_id", "row_h", "item_id", "first_word", "end_word", "equal_words"],
-                    )
-
-        found = found.unionByName(texts.mapInArrow(run, OVERLAP_SCHEMA))
-    return found
+    members, texts, seeds = _item_tables(benchmark, masks, shortest, min_share)
+    flagged = _flagged(docs, seeds, masks, min_share, filter_bits)
+    aligned = _alignments(flagged, seeds, hot_share)
+    return _verified(aligned, texts, min_words, min_share, hot_share), members
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
-    """``docs`` without the rows that overlap a test item; all columns and repeated clean rows stay."""
-    bad = contaminations(docs, benchmark, **parameters).select(F.col("doc_id").alias("_dc_id"), F.col("row_h").alias("_dc_h")).distinct()
-    own = docs.withColumn("_dc_key", F.xxhash64("text"))
-    same = F.col("_dc_id").eqNullSafe(F.col("doc_id").cast("bigint")) & (F.col("_dc_h") == F.col("_dc_key"))
-    return own.join(bad, same, "left_anti").drop("_dc_key")
+    """``docs`` without the rows that overlap a test item; all columns, whatever their names, and repeated clean rows stay."""
+    found, _ = _found(docs, benchmark, **parameters)
+    bad = found.select("doc_id", "row_h").distinct()
+    same = bad["doc_id"].eqNullSafe(docs["doc_id"].cast("bigint")) & (bad["row_h"] == F.xxhash64(docs["text"]))
+    return docs.join(bad, same, "left_anti")

@@ -235,25 +235,35 @@ def _decon_tables(spark, make_docs):
     return make_docs([(i, " ".join(w)) for i, w in docs] + [(14, None)]), bench
 
 
-@pytest.mark.parametrize("block_words", [10, 10**6])
-def test_decontamination(spark, make_docs, block_words):
+@pytest.mark.parametrize("settings", [{}, {"filter_bits": 1, "hot_share": 0.5}, {"hot_share": 1e-9}])
+def test_decontamination(spark, make_docs, settings):
     docs, bench = _decon_tables(spark, make_docs)
-    got = sorted((r.doc_id if r.doc_id is not None else -1, r.item_id, r.first_word, r.end_word, r.equal_words) for r in dc.contaminations(docs, bench, block_words=block_words).collect())
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.item_id, r.first_word, r.end_word, r.equal_words) for r in dc.contaminations(docs, bench, **settings).collect())
     assert got == [(-1, 2, 0, 12, 12), (0, 0, 50, 90, 40), (1, 0, 0, 40, 40), (1, 0, 0, 40, 40), (2, 0, 9, 49, 37), (4, 0, 0, 14, 14), (6, 1, 4, 19, 15), (7, 2, 0, 12, 12),
                    (8, 3, 3, 11, 8), (9, 4, 0, 6, 6), (12, 1, 0, 15, 15)]
-    clean = dc.decontaminate(docs, bench, block_words=block_words)
+    clean = dc.decontaminate(docs, bench, **settings)
     assert clean.columns == docs.columns
     assert sorted(r.doc_id for r in clean.collect()) == [3, 5, 10, 11, 13, 14]
 
 
-def test_seeds_tolerate_substitutions():
-    r = random.Random(9)
-    item = np.array([r.getrandbits(63) for _ in range(30)], np.uint64)
-    index = dc.SeedIndex([(1, item)], dc.MASKS, dc.SPAN, dc.SHORTEST)
-    for gap in (7, 9, 12):
-        other = item.copy()
-        other[3::gap] = 5
-        assert [o[0] for o in index.overlaps(other, 12, 0.8)] == [1]
+def _rows_found(spark, make_docs, items, docs, **settings):
+    """Per document: (item, first word, end word, equal words), sorted; words are numbers."""
+    text = lambda ws: " ".join(f"w{w}" for w in ws)
+    bench = spark.createDataFrame([(i, text(ws)) for i, ws in enumerate(items)], "item_id bigint, text string")
+    found = {i: [] for i in range(len(docs))}
+    for r in dc.contaminations(make_docs([(i, text(ws)) for i, ws in enumerate(docs)]), bench, **settings).collect():
+        found[r.doc_id].append((r.item_id, r.first_word, r.end_word, r.equal_words))
+    return [sorted(found[i]) for i in range(len(docs))]
+
+
+def _numbers(r, size):
+    return np.array([r.getrandbits(63) for _ in range(size)], np.uint64)
+
+
+def test_seeds_tolerate_substitutions(spark, make_docs):
+    item = _numbers(random.Random(9), 30)
+    docs = [_substituted(item, range(3, 30, gap)) for gap in (7, 9, 12)]
+    assert [[o[0] for o in found] for found in _rows_found(spark, make_docs, [item], docs)] == [[0]] * 3
 
 
 def _substituted(item, at):
@@ -262,13 +272,16 @@ def _substituted(item, at):
     return other
 
 
-@pytest.mark.parametrize("size, n", [(12, 2), (15, 3), (20, 4), (25, 5), (6, 1), (7, 1), (8, 1), (9, 1), (10, 2), (11, 2)])
-def test_every_allowed_substitution_is_found(size, n):
-    r = random.Random(size)
-    item = np.array([r.getrandbits(63) for _ in range(size)], np.uint64)
-    index = dc.SeedIndex([(1, item)], dc.MASKS, dc.SPAN, dc.SHORTEST)
-    for at in itertools.islice(itertools.combinations(range(1, size - 1), n), 0, None, 1 if size < 20 else 37):
-        assert index.overlaps(_substituted(item, at), 12, 0.8) == [(1, 0, size, size - n)], at
+def test_every_allowed_substitution_is_found(spark, make_docs):
+    items, docs, expected = [], [], []
+    for k, (size, n) in enumerate([(12, 2), (15, 3), (20, 4), (25, 5), (6, 1), (7, 1), (8, 1), (9, 1), (10, 2), (11, 2), (5, 1), (4, 0), (2, 0), (1, 0)]):
+        items.append(_numbers(random.Random(size), size))
+        for at in itertools.islice(itertools.combinations(range(1, size - 1), n), 0, None, 1 if size < 20 else 37):
+            docs.append(_substituted(items[-1], at))
+            expected.append([(k, 0, size, size - n)])
+    assert _rows_found(spark, make_docs, items, docs, shortest=1) == expected
+    short = [len(items[e[0][0]]) < dc.SHORTEST for e in expected]
+    assert _rows_found(spark, make_docs, items, docs) == [[] if s else e for s, e in zip(short, expected)]
 
 
 def _longest_by_force(equal, share=0.8):
@@ -277,27 +290,55 @@ def _longest_by_force(equal, share=0.8):
     return max((y + 1 - x for x in places for y in places if y >= x and sums[y + 1] - sums[x] >= share * (y + 1 - x) - 1e-9), default=0)
 
 
-def test_every_fifth_word_replaced_at_any_length():
+def test_every_fifth_word_replaced_at_any_length(spark, make_docs):
     r = random.Random(3)
-    for size in range(13, 200, 9):
-        item = np.array([r.getrandbits(63) for _ in range(size)], np.uint64)
-        index = dc.SeedIndex([(1, item)], dc.MASKS, dc.SPAN, dc.SHORTEST)
-        for start in range(5):
-            other = _substituted(item, range(start, size, 5))
-            longest = _longest_by_force(other == item)
-            assert [o[0] for o in index.overlaps(other, 12, 0.8)] == [1] * (longest >= 12), (size, start)
+    items = [_numbers(r, size) for size in range(13, 200, 9)]
+    cases = [(k, item, _substituted(item, range(start, len(item), 5))) for k, item in enumerate(items) for start in range(5)]
+    found = _rows_found(spark, make_docs, items, [other for _, _, other in cases])
+    assert [[o[0] for o in f] for f in found] == [[k] * (_longest_by_force(other == item) >= 12) for k, item, other in cases]
 
 
-def test_overlap_is_the_longest_of_its_alignment():
+def test_overlap_is_the_longest_of_its_alignment(spark, make_docs):
     r = random.Random(8)
-    item = np.array([r.getrandbits(63) for _ in range(30)], np.uint64)
-    index = dc.SeedIndex([(1, item)], dc.MASKS, dc.SPAN, dc.SHORTEST)
+    item = _numbers(r, 30)
     shapes = ["011011011110110111100111111111", "0" * 30, "1" * 30]
     shapes += ["".join(r.choice("11110") for _ in range(30)) for _ in range(800)]
-    for shape in shapes:
-        other = _substituted(item, [i for i, c in enumerate(shape) if c == "0"])
-        longest = _longest_by_force(other == item)
-        assert [o[2] - o[1] for o in index.overlaps(other, 12, 0.8)] == [longest] * (longest >= 12), shape
+    docs = [_substituted(item, [i for i, c in enumerate(shape) if c == "0"]) for shape in shapes]
+    longest = [_longest_by_force(other == item) for other in docs]
+    found = _rows_found(spark, make_docs, [item], docs)
+    assert [[o[2] - o[1] for o in f] for f in found] == [[n] * (n >= 12) for n in longest]
+
+
+def test_overlaps_equal_all_alignments(spark, make_docs):
+    """Few words, so that seeds meet by chance, items share passages, and a third of documents and items are equal."""
+    r = random.Random(12)
+    passage = [r.randrange(8) for _ in range(14)]
+    some = lambda n: [r.randrange(8) for _ in range(n)]
+    items = [some(r.choice([12, 18, 25])) + passage * (i % 3 == 0) for i in range(12)]
+    items += [items[0]] * 6
+    docs = [some(r.randrange(60)) + (passage + items[i % 12]) * (i % 2) + some(r.randrange(9)) for i in range(40)]
+    docs += [docs[1]] * 20
+    expected = []
+    for doc in map(np.array, docs):
+        rows = []
+        for k, item in enumerate(map(np.array, items)):
+            best = None
+            for shift in range(1 - len(item), len(doc)):
+                lo, hi = max(0, shift), min(len(doc), shift + len(item))
+                x, y = dc._longest(doc[lo:hi] == item[lo - shift : hi - shift], 0.8)
+                if y - x >= 12 and (best is None or y - x > best[2] - best[1]):
+                    best = (k, lo + x, lo + y, int((doc[lo + x : lo + y] == item[lo - shift + x : lo - shift + y]).sum()))
+            rows += [best] if best else []
+        expected.append(rows)
+    assert _rows_found(spark, make_docs, items, docs) == expected
+    assert _rows_found(spark, make_docs, items, docs, filter_bits=1, hot_share=0.01) == expected
+
+
+def test_very_long_texts_are_searched_whole(spark, make_docs):
+    r = random.Random(4)
+    item, pad = _numbers(r, 30).tolist(), [r.randrange(5000) for _ in range(300_000)]
+    found = _rows_found(spark, make_docs, [item, pad[:50_000]], [pad + item, pad[:-1], item[::-1]])
+    assert found == [[(0, 300_000, 300_030, 30), (1, 0, 50_000, 50_000)], [(1, 0, 50_000, 50_000)], []]
 
 
 def test_decontamination_of_nothing(spark, make_docs):
