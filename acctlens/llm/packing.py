@@ -27,12 +27,13 @@ from acctlens.llm.store import written
 from acctlens.llm.tokens import END_ID, encoder, with_end
 
 CAPACITY = 1024
+CACHE_CHUNKS = 250_000  # of a task: in a pipeline its worker holds what earlier stages keep as well
 PIECE_SCHEMA = "row_id bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 
 
 def _pieces(tokenizer_path: str, capacity: int, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, rows = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        enc, part, rows = encoder(tokenizer_path, CACHE_CHUNKS), TaskContext.get().partitionId(), 0
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             ids, sizes = with_end(*enc.encode(batch.column("text")), end_id)

@@ -188,10 +188,10 @@ class ChunkEncoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(tokenizer_path: str) -> ChunkEncoder:
+def encoder(tokenizer_path: str, cache_chunks: int = CACHE_CHUNKS) -> ChunkEncoder:
     """One encoder per Python worker and vocabulary file. A task has one core: the library's own threads would only wait for each other."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return ChunkEncoder(tokenizer_path)
+    return ChunkEncoder(tokenizer_path, cache_chunks)
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
