@@ -19,12 +19,12 @@ _DEFAULT = Thresholds()
 
 
 # Unicode white space, a fixed set.
-WHITE_SPACE = "\\t-\\r \\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
+WHITE_SPACE = "\t\n\v\f\r \u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def clean_text(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, f"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def clean_code(c: Column) -> Column:

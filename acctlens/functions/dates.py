@@ -50,11 +50,20 @@ def to_utc_timestamp_ntz(df: DataFrame, column: str) -> Column:
     if isinstance(kind, TimestampType):
         return _wall_clock_utc(c)
     if isinstance(kind, StringType):
-        zoned = c.rlike(_HAS_TIME) & c.rlike(_OFFSET)
-        return F.when(zoned, _wall_clock_utc(F.when(zoned, c).cast("timestamp"))).otherwise(F.when(~zoned, c).cast("timestamp_ntz"))
+        return F.transform(F.array(c), _text_to_utc)[0]
     return c.cast("timestamp_ntz")
 
 
+def _text_to_utc(text: Column) -> Column:
+    """The wall clock of a lambda's ``text``.
+
+    The text is bound once, so a filter on the time that Spark pushes below the staging evaluates the
+    expression behind the text once a row, not for each of its uses here.
+    """
+    zoned = text.rlike(_HAS_TIME) & text.rlike(_OFFSET)
+    return F.when(zoned, _wall_clock_utc(text.cast("timestamp"))).otherwise(text.cast("timestamp_ntz"))
+
+
 def date_from_text(df: DataFrame, column: str) -> Column:
     """The UTC DATE of ``YYYY-MM-DD`` or timestamp text (or of a date or timestamp)."""
     return to_utc_timestamp_ntz(df, column).cast("date")

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from acctlens.functions import columns as X
-from acctlens.functions.dates import month_boundaries_between
+from acctlens.functions.dates import month_boundaries_between, to_utc_timestamp_ntz
 from acctlens.functions.numeric import round_div
 
 
@@ -148,3 +148,20 @@ def test_revenue_movement(spark, mrr, prev, movement, exp, contr):
     r = df.select(X.revenue_movement(F.col("m"), F.col("p")), X.expansion_amount(F.col("m"), F.col("p")),
                   X.contraction_amount(F.col("m"), F.col("p"))).first()
     assert tuple(r) == (movement, exp, contr)
+
+
+def test_filter_on_a_staged_time_evaluates_its_text_once(spark):
+    rows = [("1", "2024-01-01 23:00:00", "-05:30"), ("2", "2024-01-02 02:00:00", "+05:30"), ("3", "2024-01-02 02:00:00", ""), ("4", "2024-01-01", ""), ("5", None, "Z")]
+    raw = spark.createDataFrame(rows, "ticket_id string, at string, zone string").selectExpr("ticket_id", "concat(at, '', upper(zone)) AS created_at")
+    day = to_utc_timestamp_ntz(raw, "created_at").cast("date")
+    late = raw.select("ticket_id", day.alias("created_date")).filter(F.col("created_date") >= F.lit("2024-01-02").cast("date")).select("ticket_id")
+    assert sorted(r.ticket_id for r in late.collect()) == ["1", "3"]
+    assert late._jdf.queryExecution().optimizedPlan().toString().count("upper(") == 1
+
+
+def test_clean_text_trims_every_white_space_and_nothing_else(spark):
+    space = [chr(i) for i in (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    kept = ["\x1c", "\x1f", "᠎", "​", "﻿", "-", "t"]
+    rows = [(f"{a}{b}x{a} y{b}{a}", f"x{a} y") for a in space for b in space] + [(f" {k}x{k}\n", f"{k}x{k}") for k in kept] + [("\t　", ""), ("", ""), (None, None)]
+    out = spark.createDataFrame(rows, "c string, wanted string").withColumn("got", X.clean_text(F.col("c")))
+    assert out.filter(~F.col("got").eqNullSafe(F.col("wanted"))).count() == 0

@@ -46,3 +46,9 @@ def test_bucketed_mart_shuffles_no_fact_by_account(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "bucket" in plan.lower()
     assert "hashpartitioning(account_id" not in plan
+
+
+def test_unique_checks_read_scored_accounts_already_written(spark):
+    plan = E.queries()["dq_unique"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    # events: their own key, the calendar, and the usage trend of the churn view; none for its health scores
+    assert plan.count("Relation [event_id") == 3
