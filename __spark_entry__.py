@@ -169,7 +169,7 @@ def _unlisted_products(p: Pipeline) -> DataFrame:
 
 def _audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per account of the churn view: that it and its layers below bear their times."""
-    p = Pipeline(load_raw_inputs(spark, sf_dir), Settings(as_of=AS_OF), audit=True)
+    p = _scored_once(spark, sf_dir, audit=True)
     loaded = p.stg_accounts.select("account_id", F.col("_loaded_at").isNotNull().alias("is_loaded"))
     scored = p.customer_health_scores.select("account_id", F.col("scored_at").isNotNull().alias("is_scored"))
     assessed = p.churn_risk_view.select("account_id", F.col("assessed_at").isNotNull().alias("is_assessed"))

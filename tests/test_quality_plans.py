@@ -52,3 +52,11 @@ def test_unique_checks_read_scored_accounts_already_written(spark):
     plan = E.queries()["dq_unique"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     # events: their own key, the calendar, and the usage trend of the churn view; none for its health scores
     assert plan.count("Relation [event_id") == 3
+
+
+def test_audit_columns_read_scored_accounts_already_written(spark):
+    df = E.queries()["audit_columns"](spark, SF)
+    # events are read for the usage trend of the churn view only
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [event_id") == 1
+    rows = df.collect()
+    assert rows and all(r.is_loaded and r.is_scored and r.is_assessed for r in rows)
