@@ -7,6 +7,8 @@ space that stands between two characters that are not white space. So a text
 is the sequence of its space-separated chunks, each encoded with its leading
 space, and every distinct chunk of a batch is encoded once by the library, thousands of
 them in one call.
+A chunk of lines is parted at its line breaks, and ASCII marks after a word are a piece of their own, so that
+mostly words are looked up and encoded, whatever stands around them.
 A text with white space beside one of its spaces (two spaces, a space before
 a line break, ...) has no such cuts there and is encoded whole, and so is a text that
 holds the string of one of the vocabulary's added tokens: the library gives it that token's id.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import os
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ END_ID = 2
 #: New chunks are handed to the library in texts of about this many characters.
 JOINED_CHARS = 1 << 12
 #: What may follow a word in its chunk and is then a piece of its own.
-STOPS = ".,;:!?"
+STOPS = string.punctuation
 #: The letter that stands for a space in byte-level vocabularies, a fixed value.
 SPACE = "\u0120"
 _PROBE = "It's 12 o'clock,\tdéjà vu:\n\n3.14 «ça» we'll\u00a0see... 100,000 \U0001f600x end"
@@ -72,6 +75,7 @@ class ChunkEncoder:
         self.spaced = np.zeros(max(names.values()) + 1, bool)  # ids that begin with a space
         self.spaced[[i for name, i in names.items() if name.startswith(SPACE)]] = True
         self.tails: dict[str, bytes] = {}  # runs of stops
+        self.heads = _Cache(cache_chunks // 8)  # what follows a line break, without a space before it -> ids
         self.chunks = _Cache(cache_chunks)  # chunk without its leading space -> ids; empty: needs its neighbours
         spaces = int(self.spaced[self._whole([_PROBE])[0]].sum())
         if spaces != _PROBE.count(" ") or self.encode(pa.array([_PROBE]))[0].tolist() != self._whole([_PROBE])[0].tolist():
@@ -102,18 +106,47 @@ class ChunkEncoder:
             at = upto
         return out
 
+    def _stops(self, tails: set[str]) -> None:
+        """Sees to it that ``tails`` has these runs."""
+        if len(self.tails) > 10_000:
+            self.tails.clear()
+        new = list(tails - self.tails.keys())
+        self.tails.update(zip(new, (ids.tobytes() for ids in self._whole(new))))
+
+    def _heads(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that begin a line: no space stands before them."""
+        keys = list(words)
+        found = self.heads.get_all(keys)
+        if missing := [k for k, v in zip(keys, found) if v is None]:
+            self.heads.turn(len(missing))
+            self.heads.young.update(zip(missing, (ids.tobytes() for ids in self._whole(missing))))
+            found = [self.heads.young[k] if v is None else v for k, v in zip(keys, found)]
+        return dict(zip(keys, found))
+
     def _encode_missing(self, words: list[str], at: list[int], blobs: list) -> None:
-        """New chunks: a word with stops after it is the word and the stops, others go to the library whole."""
+        """New chunks: a word with stops after it is the word and the stops, lines are parted at their break, others go to the library whole.
+
+        A single line break between two characters that are not white space is a piece of its own.
+        """
         self.chunks.turn(2 * len(at))
         young, old = self.chunks.young, self.chunks.old
         new: dict[str, None] = {}
-        stopped: list[tuple[int, str, str]] = []
+        stopped: list[tuple[str, str, str]] = []
+        lined: list[tuple[int, list[str]]] = []
+        todo: list[str] = []
         for i in at:
             word = words[i]
+            if "\n" in word and (lines := word.split("\n")) == word.split():  # line breaks are its only white space
+                lined.append((i, lines))
+                continue
+            todo.append(word)
+        firsts = list({lines[0] for _, lines in lined} - set(todo))
+        todo += [word for word, known in zip(firsts, self.chunks.get_all(firsts)) if known is None]
+        for word in todo:
             if word.isalnum():
                 new[word] = None
             elif (core := word.rstrip(STOPS)).isalpha():
-                stopped.append((i, core, word[len(core) :]))
+                stopped.append((word, core, word[len(core) :]))
                 if core not in young:
                     if (known := old.get(core)) is not None:
                         young[core] = known
@@ -122,16 +155,17 @@ class ChunkEncoder:
             elif self._stands_alone(word):
                 new[word] = None
             else:
-                young[word] = blobs[i] = b""
+                young[word] = b""
         young.update(zip(new, self._alone(list(new))))
-        if len(self.tails) > 10_000:
-            self.tails.clear()
-        tails = list({tail for _, _, tail in stopped} - self.tails.keys())
-        self.tails.update(zip(tails, (ids.tobytes() for ids in self._whole(tails))))
-        for i, core, tail in stopped:
-            young[words[i]] = young[core] + self.tails[tail]
+        later = [[(line[: len(core)], line[len(core) :]) if (core := line.rstrip(STOPS)).isalpha() else (line, "") for line in lines[1:]] for _, lines in lined]
+        self._stops({tail for _, _, tail in stopped} | {tail for parts in later for _, tail in parts} | {"\n"})
+        tails, heads = self.tails, self._heads({head for parts in later for head, _ in parts})
+        for word, core, tail in stopped:
+            young[word] = young[core] + tails[tail]
         for i in at:
-            blobs[i] = young[words[i]]
+            blobs[i] = young.get(words[i])
+        for (i, lines), parts in zip(lined, later):
+            blobs[i] = young[lines[0]] + b"".join([tails["\n"] + heads[head] + tails[tail] for head, tail in parts])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end (uint32), and the number of ids of each; a null text is empty."""

@@ -45,6 +45,38 @@ def test_stops_and_joined_chunks_equal_the_library():
         assert ids.tolist() == [i for w in whole for i in w]
 
 
+def test_lines_and_marks_reach_the_library_as_words():
+    """Chunks of two lines, and words with any ASCII marks after them, are put together from words that are encoded once."""
+    letters = "abcdefghijklmnop"
+    words = [a + b + c for a in letters for b in letters for c in "xy"]
+    marks = [".", "&&&", "", "$", "%%", "'", '"', ")"]
+    chunks = [f"{words[i % 512]}{marks[i // 512]}\n{words[(i + 37 * (i // 512)) % 512]}" for i in range(4096)]
+    texts = [" ".join(["a", *chunks[i : i + 64]]) for i in range(0, 4096, 64)]
+    enc, given = ChunkEncoder(PATH), 0
+    whole = enc._whole
+
+    def counted(some):
+        nonlocal given
+        given += sum(map(len, some))
+        return whole(some)
+
+    enc._whole = counted
+    ids, sizes = enc.encode(pa.array(texts))
+    plain = [e.ids for e in _library().encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(w) for w in plain] and ids.tolist() == [i for w in plain for i in w]
+    assert given < 5 * (2 * len(words)) < sum(map(len, texts)) / 4
+
+
+def test_line_breaks_beside_white_space_and_marks():
+    r = random.Random(9)
+    some = ["a", "Wörter", "日本", "'s", "don't", "x'", "(", "9", "\n", "\n\n", "\r", "\t", "\x1c", "\x85", "\u2028", "\u00a0", "é", "<|endoftext|>", "<|", "&", "."]
+    texts = [" ".join("".join(r.choice(some) for _ in range(r.randrange(1, 6))) for _ in range(r.randrange(1, 12))) for _ in range(3000)]
+    enc = ChunkEncoder(PATH, 500)
+    ids, sizes = enc.encode(pa.array(texts))
+    plain = [e.ids for e in _library().encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(w) for w in plain] and ids.tolist() == [i for w in plain for i in w]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("ab 'st\n\t.,1é語  <|>"), max_size=40), min_size=1, max_size=6))
 def test_chunked_encoding_equals_whole_encoding(texts):
