@@ -33,9 +33,9 @@ def _same(now: DataFrame, before: DataFrame) -> bool:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; the component is its smallest node."""
-    now = written(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    now = written(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", few_files=True)
     while not now.isEmpty():
-        before, now = now, written(_stars(_stars(now, True), False), "edges")
+        before, now = now, written(_stars(_stars(now, True), False), "edges", few_files=True)
         if _same(now, before):
             break
     members = now.select(F.col("b").alias("node"), F.col("a").alias("component"))

@@ -124,7 +124,7 @@ def _first_row():
 
 def _groups(fps: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
     """(fp, component) of every distinct fingerprint, and (component, first) with each component's first row."""
-    nodes = written(fps.groupBy("fp").agg(_first_row().alias("first")), "distinct-fingerprints")
+    nodes = written(fps.groupBy("fp").agg(_first_row().alias("first")), "distinct-fingerprints", few_files=True)
     linked = components(links(nodes.select("fp"), max_bits)).select(F.col("node").alias("fp"), "component")
     grouped = nodes.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     return grouped.select("fp", "component"), grouped.groupBy("component").agg(F.min("first").alias("first"))
@@ -154,7 +154,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     _, firsts = _groups(fps, max_bits)
     rows = fps.groupBy("doc_id", "row_h").agg(F.count(F.lit(1)).alias("_sh_n"))
     chosen = firsts.select(F.col("first.doc_id").alias("_sh_id"), F.col("first.row_h").alias("_sh_h"))
-    keepers = written(chosen.join(rows, F.col("_sh_id").eqNullSafe(rows["doc_id"]) & (F.col("_sh_h") == rows["row_h"])).select("_sh_id", "_sh_h", "_sh_n"), "keepers")
+    keepers = written(chosen.join(rows, F.col("_sh_id").eqNullSafe(rows["doc_id"]) & (F.col("_sh_h") == rows["row_h"])).select("_sh_id", "_sh_h", "_sh_n"), "keepers", few_files=True)
     own = docs.withColumn("_sh_row", F.xxhash64("text"))
     kept = own.join(keepers, F.col("_sh_id").eqNullSafe(F.col("doc_id").cast("bigint")) & (F.col("_sh_h") == F.col("_sh_row")))
     repeated = kept.filter("_sh_n > 1").dropDuplicates(["_sh_id", "_sh_h"])  # the few ids with equal rows

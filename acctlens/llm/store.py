@@ -20,9 +20,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """``df``, written to the shared folder as parquet and read back."""
+#: Tasks, and so files, for each core that ``written`` may use with ``few_files``.
+WAVES = 4
+
+
+def written(df: DataFrame, name: str, compression: str = "zstd", few_files: bool = False) -> DataFrame:
+    """``df``, written to the shared folder as parquet and read back.
+
+    With ``few_files`` a task writes several shuffle partitions one after the other, so that there are at
+    most ``WAVES`` files a core. Every file costs child processes where Hadoop has no native library (it
+    sets permissions by ``chmod``), and a table written again and again pays that each time.
+    """
     path = shared_path(df.sparkSession, name)
+    if few_files:
+        df = df.coalesce(WAVES * df.sparkSession.sparkContext.defaultParallelism)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

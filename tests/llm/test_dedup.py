@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from acctlens.llm import lines, simhash
 from acctlens.llm.components import components
+from acctlens.llm.store import WAVES, shared_path
 
 
 def _slow_fingerprint(text):
@@ -91,6 +93,24 @@ def test_components_without_edges(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_components_write_few_files(spark):
+    """Many shuffle partitions do not make as many files in every round."""
+    folder = os.path.dirname(shared_path(spark, "x")).removeprefix("file:")
+    known = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    before = set(os.listdir(folder))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "120")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        edges = spark.range(600).selectExpr("id * 2 AS a", "id * 2 + 1 AS b")
+        assert components(edges).filter("component = node - node % 2").count() == 1200
+    finally:
+        for k, v in known.items():
+            spark.conf.set(k, v)
+    made = [os.listdir(f"{folder}/{d}") for d in set(os.listdir(folder)) - before if d.startswith("edges-")]
+    assert len(made) >= 2
+    assert all(sum(f.endswith(".parquet") for f in files) <= WAVES * spark.sparkContext.defaultParallelism for files in made)
+
+
 BASE = " ".join(f"w{i}" for i in range(400))
 
 
